@@ -5,9 +5,10 @@ times, at most ``max_repeats``. The whole part of ``r`` is given to all its
 documents; for the fraction the cube method picks documents so that both the
 number of documents and the sum of tokens come out as wanted: inclusion
 probabilities move along the null space of those two constraints until they are
-0 or 1. The flight runs in blocks of bounded size, what a block leaves
-undecided is gathered into the blocks of the next level, and the few units left
-at the end of a source are settled by the landing.
+0 or 1, large documents first. The flight runs in blocks of bounded size, what a block leaves
+undecided is gathered into the blocks of the next level, and the one or two
+units left at the end of a source are rounded by the landing, whose miss is
+taken back by swapping documents of fitting sizes.
 """
 
 from __future__ import annotations
@@ -78,8 +79,31 @@ def land(p: np.ndarray, x: np.ndarray) -> np.ndarray:
     return p
 
 
+def settle(p: np.ndarray, sizes: np.ndarray, wanted: float, swaps: int = 3) -> np.ndarray:
+    """Decided units with the miss of the landing taken back by swapping a drawn unit for one not drawn.
+
+    A swap keeps the number of units. Each time the pair is taken whose
+    difference in size is nearest to the miss, as long as that lessens it.
+    """
+    p = p.copy()
+    for _ in range(swaps):
+        miss = float((p * sizes).sum() - wanted)
+        drawn, rest = np.flatnonzero(p >= 1), np.flatnonzero(p <= 0)
+        if not len(drawn) or not len(rest):
+            break
+        rest = rest[np.argsort(sizes[rest], kind="stable")]
+        at = np.searchsorted(sizes[rest], sizes[drawn] - miss)
+        near = np.stack([np.clip(at - 1, 0, len(rest) - 1), np.clip(at, 0, len(rest) - 1)])
+        left = np.abs(miss - (sizes[drawn] - sizes[rest[near]]))
+        row, k = np.unravel_index(np.argmin(left), left.shape)
+        if left[row, k] >= abs(miss):
+            break
+        p[drawn[k]], p[rest[near[row, k]]] = 0.0, 1.0
+    return p
+
+
 def _fly(pdf: pd.DataFrame, last: bool) -> pd.DataFrame:
-    # Large documents first: what stays undecided to the end, and so decides how far the landing misses, is small.
+    # Large documents first, so that they trade with others of their size.
     pdf = pdf.sort_values(["tokens", "spot", "doc_id"], ascending=[False, True, True], kind="stable", ignore_index=True)
     open_ = pdf.p.between(_EPS, 1 - _EPS).to_numpy()
     x = np.stack([pdf.tokens.to_numpy(float), np.ones(len(pdf))], axis=1)
@@ -87,7 +111,8 @@ def _fly(pdf: pd.DataFrame, last: bool) -> pd.DataFrame:
     if open_.any():
         p[open_] = flight(p[open_], x[open_, 0], np.random.default_rng(abs(int(pdf.spot.iloc[0])) % 2**32))
         if last:
-            p[open_] = land(p[open_], x[open_])
+            wanted = float((pdf.p.to_numpy(float) * x[:, 0]).sum())
+            p[open_] = settle(land(p[open_], x[open_]), x[open_, 0], wanted - float((p * x[:, 0])[~open_].sum()))
     return pdf.assign(p=p)
 
 
