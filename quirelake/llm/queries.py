@@ -8,13 +8,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirelake.common import table
-from quirelake.llm import mixture, residue, splitting, tokens, truncation
+from quirelake.llm import languages, mixture, residue, splitting, tokens, truncation
 
 
 def _records(spark: SparkSession, d: str, name: str, id_col: str, text_col: str, *more: str) -> DataFrame:
     return table(spark, d, name).select(F.lit(name).alias("source_table"), F.col(id_col).alias("row_id"), F.col(text_col).alias("body"), *more)
 
 
+def _labelled(spark: SparkSession, d: str) -> DataFrame:
+    tables = (("documents", "doc_id", "text"), ("segments", "segment_id", "content"), ("page_extractions", "page_id", "text"))
+    out = None
+    for name, id_col, text_col in tables:
+        rows = _records(spark, d, name, id_col, text_col, F.col("lang").alias("label"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _network(spark: SparkSession, d: str):
+    samples = table(spark, d, "language_samples").select("lang", "text").unionByName(table(spark, d, "subject_examples").select("lang", "text"))
+    return languages.fit(samples, table(spark, d, "documents"))
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return languages.wrong_labels(_labelled(spark, d), *_network(spark, d))
+
+
+def p1_languages(spark: SparkSession, d: str) -> DataFrame:
+    return languages.label_languages(_labelled(spark, d), *_network(spark, d))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     pieces = splitting.split_chunks(table(spark, d, "chunks"), table(spark, d, "split_limits"))
     return pieces.where("n_pieces > 1 AND piece_no = 0").select("chunk_row_id")
@@ -68,7 +90,7 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (p2_found, p2_pieces, p2_groups, p4_found, p4_rates, p6_found, p6_kept, p7_ids, p8_mix, p8_shares)
+    named = (p1_found, p1_languages, p2_found, p2_pieces, p2_groups, p4_found, p4_rates, p6_found, p6_kept, p7_ids, p8_mix, p8_shares)
     return {f.__name__: f for f in named}
 
 
