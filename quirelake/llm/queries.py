@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirelake.common import table
-from quirelake.llm import languages, mixture, residue, splitting, tokens, truncation
+from quirelake.llm import languages, mixture, residue, splitting, subjects, tokens, truncation
 
 
 def _records(spark: SparkSession, d: str, name: str, id_col: str, text_col: str, *more: str) -> DataFrame:
@@ -89,8 +89,21 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixture.mix_sources(table(spark, d, "documents"), table(spark, d, "mix_targets"))[1]
 
 
+def _subjects(spark: SparkSession, d: str) -> DataFrame:
+    documents = table(spark, d, "documents")
+    return subjects.document_subjects(documents, subjects.mine_rules(table(spark, d, "subject_examples"), documents))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return _subjects(spark, d).select("doc_id", "subject")
+
+
+def p9_composition(spark: SparkSession, d: str) -> DataFrame:
+    return subjects.composition(_subjects(spark, d), table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (p1_found, p1_languages, p2_found, p2_pieces, p2_groups, p4_found, p4_rates, p6_found, p6_kept, p7_ids, p8_mix, p8_shares)
+    named = (p1_found, p1_languages, p2_found, p2_pieces, p2_groups, p4_found, p4_rates, p6_found, p6_kept, p7_ids, p8_mix, p8_shares, p9_found, p9_composition)
     return {f.__name__: f for f in named}
 
 
