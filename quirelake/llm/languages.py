@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quirelake.llm.bigru import Weights, pooled_probabilities, train
+from quirelake.llm.sampling import draw
 from quirelake.llm.sentences import running_sentences
 
 # The names by which labels call a language, besides its ISO 639-1 code.
@@ -69,11 +70,8 @@ def fit(samples: DataFrame, documents: DataFrame | None = None, text_col: str =
     codes = sorted(set(clean.lang))
     rows = [(s, lang, True) for lang, text in zip(clean.lang, clean.text, strict=True) for s in running_sentences(text) or [text]]
     if documents is not None:
-        labelled = documents.where(F.col(label_col).isin(codes) & F.col(text_col).isNotNull()).select(F.col(label_col).alias("lang"), F.col(text_col).alias("text"))
-        # Rows are drawn by their hash at a rate that gives about the bound, so no partition sends more than its share.
-        rate = min(1.0, 1.2 * SAMPLE_DOCUMENTS / max(1, documents.where(F.col(label_col).isin(codes)).count()))
-        drawn = labelled.withColumn("spot", F.xxhash64("text")).where(F.col("spot") <= F.lit(int((2 * rate - 1) * (2**63 - 1))))
-        labelled = drawn.toPandas().sort_values(["spot", "lang"], kind="stable").head(SAMPLE_DOCUMENTS)
+        coded = documents.where(F.col(label_col).isin(codes)).select(F.col(label_col).alias("lang"), F.col(text_col).alias("text"))
+        labelled = draw(coded, "text", SAMPLE_DOCUMENTS, coded.count()).toPandas().sort_values(["spot", "lang"], kind="stable").head(SAMPLE_DOCUMENTS)
         counts = dict.fromkeys(codes, 0)
         for lang, text in zip(labelled.lang, labelled.text, strict=True):
             for s in running_sentences(text)[:SAMPLE_PER_DOCUMENT]:
