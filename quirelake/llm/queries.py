@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirelake.common import table
-from quirelake.llm import languages, mixture, residue, splitting, subjects, tokens, truncation
+from quirelake.llm import languages, mixture, residue, scan_noise, splitting, subjects, tokens, truncation
 
 
 def _records(spark: SparkSession, d: str, name: str, id_col: str, text_col: str, *more: str) -> DataFrame:
@@ -64,6 +64,20 @@ def p4_rates(spark: SparkSession, d: str) -> DataFrame:
     return truncation.truncation_rates(residue.without_residue(_described(spark, d)))
 
 
+def _pages(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    pages = _records(spark, d, "page_extractions", "page_id", "text", "document_id", "page_number")
+    scanned = pages.unionByName(_records(spark, d, "segments", "segment_id", "content", "document_id", "page_number"))
+    return scanned, table(spark, d, "documents").select(F.col("text").alias("body"))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return scan_noise.found_noise(*_pages(spark, d))
+
+
+def p5_paragraphs(spark: SparkSession, d: str) -> DataFrame:
+    return scan_noise.repaired_paragraphs(*_pages(spark, d))
+
+
 def _messages(spark: SparkSession, d: str) -> DataFrame:
     visuals = _records(spark, d, "visuals", "visual_id", "vlm_description")
     return visuals.unionByName(_records(spark, d, "parse_results", "result_id", "error_message"))
@@ -103,7 +117,7 @@ def p9_composition(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (p1_found, p1_languages, p2_found, p2_pieces, p2_groups, p4_found, p4_rates, p6_found, p6_kept, p7_ids, p8_mix, p8_shares, p9_found, p9_composition)
+    named = (p1_found, p1_languages, p2_found, p2_pieces, p2_groups, p4_found, p4_rates, p5_found, p5_paragraphs, p6_found, p6_kept, p7_ids, p8_mix, p8_shares, p9_found, p9_composition)
     return {f.__name__: f for f in named}
 
 
