@@ -2,43 +2,50 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
 from quirelake.common import table
 from quirelake.operators import shredding
+from quirelake.plans import text_queries
+from quirelake.plans.registry import Query, Registry
 
-
-def p3_nodes(spark: SparkSession, d: str) -> DataFrame:
-    runs = shredding.adjacency(table(spark, d, "parse_results"), "parse_results", "result_id")
-    return runs
+registry = Registry()
+query = registry.add
 
 
+@query()
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    out = None
-    for source, id_col in (("parse_results", "result_id"), ("segment_debug", "debug_id")):
-        found = shredding.found_members(shredding.adjacency(table(spark, d, source), source, id_col), source)
-        out = found if out is None else out.unionByName(found)
-    return out
+    runs, debug = (shredding.found_members(shredding.adjacency(table(spark, d, s), s, i), s) for s, i in (("parse_results", "result_id"), ("segment_debug", "debug_id")))
+    return runs.unionByName(debug)
 
 
+@query()
 def p3_pages(spark: SparkSession, d: str) -> DataFrame:
-    return shredding.entities(p3_nodes(spark, d), "page")
+    return shredding.entities(shredding.adjacency(table(spark, d, "parse_results"), "parse_results", "result_id"), "page")
 
 
+@query()
 def p3_visual_elements(spark: SparkSession, d: str) -> DataFrame:
-    return shredding.entities(p3_nodes(spark, d), "visual_element")
+    return shredding.entities(shredding.adjacency(table(spark, d, "parse_results"), "parse_results", "result_id"), "visual_element")
 
 
+@query()
 def p3_vlm_results(spark: SparkSession, d: str) -> DataFrame:
     return shredding.entities(shredding.adjacency(table(spark, d, "segment_debug"), "segment_debug", "debug_id"), "vlm_result")
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (p3_found, p3_pages, p3_visual_elements, p3_vlm_results)
-    return {f.__name__: f for f in named}
+def queries() -> dict[str, Query]:
+    out = dict(registry.queries)
+    for module in MODULES:
+        out |= module.registry.queries
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    out = dict(registry.sql)
+    for module in MODULES:
+        out |= module.registry.sql
+    return out
+
+
+MODULES = (text_queries,)
