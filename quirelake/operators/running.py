@@ -34,20 +34,20 @@ def running(df: DataFrame, keys: list[str], position: str, order: list[Column],
     ``order`` is a total order that begins with ``position``, an integer column;
     null positions come first. Null where nothing came before (0 for sums).
     """
-    rows = df.withColumn("_bucket", F.floor(F.coalesce(F.col(position), F.lit(-1)) / bucket)).withColumn("_value", value)
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    whole = F.max_by("_value", F.struct(*order_keys(order))) if how == "last" else _WITHIN[how](F.col("_value"))
-    sums = (rows.where(F.col("_value").isNotNull()) if how == "last" else rows).groupBy(*keys, "_bucket").agg(whole.alias("_whole"))
-    starts = sums.select(*keys, "_bucket", _WITHIN[how](F.col("_whole")).over(Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_upto"))
+    rows = df.withColumn("_run_bucket", F.floor(F.coalesce(F.col(position), F.lit(-1)) / bucket)).withColumn("_run_value", value)
+    inside = Window.partitionBy(*keys, "_run_bucket").orderBy(*order)
+    whole = F.max_by("_run_value", F.struct(*order_keys(order))) if how == "last" else _WITHIN[how](F.col("_run_value"))
+    sums = (rows.where(F.col("_run_value").isNotNull()) if how == "last" else rows).groupBy(*keys, "_run_bucket").agg(whole.alias("_run_whole"))
+    starts = sums.select(*keys, "_run_bucket", _WITHIN[how](F.col("_run_whole")).over(Window.partitionBy(*keys).orderBy("_run_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_run_upto"))
     # The value before a bucket is the one up to the nearest earlier bucket that has any.
-    buckets = rows.select(*keys, "_bucket").distinct().withColumn("_upto", F.lit(None).cast(sums.schema["_whole"].dataType)).withColumn("_ask", F.lit(1))
-    line = starts.withColumn("_ask", F.lit(0)).unionByName(buckets)
-    before = F.last("_upto", ignorenulls=True).over(Window.partitionBy(*keys).orderBy("_bucket", F.desc("_ask")).rowsBetween(Window.unboundedPreceding, -1))
-    carried = line.withColumn("_before", before).where("_ask = 1").drop("_upto", "_ask")
-    same = reduce(lambda a, b: a & b, [F.col(f"r.{k}").eqNullSafe(F.col(f"c.{k}")) for k in [*keys, "_bucket"]])
-    local = _WITHIN[how](F.col("_value")).over(inside.rowsBetween(Window.unboundedPreceding, -1))
-    joined = rows.withColumn("_inside", local).alias("r").join(carried.alias("c"), same).select("r.*", "c._before")
-    return joined.withColumn(into, _combine(how, F.col("_before"), F.col("_inside"))).drop("_bucket", "_value", "_inside", "_before")
+    buckets = rows.select(*keys, "_run_bucket").distinct().withColumn("_run_upto", F.lit(None).cast(sums.schema["_run_whole"].dataType)).withColumn("_run_ask", F.lit(1))
+    line = starts.withColumn("_run_ask", F.lit(0)).unionByName(buckets)
+    before = F.last("_run_upto", ignorenulls=True).over(Window.partitionBy(*keys).orderBy("_run_bucket", F.desc("_run_ask")).rowsBetween(Window.unboundedPreceding, -1))
+    carried = line.withColumn("_run_before", before).where("_run_ask = 1").drop("_run_upto", "_run_ask")
+    same = reduce(lambda a, b: a & b, [F.col(f"r.{k}").eqNullSafe(F.col(f"c.{k}")) for k in [*keys, "_run_bucket"]])
+    local = _WITHIN[how](F.col("_run_value")).over(inside.rowsBetween(Window.unboundedPreceding, -1))
+    joined = rows.withColumn("_run_inside", local).alias("r").join(carried.alias("c"), same).select("r.*", "c._run_before")
+    return joined.withColumn(into, _combine(how, F.col("_run_before"), F.col("_run_inside"))).drop("_run_bucket", "_run_value", "_run_inside", "_run_before")
 
 
 def order_keys(order: list[Column]) -> list[Column]:

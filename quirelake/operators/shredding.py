@@ -119,7 +119,7 @@ def shred_payload(payload: str | None, source: str) -> list[tuple]:
         if collection:
             value = unpack(value)
             picked = dict(members(value))
-            if picked.get("0") is value:
+            if value is not None and picked.get("0") is value:
                 member, collection, picked = (collection[0], "0", collection[1]), None, {}
         me = len(rows)
         children: list[tuple[str, Any]] = []

@@ -139,6 +139,16 @@ def merge_stages(general: DataFrame, precise: DataFrame) -> DataFrame:
     return over.unionByName(rest)
 
 
+def best_results(visuals: DataFrame, results: DataFrame) -> DataFrame:
+    """``(visual_id, n_results, best_analysis)``: results of the visual's hash, the surest one by id where equal.
+
+    Results are brought down to one row a hash first, since one logo may be in
+    a great part of all documents.
+    """
+    best = results.groupBy("content_hash").agg(F.count("*").alias("n_results"), F.min_by("analysis_id", F.struct(-F.coalesce("confidence", F.lit(-1.0)), F.col("analysis_id"))).alias("best_analysis"))
+    return visuals.select("visual_id", "content_hash").join(best, "content_hash", "left").select("visual_id", "n_results", "best_analysis")
+
+
 def image_context(segments: DataFrame, visuals: DataFrame) -> DataFrame:
     """``(visual_id, segment_id)``: the first segment of the page that needs context, else the first that refers to the image."""
     needs = segments.where(fx.needs_context(F.col("segment_type"), F.col("segment_subtype"), F.col("content")))

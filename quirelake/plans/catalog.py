@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quirelake.common import table
 from quirelake.operators import shredding
-from quirelake.plans import text_queries
+from quirelake.plans import chunk_queries, graph_queries, io_queries, report_queries, text_queries, visual_queries
 from quirelake.plans.registry import Query, Registry
 
 registry = Registry()
@@ -48,4 +48,4 @@ def oracle_sql() -> dict[str, str]:
     return out
 
 
-MODULES = (text_queries,)
+MODULES = (text_queries, chunk_queries, graph_queries, visual_queries, report_queries, io_queries)
