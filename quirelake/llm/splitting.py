@@ -84,7 +84,8 @@ def split_text(text: str, limit: int, unit: str = "chars", overlap: int = 0) ->
     if ruler.size(0, length) <= limit:
         return [(0, length)]
     cuts = [[m.end() for m in s.finditer(text)] for s in SEPARATORS]
-    spans, begin, done = [], 0, 0
+    # A piece must reach beyond the overlap, else the next one would begin where it began.
+    spans, begin, done = [], 0, ruler.reach(0, overlap, length) if overlap else 0
     while True:
         end = ruler.reach(begin, limit, length)
         if end >= length:
