@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quirelake.common import durable
+
 #: Least count inside texts, and greatest ratio of ends to it, for a text without final punctuation.
 INSIDE, END_RATIO = 2, 0.5
 #: Texts beginning alike are captions if less than this part of them has final punctuation; smoothed, so that rare beginnings are none.
@@ -135,10 +137,11 @@ def truncated_records(records: DataFrame) -> DataFrame:
     columns are not read.
     """
     spark = records.sparkSession
-    rows = records.select("source_table", "row_id", "body")
+    # Each is read several times below, so it is written once.
+    rows = durable(records.select("source_table", "row_id", "body"))
     marks = MARKS.replace("\\", "\\\\")
-    grams = spark.sql(_GRAMS.replace("{marks}", marks), records=rows)
-    finals = spark.sql(_FINALS.replace("{marks}", marks), records=rows)
+    grams = durable(spark.sql(_GRAMS.replace("{marks}", marks), records=rows))
+    finals = durable(spark.sql(_FINALS.replace("{marks}", marks), records=rows))
     limits = {"inside": INSIDE, "ratio": END_RATIO, "inside_closed": INSIDE_CLOSED, "ratio_closed": END_RATIO_CLOSED, "caption": CAPTION, "prior": CAPTION_PRIOR}
     sql = _FOUND
     for name, value in limits.items():
