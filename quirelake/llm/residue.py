@@ -13,10 +13,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quirelake.common import durable
+
 #: Tokens in a passage window, and the step from one window to the next.
 WINDOW, STEP = 12, 6
 #: Least part of an exemplar's mass that a window must hold, and least part of a window's mass that filler must cover.
 CONTAINED, COVERED = 0.72, 0.8
+#: Least inverse document frequency of a term of the index; half of the greatest possible one where that is less.
+RARE = 3.0
 #: Least number of filler words in a window that filler covers.
 FILLER_WORDS = 3
 
@@ -122,22 +126,22 @@ def score_windows(records: DataFrame, text_col: str = "body") -> DataFrame:
     """
     spark = records.sparkSession
     index = exemplar_index(spark)
-    # Equal texts have equal scores, so each different text is scored once.
-    texts = records.where(F.col(text_col).isNotNull()).groupBy(text_col).agg(F.count("*").alias("copies")).withColumn("text_id", F.md5(text_col))
-    tokens = texts.select("text_id", "copies", tokens_of(F.col(text_col)).alias("tokens")).where(F.size("tokens") > 0)
-    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("tokens") - STEP - 1), F.lit(STEP))
-    windows = tokens.select("text_id", "copies", "tokens", F.posexplode(starts).alias("window", "start")).select(
-        "text_id", "copies", "window", F.slice("tokens", F.col("start") + 1, F.lit(WINDOW)).alias("tokens")
-    )
-    hits = windows.select("text_id", "copies", "window", F.size(F.array_distinct("tokens")).alias("n_words"), F.explode(_terms(F.col("tokens"))).alias("term")).join(F.broadcast(index.select("term").distinct()), "term")
-    # Smoothed inverse document frequency of the index's own terms: a table as small as the index.
-    n_texts = F.coalesce(texts.agg(F.sum("copies")).scalar(), F.lit(0))
-    seen = hits.groupBy("term", "text_id").agg(F.first("copies").alias("copies")).groupBy("term").agg(F.sum("copies").alias("df"))
-    weights = index.select("term").distinct().join(F.broadcast(seen), "term", "left").withColumn("idf", F.log((n_texts + 1.0) / (F.coalesce("df", F.lit(0)) + 0.5)))
-    weights = weights.select("term", F.greatest(F.col("idf"), F.lit(0.05)).alias("w"))
-    postings = index.join(F.broadcast(weights), "term")
+    # Equal texts have equal scores, so each different text is scored and counted once, and a text in many copies stays rare.
+    texts = records.where(F.col(text_col).isNotNull()).select(text_col).distinct().withColumn("text_id", F.md5(text_col))
+    tokens = texts.select("text_id", tokens_of(F.col(text_col)).alias("tokens")).where(F.size("tokens") > 0)
+    known = F.broadcast(index.select("term").distinct())
+    # Smoothed inverse document frequency of the index's own terms: a table as small as the index, summed up before it is shuffled.
+    n_texts = texts.agg(F.count("*")).scalar()
+    seen = tokens.select(F.explode(_terms(F.col("tokens"))).alias("term")).join(known, "term").groupBy("term").agg(F.count("*").alias("df"))
+    weights = index.select("term").distinct().join(F.broadcast(seen), "term", "left").withColumn("w", F.log((n_texts + 1.0) / (F.coalesce("df", F.lit(0)) + 0.5)))
+    # Terms of a good part of all texts say nothing; they are in no posting, unless they show a placeholder.
+    rare = F.least(F.lit(RARE), F.log(n_texts + 1.0) / 2)
+    postings = index.join(F.broadcast(durable(weights.where((F.col("w") >= rare) | F.contains("term", F.lit("§"))).withColumn("w", F.greatest("w", F.lit(0.05))))), "term")
     mass = postings.groupBy("exemplar").agg(F.sum("w").alias("mass"))
     postings = postings.join(F.broadcast(mass), "exemplar")
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("tokens") - STEP - 1), F.lit(STEP))
+    windows = tokens.select("text_id", "tokens", F.posexplode(starts).alias("window", "start")).select("text_id", "window", F.slice("tokens", F.col("start") + 1, F.lit(WINDOW)).alias("tokens"))
+    hits = windows.select("text_id", "window", F.size(F.array_distinct("tokens")).alias("n_words"), F.explode(_terms(F.col("tokens"))).alias("term"))
     matched = hits.join(F.broadcast(postings), "term").groupBy("text_id", "window", "exemplar", "kind").agg(
         F.sum("w").alias("shared"), F.count("*").alias("n_shared"), F.first("mass").alias("mass"), F.first("n_words").alias("n_words")
     )
