@@ -128,7 +128,8 @@ def score_windows(records: DataFrame, text_col: str = "body") -> DataFrame:
     index = exemplar_index(spark)
     # Equal texts have equal scores, so each different text is scored and counted once, and a text in many copies stays rare.
     texts = records.where(F.col(text_col).isNotNull()).select(text_col).distinct().withColumn("text_id", F.md5(text_col))
-    tokens = texts.select("text_id", tokens_of(F.col(text_col)).alias("tokens")).where(F.size("tokens") > 0)
+    # Cut into tokens once, for the counts and for the windows.
+    tokens = durable(texts.select("text_id", tokens_of(F.col(text_col)).alias("tokens")).where(F.size("tokens") > 0))
     known = F.broadcast(index.select("term").distinct())
     # Smoothed inverse document frequency of the index's own terms: a table as small as the index, summed up before it is shuffled.
     n_texts = texts.agg(F.count("*")).scalar()
