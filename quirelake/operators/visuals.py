@@ -172,3 +172,36 @@ def aspect_type(width: Column, height: Column, office: str = "slides") -> Column
     if office == "text":
         return F.when(ratio > 2.5, "chart").when(ratio.between(0.8, 1.2), "diagram").when((width > 300) & (height > 200), "chart").when(ratio.isNotNull(), "image").otherwise("unknown_visual")
     return F.when(ratio > 2.0, "chart").when(ratio.between(0.8, 1.2), "diagram").when(ratio.isNotNull(), "image").otherwise("unknown_visual")
+
+
+def merge_results(pairs: DataFrame, strategy: str = "replace") -> DataFrame:
+    """``pairs`` of a first and a second result (columns ``first`` and ``second``, structs) with ``merged``.
+
+    ``replace`` takes the second, ``best`` the one with the higher ``overall``
+    (the first where equal), ``combine`` joins descriptions and recognised texts
+    and takes the higher confidence. Other strategies raise ValueError.
+    """
+    first, second = F.col("first"), F.col("second")
+    if strategy == "replace":
+        merged = second
+    elif strategy == "best":
+        merged = F.when(second["overall"] > first["overall"], second).otherwise(first)
+    elif strategy == "combine":
+        text = F.concat(F.coalesce(first["description"], F.lit("")), F.lit("\n\nAdditional details: "), F.coalesce(second["description"], F.lit("")))
+        ocr = fx.strip(F.concat(F.coalesce(first["ocr_text"], F.lit("")), F.lit("\n"), F.coalesce(second["ocr_text"], F.lit(""))))
+        merged = F.struct(text.alias("description"), ocr.alias("ocr_text"), F.greatest(first["confidence"], second["confidence"]).alias("confidence"), F.greatest(first["overall"], second["overall"]).alias("overall"))
+    else:
+        raise ValueError(f"unknown strategy {strategy!r}")
+    return pairs.withColumn("merged", merged)
+
+
+def outside_boxes(points: DataFrame, boxes: DataFrame) -> DataFrame:
+    """Points ``(document_id, page_number, x, y, ...)`` in no box ``(document_id, page_number, x0, y0, x1, y1)`` of their page."""
+    p, b = points.alias("p"), boxes.alias("b")
+    inside = (F.col("p.document_id") == F.col("b.document_id")) & (F.col("p.page_number") == F.col("b.page_number")) & F.col("p.x").between(F.col("b.x0"), F.col("b.x1")) & F.col("p.y").between(F.col("b.y0"), F.col("b.y1"))
+    return p.join(b, inside, "left_anti")
+
+
+def visuals_by_page(visuals: DataFrame) -> DataFrame:
+    """``(document_id, page_number, visual_ids)``: the visuals of each page in order; of visuals without page, those of a null page."""
+    return visuals.groupBy("document_id", "page_number").agg(F.array_sort(F.collect_list("visual_id")).alias("visual_ids"))

@@ -78,3 +78,8 @@ def bracketed_tables(spark: SparkSession, d: str) -> DataFrame:
 def tag_repetitions(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "segments").where("segment_subtype LIKE 'heading%'").select(F.concat(F.lit("<text>"), F.regexp_replace("content", "[<>]", ""), F.lit("</text>")).alias("tags"))
     return reports.repeated_tags(rows, "tags", 3)
+
+
+@query("SELECT visual_id, CASE WHEN regexp_matches(l, 'title|deckblatt') THEN 'title' WHEN regexp_matches(l, 'content|inhalt') THEN 'table_of_contents' WHEN regexp_matches(l, 'technical|technisch') THEN 'technical_specification' ELSE 'content' END AS page_type FROM (SELECT visual_id, lower(vlm_description) AS l FROM visuals WHERE vlm_description IS NOT NULL)")
+def page_types(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "visuals").where("vlm_description IS NOT NULL").select("visual_id", doctags.page_type(F.col("vlm_description")).alias("page_type"))

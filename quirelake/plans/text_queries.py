@@ -253,3 +253,24 @@ def response_split(spark: SparkSession, d: str) -> DataFrame:
 )
 def element_types(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "visuals").where("vlm_description IS NOT NULL").select("visual_id", fx.element_type(F.col("vlm_description")).alias("element_type"))
+
+
+@query(
+    f"""WITH r AS (SELECT segment_id, document_id, segment_index, {_REF} AS ref, {_INTRO} AS intro, CASE WHEN segment_subtype IN {_HEADS} THEN content END AS heading FROM segments),
+    c AS (SELECT segment_id, last_value(heading IGNORE NULLS) OVER (PARTITION BY document_id ORDER BY segment_index, segment_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS heading,
+      coalesce(lag(ref, 3) OVER w, lag(ref, 2) OVER w, lag(ref, 1) OVER w) AS ref, lag(intro) OVER w AS intro FROM r WINDOW w AS (PARTITION BY document_id ORDER BY segment_index, segment_id))
+    SELECT segment_id, concat_ws(' | ', 'Document type: Report', 'Under section: ' || heading, CASE WHEN ref IS NOT NULL THEN 'Referenced as: ' || ref WHEN intro IS NOT NULL THEN 'Introduced by: ' || intro END) AS context FROM c"""
+)
+def context_prompts(spark: SparkSession, d: str) -> DataFrame:
+    rows = ops.preceding(ops.nearest_heading(table(spark, d, "segments")))
+    return rows.select("segment_id", fx.context_prompt(F.lit("Report"), F.col("nearest_heading"), F.col("table_reference"), F.col("list_introduction")).alias("context"))
+
+
+@query("SELECT chunk_row_id, CAST(greatest(1800 - coalesce(floor(token_count), 0), 600) AS INTEGER) AS budget FROM chunks")
+def token_budget(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "chunks").select("chunk_row_id", fx.token_budget(2000, F.coalesce(F.floor("token_count"), F.lit(0))).alias("budget"))
+
+
+@query(r"SELECT chunk_row_id, regexp_replace(regexp_replace(regexp_replace(group_id, '[ \t\r\n\f]+', ' ', 'g'), '^[ \t\r\n\f]+|[ \t\r\n\f]+\z', '', 'g'), '[^\p{L}\p{N}_]', '_', 'g') AS name FROM chunks WHERE group_id IS NOT NULL")
+def clean_names(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "chunks").where("group_id IS NOT NULL").select("chunk_row_id", fx.clean_header(F.col("group_id")).alias("name"))

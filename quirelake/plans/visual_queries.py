@@ -209,3 +209,51 @@ def interval_merge(spark: SparkSession, d: str) -> DataFrame:
 def interval_complement(spark: SparkSession, d: str) -> DataFrame:
     documents = table(spark, d, "documents").where("text IS NOT NULL")
     return intervals.outside(documents, intervals.merge_spans(_spans(spark, d), "doc_id"), "doc_id", "text")
+
+
+_PAIRS = """m AS (SELECT content_hash, arg_min(description, analysis_id) AS d1, arg_max(description, analysis_id) AS d2, arg_min(confidence, analysis_id) AS c1, arg_max(confidence, analysis_id) AS c2 FROM (
+  SELECT content_hash, analysis_id, coalesce(description, '') AS description, coalesce(confidence, 0.0) AS confidence FROM analysis_results) GROUP BY content_hash)"""
+
+
+def _result_pairs(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "analysis_results").select("content_hash", "analysis_id", F.coalesce("description", F.lit("")).alias("description"), F.lit(None).cast("string").alias("ocr_text"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"))
+    result = F.struct("description", "ocr_text", "confidence", F.col("confidence").alias("overall"))
+    return rows.groupBy("content_hash").agg(F.min_by(result, "analysis_id").alias("first"), F.max_by(result, "analysis_id").alias("second"))
+
+
+@query(f"WITH {_PAIRS} SELECT content_hash, CASE WHEN c2 > c1 THEN d2 ELSE d1 END AS description, greatest(c1, c2) AS confidence FROM m")
+def merge_best(spark: SparkSession, d: str) -> DataFrame:
+    return ops.merge_results(_result_pairs(spark, d), "best").select("content_hash", "merged.description", "merged.confidence")
+
+
+@query(f"WITH {_PAIRS} SELECT content_hash, d1 || chr(10) || chr(10) || 'Additional details: ' || d2 AS description, greatest(c1, c2) AS confidence FROM m")
+def merge_combine(spark: SparkSession, d: str) -> DataFrame:
+    return ops.merge_results(_result_pairs(spark, d), "combine").select("content_hash", "merged.description", "merged.confidence")
+
+
+@query(
+    """SELECT v.visual_id FROM visuals v WHERE len(v.bbox) = 4 AND v.page_number IS NOT NULL AND NOT EXISTS (SELECT 1 FROM visuals b WHERE b.document_id = v.document_id AND b.page_number = v.page_number AND b.visual_id <> v.visual_id AND b.element_type = 'table_image'
+       AND len(b.bbox) = 4 AND v.bbox[1] BETWEEN b.bbox[1] AND b.bbox[3] AND v.bbox[2] BETWEEN b.bbox[2] AND b.bbox[4]) AND v.element_type <> 'table_image'"""
+)
+def outside_tables(spark: SparkSession, d: str) -> DataFrame:
+    b = F.col("bbox")
+    rows = table(spark, d, "visuals").where(F.size(b) == 4)
+    points = rows.where("page_number IS NOT NULL AND element_type <> 'table_image'").select("visual_id", "document_id", "page_number", b[0].alias("x"), b[1].alias("y"))
+    boxes = rows.where("element_type = 'table_image'").select("document_id", "page_number", b[0].alias("x0"), b[1].alias("y0"), b[2].alias("x1"), b[3].alias("y1"))
+    return ops.outside_boxes(points, boxes).select("visual_id")
+
+
+@query("SELECT document_id, page_number, list(visual_id ORDER BY visual_id) AS visual_ids FROM visuals GROUP BY document_id, page_number")
+def visuals_by_page(spark: SparkSession, d: str) -> DataFrame:
+    return ops.visuals_by_page(table(spark, d, "visuals"))
+
+
+@query(
+    "SELECT segment_id, debug_id FROM segments s JOIN segment_debug USING (document_id, segment_index) UNION SELECT DISTINCT s.segment_id, g.debug_id FROM (SELECT segment_id, document_id, unnest(visual_references) AS h FROM segments) s JOIN visuals v ON v.document_id = s.document_id AND v.content_hash = s.h JOIN segment_debug g ON g.document_id = v.document_id AND 'segment_' || g.segment_index = v.segment_reference"
+)
+def debug_events(spark: SparkSession, d: str) -> DataFrame:
+    s, g = table(spark, d, "segments"), table(spark, d, "segment_debug").select("document_id", "segment_index", "debug_id")
+    by_index = s.select("segment_id", "document_id", "segment_index").join(g, ["document_id", "segment_index"]).select("segment_id", "debug_id")
+    refs = s.select("segment_id", "document_id", F.explode("visual_references").alias("content_hash")).join(table(spark, d, "visuals").select("document_id", "content_hash", "segment_reference"), ["document_id", "content_hash"])
+    named = g.withColumn("segment_reference", F.concat(F.lit("segment_"), F.col("segment_index").cast("string"))).drop("segment_index")
+    return by_index.unionByName(refs.join(named, ["document_id", "segment_reference"]).select("segment_id", "debug_id")).distinct()

@@ -5,8 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from quirelake.facade import Engine
+from quirelake.functions import images
 from quirelake.sinks import export
-from quirelake.sources import config, doctags, files
+from quirelake.sources import config, doctags, files, models
 from quirelake.streaming import ingest
 
 W = 'xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"'
@@ -101,6 +102,36 @@ def test_model_tables_and_json(spark):
     assert [(t.subject, t.confidence) for t in triples] == [("John", 0.95), ("Corp", 0.8)]
 
 
+def png(pixels):
+    import struct
+    import zlib
+
+    height, width = len(pixels), len(pixels[0])
+    part = lambda kind, body: struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+    raw = b"".join(b"\0" + bytes(row) for row in pixels)
+    return b"\x89PNG\r\n\x1a\n" + part(b"IHDR", struct.pack(">IIBBBBB", width, height, 8, 0, 0, 0, 0)) + part(b"IDAT", zlib.compress(raw)) + part(b"IEND", b"")
+
+
+def test_images(spark):
+    grid = [[255 * ((x % 8 == 0) ^ (y % 8 == 0)) for x in range(40)] for y in range(20)]
+    flat = [[128] * 20 for _ in range(20)]
+    rows = [(1, png(grid), None), (2, png(flat), None), (3, b"no image", None), (4, None, "A flowchart of the plant"), (5, png(flat), "the table below")]
+    df = spark.createDataFrame(rows, "k int, data binary, context string")
+    got = {r.k: r.t for r in df.select("k", images.element_type(F.col("data"), F.col("context")).alias("t")).collect()}
+    assert got == {1: "diagram", 2: "image", 3: "image", 4: "diagram", 5: "table"}
+    assert images.read_png(png(grid)).shape == (20, 40, 1)
+
+
+def test_model_calls(spark):
+    def model(prompt):
+        if "bad" in prompt:
+            raise ValueError("no answer")
+        return prompt.upper()
+
+    rows = models.call(spark.createDataFrame([(1, "ok"), (2, "bad"), (3, None)], "k int, p string"), model, "p", wait=0.0).collect()
+    assert {(r.k, r.response, r.error) for r in rows} == {(1, "OK", None), (2, None, "ValueError: no answer"), (3, None, None)}
+
+
 def test_config():
     settings = config.substitute({"a": "${X:5}", "b": ["${Y}", "v-${Z:q}"], "c": "${W:true}"}, {"Y": "1.5"})
     assert settings == {"a": 5, "b": [1.5, "v-q"], "c": True}
