@@ -35,37 +35,30 @@ WITH texts AS (
   SELECT text_id, copies, regexp_like(body, '(?i){marks}\\s*$') AS marked,
          rtrim(regexp_replace(regexp_replace(body, '(?i){marks}\\s*$', ''), '\\s+$', '')) AS core
   FROM texts
-), tokens AS (
-  SELECT text_id, copies, marked, core,
-         concat(array('^', '^'), regexp_extract_all(
-           regexp_replace(lower(core), '\\p{{L}}?\\d+(?:[.,:/-]\\d+)*[/-]?', '#'),
-           '(#|\\p{{L}}+(?:[\'’]\\p{{L}}*)*|[^\\s\\p{{L}}])', 1)) AS t
-  FROM cut
 )
+SELECT text_id, copies, marked, core,
+       concat(array('^', '^'), regexp_extract_all(
+         regexp_replace(lower(core), '\\p{{L}}?\\d+(?:[.,:/-]\\d+)*[/-]?', '#'),
+           '(#|\\p{{L}}+(?:[\'’]\\p{{L}}*)*|[^\\s\\p{{L}}])', 1)) AS t
+FROM cut
 """
 
-_GRAMS = (
-    _TOKENS
-    + """
+_GRAMS = """
 SELECT g.a, g.b, g.c, CAST(sum(IF(g.k < n, copies, 0)) AS BIGINT) AS inside, CAST(sum(IF(g.k = n, copies, 0)) AS BIGINT) AS ends
 FROM (
   SELECT copies, size(t) - 2 AS n, explode(transform(sequence(1, size(t) - 2),
          i -> named_struct('k', i, 'a', element_at(t, i), 'b', element_at(t, i + 1), 'c', element_at(t, i + 2)))) AS g
-  FROM tokens WHERE size(t) > 2
+  FROM {tokens} WHERE size(t) > 2
 )
 GROUP BY g.a, g.b, g.c
 """
-)
 
-_FINALS = (
-    _TOKENS
-    + r"""
+_FINALS = r"""
 SELECT text_id, marked, element_at(t, -3) AS a, element_at(t, -2) AS b, element_at(t, -1) AS c,
        try_element_at(t, -4) AS before, concat_ws(' ', slice(t, 3, 3)) AS head, copies, regexp_like(core, '[.!?。！？]["\'”»)\\]]*$') AS closed,
        regexp_like(core, '[.!?。！？]["\'”»)\\]]*(\\s|$)') AS has_sentence
-FROM tokens WHERE size(t) > 2
+FROM {tokens} WHERE size(t) > 2
 """
-)
 
 _FOUND = """
 WITH lasts AS (SELECT DISTINCT a, b, c, closed FROM {finals}),
@@ -140,8 +133,9 @@ def truncated_records(records: DataFrame) -> DataFrame:
     # Each is read several times below, so it is written once.
     rows = durable(records.select("source_table", "row_id", "body"))
     marks = MARKS.replace("\\", "\\\\")
-    grams = durable(spark.sql(_GRAMS.replace("{marks}", marks), records=rows))
-    finals = durable(spark.sql(_FINALS.replace("{marks}", marks), records=rows))
+    tokens = durable(spark.sql(_TOKENS.replace("{marks}", marks), records=rows))
+    grams = durable(spark.sql(_GRAMS, tokens=tokens))
+    finals = durable(spark.sql(_FINALS, tokens=tokens))
     limits = {"inside": INSIDE, "ratio": END_RATIO, "inside_closed": INSIDE_CLOSED, "ratio_closed": END_RATIO_CLOSED, "caption": CAPTION, "prior": CAPTION_PRIOR}
     sql = _FOUND
     for name, value in limits.items():
