@@ -1,9 +1,9 @@
 """Subject areas of every document by class-association rules.
 
 Rules say that a sentence with certain words deals with a subject. First rules
-come from labelled examples. They label a bounded sample of documents, and in
-its sentences frequent word sets are mined with parallel frequent-pattern
-growth, each with the subjects of the documents it stands in. A rule is
+come from labelled examples. They label the documents, and in all their sentences
+frequent word sets are mined with parallel frequent-pattern growth, each with
+the subjects of the documents it stands in. A rule is
 dropped as redundant if a part of its words concludes as surely. A sentence adds
 up the evidence of the rules it matches, calibrated on the examples, and a
 document has the subjects that enough of its sentences deal with.
@@ -13,10 +13,10 @@ from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
-from itertools import groupby
+from itertools import chain, groupby
 
 import numpy as np
 import pandas as pd
@@ -25,25 +25,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quirelake.common import durable
-from quirelake.llm.sampling import draw
 from quirelake.llm.sentences import running_sentences
 
-#: Bound of the sample of documents that rules are mined from, besides the labelled examples.
-SAMPLE_DOCUMENTS = 4000
 #: Least number of sentences with a word, least mean share of its subject in their documents, and least ratio of that to the subject's usual share, in the first round.
 SUPPORT, CONFIDENCE, LIFT = 10, 0.35, 3.5
 #: Least mean share in the second round, when documents are labelled by what the first one found; and least support and mean share of a set of words.
 CONFIDENCE_AGAIN, SUPPORT_SET, CONFIDENCE_SET = 0.45, 25, 0.55
+#: Sentences up to which the least numbers hold as they are; of more sentences they are the same part.
+SUPPORT_OF = 75_000
 #: The share of the second subject may be at most this part of the first one's, each relative to the usual.
 RIVAL = 0.6
 #: Confidence of a rule that only the examples teach.
 SEED = 0.8
 #: Most words in a rule, and the number of groups that conditional transactions are spread over.
-MAX_WORDS, GROUPS = 3, 32
+MAX_WORDS, GROUPS = 3, 256
 #: Part of the running sentences that must deal with a subject.
 SHARE = 0.25
-#: Sentences that a Python worker remembers.
-MEMORY = 200_000
+#: Sentences that a Python worker remembers, and transactions that a task sums up before it passes the sums on.
+MEMORY, HELD = 200_000, 100_000
 
 _WORD = re.compile(r"[^\W\d_]{2,}(?:['’][^\W\d_]+)?")
 _QUOTED = re.compile(r"[\"„“«][^\"“”»„«]{1,80}[\"“”»]")
@@ -191,7 +190,7 @@ def _calibrate(rules: Rules, examples: list[tuple[int, list[str]]]) -> float:
 
 
 def mine_rules(examples: DataFrame, documents: DataFrame, text_col: str = "text") -> Rules:
-    """The rules for all subjects of ``examples`` (``subject``, ``text``; few rows), mined from them and a sample of ``documents``.
+    """The rules for all subjects of ``examples`` (``subject``, ``text``; few rows), mined from them and all ``documents``.
 
     Rows with null subject or text teach nothing. Without documents, or where
     those have no known words, the rules are those of the examples.
@@ -205,88 +204,116 @@ def mine_rules(examples: DataFrame, documents: DataFrame, text_col: str = "text"
     if not n:
         return first
 
-    drawn = draw(documents.select(F.col(text_col).alias("text")), "text", SAMPLE_DOCUMENTS, documents.count()).select("text")
-
     def sentences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"sentences": [[words_of(s) for s in running_sentences(text)] for text in pdf.text]})
-
-    def labeller(single: dict[str, int]):
-        def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            """Each different sentence's words, with the subjects' shares of its document."""
+            yield pd.DataFrame({"sentences": [[" ".join(words_of(s)) for s in running_sentences(text)] for text in pdf.text]})
+
+    # Every round reads the words of all sentences, so they are cut and written once to the shared folder.
+    cut = durable(documents.where(F.col(text_col).isNotNull()).select(F.col(text_col).alias("text")).mapInPandas(sentences, "sentences array<string>"))
+
+    def labelled(pdf: pd.DataFrame, single: dict[str, int]) -> Iterator[tuple[list[list[str]], list[tuple[int, float]]]]:
+        """Each labelled document's different sentences, and its subjects with their shares of all its sentences."""
+        for listed in pdf.sentences:
+            cut_up = [words.split() for words in listed]
+            hits: dict[int, int] = defaultdict(int)
+            for words in cut_up:
+                votes: dict[int, int] = defaultdict(int)
+                for w in words:
+                    if w in single:
+                        votes[single[w]] += 1
+                for k, v in votes.items():
+                    if v >= 0.34 * max(votes.values()):
+                        hits[k] += 1
+            if hits:
+                yield [words for words in {tuple(w): w for w in cut_up}.values() if words], [(k, v / len(cut_up)) for k, v in sorted(hits.items())]
+
+    def counter(single: dict[str, int]):
+        def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            """The number of sentences with each word and the sums of their documents' shares; for all sentences together the word is empty."""
+            held: dict[str, list[float]] = {}
             for pdf in batches:
-                rows = []
-                for listed in pdf.sentences:
-                    listed = [list(words) for words in listed]
-                    shares, hits = np.zeros(n), 0
-                    for words in listed:
-                        votes: dict[int, int] = defaultdict(int)
-                        for w in words:
-                            if w in single:
-                                votes[single[w]] += 1
-                        hits += bool(votes)
-                        for k, v in votes.items():
-                            if v >= 0.34 * max(votes.values()):
-                                shares[k] += 1
-                    if hits:
-                        shares /= len(listed)
-                        rows += [(words, [1.0, *shares]) for words in {tuple(w): w for w in listed}.values() if words]
-                yield pd.DataFrame(rows, columns=["words", "sums"])
-
-        return label
-
-    # The sample is read in every round, so it is written once to the shared folder.
-    sample = durable(drawn.repartition(16).mapInPandas(sentences, "sentences array<array<string>>"))
+                for listed, shares in labelled(pdf, single):
+                    counts = Counter(chain.from_iterable(listed))
+                    counts[""] = len(listed)
+                    for w, c in counts.items():
+                        sums = held.get(w)
+                        if sums is None:
+                            sums = held[w] = [0.0] * (n + 1)
+                        sums[0] += c
+                        for k, v in shares:
+                            sums[k + 1] += c * v
+                if len(held) > HELD:
+                    yield pd.DataFrame(held.items(), columns=["word", "sums"])
+                    held.clear()
+            yield pd.DataFrame(held.items(), columns=["word", "sums"])
+
+        return count
+
     totals = [F.sum(F.col("sums")[k]).alias(f"s{k}") for k in range(n + 1)]
     concluded = {w: k for w, (k, _) in seeds.items()}
     single: dict[str, tuple[int, float]] = {}
     sure: dict[frozenset[str], float] = {}
     for confidence in (CONFIDENCE, CONFIDENCE_AGAIN):
-        transactions = durable(sample.mapInPandas(labeller(concluded), "words array<string>, sums array<double>"))
-        overall = transactions.agg(*totals).toPandas().iloc[0]
-        if overall.isna().any() or not overall["s0"]:
+        labels = concluded
+        counts = durable(cut.mapInPandas(counter(labels), "word string, sums array<double>").groupBy("word").agg(*totals))
+        overall = counts.where("word = ''").toPandas()
+        if overall.empty or not overall["s0"].iloc[0]:
             return replace(first, enough=_calibrate(first, taught))
-        usual = np.maximum(overall.to_numpy(float)[1:] / overall["s0"], 0.5 / (n + 1) / n)
-        # Frequent words of a bounded sample: a table of the size of its vocabulary.
-        counted = transactions.select(F.explode("words").alias("word"), "sums").groupBy("word").agg(*totals).where(F.col("s0") >= SUPPORT).toPandas()
+        overall = overall.drop(columns="word").iloc[0].to_numpy(float)
+        usual = np.maximum(overall[1:] / overall[0], 0.5 / (n + 1) / n)
+        scale = max(1.0, overall[0] / SUPPORT_OF)
+        support, support_set = SUPPORT * scale, SUPPORT_SET * scale
+        # Words of at least some part of all sentences: a table of bounded size.
+        counted = counts.where((F.col("word") != "") & (F.col("s0") >= support)).toPandas()
         single, sure = {}, {}
         for row in counted.itertuples(index=False):
-            if (found := _conclusion(list(row[1:]), usual, SUPPORT, confidence)) is not None:
+            if (found := _conclusion(list(row[1:]), usual, support, confidence)) is not None:
                 single[row[0]] = (found[0], _weight(found[1], usual[found[0]]))
                 sure[frozenset([row[0]])] = found[1]
-        # Of words too rare in the sample to judge, the examples decide alone.
+        # Of words too rare to judge, the examples decide alone.
         judged = set(counted.word)
         single |= {w: (k, _weight(SEED, usual[k])) for w, (k, _) in seeds.items() if w not in judged}
         concluded = {w: k for w, (k, _) in single.items()}
     # Sets with a word that concludes by itself would be redundant: such words are not mined further.
     open_ = counted[~counted.word.isin(list(single))].sort_values(["s0", "word"], ascending=[False, True])
-    rank = {w: k for k, w in enumerate(open_.word)}
+    ranked = open_.word.tolist()
+    rank = {w: k for k, w in enumerate(ranked)}
 
     def condition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The group-dependent transactions of parallel frequent-pattern growth: for each group the longest prefix that ends in one of its words."""
+        """The group-dependent transactions of parallel frequent-pattern growth: for each group the longest prefix that ends in one of its words, equal ones summed up."""
+        held: dict[tuple[int, tuple[int, ...]], list[float]] = {}
+        names = ["grp", "words", "sums"]
         for pdf in batches:
-            rows = []
-            for words, sums in zip(pdf.words, pdf.sums, strict=True):
-                items = sorted((w for w in words if w in rank), key=rank.__getitem__)
-                seen = set()
-                for k in range(len(items) - 1, 0, -1):
-                    group = rank[items[k]] % GROUPS
-                    if group not in seen:
-                        seen.add(group)
-                        rows.append((group, items[: k + 1], sums))
-            yield pd.DataFrame(rows, columns=["grp", "words", "sums"])
+            for listed, shares in labelled(pdf, labels):
+                for words in listed:
+                    items = tuple(sorted(rank[w] for w in words if w in rank))
+                    seen = set()
+                    for at in range(len(items) - 1, 0, -1):
+                        group = items[at] % GROUPS
+                        if group not in seen:
+                            seen.add(group)
+                            sums = held.get(key := (group, items[: at + 1]))
+                            if sums is None:
+                                sums = held[key] = [0.0] * (n + 1)
+                            sums[0] += 1
+                            for k, v in shares:
+                                sums[k + 1] += v
+                if len(held) > HELD:
+                    yield pd.DataFrame([(*key, sums) for key, sums in held.items()], columns=names)
+                    held.clear()
+        yield pd.DataFrame([(*key, sums) for key, sums in held.items()], columns=names)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         group = int(pdf.grp.iloc[0])
-        own = {w for w, k in rank.items() if k % GROUPS == group}
-        pairs = ((list(w), list(s)) for w, s in zip(pdf.words, pdf.sums, strict=True))
-        rows = [(list(p), s) for p, s in fp_growth(pairs, SUPPORT_SET, MAX_WORDS, own) if _conclusion(s, usual, SUPPORT_SET, CONFIDENCE_SET) is not None]
+        own = set(range(group, len(ranked), GROUPS))
+        pairs = ((w.tolist(), s.tolist()) for w, s in zip(pdf.words, pdf.sums, strict=True))
+        rows = [([ranked[k] for k in p], s) for p, s in fp_growth(pairs, support_set, MAX_WORDS, own) if _conclusion(s, usual, support_set, CONFIDENCE_SET) is not None]
         return pd.DataFrame(rows, columns=["words", "sums"])
 
-    grown = transactions.mapInPandas(condition, "grp int, words array<string>, sums array<double>").groupBy("grp").applyInPandas(grow, "words array<string>, sums array<double>").toPandas()
+    grown = cut.mapInPandas(condition, "grp int, words array<int>, sums array<double>").groupBy("grp").applyInPandas(grow, "words array<string>, sums array<double>").toPandas()
     several: dict[str, list[tuple[frozenset[str], int, float]]] = defaultdict(list)
     for words, sums in sorted(zip(grown.words, grown.sums, strict=True), key=lambda x: (len(x[0]), list(x[0]))):
-        subject, confidence = _conclusion(list(sums), usual, SUPPORT_SET, CONFIDENCE_SET)
+        subject, confidence = _conclusion(list(sums), usual, support_set, CONFIDENCE_SET)
         whole = frozenset(words)
         if any(sure.get(whole - {w}, -1.0) >= confidence - 0.05 for w in whole):
             continue

@@ -107,3 +107,13 @@ def test_subjects_of_nothing(spark, data):
     rules = subjects.mine_rules(examples, documents)
     assert subjects.document_subjects(documents, rules).count() == 0
     assert subjects.mine_rules(examples.limit(0), documents).subjects == []
+
+
+def test_rules_come_from_all_documents(spark):
+    areas = ["anvil", "barge", "copse", "dynamo", "easel", "fjord"]
+    examples = spark.createDataFrame([(a, f"The {a} stands in the hall. We saw the {a} there.") for a in areas], "subject string, text string")
+    texts = [f"The {areas[k % 6]} stands in the hall. Today is a long day, number {k}." for k in range(12_000)]
+    # Known by a word in 14 of 12,000 documents only.
+    texts[:84:6] = [f"The anvil stands in the hall. The zephyrite came today, number {k}." for k in range(14)]
+    rules = subjects.mine_rules(examples, spark.createDataFrame([(t,) for t in texts], "text string"))
+    assert rules.single["zephyrite"][0] == rules.subjects.index("anvil")
