@@ -10,7 +10,7 @@ that a message which only resembles residue is kept.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirelake.common import durable
@@ -19,8 +19,8 @@ from quirelake.common import durable
 WINDOW, STEP = 12, 6
 #: Least part of an exemplar's mass that a window must hold, and least part of a window's mass that filler must cover.
 CONTAINED, COVERED = 0.72, 0.8
-#: Least inverse document frequency of a term of the index; half of the greatest possible one where that is less.
-RARE = 3.0
+#: Least weight of a term, however many texts have it.
+FLOOR = 0.05
 #: Least number of filler words in a window that filler covers.
 FILLER_WORDS = 3
 
@@ -121,6 +121,7 @@ def exemplar_index(spark) -> DataFrame:
 def score_windows(records: DataFrame, text_col: str = "body") -> DataFrame:
     """For each record ``(source_table, row_id)`` with a match: the best containment of a residue and of a clean exemplar, and the best cover by filler.
 
+    Containments below ``CONTAINED`` may be missing.
     Repeated records are scored once. Document frequencies are counted over all
     records given.
     """
@@ -135,17 +136,21 @@ def score_windows(records: DataFrame, text_col: str = "body") -> DataFrame:
     n_texts = texts.agg(F.count("*")).scalar()
     seen = tokens.select(F.explode(_terms(F.col("tokens"))).alias("term")).join(known, "term").groupBy("term").agg(F.count("*").alias("df"))
     weights = index.select("term").distinct().join(F.broadcast(seen), "term", "left").withColumn("w", F.log((n_texts + 1.0) / (F.coalesce("df", F.lit(0)) + 0.5)))
-    # Terms of a good part of all texts say nothing; they are in no posting, unless they show a placeholder.
-    rare = F.least(F.lit(RARE), F.log(n_texts + 1.0) / 2)
-    postings = index.join(F.broadcast(durable(weights.where((F.col("w") >= rare) | F.contains("term", F.lit("§"))).withColumn("w", F.greatest("w", F.lit(0.05))))), "term")
+    # Terms of many texts weigh little but stay: residue that many texts hold must not lose its own exemplars.
+    postings = index.join(F.broadcast(durable(weights.withColumn("w", F.greatest("w", F.lit(FLOOR))))), "term")
     mass = postings.groupBy("exemplar").agg(F.sum("w").alias("mass"))
-    postings = postings.join(F.broadcast(mass), "exemplar")
+    postings = durable(postings.join(F.broadcast(mass), "exemplar"))
+    # A window that holds CONTAINED of an exemplar has one of the heaviest terms that together weigh more than the rest may; only those are searched.
+    before = F.coalesce(F.sum("w").over(Window.partitionBy("exemplar").orderBy(F.desc("w"), "term").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    searched = postings.withColumn("before", before).where((F.col("kind") == "filler") | (F.col("before") <= (1 - CONTAINED) * F.col("mass") + 1e-6)).select("term", "exemplar")
+    exemplars = postings.groupBy("exemplar", "kind", "mass").agg(F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("weights"))
     starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("tokens") - STEP - 1), F.lit(STEP))
     windows = tokens.select("text_id", "tokens", F.posexplode(starts).alias("window", "start")).select("text_id", "window", F.slice("tokens", F.col("start") + 1, F.lit(WINDOW)).alias("tokens"))
-    hits = windows.select("text_id", "window", F.size(F.array_distinct("tokens")).alias("n_words"), F.explode(_terms(F.col("tokens"))).alias("term"))
-    matched = hits.join(F.broadcast(postings), "term").groupBy("text_id", "window", "exemplar", "kind").agg(
-        F.sum("w").alias("shared"), F.count("*").alias("n_shared"), F.first("mass").alias("mass"), F.first("n_words").alias("n_words")
-    )
+    hits = windows.select("text_id", "window", F.size(F.array_distinct("tokens")).alias("n_words"), _terms(F.col("tokens")).alias("terms"))
+    candidates = hits.select("*", F.explode("terms").alias("term")).join(F.broadcast(searched), "term").groupBy("text_id", "window", "exemplar").agg(F.first("terms").alias("terms"), F.first("n_words").alias("n_words"))
+    held = F.filter(F.transform("terms", lambda t: F.try_element_at("weights", t)), lambda w: w.isNotNull())
+    matched = candidates.join(F.broadcast(exemplars), "exemplar").select("text_id", "kind", "mass", "n_words", held.alias("held"))
+    matched = matched.select("text_id", "kind", "mass", "n_words", F.aggregate("held", F.lit(0.0), lambda x, w: x + w).alias("shared"), F.size("held").alias("n_shared"))
     contained = F.col("shared") / F.col("mass")
     covered = F.when(F.col("n_shared") >= FILLER_WORDS, F.col("n_shared") / F.col("n_words"))
     best = matched.groupBy("text_id").agg(

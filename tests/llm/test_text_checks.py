@@ -66,3 +66,11 @@ def test_queries_run(spark, data):
     for name in ("p2_found", "p4_found", "p4_rates", "p5_found", "p6_found", "p6_kept", "p7_ids", "p8_shares"):
         assert named[name](spark, data).count() > 0, name
     assert table(spark, data, "documents").count() == named["p7_ids"](spark, data).count()
+
+
+def test_residue_that_many_texts_hold(spark):
+    # One error page with another request in each copy makes up most of the different texts.
+    family = [f"Error 500: something went wrong on our side. Request {chr(97 + k // 26)}{chr(97 + k % 26)}qx on host{chr(97 + k % 26)}" for k in range(300)]
+    kept = [f"The chart shows the sales of area {chr(97 + k // 26)}{chr(97 + k % 26)}m in the third quarter." for k in range(200)]
+    found = {r.row_id for r in residue.residue_records(frame(spark, family + kept)).collect()}
+    assert found == set(range(len(family)))
