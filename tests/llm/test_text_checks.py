@@ -74,3 +74,11 @@ def test_residue_that_many_texts_hold(spark):
     kept = [f"The chart shows the sales of area {chr(97 + k // 26)}{chr(97 + k % 26)}m in the third quarter." for k in range(200)]
     found = {r.row_id for r in residue.residue_records(frame(spark, family + kept)).collect()}
     assert found == set(range(len(family)))
+
+
+def test_broken_words_are_merged(spark):
+    d = scan_noise.Decoder({"the": 900, "controller": 300, "runs": 200, "well": 200})
+    for broken in ("The contr oller runs well.", "The cont ro11er runs well.".replace("11", "ll")):
+        assert scan_noise.scan(broken, frozenset(), None, True, d)[2] == ["The controller runs well."]
+    assert scan_noise.scan("The contr-\noller oller runs well.", frozenset(), None, True, d)[2] == ["The controller oller runs well."]
+    assert scan_noise.scan("The blonk runs well.", frozenset(), None, True, d)[2] == ["The blonk runs well."]
