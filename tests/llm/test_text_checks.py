@@ -82,3 +82,12 @@ def test_broken_words_are_merged(spark):
         assert scan_noise.scan(broken, frozenset(), None, True, d)[2] == ["The controller runs well."]
     assert scan_noise.scan("The contr-\noller oller runs well.", frozenset(), None, True, d)[2] == ["The controller oller runs well."]
     assert scan_noise.scan("The blonk runs well.", frozenset(), None, True, d)[2] == ["The blonk runs well."]
+
+
+def test_paragraphs_use_the_whole_lexicon(spark, monkeypatch):
+    monkeypatch.setattr(scan_noise, "HELD_WORDS", 4)
+    clean = spark.createDataFrame([("The valve is shut. " * 60 + "A flywheel turns the self-acting pump. " * 3,)], "body string")
+    rows = [("segments", 1, "The f1ywheel is shut. The self-\nacting valve.", "d1", 1)]
+    scanned = spark.createDataFrame(rows, "source_table string, row_id bigint, body string, document_id string, page_number int")
+    text = " ".join(r.content for r in scan_noise.repaired_paragraphs(scanned, clean).collect())
+    assert "flywheel" in text and "self-acting" in text
