@@ -90,6 +90,10 @@ def records(value: Any, wanted: frozenset[str], depth: int = 0) -> Iterator[dict
         elif inside:
             for v in inside:
                 yield from records(v, wanted, depth + 1)
+            # What stands beside the record in its envelope is kept as a record of its own, which has no members.
+            beside = {k: v for k, v in value.items() if not (plain(k) in ENVELOPES and isinstance(unpack(v), (dict, list)))}
+            if beside:
+                yield beside
         else:
             yield value
 

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quirelake.common import table
 from quirelake.operators import shredding
 from quirelake.plans import chunk_queries, graph_queries, io_queries, report_queries, text_queries, visual_queries
 from quirelake.plans.registry import Query, Registry
 
+NODE_COLUMNS = [c.split()[0] for c in shredding.NODE_SCHEMA.split(", ")]
+
 registry = Registry()
 query = registry.add
 
@@ -34,6 +37,13 @@ def p3_vlm_results(spark: SparkSession, d: str) -> DataFrame:
     return shredding.entities(shredding.adjacency(table(spark, d, "segment_debug"), "segment_debug", "debug_id"), "vlm_result")
 
 
+@query()
+def p3_nodes(spark: SparkSession, d: str) -> DataFrame:
+    """All nodes of all payloads, for whatever the entity tables have no column for; these have the same ``row_id`` and ``node_id``."""
+    runs, debug = (shredding.adjacency(table(spark, d, s), s, i).select(F.lit(s).alias("source_table"), F.col("row_id").cast("string").alias("row_id"), *(c for c in NODE_COLUMNS if c != "row_id")) for s, i in (("parse_results", "result_id"), ("segment_debug", "debug_id")))
+    return runs.unionByName(debug)
+
+
 def queries() -> dict[str, Query]:
     out = dict(registry.queries)
     for module in MODULES:

@@ -43,3 +43,16 @@ def test_tables(spark):
     # Every object below the root hangs on a node of its own record.
     ids = {(r.row_id, r.node_id) for r in nodes.collect()}
     assert all((r.row_id, r.parent_id) in ids for r in nodes.where("parent_id IS NOT NULL").collect())
+
+
+def test_nodes_hold_every_scalar(spark, tmp_path):
+    from quirelake.plans import catalog
+
+    payload = {"status": "done", "result": {"pages": [{"text": "a", "tables": [["x", 7]], "layout_info": {"columns": 2}, "new_field": True}]}}
+    spark.createDataFrame([(1, json.dumps(payload))], "result_id int, payload string").write.parquet(f"{tmp_path}/parse_results.parquet")
+    spark.createDataFrame([(1, json.dumps({"vlm_results": [{"model": "m", "error": "late"}]}))], "debug_id int, payload string").write.parquet(f"{tmp_path}/segment_debug.parquet")
+    rows = catalog.queries()["p3_nodes"](spark, str(tmp_path)).where("scalar IS NOT NULL").collect()
+    assert sorted((r.source_table, r.label, r.scalar) for r in rows) == [
+        ("parse_results", "0", "x"), ("parse_results", "1", "7"), ("parse_results", "columns", "2"), ("parse_results", "new_field", "true"), ("parse_results", "status", "done"), ("parse_results", "text", "a"),
+        ("segment_debug", "error", "late"), ("segment_debug", "model", "m"),
+    ]
