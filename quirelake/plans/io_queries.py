@@ -51,6 +51,12 @@ def json_ladder(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("result_id", (doctags.json_of(response) == F.trim("payload")).alias("found"))
 
 
+@query()
+def json_ladder_all(spark: SparkSession, d: str) -> DataFrame:
+    """The JSON in every payload as it stands; null where none is found."""
+    return table(spark, d, "parse_results").where("payload IS NOT NULL").select("result_id", doctags.json_of(F.col("payload")).alias("json"))
+
+
 @query(
     """WITH s AS (SELECT document_id, string_agg(content, chr(10) || chr(10) ORDER BY segment_index, segment_id) AS body FROM segments WHERE content IS NOT NULL GROUP BY document_id),
     v AS (SELECT document_id, string_agg('[' || upper(element_type) || ']: ' || vlm_description || coalesce(' (Page ' || page_number || ')', ''), chr(10) ORDER BY visual_id) AS notes FROM visuals WHERE vlm_description <> '' AND element_type IS NOT NULL GROUP BY document_id)

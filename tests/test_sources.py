@@ -149,3 +149,29 @@ def test_engine_and_export(spark, tmp_path, folder):
     with pytest.raises(ValueError):
         engine.export(str(tmp_path / "none"), "owl")
     assert engine.chunk(engine.parse(folder, "*.md"), 100, 1).collect()[0].is_valid
+
+
+def test_json_ladder_over_payloads_as_they_stand(spark, tmp_path):
+    import json
+    import re
+
+    from quirelake.plans import catalog
+
+    texts = ['{"a": 1}', "[1, 2]", 'Result:\n```json\n{"a": {"b": 2}}\n```\nend', 'Answer: {"a": {"b": [3]}} and so on', "JSON: [4, 5]", 'see {"x": 1} or {"long": 22}', "no JSON", "{broken", "", "7", None]
+    spark.createDataFrame(list(enumerate(texts)), "result_id int, payload string").write.parquet(f"{tmp_path}/parse_results.parquet")
+
+    def brute(text):
+        """The steps in their order: itself, the fenced block, each pattern's matches from the longest on, what stands after a prefix."""
+        tried = [text, *re.findall(r"(?s)```json\s*(.*?)```", text)]
+        for pattern in (r"\{[^{}]*\}", r"(?s)\{.*?\}", r"(?s)\{.*\}"):
+            tried += sorted(re.findall(pattern, text), key=len, reverse=True)
+        for part in [*tried, text.removeprefix("JSON:")]:
+            try:
+                if isinstance(value := json.loads(part), (dict, list)):
+                    return value
+            except ValueError:
+                pass
+        return None
+
+    found = {r.result_id: r.json and json.loads(r.json) for r in catalog.queries()["json_ladder_all"](spark, str(tmp_path)).collect()}
+    assert found == {k: brute(t) for k, t in enumerate(texts) if t is not None}
