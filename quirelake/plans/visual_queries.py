@@ -231,6 +231,27 @@ def merge_combine(spark: SparkSession, d: str) -> DataFrame:
     return ops.merge_results(_result_pairs(spark, d), "combine").select("content_hash", "merged.description", "merged.confidence")
 
 
+_RESULTS = "r AS (SELECT content_hash, analysis_id, coalesce(description, '') AS description, coalesce(confidence, 0.0) AS confidence FROM analysis_results)"
+
+
+def _results(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "analysis_results").select("content_hash", "analysis_id", F.coalesce("description", F.lit("")).alias("description"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"))
+
+
+@query(f"WITH {_RESULTS} SELECT content_hash, arg_min(description, (-confidence, analysis_id)) AS description, max(confidence) AS confidence FROM r GROUP BY content_hash")
+def merge_best_all(spark: SparkSession, d: str) -> DataFrame:
+    """The best of all results of a hash, the first where equal."""
+    best = F.min_by(F.struct("description", "confidence"), F.struct(-F.col("confidence"), F.col("analysis_id")))
+    return _results(spark, d).groupBy("content_hash").agg(best.alias("r")).select("content_hash", "r.*")
+
+
+@query(f"WITH {_RESULTS} SELECT content_hash, string_agg(description, chr(10) || chr(10) || 'Additional details: ' ORDER BY analysis_id) AS description, max(confidence) AS confidence FROM r GROUP BY content_hash")
+def merge_combine_all(spark: SparkSession, d: str) -> DataFrame:
+    """The descriptions of all results of a hash in order, and the highest confidence."""
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("analysis_id", "description"))), lambda r: r["description"])
+    return _results(spark, d).groupBy("content_hash").agg(F.array_join(listed, "\n\nAdditional details: ").alias("description"), F.max("confidence").alias("confidence"))
+
+
 @query(
     """SELECT v.visual_id FROM visuals v WHERE len(v.bbox) = 4 AND v.page_number IS NOT NULL AND NOT EXISTS (SELECT 1 FROM visuals b WHERE b.document_id = v.document_id AND b.page_number = v.page_number AND b.visual_id <> v.visual_id AND b.element_type = 'table_image'
        AND len(b.bbox) = 4 AND v.bbox[1] BETWEEN b.bbox[1] AND b.bbox[3] AND v.bbox[2] BETWEEN b.bbox[2] AND b.bbox[4]) AND v.element_type <> 'table_image'"""

@@ -111,3 +111,13 @@ def test_single_chunk_inherits_nothing(spark):
     df = spark.createDataFrame([(1, "d", 0, 0, "One. Two. Three."), (2, "d", 1, 0, "x"), (3, "d", 2, 1, "y")], "chunk_row_id int, document_id string, chunk_ordinal int, group_ordinal int, content string")
     rows = {r.chunk_row_id: r for r in chunks.inherit_context(chunks.positions(df)).collect()}
     assert rows[1].generates and rows[2].context == "One. Two" and rows[2].freshness == 1 and rows[3].context is None
+
+
+def test_merges_take_all_results_of_a_hash(spark, tmp_path):
+    from quirelake.plans import catalog
+
+    rows = [("h", 1, "a", 0.2), ("h", 2, "b", 0.9), ("h", 3, "c", 0.4), ("k", 4, "d", None)]
+    spark.createDataFrame(rows, "content_hash string, analysis_id int, description string, confidence double").write.parquet(f"{tmp_path}/analysis_results.parquet")
+    best, combined = ({(r.content_hash, r.description, r.confidence) for r in catalog.queries()[q](spark, str(tmp_path)).collect()} for q in ("merge_best_all", "merge_combine_all"))
+    assert best == {("h", "b", 0.9), ("k", "d", 0.0)}
+    assert combined == {("h", "a\n\nAdditional details: b\n\nAdditional details: c", 0.9), ("k", "d", 0.0)}
