@@ -56,12 +56,17 @@ def _described(spark: SparkSession, d: str) -> DataFrame:
     return visuals.unionByName(_records(spark, d, "analysis_results", "analysis_id", "description", "model_used"))
 
 
+def _background(spark: SparkSession, d: str) -> DataFrame:
+    """Clean texts, the same few at every scale."""
+    return table(spark, d, "language_samples").select(F.col("text").alias("body")).unionByName(table(spark, d, "subject_examples").select(F.col("text").alias("body")))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return truncation.truncated_records(residue.without_residue(_described(spark, d)))
+    return truncation.truncated_records(residue.without_residue(_described(spark, d), background=_background(spark, d)))
 
 
 def p4_rates(spark: SparkSession, d: str) -> DataFrame:
-    return truncation.truncation_rates(residue.without_residue(_described(spark, d)))
+    return truncation.truncation_rates(residue.without_residue(_described(spark, d), background=_background(spark, d)))
 
 
 def _pages(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -84,11 +89,11 @@ def _messages(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return residue.residue_records(_messages(spark, d))
+    return residue.residue_records(_messages(spark, d), background=_background(spark, d))
 
 
 def p6_kept(spark: SparkSession, d: str) -> DataFrame:
-    return residue.without_residue(_messages(spark, d))
+    return residue.without_residue(_messages(spark, d), background=_background(spark, d))
 
 
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:

@@ -1,71 +1,79 @@
 """Residue in place of content: unfilled templates, filler, error pages, notices that scripts are required.
 
-Labelled exemplars are indexed by term (words, pairs of neighbouring words, and
-the shapes of placeholders). Every text is cut into overlapping passage
-windows; the index gives the exemplars that share terms with a window, and the
-shared TF-IDF mass, as a part of the exemplar's own or of the window's, says
-how far one is contained in the other. Exemplars of real content compete, so
-that a message which only resembles residue is kept.
+Labelled exemplars are indexed by term: words, pairs of neighbouring words, and
+the shapes of placeholders. The index gives the exemplars that share terms with
+a text; in every passage window of the text the shared TF-IDF mass, as a part of
+the exemplar's own, says how far the window contains it. Term weights come from
+the exemplars and, where given, from a clean background, never from the records
+themselves, so residue is found alike however common it is. Exemplars of real
+content compete, so that a message which only resembles residue is kept.
+
+Running filler has no fixed wording. Its words are learned from the records: a
+word that stands almost only in windows with words of filler already known is
+one itself. A window that such words cover is filler.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quirelake.common import durable
 
 #: Tokens in a passage window, and the step from one window to the next.
 WINDOW, STEP = 12, 6
-#: Least part of an exemplar's mass that a window must hold, and least part of a window's mass that filler must cover.
+#: Least part of an exemplar's mass that a window must hold, and least part of a window's words that filler must cover.
 CONTAINED, COVERED = 0.72, 0.8
-#: Least weight of a term, however many texts have it.
-FLOOR = 0.05
-#: Least number of filler words in a window that filler covers.
+#: Least part of the greatest weight that a term has.
+LEAST = 0.5
+#: Least number of different filler words in a window that filler covers.
 FILLER_WORDS = 3
+#: Rounds in which filler words are learned; least windows of filler with such a word, and least part of all its windows that they are.
+ROUNDS, FILLER_SEEN, FILLER_SHARE = 2, 3, 0.6
 
-# Exemplars of residue. '§' stands for a placeholder of any shape, '#' for a number.
+# Exemplars of residue. '§' stands for a placeholder of any shape, '#' for a number. Words joined by ' + ' may stand in any order
+# within a window, others stand side by side. Phrases of HTTP status codes are those of the standard, with their translations.
 RESIDUE = {
     "template": (
-        "§", "click to add text", "click to add title", "your text goes here", "enter description here", "insert caption", "insert text here", "sample caption replace before publishing",
-        "todo describe this picture", "todo add description", "placeholder text", "hier beschreibung einfügen", "hier text einfügen", "beispieltext bitte ersetzen", "texte à compléter", "texte à insérer ici",
-        "insertar descripción aquí", "texto de ejemplo", "inserire descrizione qui", "testo di esempio", "voer hier tekst in", "voorbeeldtekst vervangen", "insira a descrição aqui", "wstaw opis tutaj",
-        "description goes here", "add alt text here", "replace this text",
+        "§", "click to add", "click to edit", "text goes here", "description goes here", "enter + description + here", "enter + text + here", "type + text + here", "insert + caption", "insert + image", "insert + text", "insert + title",
+        "add + description + here", "add + caption + here", "replace this text", "todo + describe", "todo + add", "todo + write", "todo + fill", "placeholder text", "placeholder + caption", "placeholder + description", "sample + caption", "sample text",
+        "hier + einfügen", "hier + eingeben", "platzhaltertext", "beispieltext", "à compléter", "à remplir", "saisir + ici", "texte à insérer", "insertar + aquí", "escriba + aquí", "texto de ejemplo", "inserire + qui", "testo di esempio",
+        "voer + hier + in", "voorbeeldtekst", "insira + aqui", "texto de exemplo", "wstaw + tutaj", "wpisz + tutaj", "tekst przykładowy",
     ),
     "filler": (
-        "lorem ipsum dolor sit amet", "this is dummy copy to fill the box", "placeholder copy nothing to read here", "dies ist ein blindtext ohne inhalt", "ceci est un texte de remplissage",
-        "esto es un texto de relleno", "questo è un testo di riempimento", "dit is een opvultekst", "este é um texto de preenchimento", "to jest tekst zastępczy",
-        "asdf asdf", "blah blah", "foo bar foo bar", "xxx xxx", "test test", "text text", "bla bla", "qwerty qwerty",
+        "lorem ipsum", "dummy text", "dummy copy", "placeholder copy", "filler text", "blindtext", "fülltext", "texte de remplissage", "faux texte", "texto de relleno", "testo segnaposto", "testo di riempimento", "opvultekst", "texto de preenchimento", "tekst zastępczy",
+        "asdf", "qwerty", "blah blah", "bla bla", "foo bar", "xxx xxx", "test test", "text text",
     ),
     "error page": (
-        "# not found", "# forbidden", "# bad gateway", "# gateway time out", "# gateway timeout", "# service unavailable", "# too many requests", "# unauthorized", "# bad request", "http # gone", "http error #",
-        "internal server error", "error # something went wrong on our side", "something went wrong on our side", "access denied", "this page does not exist or was moved", "page not found",
-        "service temporarily offline for maintenance", "your session has expired sign in again to see this page", "sign in again to see this page", "the address you asked for is not on this server",
-        "fehler # interner serverfehler", "interner serverfehler", "# seite nicht gefunden", "seite nicht gefunden", "die angeforderte seite existiert nicht mehr", "zugriff verweigert", "page introuvable", "erreur #", "accès refusé",
-        "página no encontrada", "acceso denegado", "error interno del servidor", "pagina non trovata", "accesso negato", "errore interno del server", "pagina niet gevonden", "toegang geweigerd", "página não encontrada", "acesso negado", "nie znaleziono strony", "odmowa dostępu",
-        "contact the administrator if this continues", "try again in a few minutes", "go back to the start page", "zurück zur startseite", "bitte versuchen sie es später erneut", "retournez à la page d'accueil",
-    ),
-    "script notice": (
-        "javascript is switched off in your browser", "please enable javascript to view this page", "please enable javascript to view this content", "you need javascript turned on to use the page", "you need javascript turned on",
-        "your browser does not run javascript", "this page works only with javascript", "works only with javascript change the settings of the browser and reload", "loading the page if nothing happens allow javascript", "if nothing happens allow javascript",
-        "this site requires javascript", "javascript is required", "javascript must be enabled", "diese anwendung benötigt javascript", "bitte aktivieren sie javascript und cookies", "ohne javascript kann der inhalt nicht angezeigt werden",
-        "veuillez activer javascript pour continuer", "le contenu exige javascript modifiez les réglages du navigateur", "active javascript para ver el contenido", "abilitare javascript per proseguire", "zet javascript aan om verder te gaan",
-        "ative o javascript para continuar", "włącz javascript aby kontynuować",
+        "# bad request", "# unauthorized", "# payment required", "# forbidden", "# not found", "# method not allowed", "# not acceptable", "# request timeout", "# conflict", "http # gone", "# gone", "# too many requests", "# internal server error", "internal server error",
+        "# not implemented", "# bad gateway", "# service unavailable", "# gateway timeout", "# gateway time out", "http error #", "error # something", "something went wrong", "access denied", "page not found", "page does not exist", "page + no + longer + exists", "page + moved + not + exist",
+        "service + maintenance", "site + maintenance", "session has expired", "session expired", "sign in again", "log in again", "not + found + on this server", "address + not + on this server", "contact the administrator", "contact + server administrator", "try again later", "try again in", "back to the start page", "back to the home page", "back to homepage",
+        "fehler #", "interner serverfehler", "seite nicht gefunden", "seite + existiert + nicht", "seite + nicht + verfügbar", "zugriff verweigert", "sitzung + abgelaufen", "zurück zur startseite", "versuchen sie es später",
+        "erreur #", "page introuvable", "page non trouvée", "accès refusé", "accès interdit", "session + expiré", "erreur interne du serveur", "retour + accueil", "retournez + d'accueil", "réessayez plus tard",
+        "página no encontrada", "acceso denegado", "error interno del servidor", "sesión + caducado", "pagina non trovata", "accesso negato", "errore interno del server", "sessione + scaduta", "pagina niet gevonden", "toegang geweigerd", "sessie + verlopen", "interne serverfout",
+        "página não encontrada", "acesso negado", "erro interno do servidor", "sessão + expirou", "nie znaleziono strony", "strona nie istnieje", "odmowa dostępu", "sesja wygasła", "wewnętrzny błąd serwera",
     ),
+    "script notice": tuple(
+        f"{verb} + javascript"
+        for verb in (
+            "enable enabled enabling activate allow need needs require requires required must turn turned switch switched disabled deactivated unsupported blocked "
+            "aktivieren aktiviert benötigt erfordert erforderlich deaktiviert ausgeschaltet einschalten erlauben ohne "
+            "activer activez autoriser autorisez exige nécessite requis désactivé active activar habilite habilitar requiere desactivado "
+            "abilitare abilita attivare attiva richiede richiesto disabilitato schakel zet inschakelen vereist vereiste uitgeschakeld "
+            "ative ativar habilitar exige requer desativado włącz włączyć wymaga wyłączony"
+        ).split()
+    ) + ("only with javascript", "browser + not + javascript", "without javascript + cannot"),
 }
 
-# Fixed value: the words that filler text in pseudo-Latin is made of.
-FILLER = (
-    "lorem ipsum dolor sit amet consectetur adipiscing elit sed eiusmod tempor incididunt labore dolore magna aliqua "
-    "amentur cerat fictis grandis merus nubes ornas pello quadem quippe sedis solum tantor tolis varo velis vitem"
-)
+# Fixed value: the words of the common filler sentence in pseudo-Latin, from which the others are learned.
+FILLER_SEEDS = "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua"
 
 # Exemplars of real content that resembles residue.
 CLEAN = (
-    "file not found § pdf", "file not found", "http # from inference server attempt # page # skipped", "# for image # of relation missing", "javascript actions in pdf were ignored page # has no text layer",
-    "template sheet of xlsx holds no rows", "the slide template has a blue bar and a title field", "the dialog lists the option javascript next to # other check boxes", "chart of error rates # responses rise to # per hour on the server",
-    "form with empty fields for name and date", "formular mit leeren feldern für name und datum", "browser window with the notice in the middle", "model weights could not be loaded", "health probe gave no answer in time",
-    "timeout after # s while decoding page #", "page # could not be rendered", "seite # konnte nicht gerendert werden",
+    "file not found", "file not found § pdf", "http # from + server", "# for image", "relation missing", "javascript actions", "javascript + ignored", "template sheet", "slide template", "option + javascript", "javascript + check boxes", "javascript + checkbox",
+    "error rates", "responses + per hour", "form with empty fields", "formular + leeren feldern", "browser window with", "could not be loaded", "could not be rendered", "konnte nicht gerendert werden", "timeout after # s", "gave no answer",
 )
 
 # The shapes of placeholders, for Java's regular expressions.
@@ -105,74 +113,114 @@ def _terms(tokens: Column) -> Column:
     return F.array_distinct(F.concat(tokens, F.coalesce(pairs, F.array().cast("array<string>"))))
 
 
-def exemplar_index(spark) -> DataFrame:
-    """The inverted index of all exemplars: ``(term, exemplar, kind, solo)``, as many rows as the fixed lists give."""
-    rows = [(k, "residue", t) for kind in RESIDUE.values() for k, t in enumerate(kind)]
-    texts = [t for _, _, t in rows] + list(CLEAN)
-    kinds = ["residue"] * len(rows) + ["clean"] * len(CLEAN)
-    out = []
-    for n, (kind, text) in enumerate(zip(kinds, texts, strict=True)):
-        words = text.split()
-        out += [(term, n, kind) for term in sorted({*words, *(" ".join(p) for p in zip(words, words[1:], strict=False))})]
-    out += [(w, len(texts), "filler") for w in sorted(set(FILLER.split()))]
-    return spark.createDataFrame(out, "term string, exemplar int, kind string")
+def _exemplar_terms(text: str) -> set[str]:
+    """The terms of an exemplar: its words, and the pairs of words that stand side by side in it."""
+    parts = [part.split() for part in text.split(" + ")]
+    return {w for part in parts for w in part} | {" ".join(pair) for part in parts for pair in zip(part, part[1:], strict=False)}
+
+
+def exemplar_index(spark: SparkSession, background: DataFrame | None = None) -> DataFrame:
+    """The inverted index of all exemplars, ``(term, exemplar, kind, w, mass)``, as many rows as the fixed lists give.
+
+    ``w`` is the smoothed inverse document frequency of the term among the texts
+    of ``background`` (``body``), at least ``LEAST`` of the greatest there can
+    be, so that no single word stands for an exemplar of two; ``mass`` is the
+    exemplar's sum of it.
+    """
+    texts = [("residue", t) for kind in RESIDUE.values() for t in dict.fromkeys(kind)] + [("clean", t) for t in CLEAN]
+    rows = [{"term": term, "exemplar": n, "kind": kind} for n, (kind, text) in enumerate(texts) for term in sorted(_exemplar_terms(text))]
+    # A literal instead of rows from Python, so that no Python worker is needed.
+    index = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), "array<struct<term: string, exemplar: int, kind: string>>")))
+    known = index.select("term").distinct()
+    size, there = F.lit(0), F.lit(0)
+    if background is not None:
+        # One row of counts for each of the index's own terms, summed up before it is shuffled.
+        cut = background.where("body IS NOT NULL").select(tokens_of(F.col("body")).alias("tokens"))
+        counts = cut.select(F.explode(_terms(F.col("tokens"))).alias("term")).join(F.broadcast(known), "term").groupBy("term").agg(F.count("*").alias("there"))
+        known = known.join(F.broadcast(counts), "term", "left")
+        size, there = cut.agg(F.count("*")).scalar(), F.coalesce("there", F.lit(0))
+    weights = known.select("term", F.greatest(F.log((size + 1.0) / (there + 0.5)), LEAST * F.log((size + 1.0) / 0.5)).alias("w"))
+    index = index.join(F.broadcast(weights), "term")
+    return index.withColumn("mass", F.sum("w").over(Window.partitionBy("exemplar")))
+
+
+def filler_words(cells: DataFrame) -> DataFrame:
+    """The words of running filler, ``(term)``: the seeds, and what stands almost only beside them.
+
+    ``cells`` has each different word of each window once, as ``(text_id,
+    window, term)``; null texts and empty tables have none. Each round takes the
+    windows with two or more words known so far, and learns the words of which
+    ``FILLER_SEEN`` windows, and ``FILLER_SHARE`` of all their windows, are such.
+    """
+    known = cells.sparkSession.range(1).select(F.explode(F.array_distinct(F.split(F.lit(FILLER_SEEDS), " "))).alias("term"))
+    for _ in range(ROUNDS):
+        filled = cells.join(known, "term", "left_semi").groupBy("text_id", "window").agg(F.count("*").alias("n")).where("n >= 2").select("text_id", "window")
+        beside = cells.join(filled, ["text_id", "window"], "left_semi").groupBy("term").agg(F.count("*").alias("m")).where(F.col("m") >= FILLER_SEEN)
+        everywhere = cells.join(beside.select("term"), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n"))
+        known = durable(beside.join(everywhere, "term").where(F.col("m") >= FILLER_SHARE * F.col("n")).select("term"))
+    return known
 
 
-def score_windows(records: DataFrame, text_col: str = "body") -> DataFrame:
-    """For each record ``(source_table, row_id)`` with a match: the best containment of a residue and of a clean exemplar, and the best cover by filler.
+def score_windows(records: DataFrame, text_col: str = "body", background: DataFrame | None = None) -> DataFrame:
+    """For each record ``(source_table, row_id)`` with a match: the best containment of a residue and of a clean exemplar in a window, and the best cover by filler.
 
-    Containments below ``CONTAINED`` may be missing.
-    Repeated records are scored once. Document frequencies are counted over all
-    records given.
+    Containments below ``CONTAINED`` may be missing. Repeated records are scored once.
     """
-    spark = records.sparkSession
-    index = exemplar_index(spark)
-    # Equal texts have equal scores, so each different text is scored and counted once, and a text in many copies stays rare.
+    # Equal texts have equal scores, so each different text is scored once; it is cut into tokens once, for all that follows.
     texts = records.where(F.col(text_col).isNotNull()).select(text_col).distinct().withColumn("text_id", F.md5(text_col))
-    # Cut into tokens once, for the counts and for the windows.
     tokens = durable(texts.select("text_id", tokens_of(F.col(text_col)).alias("tokens")).where(F.size("tokens") > 0))
-    known = F.broadcast(index.select("term").distinct())
-    # Smoothed inverse document frequency of the index's own terms: a table as small as the index, summed up before it is shuffled.
-    n_texts = texts.agg(F.count("*")).scalar()
-    seen = tokens.select(F.explode(_terms(F.col("tokens"))).alias("term")).join(known, "term").groupBy("term").agg(F.count("*").alias("df"))
-    weights = index.select("term").distinct().join(F.broadcast(seen), "term", "left").withColumn("w", F.log((n_texts + 1.0) / (F.coalesce("df", F.lit(0)) + 0.5)))
-    # Terms of many texts weigh little but stay: residue that many texts hold must not lose its own exemplars.
-    postings = index.join(F.broadcast(durable(weights.withColumn("w", F.greatest("w", F.lit(FLOOR))))), "term")
-    mass = postings.groupBy("exemplar").agg(F.sum("w").alias("mass"))
-    postings = durable(postings.join(F.broadcast(mass), "exemplar"))
+    postings = durable(exemplar_index(records.sparkSession, background))
     # A window that holds CONTAINED of an exemplar has one of the heaviest terms that together weigh more than the rest may; only those are searched.
     before = F.coalesce(F.sum("w").over(Window.partitionBy("exemplar").orderBy(F.desc("w"), "term").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    searched = postings.withColumn("before", before).where((F.col("kind") == "filler") | (F.col("before") <= (1 - CONTAINED) * F.col("mass") + 1e-6)).select("term", "exemplar")
+    searched = postings.withColumn("before", before).where(F.col("before") <= (1 - CONTAINED) * F.col("mass") + 1e-6).select("term", "exemplar")
+    hits = tokens.select("text_id", F.explode(_terms(F.col("tokens"))).alias("term")).join(F.broadcast(searched), "term").select("text_id", "exemplar").distinct()
     exemplars = postings.groupBy("exemplar", "kind", "mass").agg(F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("weights"))
-    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("tokens") - STEP - 1), F.lit(STEP))
-    windows = tokens.select("text_id", "tokens", F.posexplode(starts).alias("window", "start")).select("text_id", "window", F.slice("tokens", F.col("start") + 1, F.lit(WINDOW)).alias("tokens"))
-    hits = windows.select("text_id", "window", F.size(F.array_distinct("tokens")).alias("n_words"), _terms(F.col("tokens")).alias("terms"))
-    candidates = hits.select("*", F.explode("terms").alias("term")).join(F.broadcast(searched), "term").groupBy("text_id", "window", "exemplar").agg(F.first("terms").alias("terms"), F.first("n_words").alias("n_words"))
-    held = F.filter(F.transform("terms", lambda t: F.try_element_at("weights", t)), lambda w: w.isNotNull())
-    matched = candidates.join(F.broadcast(exemplars), "exemplar").select("text_id", "kind", "mass", "n_words", held.alias("held"))
-    matched = matched.select("text_id", "kind", "mass", "n_words", F.aggregate("held", F.lit(0.0), lambda x, w: x + w).alias("shared"), F.size("held").alias("n_shared"))
-    contained = F.col("shared") / F.col("mass")
-    covered = F.when(F.col("n_shared") >= FILLER_WORDS, F.col("n_shared") / F.col("n_words"))
-    best = matched.groupBy("text_id").agg(
-        F.max(F.when(F.col("kind") == "residue", contained)).alias("residue"),
-        F.max(F.when(F.col("kind") == "clean", contained)).alias("clean"),
-        F.max(F.when(F.col("kind") == "filler", covered)).alias("filler"),
-    )
+    matched = hits.join(tokens, "text_id").join(F.broadcast(exemplars), "exemplar")
+
+    def shared(window: Column) -> Column:
+        return F.aggregate(_terms(window), F.lit(0.0), lambda mass, term: mass + F.coalesce(F.try_element_at("weights", term), F.lit(0.0)))
+
+    matched = matched.select("text_id", "kind", (F.array_max(F.transform(_windows(F.col("tokens")), shared)) / F.col("mass")).alias("contained"))
+    best = matched.groupBy("text_id").agg(F.max(F.when(F.col("kind") == "residue", F.col("contained"))).alias("residue"), F.max(F.when(F.col("kind") == "clean", F.col("contained"))).alias("clean"))
+    filler = _filler_cover(tokens)
     keyed = records.where(F.col(text_col).isNotNull()).select("source_table", "row_id", F.md5(text_col).alias("text_id"))
-    return keyed.join(best, "text_id").groupBy("source_table", "row_id").agg(F.max("residue").alias("residue"), F.max("clean").alias("clean"), F.max("filler").alias("filler"))
+    scored = keyed.join(best.join(filler, "text_id", "full"), "text_id")
+    return scored.groupBy("source_table", "row_id").agg(F.max("residue").alias("residue"), F.max("clean").alias("clean"), F.max("filler").alias("filler"))
+
+
+def _windows(tokens: Column) -> Column:
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(tokens) - STEP - 1), F.lit(STEP))
+    return F.transform(starts, lambda k: F.slice(tokens, k + 1, F.lit(WINDOW)))
+
+
+def _filler_cover(tokens: DataFrame) -> DataFrame:
+    """``(text_id, filler)``: the greatest part of the different words of a window that are filler, where there are at least ``FILLER_WORDS``."""
+    starts = F.sequence(F.lit(0), F.size("tokens") - 1, F.lit(WINDOW))
+    apart = tokens.select("text_id", F.posexplode(F.transform(starts, lambda k: F.array_distinct(F.slice("tokens", k + 1, F.lit(WINDOW))))).alias("window", "words"))
+    cells = durable(apart.select("text_id", "window", F.explode("words").alias("term")))
+    own = cells.join(filler_words(cells), "term", "left_semi").groupBy("text_id").agg(F.collect_set("term").alias("own")).where(F.size("own") >= FILLER_WORDS)
+
+    def cover(window: Column) -> Column:
+        words = F.array_distinct(window)
+        known = F.size(F.array_intersect(words, F.col("own")))
+        return F.when(known >= FILLER_WORDS, known / F.size(words))
+
+    return own.join(tokens, "text_id").select("text_id", F.array_max(F.transform(_windows(F.col("tokens")), cover)).alias("filler")).where("filler IS NOT NULL")
 
 
-def residue_records(records: DataFrame, text_col: str = "body") -> DataFrame:
+def residue_records(records: DataFrame, text_col: str = "body", background: DataFrame | None = None) -> DataFrame:
     """``(source_table, row_id)`` of the records whose text is or contains residue.
 
-    ``records`` has ``source_table``, ``row_id`` and the text. Null, empty and
-    blank texts are none. A record comes out once, however often it is given.
+    ``records`` has ``source_table``, ``row_id`` and the text; ``background`` a
+    bounded number of clean texts as ``body``, from which terms get their
+    weights. Null, empty and blank texts are none. A record comes out once,
+    however often it is given.
     """
-    scores = score_windows(records, text_col)
+    scores = score_windows(records, text_col, background)
     residue, clean = F.coalesce("residue", F.lit(0.0)), F.coalesce("clean", F.lit(0.0))
     return scores.where((F.coalesce("filler", F.lit(0.0)) >= COVERED) | ((residue >= CONTAINED) & (residue >= clean))).select("source_table", "row_id")
 
 
-def without_residue(records: DataFrame, text_col: str = "body") -> DataFrame:
+def without_residue(records: DataFrame, text_col: str = "body", background: DataFrame | None = None) -> DataFrame:
     """``records`` without those that ``residue_records`` finds; other columns stay."""
-    return records.join(residue_records(records, text_col), ["source_table", "row_id"], "left_anti")
+    return records.join(residue_records(records, text_col, background), ["source_table", "row_id"], "left_anti")

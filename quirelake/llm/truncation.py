@@ -2,12 +2,14 @@
 
 Token trigrams are counted inside all texts and at their ends. A text was cut
 if its last trigram is frequent inside texts but almost never ends one. The
-last token may be the beginning of a word, so it is compared as a prefix; a
-trigram seldom seen backs off to its last two tokens, then to the last one, and
-where that is unknown too to the trigram before it.
+last token may be the beginning of a word, so words are met by those of their
+prefixes that end a text, by equality; a trigram seldom seen backs off to its
+last two tokens, then to the last one, and where that is unknown too to the
+trigram before it.
 Texts whose first three tokens begin texts that as a rule have no final
-punctuation are captions, which end without it. Punctuation marks are tokens, which is why the last words of whole sentences,
-whose last token is a full stop, never count as ends.
+punctuation are captions, which end without it. Punctuation marks are tokens,
+which is why the last words of whole sentences, whose last token is a full stop,
+never count as ends.
 """
 
 from __future__ import annotations
@@ -23,20 +25,20 @@ INSIDE, END_RATIO = 2, 0.5
 CAPTION, CAPTION_PRIOR = 0.3, 2
 #: As INSIDE and END_RATIO, for a text that ends in final punctuation, where the cut must be proven more strictly.
 INSIDE_CLOSED, END_RATIO_CLOSED = 20, 0.02
+#: Letters up to which every prefix of a word is looked up as such.
+LONGEST = 40
 
 # Marks that stand in place of the rest of a text.
 MARKS = r"(?:\.\.\.|…|\[\.\.\.\]|\[…\]|\(\.\.\.\)|\(…\)|\(more\)|\[more\]|\(continued\)|\(cont\.\)|\[truncated\]|\(truncated\)|<truncated>|�+)"
 
 _TOKENS = r"""
-WITH texts AS (
-  SELECT md5(body) AS text_id, body, count(*) AS copies
-  FROM {records} WHERE body IS NOT NULL AND trim(body) <> '' GROUP BY body
-), cut AS (
-  SELECT text_id, copies, regexp_like(body, '(?i){marks}\\s*$') AS marked,
+WITH cut AS (
+  SELECT source_table, row_id, regexp_like(body, '(?i){marks}\\s*$') AS marked,
          rtrim(regexp_replace(regexp_replace(body, '(?i){marks}\\s*$', ''), '\\s+$', '')) AS core
-  FROM texts
+  FROM {records} WHERE body IS NOT NULL AND trim(body) <> ''
 )
-SELECT text_id, copies, marked, core,
+SELECT source_table, row_id, marked, regexp_like(core, '[.!?。！？]["\'”»)\\]]*$') AS closed,
+       regexp_like(core, '[.!?。！？]["\'”»)\\]]*(\\s|$)') AS has_sentence,
        concat(array('^', '^'), regexp_extract_all(
          regexp_replace(lower(core), '\\p{{L}}?\\d+(?:[.,:/-]\\d+)*[/-]?', '#'),
            '(#|\\p{{L}}+(?:[\'’]\\p{{L}}*)*|[^\\s\\p{{L}}])', 1)) AS t
@@ -44,81 +46,78 @@ FROM cut
 """
 
 _GRAMS = """
-SELECT g.a, g.b, g.c, CAST(sum(IF(g.k < n, copies, 0)) AS BIGINT) AS inside, CAST(sum(IF(g.k = n, copies, 0)) AS BIGINT) AS ends
+SELECT g.a, g.b, g.c, count_if(g.k < n) AS inside, count_if(g.k = n) AS ends
 FROM (
-  SELECT copies, size(t) - 2 AS n, explode(transform(sequence(1, size(t) - 2),
+  SELECT size(t) - 2 AS n, explode(transform(sequence(1, size(t) - 2),
          i -> named_struct('k', i, 'a', element_at(t, i), 'b', element_at(t, i + 1), 'c', element_at(t, i + 2)))) AS g
   FROM {tokens} WHERE size(t) > 2
 )
 GROUP BY g.a, g.b, g.c
 """
 
-_FINALS = r"""
-SELECT text_id, marked, element_at(t, -3) AS a, element_at(t, -2) AS b, element_at(t, -1) AS c,
-       try_element_at(t, -4) AS before, concat_ws(' ', slice(t, 3, 3)) AS head, copies, regexp_like(core, '[.!?。！？]["\'”»)\\]]*$') AS closed,
-       regexp_like(core, '[.!?。！？]["\'”»)\\]]*(\\s|$)') AS has_sentence
+_FINALS = """
+SELECT source_table, row_id, marked, closed, has_sentence, element_at(t, -3) AS a, element_at(t, -2) AS b, element_at(t, -1) AS c,
+       try_element_at(t, -4) AS before, concat_ws(' ', slice(t, 3, 3)) AS head
 FROM {tokens} WHERE size(t) > 2
 """
 
+# The words that begin with the last token of some open text. Every prefix of every different word is made once and met by equality; beyond
+# LONGEST letters, where a prefix would be made for each letter of a very long token, one prefix stands for all longer ones and they are compared.
+_BEGUN = """
+SELECT s.c, s.inside, s.ends, stem
+FROM (SELECT c, inside, ends, explode(transform(sequence(1, least(length(c), {longest})), n -> left(c, n))) AS part
+      FROM (SELECT c, sum(inside) AS inside, sum(ends) AS ends FROM {grams} GROUP BY c)) s
+JOIN (SELECT DISTINCT c AS stem FROM {finals} WHERE NOT closed) ON part = left(stem, {longest}) AND startswith(s.c, stem)
+"""
+
 _FOUND = """
-WITH lasts AS (SELECT DISTINCT a, b, c, closed FROM {finals}),
-prefixed AS (
-  SELECT a, b, c, inside, ends, explode(array_distinct(array(left(c, 1), left(c, 2), left(c, 3)))) AS head FROM {grams}
+WITH reach AS (SELECT c, collect_list(stem) AS stems FROM {begun} GROUP BY c),
+one AS (SELECT stem, sum(inside) AS inside, sum(IF(c = stem, ends, 0)) AS ends FROM {begun} GROUP BY stem),
+begun_grams AS (SELECT a, b, c, inside, ends, explode(stems) AS stem FROM {grams} JOIN reach USING (c)),
+two AS (
+  SELECT b, stem, sum(inside) AS inside, sum(IF(c = stem, ends, 0)) AS ends
+  FROM begun_grams x LEFT SEMI JOIN (SELECT DISTINCT b AS b_, c AS stem_ FROM {finals} WHERE NOT closed) ON b = b_ AND stem = stem_ GROUP BY b, stem
 ),
 three AS (
-  SELECT l.a, l.b, l.c, l.closed, sum(g.inside) AS inside, sum(IF(g.c = l.c, g.ends, 0)) AS ends
-  FROM lasts l JOIN prefixed g ON g.a = l.a AND g.b = l.b AND g.head = left(l.c, 3) AND (g.c = l.c OR (NOT l.closed AND startswith(g.c, l.c)))
-  GROUP BY l.a, l.b, l.c, l.closed
-),
-pairs AS (SELECT b, c, sum(inside) AS inside, sum(ends) AS ends FROM {grams} GROUP BY b, c),
-pairs_prefixed AS (SELECT b, c, inside, ends, explode(array_distinct(array(left(c, 1), left(c, 2), left(c, 3)))) AS head FROM pairs),
-two AS (
-  SELECT l.b, l.c, sum(g.inside) AS inside, sum(IF(g.c = l.c, g.ends, 0)) AS ends
-  FROM (SELECT DISTINCT b, c FROM lasts WHERE NOT closed) l JOIN pairs_prefixed g ON g.b = l.b AND g.head = left(l.c, 3) AND startswith(g.c, l.c)
-  GROUP BY l.b, l.c
+  SELECT a, b, stem, sum(inside) AS inside, sum(IF(c = stem, ends, 0)) AS ends
+  FROM begun_grams LEFT SEMI JOIN (SELECT DISTINCT a AS a_, b AS b_, c AS stem_ FROM {finals} WHERE NOT closed) ON a = a_ AND b = b_ AND stem = stem_ GROUP BY a, b, stem
 ),
-singles AS (SELECT c, sum(inside) AS inside, sum(ends) AS ends FROM pairs GROUP BY c),
-singles_prefixed AS (SELECT c, inside, ends, explode(array_distinct(array(left(c, 1), left(c, 2), left(c, 3)))) AS head FROM singles),
-one AS (
-  SELECT l.c, sum(g.inside) AS inside, sum(IF(g.c = l.c, g.ends, 0)) AS ends
-  FROM (SELECT DISTINCT c FROM lasts WHERE NOT closed) l JOIN singles_prefixed g ON g.head = left(l.c, 3) AND startswith(g.c, l.c)
-  GROUP BY l.c
+asked AS (
+  SELECT DISTINCT ask.a, ask.b, ask.c FROM (
+    SELECT explode(IF(closed, IF(b = '#', array(named_struct('a', a, 'b', b, 'c', c), named_struct('a', before, 'b', a, 'c', '#')), array(named_struct('a', a, 'b', b, 'c', c))),
+                      array(named_struct('a', before, 'b', a, 'c', b)))) AS ask
+    FROM {finals})
+  WHERE ask.a IS NOT NULL
 ),
+exact AS (SELECT g.* FROM {grams} g LEFT SEMI JOIN asked USING (a, b, c)),
 families AS (
-  SELECT head, (sum(IF(closed, copies, 0)) + {prior}) / (sum(copies) + {prior}) < {caption} AS is_caption
+  SELECT head, (count_if(closed) + {prior}) / (count(*) + {prior}) < {caption} AS is_caption
   FROM {finals} WHERE NOT marked GROUP BY head
 ),
 scored AS (
-  SELECT coalesce(families.is_caption, false) AS is_caption, f.text_id, f.marked, f.closed, f.has_sentence, f.b, f.c,
-         coalesce(three.inside, 0) AS inside3, coalesce(three.ends, 0) AS ends3,
+  SELECT coalesce(families.is_caption, false) AS is_caption, f.source_table, f.row_id, f.marked, f.closed, f.has_sentence, f.b, f.c,
+         coalesce(three.inside, whole.inside, 0) AS inside3, coalesce(three.ends, whole.ends, 0) AS ends3,
          coalesce(two.inside, 0) AS inside2, coalesce(two.ends, 0) AS ends2,
          coalesce(one.inside, 0) AS inside1, coalesce(one.ends, 0) AS ends1,
-         coalesce(previous.inside, 0) AS inside0, coalesce(previous.ends, 0) AS ends0,
-         coalesce(number.inside, 0) AS number_inside, coalesce(number.ends, 0) AS number_ends
+         coalesce(earlier.inside, 0) AS inside0, coalesce(earlier.ends, 0) AS ends0
   FROM {finals} f
   LEFT JOIN families ON families.head = f.head
-  LEFT JOIN three ON three.a = f.a AND three.b = f.b AND three.c = f.c AND three.closed = f.closed
-  LEFT JOIN two ON NOT f.closed AND two.b = f.b AND two.c = f.c
-  LEFT JOIN one ON NOT f.closed AND one.c = f.c
-  LEFT JOIN {grams} previous ON NOT f.closed AND previous.a = f.before AND previous.b = f.a AND previous.c = f.b
-  LEFT JOIN {grams} number ON f.closed AND f.b = '#' AND number.a = f.before AND number.b = f.a AND number.c = '#'
-),
-judged AS (
-  SELECT text_id, CASE
+  LEFT JOIN three ON NOT f.closed AND three.a = f.a AND three.b = f.b AND three.stem = f.c
+  LEFT JOIN two ON NOT f.closed AND two.b = f.b AND two.stem = f.c
+  LEFT JOIN one ON NOT f.closed AND one.stem = f.c
+  LEFT JOIN exact whole ON f.closed AND whole.a = f.a AND whole.b = f.b AND whole.c = f.c
+  LEFT JOIN exact earlier ON (NOT f.closed OR f.b = '#') AND earlier.a = f.before AND earlier.b = f.a AND earlier.c = f.b
+)
+SELECT DISTINCT source_table, row_id FROM scored WHERE CASE
     WHEN marked THEN has_sentence OR inside3 >= {inside} OR inside2 >= {inside}
     WHEN closed THEN (inside3 >= {inside_closed} AND ends3 <= {ratio_closed} * inside3)
-                  OR (b = '#' AND c IN ('.', ',') AND number_inside >= {inside_closed} AND inside3 <= {ratio_closed} * number_inside)
+                  OR (b = '#' AND c IN ('.', ',') AND inside0 >= {inside_closed} AND inside3 <= {ratio_closed} * inside0)
     WHEN is_caption THEN false
     WHEN inside3 >= {inside} THEN ends3 <= {ratio} * inside3 + 1
     WHEN inside2 >= {inside} THEN ends2 <= {ratio} * inside2 + 1
     WHEN inside1 >= {inside} THEN has_sentence AND ends1 <= {ratio} * inside1 + 1
     ELSE has_sentence AND inside0 >= {inside} AND ends0 <= {ratio} * inside0
-  END AS cut
-  FROM scored
-)
-SELECT r.source_table, r.row_id
-FROM {records} r JOIN (SELECT text_id FROM judged WHERE cut) j ON md5(r.body) = j.text_id
-GROUP BY r.source_table, r.row_id
+  END
 """
 
 
@@ -130,17 +129,16 @@ def truncated_records(records: DataFrame) -> DataFrame:
     columns are not read.
     """
     spark = records.sparkSession
-    # Each is read several times below, so it is written once.
-    rows = durable(records.select("source_table", "row_id", "body"))
-    marks = MARKS.replace("\\", "\\\\")
-    tokens = durable(spark.sql(_TOKENS.replace("{marks}", marks), records=rows))
+    # Cut into tokens once; tokens and trigrams are read several times below, so each is written once.
+    tokens = durable(spark.sql(_TOKENS.replace("{marks}", MARKS.replace("\\", "\\\\")), records=records))
     grams = durable(spark.sql(_GRAMS, tokens=tokens))
-    finals = durable(spark.sql(_FINALS, tokens=tokens))
+    finals = spark.sql(_FINALS, tokens=tokens)
+    begun = durable(spark.sql(_BEGUN.replace("{longest}", str(LONGEST)), grams=grams, finals=finals))
     limits = {"inside": INSIDE, "ratio": END_RATIO, "inside_closed": INSIDE_CLOSED, "ratio_closed": END_RATIO_CLOSED, "caption": CAPTION, "prior": CAPTION_PRIOR}
     sql = _FOUND
     for name, value in limits.items():
         sql = sql.replace("{" + name + "}", str(value))
-    return spark.sql(sql, records=rows, grams=grams, finals=finals)
+    return spark.sql(sql, grams=grams, finals=finals, begun=begun)
 
 
 def truncation_rates(records: DataFrame, origin: str = "model_used") -> DataFrame:
@@ -148,6 +146,8 @@ def truncation_rates(records: DataFrame, origin: str = "model_used") -> DataFram
 
     Only records with a text that is not blank count. A null origin is an origin of its own.
     """
+    # Read twice below, so whatever was left out before is left out once.
+    records = durable(records.select("source_table", "row_id", "body", origin))
     found = truncated_records(records).withColumn("was_cut", F.lit(1))
     rows = records.where("trim(body) <> ''").join(found, ["source_table", "row_id"], "left")
     out = rows.groupBy("source_table", origin).agg(F.count("*").alias("n_texts"), F.count("was_cut").alias("n_truncated"))

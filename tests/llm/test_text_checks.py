@@ -1,3 +1,7 @@
+import random
+
+import pytest
+
 from quirelake.common import table
 from quirelake.llm import queries, residue, scan_noise, truncation
 
@@ -91,3 +95,47 @@ def test_paragraphs_use_the_whole_lexicon(spark, monkeypatch):
     scanned = spark.createDataFrame(rows, "source_table string, row_id bigint, body string, document_id string, page_number int")
     text = " ".join(r.content for r in scan_noise.repaired_paragraphs(scanned, clean).collect())
     assert "flywheel" in text and "self-acting" in text
+
+
+# None of these strings is an exemplar, nor holds one as it stands.
+PLANTED = (
+    "Please go to your settings and turn on JavaScript, else report {x} stays hidden.",
+    "Sorry, the page {x} has moved or does not exist.",
+    "Bitte im Browser JavaScript wieder einschalten, um Teil {x} zu lesen.",
+    "Type some text about {x} here",
+    "Insert a new caption for {x}",
+    "Our site is down for planned maintenance, {x}.",
+    "The address {x} you gave is not known on this server.",
+    "Service at {x} answered: 503 Service Unavailable",
+)
+
+
+@pytest.mark.parametrize("share", [0.01, 0.1, 0.2, 0.5])
+def test_residue_is_found_however_common(spark, share):
+    def name(k):
+        return "".join(chr(97 + (k // 26**i) % 26) for i in (2, 1, 0)) + "or"
+
+    total = 800
+    planted = [PLANTED[k % len(PLANTED)].format(x=name(k)) for k in range(int(total * share))]
+    kept = [f"The chart shows the sales of area {name(k)} in the third quarter; the page has no title." for k in range(total - len(planted))]
+    found = {r.row_id for r in residue.residue_records(frame(spark, planted + kept)).collect()}
+    assert len([k for k in found if k < len(planted)]) >= 0.9 * len(planted)
+    assert not [k for k in found if k >= len(planted)]
+
+
+def test_filler_words_are_learned(spark):
+    words = "mirata solven quastor pelid norvat tuscan brevio calend".split()
+    rng = random.Random(4)
+    mixed = [" ".join(rng.choice(words + ["lorem", "ipsum", "dolor", "amet"]) for _ in range(14)) for _ in range(60)]
+    unseeded = [" ".join(rng.sample(words, 6)) for _ in range(5)]
+    kept = [f"The pump of hall {chr(97 + k)} runs with little noise and needs no care" for k in range(26)]
+    found = {r.row_id for r in residue.residue_records(frame(spark, mixed + unseeded + kept)).collect()}
+    assert found == set(range(len(mixed) + len(unseeded)))
+
+
+def test_truncation_of_long_and_common_tokens(spark):
+    long = "x" * 90
+    whole = [f"The {long}end of the valve is shut. The {long}end of the valve is open."] * 30 + ["The valve of the pump is shut. The valve of the pump is open."] * 30
+    cut = [f"The valve of the pump is open. The {long}", "The valve of the pump is shut. The valve of the pu"]
+    found = {r.row_id for r in truncation.truncated_records(frame(spark, whole + cut)).collect()}
+    assert found == {60, 61}
