@@ -1,22 +1,26 @@
 """Splitting oversized items at natural boundaries.
 
-A text over its limit is cut down a hierarchy of separators (sections,
-paragraphs, lines, sentences, words, characters): parts that fit are packed
-greedily, a part that does not fit alone is cut at the next finer separator.
-Each piece after the first starts exactly the given overlap before the end of
-its predecessor.
+A text over its limit is split recursively down a hierarchy of separators
+(sections, paragraphs, lines, sentences, clauses, words, characters): a part
+that would not fit beside the overlap is split at the next finer separator. The
+parts are then packed greedily: a piece takes parts while they fit. Each piece
+after the first starts exactly the given overlap before the end of its
+predecessor, so pieces end at natural boundaries, but where sizes are in
+characters the shared overlap may begin inside a word.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quirelake.common import durable
+
 #: From coarse to fine, the places after which a text may be cut. Characters come last of all.
 SEPARATORS = tuple(
     re.compile(p)
@@ -29,7 +33,7 @@ SEPARATORS = tuple(
         r"\s+",
     )
 )
-_WORD = re.compile(r"[^ \t\r\n]+")
+_WORD, _BLANK = re.compile(r"[^ \t\r\n]+"), " \t\r\n"
 
 
 def measure(content: Column, unit: Column) -> Column:
@@ -70,13 +74,27 @@ class _Ruler:
         return max(floor, self.starts[max(0, last - overlap)]) if last else end
 
 
+def _parts(ruler: _Ruler, cuts: list[list[int]], begin: int, end: int, room: int, level: int = 0) -> Iterator[tuple[int, bool]]:
+    """The ends of the parts of a span, each of at most ``room`` units; True with the end of a part that may be cut anywhere."""
+    if ruler.size(begin, end) <= room:
+        yield end, False
+        return
+    if level == len(cuts):
+        yield end, True
+        return
+    places = cuts[level]
+    inner = places[bisect_right(places, begin) : bisect_left(places, end)]
+    for a, b in zip([begin, *inner], [*inner, end], strict=True):
+        yield from _parts(ruler, cuts, a, b, room, level + 1)
+
+
 def split_text(text: str, limit: int, unit: str = "chars", overlap: int = 0) -> list[tuple[int, int]]:
     """Spans ``(begin, end)`` of pieces of at most ``limit`` units that cover ``text`` in order.
 
-    A piece ends at the coarsest separator that lies in the second half of what
-    fits, else at the coarsest there is, else at the limit itself. The next
-    piece starts ``overlap`` units before that end; overlap is kept below the
-    limit, so that every piece brings something new.
+    A text within the limit is one piece. Otherwise its parts, found by
+    recursion, are packed greedily. The next piece starts ``overlap`` units
+    before the end of the last; overlap is kept below the limit, so that every
+    piece brings something new.
     """
     limit, length = max(1, limit), len(text)
     overlap = min(max(0, overlap), limit - 1)
@@ -84,28 +102,18 @@ def split_text(text: str, limit: int, unit: str = "chars", overlap: int = 0) ->
     if ruler.size(0, length) <= limit:
         return [(0, length)]
     cuts = [[m.end() for m in s.finditer(text)] for s in SEPARATORS]
-    # A piece must reach beyond the overlap, else the next one would begin where it began.
-    spans, begin, done = [], 0, ruler.reach(0, overlap, length) if overlap else 0
-    while True:
-        end = ruler.reach(begin, limit, length)
-        if end >= length:
-            spans.append((begin, length))
-            return spans
-        far = done + max(1, (end - done) // 2)
-        best = None
-        for level in (far, done + 1):
-            for places in cuts:
-                k = bisect_right(places, end)
-                if k and places[k - 1] >= level:
-                    best = places[k - 1]
-                    break
-            if best is not None:
-                break
-        end = best if best is not None else end
-        spans.append((begin, end))
+    if unit == "words":
+        # Some white space is no end of a word here.
+        cuts = [[k for k in places if text[k - 1] in _BLANK or text[k : k + 1] in _BLANK] for places in cuts]
+    spans, begin, done = [], 0, 0
+    for end, anywhere in _parts(ruler, cuts, 0, length, limit - overlap):
+        while ruler.size(begin, end) > limit:
+            if anywhere:
+                done = max(done, ruler.reach(begin, limit, end))
+            spans.append((begin, done))
+            begin = ruler.back(done, overlap, begin)
         done = end
-        nearest = ruler.back(end, overlap, begin)
-        begin = nearest if nearest > begin or nearest == end else end
+    return [*spans, (begin, length)]
 
 
 def split_chunks(chunks: DataFrame, limits: DataFrame) -> DataFrame:
@@ -151,6 +159,8 @@ def regroup(chunks: DataFrame, pieces: DataFrame, bucket: int = 1024) -> DataFra
     buckets of nearby ordinals and buckets are summed before.
     """
     group = ["document_id", "group_ordinal"]
+    # Counted and joined below, but split once.
+    pieces = durable(pieces)
     counts = pieces.groupBy("chunk_row_id").agg(F.max("n_pieces").alias("n"))
     order = [F.col("group_position").asc_nulls_first(), F.col("chunk_ordinal").asc_nulls_first(), F.col("chunk_row_id")]
     rows = chunks.select("chunk_row_id", *group, "group_position", "chunk_ordinal").dropDuplicates(["chunk_row_id"]).join(counts, "chunk_row_id")

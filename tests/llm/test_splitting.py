@@ -23,6 +23,52 @@ def test_pieces(parts, limit, overlap, unit):
     assert len(spans) == 1 or count(text) > limit
 
 
+PATTERNS = (r"\n(?=#{1,6}\s)", r"(?:\r\n|\r|\n)[ \t]*(?:\r\n|\r|\n)\s*", r"\r\n|\r|\n", r"[.!?。！？][\"'”»)\]]*\s+", r"[;:,]\s+", r"\s+")
+
+
+def brute_force(text, limit, overlap):
+    """Characters only: parts as strings, packed by trying every number of parts."""
+
+    def parts(whole, spots, patterns):
+        # Separators are found in the whole text and cut where they end inside this part.
+        if len(whole) <= limit - overlap:
+            return [whole]
+        if not patterns:
+            return list(whole)
+        at = spots
+        ends = [m.end() - at for m in re.finditer(patterns[0], text) if at < m.end() < at + len(whole)]
+        out = []
+        for a, b in zip([0, *ends], [*ends, len(whole)]):
+            out += parts(whole[a:b], at + a, patterns[1:])
+        return out
+
+    if len(text) <= limit:
+        return [text]
+    left, pieces, carried = parts(text, 0, PATTERNS), [], ""
+    while left:
+        taken = max(n for n in range(len(left) + 1) if len(carried + "".join(left[:n])) <= limit)
+        assert taken
+        pieces.append(carried + "".join(left[:taken]))
+        left = left[taken:]
+        carried = pieces[-1][-overlap:] if overlap else ""
+    return pieces
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(["alpha", "b", " ", "\n\n", ". ", "\n", "漢字", "x" * 30, "\t", "# ", ", ", "\r\n"]), max_size=60), st.integers(1, 40), st.integers(0, 20))
+def test_pieces_equal_brute_force(parts, limit, overlap):
+    text = "".join(parts)
+    assert [text[a:b] for a, b in split_text(text, limit, "chars", overlap)] == brute_force(text, limit, min(overlap, limit - 1))
+
+
+def test_recursion_goes_only_as_far_as_needed():
+    sections = "# Pumps\nThe pump runs. It is new.\n\n", "# Valves\nThe valve is shut.\n\n\n"
+    text = sections[0] + sections[1] + "The motor is off. " * 8 + "\n\n" + "x" * 130
+    pieces = [text[a:b] for a, b in split_text(text, 60)]
+    assert pieces[0] == sections[0] + "# Valves\n" or pieces[0] == sections[0]
+    assert all(p.endswith((". ", "\n")) for p in pieces[:-3]) and [len(p) for p in pieces[-3:-1]] == [60, 60]
+
+
 def test_natural_boundaries():
     text = "First sentence here. Second one follows. " * 6
     assert all(text[:b].endswith(". ") for _, b in split_text(text, 100, "chars", 0))
