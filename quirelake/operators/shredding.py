@@ -2,9 +2,13 @@
 
 A payload becomes an adjacency table: a row for each node with its parent, the
 label under which the parent holds it, its ordinal there and, where it has no
-children, its scalar. Members of the wanted collections are object nodes picked
-from that table; their scalar children are joined to them and pivoted into one
-entity table a kind.
+children, its scalar. A string that spells a JSON object or array is both: it
+keeps its scalar and has what it spells as children.
+
+What is a member of a collection is found by joins on that table: collections
+are the nodes of the wanted names below records, members are the object nodes
+below collections. Their scalar children are joined to them and pivoted into
+one entity table a kind, whose keys link children to parents.
 """
 
 from __future__ import annotations
@@ -14,19 +18,32 @@ import re
 from collections.abc import Iterator
 from typing import Any
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quirelake.common import durable
+
 #: The collections of each source: collection name, kind of its members, and the kind whose members may hold it besides the root.
 COLLECTIONS = {
     "parse_results": (("pages", "page", None), ("visualelements", "visual_element", "page")),
     "segment_debug": (("vlmresults", "vlm_result", None),),
 }
+#: The scalar children that become columns of each entity table.
+ENTITY_COLUMNS = {
+    "page": ("page_number", "text", "confidence_score"),
+    "visual_element": ("element_type", "content_hash", "vlm_description", "confidence", "page_or_slide"),
+    "vlm_result": ("model", "confidence", "description"),
+}
 #: Names under which an envelope holds the record itself.
 ENVELOPES = frozenset({"result", "results", "debug", "data", "payload", "response", "record", "output", "body"})
 
-NODE_SCHEMA = "row_id {id}, node_id int, parent_id int, label string, ordinal int, node_kind string, scalar string, member_kind string, member_key string, parent_key string, depth int"
+#: ``payload_id`` is unique for each payload; ``shape`` is what a node holds, ``node_kind`` how it is written; ``n_filled`` counts children that are not null, ``n_objects`` those that hold objects.
+NODE_SCHEMA = (
+    "payload_id bigint, row_id {id}, node_id int, parent_id int, label string, parent_label string, ordinal int, depth int, node_kind string, shape string, scalar string, n_children int, n_filled int, n_objects int"
+)
+_SCANNED = re.compile(r"[ \t\n\r]*")
+_BARE = re.compile(r"(-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][-+]?\d+)?|true|false|null|NaN|-?Infinity)")
 
 
 def plain(name: str) -> str:
@@ -34,168 +51,220 @@ def plain(name: str) -> str:
     return re.sub(r"[^0-9a-z]", "", name.lower())
 
 
+def _plain(name: Column) -> Column:
+    return F.regexp_replace(F.lower(name), "[^0-9a-z]", "")
+
+
+def _deep_loads(text: str) -> Any:
+    """As ``json.loads``, for texts nested deeper than it can go: open containers are kept in a list."""
+    top: list[Any] = []
+    # Open containers, each with the name under which an object's next value goes.
+    open_: list[tuple[Any, str | None]] = [(top, None)]
+    at, value_next = 0, True
+    while True:
+        at = _SCANNED.match(text, at).end()
+        if at >= len(text):
+            break
+        inside, name = open_[-1]
+        if value_next:
+            sign = text[at]
+            if sign in "]}" and inside is not top and not inside and (sign == "]") == isinstance(inside, list) and name is None:
+                open_.pop()
+                at, value_next = at + 1, False
+                continue
+            if isinstance(inside, dict) and name is None:
+                if sign != '"':
+                    raise ValueError(f"name expected at {at}")
+                name, at = json.decoder.scanstring(text, at + 1, False)
+                at = _SCANNED.match(text, at).end()
+                if text[at : at + 1] != ":":
+                    raise ValueError(f"colon expected at {at}")
+                open_[-1], at = (inside, name), at + 1
+                continue
+            if sign == '"':
+                value, at = json.decoder.scanstring(text, at + 1, False)
+            elif sign in "[{":
+                value, at = ([] if sign == "[" else {}), at + 1
+            elif bare := _BARE.match(text, at):
+                value, at = json.loads(bare.group()), bare.end()
+            else:
+                raise ValueError(f"value expected at {at}")
+            if isinstance(inside, list):
+                inside.append(value)
+            else:
+                inside[name] = value
+                open_[-1] = (inside, None)
+            if sign in "[{":
+                open_.append((value, None))
+            else:
+                value_next = False
+        elif inside is not top and text[at] == ",":
+            at, value_next = at + 1, True
+        elif inside is not top and text[at] == ("]" if isinstance(inside, list) else "}"):
+            open_.pop()
+            at += 1
+        else:
+            raise ValueError(f"end expected at {at}")
+    if len(open_) > 1 or not top:
+        raise ValueError("the text ends too early")
+    return top[0]
+
+
 def _loads(text: str) -> Any:
     try:
         return json.loads(text)
-    except (ValueError, RecursionError):
+    except RecursionError:
+        pass
+    except ValueError:
+        return None
+    try:
+        return _deep_loads(text)
+    except ValueError:
         return None
 
 
 def unpack(value: Any) -> Any:
     """``value``, or what it spells if it is a string holding a JSON object or array, however often encoded."""
-    for _ in range(8):
-        if not isinstance(value, str) or value.lstrip()[:1] not in ("{", "[", '"'):
-            return value
-        inner = _loads(value)
-        if inner is None or isinstance(inner, (int, float, bool)):
-            return value
-        value = inner
-    return value
-
+    found = value
+    # Each step makes the string shorter.
+    while isinstance(found, str) and found.lstrip()[:1] in ("{", "[", '"'):
+        found = _loads(found)
+    return found if isinstance(found, (dict, list)) else value
 
-def members(collection: Any) -> Iterator[tuple[str, dict]]:
-    """``(key, object)`` of the non-empty members of a collection of any shape.
 
-    Array: the 0-based position, all entries counted. Object whose non-null
-    values are all objects (or their JSON): its names. Any other non-empty
-    object stands alone for the collection, with key ``0``.
-    """
-    collection = unpack(collection)
-    if isinstance(collection, list):
-        for n, entry in enumerate(collection):
-            entry = unpack(entry)
-            if isinstance(entry, dict) and entry:
-                yield str(n), entry
-    elif isinstance(collection, dict) and collection:
-        values = {k: unpack(v) for k, v in collection.items()}
-        filled = [v for v in values.values() if v is not None]
-        if all(isinstance(v, dict) for v in filled):
-            for k, v in values.items():
-                if v:
-                    yield k, v
-        else:
-            yield "0", collection
-
-
-def records(value: Any, wanted: frozenset[str], depth: int = 0) -> Iterator[dict]:
-    """The records that a payload holds: itself, or what its envelopes hold."""
-    value = unpack(value)
-    if isinstance(value, list) and depth < 4:
-        for entry in value:
-            yield from records(entry, wanted, depth + 1)
-    elif isinstance(value, dict):
-        inside = [v for k, v in value.items() if plain(k) in ENVELOPES and isinstance(unpack(v), (dict, list))]
-        if any(plain(k) in wanted for k in value) or depth >= 4:
-            yield value
-        elif inside:
-            for v in inside:
-                yield from records(v, wanted, depth + 1)
+def records(value: Any, wanted: frozenset[str]) -> Iterator[dict]:
+    """The records that a payload holds: itself, or what its envelopes hold, however deep."""
+    stack: list[tuple[Any, bool]] = [(value, False)]
+    while stack:
+        value, is_rest = stack.pop()
+        value = unpack(value)
+        if isinstance(value, list):
+            stack += [(entry, False) for entry in reversed(value)]
+        elif isinstance(value, dict):
+            inside = [] if is_rest or any(plain(k) in wanted for k in value) else [k for k, v in value.items() if plain(k) in ENVELOPES and isinstance(unpack(v), (dict, list))]
+            if not inside:
+                yield value
+                continue
             # What stands beside the record in its envelope is kept as a record of its own, which has no members.
-            beside = {k: v for k, v in value.items() if not (plain(k) in ENVELOPES and isinstance(unpack(v), (dict, list)))}
-            if beside:
-                yield beside
-        else:
-            yield value
+            if rest := {k: v for k, v in value.items() if k not in inside}:
+                stack.append((rest, True))
+            stack += [(value[k], False) for k in reversed(inside)]
 
 
-def shred_payload(payload: str | None, source: str) -> list[tuple]:
-    """The adjacency rows of one payload; none for null, for what is no JSON and for a bare scalar.
+def shred_payload(payload: str | None, wanted: frozenset[str], labels: frozenset[str] | None = None) -> list[tuple]:
+    """The adjacency rows of one payload, from ``node_id`` on; none for null, for what is no JSON and for a bare scalar.
 
-    Every node below the records comes out once. ``member_kind``, ``member_key``
-    and ``parent_key`` are set on object nodes that are members of a collection
-    of ``source``. Only the record's own collections and those of its members
-    count, not equal names elsewhere.
+    ``wanted`` names the collections by which a record is known. With ``labels``
+    only records, nodes of a wanted name or below one, and scalars of these
+    labels come out, with the same ids.
     """
-    collections = COLLECTIONS[source]
-    wanted = frozenset(name for name, _, _ in collections)
-    parsed = _loads(payload) if payload else None
-    if not isinstance(unpack(parsed), (dict, list)):
+    parsed = unpack(_loads(payload)) if payload else None
+    if not isinstance(parsed, (dict, list)):
         return []
-
     rows: list[tuple] = []
-    # A stack instead of recursion: payloads may be nested deeper than Python allows. An entry is
-    # (value, parent, label, ordinal, depth, member, collection): member is (kind, key, parent key) or
-    # None, collection is the kind and parent key of the members that the value collects, or None.
-    stack: list[tuple] = [(r, None, "$", n, 0, None, None) for n, r in enumerate(records(parsed, wanted))][::-1]
+    # A stack instead of recursion: payloads may be nested deeper than Python allows.
+    stack: list[tuple] = [(r, None, "$", None, n, 0) for n, r in enumerate(records(parsed, wanted))][::-1]
+    me = -1
     while stack:
-        value, parent, label, ordinal, depth, member, collection = stack.pop()
-        picked: dict[str, dict] = {}
-        if collection:
-            value = unpack(value)
-            picked = dict(members(value))
-            if value is not None and picked.get("0") is value:
-                member, collection, picked = (collection[0], "0", collection[1]), None, {}
-        me = len(rows)
-        children: list[tuple[str, Any]] = []
-        scalar = None
-        if isinstance(value, dict):
-            shape, children = "object", list(value.items())
-        elif isinstance(value, list):
-            shape, children = "array", [(str(n), v) for n, v in enumerate(value)]
-        elif value is None:
-            shape = "null"
+        value, parent, label, above, ordinal, depth = stack.pop()
+        me += 1
+        written, held = value, unpack(value)
+        if isinstance(held, dict):
+            shape, children = "object", list(held.items())
+        elif isinstance(held, list):
+            shape, children = "array", [(str(n), v) for n, v in enumerate(held)]
         else:
-            shape = "string" if isinstance(value, str) else "boolean" if isinstance(value, bool) else "number"
-            scalar = value if isinstance(value, str) else json.dumps(value)
-        rows.append((me, parent, label, ordinal, shape, scalar, *(member or (None, None, None)), depth))
-        scope = member[0] if member else None
-        holds = {name: kind for name, kind, above in collections if (depth == 0 or (scope and scope == above))} if shape == "object" else {}
-        for n, (name, child) in reversed(list(enumerate(children))):
-            if name in picked:
-                stack.append((picked[name], me, name, n, depth + 1, (collection[0], name, collection[1]), None))
-            elif plain(name) in holds:
-                stack.append((child, me, name, n, depth + 1, None, (holds[plain(name)], member[1] if member else "root")))
-            else:
-                stack.append((child, me, name, n, depth + 1, None, None))
+            shape, children = "null" if held is None else "string" if isinstance(held, str) else "boolean" if isinstance(held, bool) else "number", []
+        kind = "string" if isinstance(written, str) else shape
+        scalar = written if kind == "string" else json.dumps(written) if kind in ("number", "boolean") else None
+        name = plain(label)
+        if labels is None or depth == 0 or name in wanted or (above is not None and above in wanted) or (scalar is not None and name in labels):
+            unpacked = [unpack(v) for _, v in children]
+            rows.append((me, parent, label, above, ordinal, depth, kind, shape, scalar, len(children), sum(v is not None for v in unpacked), sum(isinstance(v, dict) for v in unpacked)))
+        stack += [(child, me, key, name, n, depth + 1) for n, (key, child) in reversed(list(enumerate(children)))]
     return rows
 
 
-def adjacency(df: DataFrame, source: str, id_col: str, payload_col: str = "payload") -> DataFrame:
+def adjacency(df: DataFrame, source: str, id_col: str, payload_col: str = "payload", members_only: bool = False) -> DataFrame:
     """The adjacency table of all payloads of ``df``, with columns as in ``NODE_SCHEMA``.
 
-    Null payloads and payloads that are no JSON give no rows. Repeated ids give
-    their nodes each time.
+    Null payloads and payloads that are no JSON give no rows. Repeated rows
+    give their nodes each time, under another ``payload_id``. With
+    ``members_only`` only what the entity tables need comes out.
     """
     kind = df.schema[id_col].dataType.simpleString()
+    collections = COLLECTIONS[source]
+    wanted = frozenset(name for name, _, _ in collections)
+    labels = frozenset(plain(c) for _, k, _ in collections for c in ENTITY_COLUMNS[k]) if members_only else None
+    types = (pa.int32(), pa.int32(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32())
+    names = [c.split()[0] for c in NODE_SCHEMA.split(", ")]
 
-    def shred(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["row_id", "node_id", "parent_id", "label", "ordinal", "node_kind", "scalar", "member_kind", "member_key", "parent_key", "depth"]
-        for pdf in batches:
-            rows = [(key, *row) for key, payload in zip(pdf["row_id"], pdf["body"], strict=True) for row in shred_payload(payload, source)]
-            out = pd.DataFrame(rows, columns=names)
-            out["parent_id"] = out["parent_id"].astype("Int32")
-            yield out
-
-    return df.select(F.col(id_col).alias("row_id"), F.col(payload_col).alias("body")).mapInPandas(shred, NODE_SCHEMA.format(id=kind))
-
+    def shred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, at = [], []
+            for n, payload in enumerate(batch.column("body").to_pylist()):
+                found = shred_payload(payload, wanted, labels)
+                rows += found
+                at += [n] * len(found)
+            columns = zip(*rows, strict=True) if rows else [()] * len(types)
+            spots = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("payload_id").take(spots), batch.column("row_id").take(spots), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names=names)
 
-def found_members(nodes: DataFrame, source: str) -> DataFrame:
-    """``(source_table, row_id, child_kind, parent_key, child_key)``: a row for each member."""
-    return nodes.where("member_kind IS NOT NULL").select(
-        F.lit(source).alias("source_table"), "row_id", F.col("member_kind").alias("child_kind"), "parent_key", F.col("member_key").alias("child_key")
-    )
+    return df.select(F.monotonically_increasing_id().alias("payload_id"), F.col(id_col).alias("row_id"), F.col(payload_col).alias("body")).mapInArrow(shred, NODE_SCHEMA.format(id=kind))
 
 
-#: The scalar children that become columns of each entity table, by plain name.
-ENTITY_COLUMNS = {
-    "page": ("page_number", "text", "confidence_score"),
-    "visual_element": ("element_type", "content_hash", "vlm_description", "confidence", "page_or_slide"),
-    "vlm_result": ("model", "confidence", "description"),
-}
+def _members(nodes: DataFrame, owners: DataFrame, collection: str) -> DataFrame:
+    """Member nodes, ``(payload_id, row_id, node_id, parent_key, child_key)``, of the collections of a name below ``owners`` (``payload_id, node_id, key``).
 
+    Array: non-empty objects at their 0-based position, all entries counted.
+    Object whose non-null values are all objects: its names. Any other non-empty
+    object stands alone for the collection, with key ``0``.
+    """
+    below = nodes.where(_plain(F.col("label")) == collection).withColumnRenamed("parent_id", "owner_id")
+    held = below.join(owners.withColumnRenamed("node_id", "owner_id"), ["payload_id", "owner_id"])
+    named = (F.col("shape") == "object") & (F.col("n_objects") == F.col("n_filled"))
+    is_filled = (F.col("shape") == "object") & (F.col("n_children") > 0)
+    lone = held.where(is_filled & ~named).select("payload_id", "row_id", "node_id", F.col("key").alias("parent_key"), F.lit("0").alias("child_key"))
+    many = held.where((F.col("shape") == "array") | named).select("payload_id", F.col("node_id").alias("parent_id"), F.col("key").alias("parent_key"))
+    entries = nodes.where(is_filled & (_plain(F.col("parent_label")) == collection)).select("payload_id", "row_id", "node_id", "parent_id", F.col("label").alias("child_key"))
+    return lone.unionByName(many.join(entries, ["payload_id", "parent_id"]).select("payload_id", "row_id", "node_id", "parent_key", "child_key"))
 
-def entities(nodes: DataFrame, kind: str) -> DataFrame:
-    """The entity table of a kind: ``(row_id, parent_key, child_key, node_id, <scalars>)``, all scalars as strings.
 
-    Object nodes joined with their scalar children on ``(row_id, node_id)`` and
-    pivoted; a scalar missing or null in an object is null. Of one name in two
-    spellings the greater value is taken.
-    """
+def _pivoted(members: DataFrame, nodes: DataFrame, kind: str) -> DataFrame:
     columns = ENTITY_COLUMNS[kind]
-    objects = nodes.where(F.col("member_kind") == kind).select("row_id", "node_id", "parent_key", F.col("member_key").alias("child_key"))
-    labels = F.regexp_replace(F.lower("label"), "[^0-9a-z]", "")
-    scalars = nodes.where(F.col("scalar").isNotNull()).select("row_id", F.col("parent_id").alias("node_id"), labels.alias("label"), "scalar")
+    scalars = nodes.where(F.col("scalar").isNotNull()).select("payload_id", F.col("parent_id").alias("node_id"), _plain(F.col("label")).alias("label"), "scalar")
     scalars = scalars.where(F.col("label").isin([plain(c) for c in columns]))
-    joined = objects.join(scalars, ["row_id", "node_id"], "left")
     picks = [F.max(F.when(F.col("label") == plain(c), F.col("scalar"))).alias(c) for c in columns]
-    return joined.groupBy("row_id", "node_id", "parent_key", "child_key").agg(*picks)
+    return members.join(scalars, ["payload_id", "node_id"], "left").groupBy("payload_id", "row_id", "node_id", "parent_key", "child_key").agg(*picks)
+
+
+def entities(nodes: DataFrame, source: str) -> dict[str, DataFrame]:
+    """The entity tables of a source by kind: ``(payload_id, row_id, node_id, parent_key, child_key, <scalars>)``, all scalars as strings.
+
+    Member nodes are joined with their scalar children and pivoted; a scalar
+    missing or null in an object is null. Of one name in two spellings the
+    greater value is taken. ``parent_key`` is the ``child_key`` of the member
+    that holds the collection, ``root`` below the record.
+    """
+    roots = nodes.where("depth = 0 AND shape = 'object'").select("payload_id", "node_id", F.lit("root").alias("key"))
+    out: dict[str, DataFrame] = {}
+    members: dict[str, DataFrame] = {}
+    for collection, kind, above in COLLECTIONS[source]:
+        owners = roots if above is None else roots.unionByName(members[above].select("payload_id", "node_id", F.col("child_key").alias("key")))
+        members[kind] = _members(nodes, owners, collection)
+        out[kind] = _pivoted(members[kind], nodes, kind)
+    return out
+
+
+def shredded(df: DataFrame, source: str, id_col: str, payload_col: str = "payload") -> dict[str, DataFrame]:
+    """The entity tables of ``df``'s payloads; payloads are parsed once, and what members need of them is written once."""
+    return entities(durable(adjacency(df, source, id_col, payload_col, members_only=True)), source)
+
+
+def found_members(tables: dict[str, DataFrame], source: str) -> DataFrame:
+    """``(source_table, row_id, child_kind, parent_key, child_key)``: a row for each row of the entity tables."""
+    parts = [t.select(F.lit(source).alias("source_table"), "row_id", F.lit(kind).alias("child_kind"), "parent_key", "child_key") for kind, t in tables.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

@@ -16,31 +16,34 @@ registry = Registry()
 query = registry.add
 
 
+SOURCES = (("parse_results", "result_id"), ("segment_debug", "debug_id"))
+
+
 @query()
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    runs, debug = (shredding.found_members(shredding.adjacency(table(spark, d, s), s, i), s) for s, i in (("parse_results", "result_id"), ("segment_debug", "debug_id")))
+    runs, debug = (shredding.found_members(shredding.shredded(table(spark, d, s), s, i), s) for s, i in SOURCES)
     return runs.unionByName(debug)
 
 
 @query()
 def p3_pages(spark: SparkSession, d: str) -> DataFrame:
-    return shredding.entities(shredding.adjacency(table(spark, d, "parse_results"), "parse_results", "result_id"), "page")
+    return shredding.shredded(table(spark, d, "parse_results"), *SOURCES[0])["page"].drop("payload_id")
 
 
 @query()
 def p3_visual_elements(spark: SparkSession, d: str) -> DataFrame:
-    return shredding.entities(shredding.adjacency(table(spark, d, "parse_results"), "parse_results", "result_id"), "visual_element")
+    return shredding.shredded(table(spark, d, "parse_results"), *SOURCES[0])["visual_element"].drop("payload_id")
 
 
 @query()
 def p3_vlm_results(spark: SparkSession, d: str) -> DataFrame:
-    return shredding.entities(shredding.adjacency(table(spark, d, "segment_debug"), "segment_debug", "debug_id"), "vlm_result")
+    return shredding.shredded(table(spark, d, "segment_debug"), *SOURCES[1])["vlm_result"].drop("payload_id")
 
 
 @query()
 def p3_nodes(spark: SparkSession, d: str) -> DataFrame:
     """All nodes of all payloads, for whatever the entity tables have no column for; these have the same ``row_id`` and ``node_id``."""
-    runs, debug = (shredding.adjacency(table(spark, d, s), s, i).select(F.lit(s).alias("source_table"), F.col("row_id").cast("string").alias("row_id"), *(c for c in NODE_COLUMNS if c != "row_id")) for s, i in (("parse_results", "result_id"), ("segment_debug", "debug_id")))
+    runs, debug = (shredding.adjacency(table(spark, d, s), s, i).select(F.lit(s).alias("source_table"), F.col("row_id").cast("string").alias("row_id"), *(c for c in NODE_COLUMNS if c not in ("row_id", "payload_id"))) for s, i in SOURCES)
     return runs.unionByName(debug)
 
 
