@@ -20,7 +20,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quirelake.common import durable
+from quirelake.common import durable, sent_if_small
 
 #: Tokens in a passage window, and the step from one window to the next.
 WINDOW, STEP = 12, 6
@@ -152,12 +152,12 @@ def filler_words(cells: DataFrame) -> DataFrame:
     windows with two or more words known so far, and learns the words of which
     ``FILLER_SEEN`` windows, and ``FILLER_SHARE`` of all their windows, are such.
     """
-    known = cells.sparkSession.range(1).select(F.explode(F.array_distinct(F.split(F.lit(FILLER_SEEDS), " "))).alias("term"))
+    known = F.broadcast(cells.sparkSession.range(1).select(F.explode(F.array_distinct(F.split(F.lit(FILLER_SEEDS), " "))).alias("term")))
     for _ in range(ROUNDS):
-        filled = cells.join(known, "term", "left_semi").groupBy("text_id", "window").agg(F.count("*").alias("n")).where("n >= 2").select("text_id", "window")
-        beside = cells.join(filled, ["text_id", "window"], "left_semi").groupBy("term").agg(F.count("*").alias("m")).where(F.col("m") >= FILLER_SEEN)
+        filled = sent_if_small(cells.join(known, "term", "left_semi").groupBy("text_id", "window").agg(F.count("*").alias("n")).where("n >= 2").select("text_id", "window"))
+        beside = sent_if_small(cells.join(filled, ["text_id", "window"], "left_semi").groupBy("term").agg(F.count("*").alias("m")).where(F.col("m") >= FILLER_SEEN))
         everywhere = cells.join(beside.select("term"), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n"))
-        known = durable(beside.join(everywhere, "term").where(F.col("m") >= FILLER_SHARE * F.col("n")).select("term"))
+        known = sent_if_small(everywhere.join(beside, "term").where(F.col("m") >= FILLER_SHARE * F.col("n")).select("term"))
     return known
 
 
@@ -173,9 +173,9 @@ def score_windows(records: DataFrame, text_col: str = "body", background: DataFr
     # A window that holds CONTAINED of an exemplar has one of the heaviest terms that together weigh more than the rest may; only those are searched.
     before = F.coalesce(F.sum("w").over(Window.partitionBy("exemplar").orderBy(F.desc("w"), "term").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     searched = postings.withColumn("before", before).where(F.col("before") <= (1 - CONTAINED) * F.col("mass") + 1e-6).select("term", "exemplar")
-    hits = tokens.select("text_id", F.explode(_terms(F.col("tokens"))).alias("term")).join(F.broadcast(searched), "term").select("text_id", "exemplar").distinct()
+    hits = sent_if_small(tokens.select("text_id", F.explode(_terms(F.col("tokens"))).alias("term")).join(F.broadcast(searched), "term").select("text_id", "exemplar").distinct())
     exemplars = postings.groupBy("exemplar", "kind", "mass").agg(F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("weights"))
-    matched = hits.join(tokens, "text_id").join(F.broadcast(exemplars), "exemplar")
+    matched = tokens.join(hits, "text_id").join(F.broadcast(exemplars), "exemplar")
 
     def shared(window: Column) -> Column:
         return F.aggregate(_terms(window), F.lit(0.0), lambda mass, term: mass + F.coalesce(F.try_element_at("weights", term), F.lit(0.0)))
@@ -184,7 +184,7 @@ def score_windows(records: DataFrame, text_col: str = "body", background: DataFr
     best = matched.groupBy("text_id").agg(F.max(F.when(F.col("kind") == "residue", F.col("contained"))).alias("residue"), F.max(F.when(F.col("kind") == "clean", F.col("contained"))).alias("clean"))
     filler = _filler_cover(tokens)
     keyed = records.where(F.col(text_col).isNotNull()).select("source_table", "row_id", F.md5(text_col).alias("text_id"))
-    scored = keyed.join(best.join(filler, "text_id", "full"), "text_id")
+    scored = keyed.join(sent_if_small(best.join(filler, "text_id", "full")), "text_id")
     return scored.groupBy("source_table", "row_id").agg(F.max("residue").alias("residue"), F.max("clean").alias("clean"), F.max("filler").alias("filler"))
 
 
@@ -198,14 +198,14 @@ def _filler_cover(tokens: DataFrame) -> DataFrame:
     starts = F.sequence(F.lit(0), F.size("tokens") - 1, F.lit(WINDOW))
     apart = tokens.select("text_id", F.posexplode(F.transform(starts, lambda k: F.array_distinct(F.slice("tokens", k + 1, F.lit(WINDOW))))).alias("window", "words"))
     cells = durable(apart.select("text_id", "window", F.explode("words").alias("term")))
-    own = cells.join(filler_words(cells), "term", "left_semi").groupBy("text_id").agg(F.collect_set("term").alias("own")).where(F.size("own") >= FILLER_WORDS)
+    own = sent_if_small(cells.join(filler_words(cells), "term", "left_semi").groupBy("text_id").agg(F.collect_set("term").alias("own")).where(F.size("own") >= FILLER_WORDS), 20_000)
 
     def cover(window: Column) -> Column:
         words = F.array_distinct(window)
         known = F.size(F.array_intersect(words, F.col("own")))
         return F.when(known >= FILLER_WORDS, known / F.size(words))
 
-    return own.join(tokens, "text_id").select("text_id", F.array_max(F.transform(_windows(F.col("tokens")), cover)).alias("filler")).where("filler IS NOT NULL")
+    return tokens.join(own, "text_id").select("text_id", F.array_max(F.transform(_windows(F.col("tokens")), cover)).alias("filler")).where("filler IS NOT NULL")
 
 
 def residue_records(records: DataFrame, text_col: str = "body", background: DataFrame | None = None) -> DataFrame:
@@ -223,4 +223,4 @@ def residue_records(records: DataFrame, text_col: str = "body", background: Data
 
 def without_residue(records: DataFrame, text_col: str = "body", background: DataFrame | None = None) -> DataFrame:
     """``records`` without those that ``residue_records`` finds; other columns stay."""
-    return records.join(residue_records(records, text_col, background), ["source_table", "row_id"], "left_anti")
+    return records.join(sent_if_small(residue_records(records, text_col, background)), ["source_table", "row_id"], "left_anti")
