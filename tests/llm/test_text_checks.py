@@ -58,11 +58,45 @@ def test_scan_noise(spark):
     assert scan_noise.found_noise(scanned.limit(0), clean).count() == 0
 
 
-def test_decoder_splits_and_merges():
-    d = scan_noise.Decoder({"open": 500, "points": 500, "controller": 300, "the": 900})
-    assert [w for _, _, w in d.decode(["thepoints"], [])] == ["the points"]
-    assert [w for _, _, w in d.decode(["cont", "roller"], [" "])] == ["controller"]
-    assert [w for _, _, w in d.decode(["contr", "o11er"], ["-"])] == ["controller"]
+def test_decoder_reads_the_stream():
+    d = scan_noise.Decoder({"points": 500, "controller": 300, "the": 900})
+
+    def read(text):
+        shown, lines = zip(*((t, n) for n, line in enumerate(text.split("\n")) for t in line.split()))
+        return [(s.first, s.last, s.word) for s in d.decode(list(shown), list(lines))]
+
+    assert read("the cont roller") == [(0, 0, None), (1, 2, "controller")]
+    assert read("contr-\no11er points") == [(0, 1, "controller"), (2, 2, None)]
+    assert read("contr-\nol ler the") == [(0, 2, "controller"), (3, 3, None)]
+    d.settled = {"thepoints\u0002\u0004": "the points"}
+    assert read("thepoints the") == [(0, 0, "the points"), (1, 1, None)]
+
+
+def test_stream_is_repaired_through_the_queries(spark):
+    clean = spark.createDataFrame([("The points of the controller are in the list. The valve is shut. " * 30,)], "body string")
+    texts = ["See thepoints of the list.", "The cont roller is shut.", "The contr- oller and the contr-\noller are shut.", "The c0nt roller, the contr-\no11er.", "THE P0INTS: (C0ntroller)!"]
+    rows = [("segments", n, t, "d1", 1) for n, t in enumerate(texts)]
+    scanned = spark.createDataFrame(rows, "source_table string, row_id bigint, body string, document_id string, page_number int")
+    text = {r.row_id: r.content for r in scan_noise.repaired_paragraphs(scanned, clean).collect()}
+    assert text[0] == "See the points of the list."
+    assert text[1] == "The controller is shut."
+    assert text[2].endswith("and the controller are shut.")
+    assert text[3].endswith("the controller.")
+    assert text[4] == "THE POINTS: (Controller)!"
+    found = {(r.row_id, r.noise, r["item"]) for r in scan_noise.found_noise(scanned, clean).collect()}
+    assert {(2, "hyphenation", "controller"), (3, "hyphenation", "controller"), (3, "misread", "controller"), (4, "misread", "points"), (4, "misread", "controller")} <= found
+    assert not [f for f in found if f[0] in (0, 1)]
+
+
+def test_paragraph_of_many_lines():
+    lines = ["and so the long line of words goes on to the very end"] * 200
+    assert scan_noise.paragraphs(lines) == [list(range(200))]
+    blocks = [*lines[:90], "", *lines[:70]]
+    assert [len(p) for p in scan_noise.paragraphs(blocks)] in ([90, 70], [160])
+    rng = random.Random(3)
+    for _ in range(40):
+        some = [rng.choice(["", "A short one.", "and so the long line of words goes on", "Then it ends here, at last."]) for _ in range(rng.randint(1, 9))]
+        assert [k for p in scan_noise.paragraphs(some) for k in p] == [k for k, line in enumerate(some) if line]
 
 
 def test_queries_run(spark, data):
@@ -80,9 +114,9 @@ def test_residue_that_many_texts_hold(spark):
     assert found == set(range(len(family)))
 
 
-def test_broken_words_are_merged(spark):
+def test_broken_words_are_merged():
     d = scan_noise.Decoder({"the": 900, "controller": 300, "runs": 200, "well": 200})
-    for broken in ("The contr oller runs well.", "The cont ro11er runs well.".replace("11", "ll")):
+    for broken in ("The contr oller runs well.", "The cont roller runs well."):
         assert scan_noise.scan(broken, frozenset(), None, True, d)[2] == ["The controller runs well."]
     assert scan_noise.scan("The contr-\noller oller runs well.", frozenset(), None, True, d)[2] == ["The controller oller runs well."]
     assert scan_noise.scan("The blonk runs well.", frozenset(), None, True, d)[2] == ["The blonk runs well."]
