@@ -10,6 +10,7 @@ foreign break a run.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from itertools import groupby
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quirelake.llm.bigru import Weights, pooled_probabilities, train
+from quirelake.llm.bigru import Weights, gate_tables, pooled_probabilities, train
 from quirelake.llm.sampling import draw
 from quirelake.llm.sentences import running_sentences
 
@@ -35,13 +36,15 @@ NAMES = {
     "pt": "por portuguese português portugues",
 }
 
-#: Bounds of the sample the network is fitted on besides the clean samples: labelled documents, and sentences of each language and of each document.
-SAMPLE_DOCUMENTS, SAMPLE_SENTENCES, SAMPLE_PER_DOCUMENT = 4000, 500, 4
+#: Bounds of the sample the network is fitted on: different clean texts, different labelled documents, and of the latter sentences of each language and of each document.
+SAMPLE_CLEAN, SAMPLE_DOCUMENTS, SAMPLE_SENTENCES, SAMPLE_PER_DOCUMENT = 4000, 4000, 500, 4
 #: Probability with which a sentence is in another language than the one before.
 SWITCH = 0.02
 #: Sentences that a Python worker remembers.
 MEMORY = 100_000
 _DIGITS = re.compile(r"\d")
+#: The network fitted last, by the digest of what it was fitted on.
+_FITTED: dict[bytes, Weights] = {}
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -61,17 +64,17 @@ def _key(sentence: str) -> bytes:
 def fit(samples: DataFrame, documents: DataFrame | None = None, text_col: str = "text", label_col: str = "lang") -> tuple[list[str], Weights]:
     """Languages and the network that tells them apart.
 
-    ``samples`` has clean ``lang`` and ``text``, few rows. ``documents`` adds a
-    bounded sample of rows labelled with a plain code; their labels are partly
-    wrong, so the network of a first round keeps only the sentences it agrees
+    ``samples`` has clean ``lang`` and ``text``, of which at most
+    ``SAMPLE_CLEAN`` are read. ``documents`` adds a bounded sample of rows
+    labelled with a plain code; their labels are partly wrong, so the network of a first round keeps only the sentences it agrees
     with, and goes on with them.
     """
-    clean = samples.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text").toPandas()
+    clean = draw(samples.where("lang IS NOT NULL"), "text", SAMPLE_CLEAN, ["lang"]).toPandas().sort_values(["spot", "lang"], kind="stable")
     codes = sorted(set(clean.lang))
     rows = [(s, lang, True) for lang, text in zip(clean.lang, clean.text, strict=True) for s in running_sentences(text) or [text]]
     if documents is not None:
         coded = documents.where(F.col(label_col).isin(codes)).select(F.col(label_col).alias("lang"), F.col(text_col).alias("text"))
-        labelled = draw(coded, "text", SAMPLE_DOCUMENTS, coded.count()).toPandas().sort_values(["spot", "lang"], kind="stable").head(SAMPLE_DOCUMENTS)
+        labelled = draw(coded, "text", SAMPLE_DOCUMENTS, ["lang"]).toPandas().sort_values(["spot", "lang"], kind="stable")
         counts = dict.fromkeys(codes, 0)
         for lang, text in zip(labelled.lang, labelled.text, strict=True):
             for s in running_sentences(text)[:SAMPLE_PER_DOCUMENT]:
@@ -82,11 +85,17 @@ def fit(samples: DataFrame, documents: DataFrame | None = None, text_col: str =
         rows = [(" ", "und", True)]
         codes = ["und"]
     sequences = [_key(s) for s, _, _ in rows]
+    # One driver that runs several queries on the same sample fits once.
+    mark = hashlib.sha256(repr((codes, rows)).encode()).digest()
+    if mark in _FITTED:
+        return codes, _FITTED[mark]
     labels, sure = np.array([codes.index(lang) for _, lang, _ in rows]), np.array([c for _, _, c in rows])
     weights = train(sequences, labels, len(codes), epochs=6)
     keep = sure | (pooled_probabilities(weights, sequences).argmax(axis=1) == labels)
     kept = [s for s, k in zip(sequences, keep, strict=True) if k]
-    return codes, train(kept, labels[keep], len(codes), epochs=8, rate=0.01, start=weights)
+    _FITTED.clear()
+    _FITTED[mark] = train(kept, labels[keep], len(codes), epochs=8, rate=0.01, start=weights)
+    return codes, _FITTED[mark]
 
 
 def best_path(p: np.ndarray) -> list[int]:
@@ -118,6 +127,7 @@ def label_languages(records: DataFrame, codes: list[str], weights: Weights) -> D
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, tuple[int, float, np.ndarray]] = {}
+        tables = gate_tables(weights)
         for batch in batches:
             texts = batch.column("body").to_pylist()
             keys = []
@@ -133,7 +143,7 @@ def label_languages(records: DataFrame, codes: list[str], weights: Weights) -> D
                 known = {}
                 fresh = list({k for row in keys if row is not None for k in (row if isinstance(row, list) else [row])})
             if fresh:
-                p = pooled_probabilities(weights, fresh).astype(np.float32)
+                p = pooled_probabilities(weights, fresh, tables=tables).astype(np.float32)
                 known.update(zip(fresh, zip(p.argmax(axis=1).tolist(), p.max(axis=1).tolist(), p, strict=True), strict=True))
             out: list[tuple] = []
             for n, row in enumerate(keys):

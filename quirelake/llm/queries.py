@@ -109,8 +109,8 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _subjects(spark: SparkSession, d: str) -> DataFrame:
-    documents = table(spark, d, "documents")
-    return subjects.document_subjects(documents, subjects.mine_rules(table(spark, d, "subject_examples"), documents))
+    cut = subjects.cut_sentences(table(spark, d, "documents"))
+    return subjects.document_subjects(cut, subjects.mine_rules(table(spark, d, "subject_examples"), cut))
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:

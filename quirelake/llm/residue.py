@@ -168,7 +168,8 @@ def score_windows(records: DataFrame, text_col: str = "body", background: DataFr
     """
     # Equal texts have equal scores, so each different text is scored once; it is cut into tokens once, for all that follows.
     texts = records.where(F.col(text_col).isNotNull()).select(text_col).distinct().withColumn("text_id", F.md5(text_col))
-    tokens = durable(texts.select("text_id", tokens_of(F.col(text_col)).alias("tokens")).where(F.size("tokens") > 0))
+    # What has none is left out afterwards, since a filter would be moved before the distinct and cut all copies.
+    tokens = durable(texts.select("text_id", tokens_of(F.col(text_col)).alias("tokens"))).where(F.size("tokens") > 0)
     postings = durable(exemplar_index(records.sparkSession, background))
     # A window that holds CONTAINED of an exemplar has one of the heaviest terms that together weigh more than the rest may; only those are searched.
     before = F.coalesce(F.sum("w").over(Window.partitionBy("exemplar").orderBy(F.desc("w"), "term").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))

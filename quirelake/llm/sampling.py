@@ -1,4 +1,4 @@
-"""Bounded samples of rows, drawn by the hash of their text."""
+"""Bounded samples of different rows, drawn by the hash of their text."""
 
 from __future__ import annotations
 
@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def draw(rows: DataFrame, text_col: str, size: int, of: int) -> DataFrame:
-    """About ``1.2 * size`` of the ``of`` rows with a text, all if there are no more, with their hash as ``spot``.
+def draw(rows: DataFrame, text_col: str, size: int, more: list[str]) -> DataFrame:
+    """At most ``size`` of the rows with a text, all if there are no more, with ``more`` columns and the hash of the text as ``spot``.
 
-    Each partition gives its share, whatever the number of partitions, and the
-    same rows are drawn each time.
+    Texts in many copies are drawn once for each different ``more``. The same
+    rows are drawn each time: those with the least hashes. Each task keeps no
+    more than ``size`` rows, and the texts are read for the drawn rows only.
     """
-    rate = min(1.0, 1.2 * size / max(1, of))
-    bound = min(2**63 - 1, int((2 * rate - 1) * 2**63))
-    return rows.where(F.col(text_col).isNotNull()).withColumn("spot", F.xxhash64(text_col)).where(F.col("spot") <= F.lit(bound))
+    keyed = rows.where(F.col(text_col).isNotNull()).withColumn("spot", F.xxhash64(text_col))
+    picked = keyed.groupBy("spot", *more).agg(F.count("*").alias("copies")).orderBy("spot", *more).limit(size).drop("copies")
+    found = keyed.join(F.broadcast(picked), ["spot", *more], "left_semi")
+    return found.groupBy("spot", *more).agg(F.min(text_col).alias(text_col))

@@ -64,4 +64,4 @@ def running_sentences(text: str | None) -> list[str]:
         rest = block[begin:].rstrip()
         if rest and _CLOSED.search(rest):
             out.append(rest)
-    return [s for s in out if len(_WORDS.findall(s[:200])) >= 2]
+    return [s for s in out if (first := _WORDS.search(s)) and _WORDS.search(s, first.end())]

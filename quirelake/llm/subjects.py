@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quirelake.common import durable
+from quirelake.llm.sampling import draw
 from quirelake.llm.sentences import running_sentences
 
 #: Least number of sentences with a word, least mean share of its subject in their documents, and least ratio of that to the subject's usual share, in the first round.
@@ -39,6 +40,8 @@ RIVAL = 0.6
 SEED = 0.8
 #: Most words in a rule, and the number of groups that conditional transactions are spread over.
 MAX_WORDS, GROUPS = 3, 256
+#: Most labelled examples that are read.
+SAMPLE_EXAMPLES = 20_000
 #: Part of the running sentences that must deal with a subject.
 SHARE = 0.25
 #: Sentences that a Python worker remembers, and transactions that a task sums up before it passes the sums on.
@@ -46,7 +49,6 @@ MEMORY, HELD = 200_000, 100_000
 
 _WORD = re.compile(r"[^\W\d_]{2,}(?:['’][^\W\d_]+)?")
 _QUOTED = re.compile(r"[\"„“«][^\"“”»„«]{1,80}[\"“”»]")
-_DIGITS = re.compile(r"\d+")
 
 
 def words_of(sentence: str) -> list[str]:
@@ -63,9 +65,8 @@ class Rules:
     several: dict[str, list[tuple[frozenset[str], int, float]]]  # first word: rest of the words, subject, weight
     enough: float = 1.0  # evidence at which the calibrated probability reaches a half
 
-    def evidence(self, words: Iterable[str]) -> dict[int, float]:
+    def evidence(self, words: list[str]) -> dict[int, float]:
         """The summed weight of the matching rules of each subject."""
-        words = list(words)
         out: dict[int, float] = {}
         for w in words:
             if (hit := self.single.get(w)) is not None:
@@ -76,9 +77,9 @@ class Rules:
                         out[subject] = out.get(subject, 0.0) + weight
         return out
 
-    def subjects_of(self, sentence: str) -> tuple[int, ...]:
-        """The subjects the sentence deals with: those whose calibrated probability is at least a half."""
-        return tuple(k for k, e in self.evidence(words_of(sentence)).items() if e >= self.enough)
+    def subjects_of(self, words: list[str]) -> tuple[int, ...]:
+        """The subjects a sentence of these words deals with: those whose calibrated probability is at least a half."""
+        return tuple(k for k, e in self.evidence(words).items() if e >= self.enough)
 
 
 def seed_rules(examples: list[tuple[int, list[str]]], n: int) -> dict[str, tuple[int, float]]:
@@ -189,13 +190,29 @@ def _calibrate(rules: Rules, examples: list[tuple[int, list[str]]]) -> float:
     return next((x for x, y, n in blocks if y >= 0.5 * n and x > 0), 1.0)
 
 
-def mine_rules(examples: DataFrame, documents: DataFrame, text_col: str = "text") -> Rules:
-    """The rules for all subjects of ``examples`` (``subject``, ``text``; few rows), mined from them and all ``documents``.
+def cut_sentences(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(row_key, sentences)``: the words of every running sentence of a document, joined by blanks, written once to the shared folder.
+
+    Mining and scoring both read them. Null and empty texts have no sentences.
+    """
+    kind = documents.schema[id_col].dataType.simpleString()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            listed = [[" ".join(words_of(s)) for s in running_sentences(text)] for text in batch.column("body").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("row_key"), pa.array(listed, pa.list_(pa.string()))], names=["row_key", "sentences"])
+
+    rows = documents.select(F.col(id_col).alias("row_key"), F.col(text_col).alias("body"))
+    return durable(rows.mapInArrow(cut, f"row_key {kind}, sentences array<string>"))
+
+
+def mine_rules(examples: DataFrame, cut: DataFrame) -> Rules:
+    """The rules for all subjects of ``examples`` (``subject``, ``text``; at most ``SAMPLE_EXAMPLES`` different ones are read), mined from them and all documents as ``cut``.
 
     Rows with null subject or text teach nothing. Without documents, or where
     those have no known words, the rules are those of the examples.
     """
-    known = examples.where("subject IS NOT NULL AND text IS NOT NULL").select("subject", "text").toPandas()
+    known = draw(examples.where("subject IS NOT NULL"), "text", SAMPLE_EXAMPLES, ["subject"]).toPandas().sort_values(["spot", "subject"], kind="stable")
     subjects = sorted(set(known.subject))
     n = len(subjects)
     taught = [(subjects.index(s), words_of(x)) for s, t in zip(known.subject, known.text, strict=True) for x in running_sentences(t) or [t]]
@@ -204,13 +221,6 @@ def mine_rules(examples: DataFrame, documents: DataFrame, text_col: str = "text"
     if not n:
         return first
 
-    def sentences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pd.DataFrame({"sentences": [[" ".join(words_of(s)) for s in running_sentences(text)] for text in pdf.text]})
-
-    # Every round reads the words of all sentences, so they are cut and written once to the shared folder.
-    cut = durable(documents.where(F.col(text_col).isNotNull()).select(F.col(text_col).alias("text")).mapInPandas(sentences, "sentences array<string>"))
-
     def labelled(pdf: pd.DataFrame, single: dict[str, int]) -> Iterator[tuple[list[list[str]], list[tuple[int, float]]]]:
         """Each labelled document's different sentences, and its subjects with their shares of all its sentences."""
         for listed in pdf.sentences:
@@ -279,29 +289,40 @@ def mine_rules(examples: DataFrame, documents: DataFrame, text_col: str = "text"
     ranked = open_.word.tolist()
     rank = {w: k for k, w in enumerate(ranked)}
 
-    def condition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The group-dependent transactions of parallel frequent-pattern growth: for each group the longest prefix that ends in one of its words, equal ones summed up."""
-        held: dict[tuple[int, tuple[int, ...]], list[float]] = {}
-        names = ["grp", "words", "sums"]
+    def transact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The ranked words of every labelled sentence with its document's shares; equal ones are summed up before they leave the task."""
+        held: dict[tuple[int, ...], list[float]] = {}
         for pdf in batches:
             for listed, shares in labelled(pdf, labels):
                 for words in listed:
-                    items = tuple(sorted(rank[w] for w in words if w in rank))
-                    seen = set()
-                    for at in range(len(items) - 1, 0, -1):
-                        group = items[at] % GROUPS
-                        if group not in seen:
-                            seen.add(group)
-                            sums = held.get(key := (group, items[: at + 1]))
-                            if sums is None:
-                                sums = held[key] = [0.0] * (n + 1)
-                            sums[0] += 1
-                            for k, v in shares:
-                                sums[k + 1] += v
+                    items = tuple(sorted([rank[w] for w in words if w in rank]))
+                    if len(items) > 1:
+                        sums = held.get(items)
+                        if sums is None:
+                            sums = held[items] = [0.0] * (n + 1)
+                        sums[0] += 1
+                        for k, v in shares:
+                            sums[k + 1] += v
                 if len(held) > HELD:
-                    yield pd.DataFrame([(*key, sums) for key, sums in held.items()], columns=names)
+                    yield pd.DataFrame(held.items(), columns=["words", "sums"])
                     held.clear()
-        yield pd.DataFrame([(*key, sums) for key, sums in held.items()], columns=names)
+        yield pd.DataFrame(held.items(), columns=["words", "sums"])
+
+    def condition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The group-dependent transactions of parallel frequent-pattern growth: for each group the longest prefix that ends in one of its words."""
+        for pdf in batches:
+            held: dict[tuple[int, tuple[int, ...]], list[float]] = {}
+            for words, *sums in pdf.itertuples(index=False):
+                items = tuple(words.tolist())
+                seen = set()
+                for at in range(len(items) - 1, 0, -1):
+                    group = items[at] % GROUPS
+                    if group not in seen:
+                        seen.add(group)
+                        key = (group, items[: at + 1])
+                        there = held.get(key)
+                        held[key] = sums if there is None else [x + y for x, y in zip(there, sums, strict=True)]
+            yield pd.DataFrame([(*key, sums) for key, sums in held.items()], columns=["grp", "words", "sums"])
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         group = int(pdf.grp.iloc[0])
@@ -310,7 +331,9 @@ def mine_rules(examples: DataFrame, documents: DataFrame, text_col: str = "text"
         rows = [([ranked[k] for k in p], s) for p, s in fp_growth(pairs, support_set, MAX_WORDS, own) if _conclusion(s, usual, support_set, CONFIDENCE_SET) is not None]
         return pd.DataFrame(rows, columns=["words", "sums"])
 
-    grown = cut.mapInPandas(condition, "grp int, words array<int>, sums array<double>").groupBy("grp").applyInPandas(grow, "words array<string>, sums array<double>").toPandas()
+    # Most sentences are equal once their rare words are gone, so they are summed up before each becomes several transactions.
+    sentences_of = cut.mapInPandas(transact, "words array<int>, sums array<double>").groupBy("words").agg(*totals)
+    grown = sentences_of.mapInPandas(condition, "grp int, words array<int>, sums array<double>").groupBy("grp").applyInPandas(grow, "words array<string>, sums array<double>").toPandas()
     several: dict[str, list[tuple[frozenset[str], int, float]]] = defaultdict(list)
     for words, sums in sorted(zip(grown.words, grown.sums, strict=True), key=lambda x: (len(x[0]), list(x[0]))):
         subject, confidence = _conclusion(list(sums), usual, support_set, CONFIDENCE_SET)
@@ -324,28 +347,25 @@ def mine_rules(examples: DataFrame, documents: DataFrame, text_col: str = "text"
     return replace(mined, enough=_calibrate(mined, taught))
 
 
-def document_subjects(documents: DataFrame, rules: Rules, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id_col, subject, share, n_sentences)``: the subjects that at least ``SHARE`` of a document's running sentences deal with.
+def document_subjects(cut: DataFrame, rules: Rules, id_col: str = "doc_id") -> DataFrame:
+    """``(id_col, subject, share, n_sentences)``: the subjects that at least ``SHARE`` of the running sentences of a document, as ``cut``, deal with.
 
-    Null and empty texts and texts without running sentences have none.
-    Repeated ids each give their rows; other columns are not read.
+    Texts without running sentences have none. Repeated ids each give their rows.
     """
-    kind = documents.schema[id_col].dataType.simpleString()
+    kind = cut.schema["row_key"].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, tuple[int, ...]] = {}
         for batch in batches:
             spots, subjects, shares, sizes = [], [], [], []
-            for spot, text in enumerate(batch.column("body").to_pylist()):
-                sentences = running_sentences(text)
+            for spot, sentences in enumerate(batch.column("sentences").to_pylist()):
                 counts: dict[int, int] = {}
                 for sentence in sentences:
-                    key = _DIGITS.sub("0", sentence)
-                    found = known.get(key)
+                    found = known.get(sentence)
                     if found is None:
                         if len(known) >= MEMORY:
                             known.clear()
-                        found = known[key] = rules.subjects_of(key)
+                        found = known[sentence] = rules.subjects_of(sentence.split())
                     for k in found:
                         counts[k] = counts.get(k, 0) + 1
                 for k in sorted(counts):
@@ -357,8 +377,7 @@ def document_subjects(documents: DataFrame, rules: Rules, id_col: str = "doc_id"
             keys = batch.column("row_key").take(pa.array(spots, pa.int64()))
             yield pa.RecordBatch.from_arrays([keys, pa.array(subjects, pa.string()), pa.array(shares, pa.float64()), pa.array(sizes, pa.int32())], names=[id_col, "subject", "share", "n_sentences"])
 
-    rows = documents.select(F.col(id_col).alias("row_key"), F.col(text_col).alias("body"))
-    return rows.mapInArrow(score, f"`{id_col}` {kind}, subject string, share double, n_sentences int")
+    return cut.mapInArrow(score, f"`{id_col}` {kind}, subject string, share double, n_sentences int")
 
 
 def composition(found: DataFrame, documents: DataFrame) -> DataFrame:

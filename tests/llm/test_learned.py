@@ -10,7 +10,7 @@ from quirelake.llm import bigru, languages, queries, sentences, subjects
 def test_gradients_equal_differences():
     rng = np.random.default_rng(0)
     h, c = 3, 4
-    shapes = [(512, 3 * h), (h, 3 * h), (h,)] * 2 + [(2 * h, c), (c,)]
+    shapes = [(512, 3 * h), (h, 3 * h), (h,)] * 2 + [(2 * h, 2 * c), (2 * c,)]
     values = [rng.normal(0, 0.5, s).astype(np.float64) for s in shapes]
     x, mask = bigru.pack([b"hello", b"ab", b"xyz!"])
     y = np.array([0, 3, 1])
@@ -29,11 +29,17 @@ def test_gradients_equal_differences():
 def test_inference_equals_training_pass():
     w = bigru.train([b"aaaa bbbb", b"cccc dddd"] * 4, np.array([0, 1] * 4), 2, hidden=4, epochs=2)
     x, mask = bigru.pack([b"aaaa bb", b"c"])
-    forward, backward = bigru._run(w, 0, x, mask, False)[0], bigru._run(w, 1, x, mask, False)[0]
-    logits = np.concatenate([forward, backward], axis=2) @ w.out + w.out_bias
-    p = np.exp(logits) / np.exp(logits).sum(axis=2, keepdims=True)
+    forward, backward = (bigru._run(w, side, x, mask[:, :, 0], False)[0] for side in (0, 1))
+    logits = (np.concatenate([forward, backward], axis=2) @ w.out + w.out_bias).reshape(*mask.shape, 2)
+    p = np.exp(logits) / np.exp(logits).sum(axis=3, keepdims=True)
     assert np.abs(bigru.position_probabilities(w, x, mask) - p)[mask > 0].max() < 1e-4
     assert np.allclose(bigru.pooled_probabilities(w, [b""]), 0.5)
+    # A long sequence is read whole, and each of its positions counts once.
+    long = b"aaaa bbbb cccc dddd " * 60
+    x, mask = bigru.pack([long])
+    whole = bigru.position_probabilities(w, x, mask)
+    assert whole.shape == (len(long) // 2, 1, 2, 2) and np.abs(whole[:, :, 0] - whole[:, :, 1]).max() > 1e-3
+    assert np.allclose(bigru.pooled_probabilities(w, [b"a", long, b"cc"], cells=100)[1], whole.mean(axis=(0, 1, 2)), atol=1e-5)
 
 
 def test_running_sentences():
@@ -91,9 +97,9 @@ def test_fp_growth_equals_brute_force():
 def test_held_out_subjects(spark, data):
     examples = table(spark, data, "subject_examples")
     taught, held = examples.where("example_id % 4 <> 0"), examples.where("example_id % 4 = 0")
-    rules = subjects.mine_rules(taught, table(spark, data, "documents"))
+    rules = subjects.mine_rules(taught, subjects.cut_sentences(table(spark, data, "documents")))
     found = {}
-    for r in subjects.document_subjects(held, rules, "example_id", "text").collect():
+    for r in subjects.document_subjects(subjects.cut_sentences(held, "example_id"), rules, "example_id").collect():
         found.setdefault(r.example_id, set()).add(r.subject)
     truth = {r.example_id: r.subject for r in held.collect()}
     hit = sum(s in found.get(k, ()) for k, s in truth.items())
@@ -104,9 +110,10 @@ def test_held_out_subjects(spark, data):
 def test_subjects_of_nothing(spark, data):
     examples = table(spark, data, "subject_examples")
     documents = spark.createDataFrame([(1, None, "x"), (2, "", "y"), (3, "12 | 13", "z")], "doc_id bigint, text string, subject string")
-    rules = subjects.mine_rules(examples, documents)
-    assert subjects.document_subjects(documents, rules).count() == 0
-    assert subjects.mine_rules(examples.limit(0), documents).subjects == []
+    cut = subjects.cut_sentences(documents)
+    rules = subjects.mine_rules(examples, cut)
+    assert subjects.document_subjects(cut, rules).count() == 0
+    assert subjects.mine_rules(examples.limit(0), cut).subjects == []
 
 
 def test_rules_come_from_all_documents(spark):
@@ -115,5 +122,5 @@ def test_rules_come_from_all_documents(spark):
     texts = [f"The {areas[k % 6]} stands in the hall. Today is a long day, number {k}." for k in range(12_000)]
     # Known by a word in 14 of 12,000 documents only.
     texts[:84:6] = [f"The anvil stands in the hall. The zephyrite came today, number {k}." for k in range(14)]
-    rules = subjects.mine_rules(examples, spark.createDataFrame([(t,) for t in texts], "text string"))
+    rules = subjects.mine_rules(examples, subjects.cut_sentences(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")))
     assert rules.single["zephyrite"][0] == rules.subjects.index("anvil")
