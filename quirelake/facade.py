@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirelake.operators import chunks, graph, vectors
+from quirelake.operators import chunks, graph, sparql, vectors
 from quirelake.sinks import export
 from quirelake.sources import files
 
@@ -25,7 +25,7 @@ class Engine:
         return chunks.assemble(chunks.pack_segments(segments, max_tokens), max_tokens=max_tokens, min_tokens=min_tokens)
 
     def sparql(self, query: str) -> DataFrame:
-        return graph.sparql(self.triples, query)
+        return sparql.run(self.triples, query)
 
     def search(self, vector: list[float], k: int = 10, least: float = 0.7) -> DataFrame:
         return vectors.top_similar(self.embeddings, vector, k, least)

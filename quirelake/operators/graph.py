@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import re
-from dataclasses import dataclass, field
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,98 +17,11 @@ def match(triples: DataFrame, subject: str | None = None, predicate: str | None
     return out
 
 
-def solve(triples: DataFrame, patterns: list[tuple[str, str, str]]) -> DataFrame:
-    """The bindings of a basic graph pattern; terms that begin with ``?`` are variables. Joins are on shared variables.
-
-    Patterns are taken in an order in which each shares a variable with those
-    before; patterns that share none raise ValueError, since every combination
-    would be a solution.
-    """
-    left, out = list(patterns), None
-    while left:
-        known = set(out.columns) if out is not None else set()
-        pattern = next((p for p in left if out is None or known & {t[1:] for t in p if t.startswith("?")}), None)
-        if pattern is None:
-            raise ValueError("the patterns have no variable in common")
-        left.remove(pattern)
-        rows, names = triples, {}
-        for column, term in zip(("subject", "predicate", "object"), pattern, strict=True):
-            if term.startswith("?"):
-                if term[1:] in names:
-                    rows = rows.where(F.col(column) == F.col(names[term[1:]]))
-                names.setdefault(term[1:], column)
-            else:
-                rows = rows.where(F.col(column) == term)
-        bound = rows.select(*(F.col(c).alias(n) for n, c in names.items())).distinct()
-        out = bound if out is None else out.join(bound, sorted(known & set(names)))
-    return out
-
-
-@dataclass
-class Sparql:
-    """What a supported query text says."""
-
-    form: str = "SELECT"
-    variables: list[str] = field(default_factory=list)
-    patterns: list[tuple[str, str, str]] = field(default_factory=list)
-    filters: list[tuple[str, str, str]] = field(default_factory=list)
-    distinct: bool = False
-    limit: int | None = None
-
-
-_TERM = r'(\?\w+|<[^>]*>|"(?:[^"\\]|\\.)*"|[^\s.;{}"]+)'
-
-
-def parse(text: str) -> Sparql:
-    """A SPARQL subset: SELECT [DISTINCT] or ASK, triple patterns, FILTER with = or CONTAINS, LIMIT. Other text raises ValueError."""
-    body = re.search(r"\{(.*)\}", text, re.S)
-    head = re.match(r"\s*(?:PREFIX\s+\S+\s+<[^>]*>\s*)*(SELECT|ASK)\b\s*(DISTINCT\b)?([^{]*?)(?:WHERE\s*)?\{", text, re.S | re.I)
-    if not body or not head:
-        raise ValueError("only SELECT and ASK queries with a group of patterns are supported")
-    query = Sparql(head.group(1).upper(), re.findall(r"\?(\w+)", head.group(3)), distinct=bool(head.group(2)))
-    inside = body.group(1)
-    for m in re.finditer(r'FILTER\s*\(\s*(?:CONTAINS\s*\(\s*(?:STR\s*\(\s*)?\?(\w+)\s*\)?\s*,\s*"([^"]*)"\s*\)|\?(\w+)\s*=\s*("(?:[^"]*)"|<[^>]*>|\S+?))\s*\)', inside, re.I):
-        query.filters.append((m.group(1), "contains", m.group(2)) if m.group(1) else (m.group(3), "=", _plain(m.group(4))))
-    inside = re.sub(r"FILTER\s*\((?:[^()]|\([^()]*(?:\([^()]*\))?[^()]*\))*\)\s*\.?", " ", inside, flags=re.I)
-    subject = predicate = None
-    for m in re.finditer(rf"{_TERM}\s+{_TERM}(?:\s+{_TERM})?\s*([.;]|$)", inside.strip()):
-        terms = [_plain(t) for t in m.groups()[:3] if t is not None]
-        if len(terms) == 3:
-            subject, predicate, value = terms
-        elif subject is not None:
-            predicate, value = terms
-        else:
-            raise ValueError(f"not a triple pattern: {m.group(0)!r}")
-        query.patterns.append((subject, predicate, value))
-        if m.group(4) == ".":
-            subject = subject if m.group(4) == ";" else subject
-    if not query.patterns:
-        raise ValueError("no triple pattern")
-    limit = re.search(r"\bLIMIT\s+(\d+)", text[body.end() :], re.I)
-    query.limit = int(limit.group(1)) if limit else None
-    return query
-
-
-def _plain(term: str) -> str:
-    return term[1:-1] if term[:1] in '<"' and len(term) > 1 else "rdf:type" if term == "a" else term
-
-
-def sparql(triples: DataFrame, text: str) -> DataFrame:
-    """The result of a query of the supported subset: the selected variables, or for ASK one row ``answer``."""
-    query = parse(text)
-    out = solve(triples, query.patterns)
-    for variable, kind, value in query.filters:
-        out = out.where(F.contains(F.col(variable), F.lit(value)) if kind == "contains" else F.col(variable) == value)
-    if query.form == "ASK":
-        return out.limit(1).agg((F.count("*") > 0).alias("answer"))
-    out = out.select(*query.variables) if query.variables else out
-    out = out.distinct() if query.distinct else out
-    return out if query.limit is None else out.orderBy(*out.columns).limit(query.limit)
-
-
 def explore(triples: DataFrame, start: str, depth: int = 2) -> DataFrame:
     """``(node, distance)``: the nodes within ``depth`` steps along triples in either direction."""
-    edges = triples.select(F.col("subject").alias("a"), F.col("object").alias("b")).unionByName(triples.select(F.col("object").alias("a"), F.col("subject").alias("b"))).distinct()
+    both = F.explode(F.array(F.struct(F.col("subject").alias("a"), F.col("object").alias("b")), F.struct(F.col("object").alias("a"), F.col("subject").alias("b")))).alias("e")
+    # Written once, so that no step makes the edges and their distinct ends again.
+    edges = durable(triples.select(both).select("e.a", "e.b").distinct())
     seen = triples.sparkSession.createDataFrame([(start, 0)], "node string, distance int")
     frontier = seen
     for step in range(1, depth + 1):
@@ -123,6 +33,13 @@ def explore(triples: DataFrame, start: str, depth: int = 2) -> DataFrame:
     return seen
 
 
+def explored_triples(triples: DataFrame, start: str, depth: int = 2) -> DataFrame:
+    """``(subject, predicate, object, distance)``: the triples between nodes that ``explore`` reaches, with the distance of the nearer end."""
+    nodes = durable(explore(triples, start, depth))
+    ends = triples.distinct().join(nodes.select(F.col("node").alias("subject"), F.col("distance").alias("a")), "subject").join(nodes.select(F.col("node").alias("object"), F.col("distance").alias("b")), "object")
+    return ends.select("subject", "predicate", "object", F.least("a", "b").alias("distance"))
+
+
 def entity_search(triples: DataFrame, query: str, kind: str | None = None, limit: int = 50) -> DataFrame:
     """``(entity, n_triples)``: subjects that contain the text, of a type if given, most triples first."""
     hits = triples.where(F.contains(F.lower("subject"), F.lit(query.lower())))
@@ -132,7 +49,16 @@ def entity_search(triples: DataFrame, query: str, kind: str | None = None, limit
 
 
 def statistics(triples: DataFrame) -> DataFrame:
-    return triples.agg(F.count("*").alias("n_triples"), F.countDistinct("subject").alias("n_subjects"), F.countDistinct("predicate").alias("n_predicates"), F.countDistinct("object").alias("n_objects"))
+    """One row: triples, different subjects, predicates and objects, mean triples a subject."""
+    out = triples.agg(F.count("*").alias("n_triples"), F.countDistinct("subject").alias("n_subjects"), F.countDistinct("predicate").alias("n_predicates"), F.countDistinct("object").alias("n_objects"))
+    return out.withColumn("triples_per_subject", F.round(F.coalesce(F.try_divide("n_triples", "n_subjects"), F.lit(0.0)), 6))
+
+
+def top_terms(triples: DataFrame, k: int = 10) -> DataFrame:
+    """``(kind, term, n)``: the ``k`` most frequent predicates and types of entities; ties by term."""
+    predicates_ = triples.groupBy(F.col("predicate").alias("term")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "term").limit(k).select(F.lit("predicate").alias("kind"), "term", "n")
+    types = triples.where(F.col("predicate") == "rdf:type").groupBy(F.col("object").alias("term")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "term").limit(k).select(F.lit("type").alias("kind"), "term", "n")
+    return predicates_.unionByName(types)
 
 
 def predicates(triples: DataFrame) -> DataFrame:
@@ -142,23 +68,50 @@ def predicates(triples: DataFrame) -> DataFrame:
 def relationships(triples: DataFrame) -> DataFrame:
     """``(predicate, domain, range, n)``: how often a predicate joins two types."""
     types = triples.where(F.col("predicate") == "rdf:type").select("subject", F.col("object").alias("kind")).distinct()
-    rows = triples.where(F.col("predicate") != "rdf:type")
-    rows = rows.join(types.select("subject", F.col("kind").alias("domain")), "subject").join(types.select(F.col("subject").alias("object"), F.col("kind").alias("range")), "object")
-    return rows.groupBy("predicate", "domain", "range").agg(F.count("*").alias("n"))
+    rows = triples.where(F.col("predicate") != "rdf:type").join(types.select("subject", F.col("kind").alias("domain")), "subject")
+    # Few objects are named by many triples: those of one predicate and domain are summed up before their types are joined.
+    summed = rows.groupBy("predicate", "domain", "object").agg(F.count("*").alias("n"))
+    typed = summed.join(types.select(F.col("subject").alias("object"), F.col("kind").alias("range")), "object")
+    return typed.groupBy("predicate", "domain", "range").agg(F.sum("n").alias("n"))
+
 
+def closure(parents: DataFrame) -> DataFrame:
+    """``(name, ancestor)``: all ancestors of each class of ``(name, parent)``, itself included; also where classes stand in a circle.
 
-def closure(parents: DataFrame, most: int = 32) -> DataFrame:
-    """``(name, ancestor)``: all ancestors of each class of ``(name, parent)``, itself included."""
+    Each round joins the paths found so far with each other, so their length
+    doubles until nothing is new.
+    """
     names = parents.select("name").unionByName(parents.select(F.col("parent").alias("name"))).where("name IS NOT NULL").distinct()
-    reached = names.select("name", F.col("name").alias("ancestor"))
-    step = parents.where("parent IS NOT NULL").select("name", F.col("parent").alias("up")).distinct()
-    for _ in range(most):
-        longer = reached.join(step.withColumnRenamed("name", "ancestor"), "ancestor").select("name", F.col("up").alias("ancestor"))
-        grown = durable(reached.unionByName(longer).distinct())
-        if grown.count() == reached.count():
+    up = parents.where("name IS NOT NULL AND parent IS NOT NULL").select("name", F.col("parent").alias("ancestor"))
+    reached = durable(names.select("name", F.col("name").alias("ancestor")).unionByName(up).distinct())
+    size = reached.count()
+    while True:
+        further = reached.select(F.col("name").alias("ancestor"), F.col("ancestor").alias("further"))
+        grown = durable(reached.join(further, "ancestor").select("name", F.col("further").alias("ancestor")).distinct())
+        now = grown.count()
+        if now == size:
             return grown
-        reached = grown
-    return reached
+        reached, size = grown, now
+
+
+def ontology_errors(triples: DataFrame, properties: DataFrame, parents: DataFrame) -> DataFrame:
+    """``(subject, predicate, object, error)``: triples that break a property's ``domain`` or ``range``, or that no property allows.
+
+    ``properties`` has ``name``, ``domain`` and ``range``, null for any. A node
+    is of its types and of all classes above them; nodes without type break
+    none.
+    """
+    above = closure(parents)
+    types = triples.where(F.col("predicate") == "rdf:type").select(F.col("subject").alias("node"), F.col("object").alias("name")).distinct()
+    kinds = durable(types.join(above, "name", "left").select("node", F.coalesce("ancestor", "name").alias("kind")).distinct())
+    typed = kinds.select("node").distinct()
+    rows = triples.where(F.col("predicate") != "rdf:type").join(properties.select(F.col("name").alias("predicate"), "domain", "range", F.lit(True).alias("known")), "predicate", "left")
+    out = rows.where("known IS NULL").select("subject", "predicate", "object", F.lit("unknown property").alias("error"))
+    for end, bound in (("subject", "domain"), ("object", "range")):
+        asked = rows.where(F.col(bound).isNotNull()).join(typed.withColumnRenamed("node", end), end, "left_semi")
+        wrong = asked.join(kinds.select(F.col("node").alias(end), F.col("kind").alias(bound)), [end, bound], "left_anti")
+        out = out.unionByName(wrong.select("subject", "predicate", "object", F.lit(bound).alias("error")))
+    return out
 
 
 def valid_triples(triples: DataFrame, properties: DataFrame, least: float = 0.7, length: int = 3) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirelake.common import table
-from quirelake.operators import graph, tables, vectors
+from quirelake.operators import graph, sparql, tables, vectors
 from quirelake.plans.registry import Registry
 
 registry = Registry()
@@ -53,7 +53,7 @@ def turtle_export(spark: SparkSession, d: str) -> DataFrame:
     return tables.turtle(triples(spark, d))
 
 
-@query(TRIPLES + "SELECT count(*) AS n_triples, count(DISTINCT subject) AS n_subjects, count(DISTINCT predicate) AS n_predicates, count(DISTINCT object) AS n_objects FROM triples")
+@query(TRIPLES + "SELECT *, round(n_triples / n_subjects, 6) AS triples_per_subject FROM (SELECT count(*) AS n_triples, count(DISTINCT subject) AS n_subjects, count(DISTINCT predicate) AS n_predicates, count(DISTINCT object) AS n_objects FROM triples)")
 def kg_stats(spark: SparkSession, d: str) -> DataFrame:
     return graph.statistics(triples(spark, d))
 
@@ -80,18 +80,64 @@ def triple_pattern(spark: SparkSession, d: str) -> DataFrame:
 )
 def bgp_join(spark: SparkSession, d: str) -> DataFrame:
     patterns = [("?s", "rdf:type", "Supplier"), ("?s", "basedIn", "?n"), ("?n", "locatedIn", "?r"), ("?r", "name", "?region")]
-    return graph.solve(triples(spark, d), patterns).select("s", "region").distinct()
+    return sparql.solve(triples(spark, d), patterns).select("s", "region").distinct()
 
 
 @query(TRIPLES + "SELECT DISTINCT a.subject AS n, b.object AS label FROM triples a JOIN triples b ON b.subject = a.subject AND b.predicate = 'name' WHERE a.predicate = 'locatedIn' AND contains(b.object, 'A') ORDER BY 2, 1 LIMIT 10")
 def sparql_select(spark: SparkSession, d: str) -> DataFrame:
-    out = graph.sparql(triples(spark, d), 'SELECT DISTINCT ?label ?n WHERE { ?n <locatedIn> ?r . ?n <name> ?label . FILTER(CONTAINS(STR(?label), "A")) } LIMIT 10')
+    out = sparql.run(triples(spark, d), 'SELECT DISTINCT ?label ?n WHERE { ?n <locatedIn> ?r . ?n <name> ?label . FILTER(CONTAINS(STR(?label), "A")) } LIMIT 10')
     return out.select("n", "label")
 
 
+@query(
+    TRIPLES + "SELECT a.subject AS n, b.object AS label FROM triples a JOIN triples b ON b.subject = a.subject AND b.predicate = 'name' WHERE a.predicate = 'rdf:type' AND a.object = 'Nation' AND b.object <> 'NATION_3' AND (regexp_matches(b.object, '[24]', 'i') OR length(b.object) < 5) AND NOT ends_with(b.object, '2')"
+)
+def sparql_filters(spark: SparkSession, d: str) -> DataFrame:
+    return sparql.run(triples(spark, d), 'SELECT ?n ?label WHERE { ?n a Nation ; name ?label . FILTER(?label != "NATION_3" && (REGEX(?label, "[24]", "i") || STRLEN(?label) < 5)) FILTER(!STRENDS(?label, "2")) }')
+
+
+@query(TRIPLES + "SELECT a.subject AS n, b.object AS label, c.object AS place FROM triples a LEFT JOIN triples b ON b.subject = a.subject AND b.predicate = 'name' LEFT JOIN triples c ON c.subject = a.subject AND c.predicate = 'locatedIn' AND contains(c.object, '1') WHERE a.predicate = 'rdf:type'")
+def sparql_optional(spark: SparkSession, d: str) -> DataFrame:
+    return sparql.run(triples(spark, d), 'SELECT ?n ?label ?place WHERE { ?n a ?kind . OPTIONAL { ?n name ?label } OPTIONAL { ?n locatedIn ?place . FILTER(CONTAINS(?place, "1")) } }')
+
+
+@query(TRIPLES + "SELECT subject AS n, object AS up FROM triples WHERE predicate = 'locatedIn' UNION ALL SELECT subject, object FROM triples WHERE predicate = 'basedIn' AND object IN ('nation_1', 'nation_2')")
+def sparql_union(spark: SparkSession, d: str) -> DataFrame:
+    return sparql.run(triples(spark, d), 'SELECT ?n ?up WHERE { { ?n locatedIn ?up } UNION { ?n basedIn ?up . FILTER(?up = "nation_1" || ?up = "nation_2") } }')
+
+
+@query(TRIPLES + "SELECT subject AS n, object AS place FROM triples WHERE predicate = 'basedIn' ORDER BY object DESC, subject LIMIT 20 OFFSET 5")
+def sparql_order(spark: SparkSession, d: str) -> DataFrame:
+    return sparql.run(triples(spark, d), "SELECT ?n ?place WHERE { ?n basedIn ?place } ORDER BY DESC(?place) ?n LIMIT 20 OFFSET 5")
+
+
+@query(TRIPLES + "SELECT DISTINCT a.subject, 'inRegion' AS predicate, b.object FROM triples a JOIN triples b ON b.subject = a.object AND b.predicate = 'locatedIn' WHERE a.predicate = 'basedIn' UNION SELECT DISTINCT b.object, 'hosts', a.subject FROM triples a JOIN triples b ON b.subject = a.object AND b.predicate = 'locatedIn' WHERE a.predicate = 'basedIn'")
+def sparql_construct(spark: SparkSession, d: str) -> DataFrame:
+    return sparql.run(triples(spark, d), "CONSTRUCT { ?s inRegion ?r . ?r hosts ?s } WHERE { ?s basedIn ?n . ?n locatedIn ?r }")
+
+
+@query(TRIPLES + "SELECT DISTINCT * FROM triples WHERE subject IN ('nation_3', 'nation_4') OR object IN ('nation_3', 'nation_4')")
+def sparql_describe(spark: SparkSession, d: str) -> DataFrame:
+    return sparql.run(triples(spark, d), 'DESCRIBE <nation_4> ?n WHERE { ?n rdf:type Nation . FILTER(?n = "nation_3") }')
+
+
+@query(TRIPLES + "SELECT * FROM (SELECT 'predicate' AS kind, predicate AS term, count(*) AS n FROM triples GROUP BY predicate ORDER BY n DESC, term LIMIT 3) UNION ALL SELECT * FROM (SELECT 'type', object, count(*) AS n FROM triples WHERE predicate = 'rdf:type' GROUP BY object ORDER BY n DESC, object LIMIT 3)")
+def kg_top_terms(spark: SparkSession, d: str) -> DataFrame:
+    return graph.top_terms(triples(spark, d), 3)
+
+
+@query(
+    TRIPLES + """, edges AS (SELECT subject AS a, object AS b FROM triples UNION SELECT object, subject FROM triples),
+    near AS (SELECT 'region_1' AS node, 0 AS distance UNION SELECT b, 1 FROM edges WHERE a = 'region_1' AND b <> 'region_1')
+    SELECT t.*, least(x.distance, y.distance) AS distance FROM (SELECT DISTINCT * FROM triples) t JOIN near x ON x.node = t.subject JOIN near y ON y.node = t.object"""
+)
+def explore_triples(spark: SparkSession, d: str) -> DataFrame:
+    return graph.explored_triples(triples(spark, d), "region_1", 1)
+
+
 @query(TRIPLES + "SELECT count(*) > 0 AS answer FROM triples WHERE predicate = 'locatedIn' AND object = 'region_1'")
 def sparql_ask(spark: SparkSession, d: str) -> DataFrame:
-    return graph.sparql(triples(spark, d), "ASK { ?n locatedIn <region_1> }")
+    return sparql.run(triples(spark, d), "ASK { ?n locatedIn <region_1> }")
 
 
 @query(
@@ -122,6 +168,23 @@ def ontology_closure(spark: SparkSession, d: str) -> DataFrame:
     return graph.closure(spark.createDataFrame(list(CLASSES), "name string, parent string"))
 
 
+# Properties with what they may join.
+PROPERTIES = (("basedIn", "Organisation", "Place"), ("locatedIn", "Place", "Region"), ("label", None, None))
+
+
+@query(
+    TRIPLES + f""", p(name, parent) AS (VALUES {', '.join(str(c) for c in CLASSES)}), props(name, dom, ran) AS (VALUES {', '.join(str(c).replace('None', 'NULL') for c in PROPERTIES)}),
+    up AS (SELECT name, parent AS k FROM p UNION SELECT a.name, b.parent FROM p a JOIN p b ON b.name = a.parent UNION SELECT name, name FROM p UNION SELECT parent, parent FROM p),
+    kinds AS (SELECT DISTINCT subject AS node, k FROM triples JOIN up ON up.name = object WHERE predicate = 'rdf:type'), r AS (SELECT t.*, props.name, dom, ran FROM triples t LEFT JOIN props ON props.name = predicate WHERE predicate <> 'rdf:type')
+    SELECT subject, predicate, object, 'unknown property' AS error FROM r WHERE name IS NULL
+    UNION ALL SELECT subject, predicate, object, 'domain' FROM r WHERE dom IS NOT NULL AND subject IN (SELECT node FROM kinds) AND (subject, dom) NOT IN (SELECT node, k FROM kinds)
+    UNION ALL SELECT subject, predicate, object, 'range' FROM r WHERE ran IS NOT NULL AND object IN (SELECT node FROM kinds) AND (object, ran) NOT IN (SELECT node, k FROM kinds)"""
+)
+def ontology_errors(spark: SparkSession, d: str) -> DataFrame:
+    classes = spark.createDataFrame(list(CLASSES), "name string, parent string")
+    return graph.ontology_errors(triples(spark, d), spark.createDataFrame(list(PROPERTIES), "name string, domain string, range string"), classes)
+
+
 @query(TRIPLES + "SELECT subject, predicate, object FROM triples WHERE length(object) >= 3 AND predicate IN ('name', 'locatedIn')")
 def valid_triples(spark: SparkSession, d: str) -> DataFrame:
     properties = spark.createDataFrame([("name",), ("locatedIn",)], "name string")

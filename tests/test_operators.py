@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quirelake.functions import text as fx
-from quirelake.operators import chunks, graph, intervals, packing, segments, tables, vectors
+from quirelake.operators import chunks, graph, intervals, packing, segments, sparql, tables, vectors
 from quirelake.operators.running import running
 
 
@@ -82,15 +82,44 @@ def test_two_tables_in_text(spark):
 def test_graph(spark):
     rows = [("a", "rdf:type", "X"), ("b", "rdf:type", "Y"), ("a", "to", "b"), ("b", "to", "c"), ("c", "to", "d"), ("a", "to", "b")]
     t = spark.createDataFrame(rows, "subject string, predicate string, object string")
-    assert {r.o for r in graph.solve(t, [("a", "to", "?m"), ("?m", "to", "?o")]).collect()} == {"c"}
+    assert {r.o for r in sparql.solve(t, [("a", "to", "?m"), ("?m", "to", "?o")]).collect()} == {"c"}
     with pytest.raises(ValueError):
-        graph.solve(t, [("?a", "to", "?b"), ("?c", "to", "?d")])
+        sparql.solve(t, [("?a", "to", "?b"), ("?c", "to", "?d")])
     assert {(r.node, r.distance) for r in graph.explore(t, "a", 2).collect()} == {("a", 0), ("X", 1), ("b", 1), ("Y", 2), ("c", 2)}
-    assert graph.sparql(t, "ASK { <a> <to> ?x }").collect()[0].answer is True
-    assert [r.x for r in graph.sparql(t, "SELECT ?x WHERE { ?x a <Y> } LIMIT 5").collect()] == ["b"]
-    for text in ("DESCRIBE <a>", "SELECT ?x", "SELECT ?x WHERE { }"):
+    assert sparql.run(t, "ASK { <a> <to> ?x }").collect()[0].answer is True
+    assert [r.x for r in sparql.run(t, "SELECT ?x WHERE { ?x a <Y> } LIMIT 5").collect()] == ["b"]
+    assert sparql.run(t, "ASK { <a> <to> <b> }").collect()[0].answer is True and sparql.run(t, "ASK { <b> <to> <a> }").collect()[0].answer is False
+    assert {r.subject for r in sparql.run(t, "DESCRIBE <b>").collect()} == {"a", "b"}
+    refused = (
+        "SELECT ?x", "SELECT ?x WHERE { }", "DESCRIBE", "SELECT ?y WHERE { ?x to ?z }", "SELECT ?x WHERE { ?x to ?y } GROUP BY ?x", "SELECT ?x WHERE { ?x to ?y . MINUS { ?x to <b> } }", "SELECT (COUNT(?x) AS ?n) WHERE { ?x to ?y }",
+        "SELECT ?x WHERE { ?x to ?y FILTER(LANG(?y) = 'en') }", "SELECT ?x WHERE { ?x to/to ?y }", "SELECT ?x WHERE { ?x to ?y } LIMIT many", "SELECT ?x WHERE { GRAPH <g> { ?x to ?y } }", "SELECT ?x WHERE { ?x to ?y . BIND(1 AS ?z) }",
+        "SELECT ?x WHERE { ?x to ?y", "INSERT DATA { <a> <to> <b> }", "SELECT ?x WHERE { ?x to ?y . FILTER(?q = 1) }", "SELECT ?x WHERE { ?x to ?y . OPTIONAL { ?y to ?z } ?z to ?x }", "SELECT ?x WHERE { { ?a to ?b } UNION { ?c to ?x } ?a to ?x }",
+        "SELECT ?x WHERE { ?x to ?y } ORDER BY RAND()", "SELECT REDUCED ?x WHERE { ?x to ?y }", "SELECT ?x FROM <g> WHERE { ?x to ?y }", "SELECT ?x WHERE { ?x to ?y . FILTER NOT EXISTS { ?y to ?x } }",
+    )
+    for text in refused:
         with pytest.raises(ValueError):
-            graph.sparql(t, text)
+            sparql.run(t, text)
+
+
+def test_sparql_filters_and_numbers(spark):
+    t = spark.createDataFrame([("a", "size", "9"), ("b", "size", "10"), ("c", "size", "many"), ("a", "name", 'A "x"'), ("b", "name", "Bee")], "subject string, predicate string, object string")
+
+    def names(condition):
+        return sorted(r.s for r in sparql.run(t, "SELECT ?s WHERE { ?s size ?n . OPTIONAL { ?s name ?m } FILTER(" + condition + ") }").collect())
+
+    assert names("?n < 10") == ["a"] and names("?n >= 9 && ?n != 10") == ["a"] and names("?n = 10 || ?n = \"many\"") == ["b", "c"]
+    assert names("BOUND(?m)") == ["a", "b"] and names("!BOUND(?m)") == ["c"] and names('CONTAINS(LCASE(?m), "x")') == ["a"] and names('STRSTARTS(?m, "A \\"")') == ["a"]
+    assert names('REGEX(?m, "^BEE$", "i")') == ["b"] and names("STRLEN(?n) > 2") == ["c"]
+    rows = sparql.run(t, "PREFIX ex: <http://x/> # sizes\nSELECT * WHERE { ?s size ?n ; name ?m . } ORDER BY ?n LIMIT 1").collect()
+    assert [(r.s, r.n, r.m) for r in rows] == [("b", "10", "Bee")]
+
+
+def test_closure_of_long_chains_and_circles(spark):
+    chain = [(f"c{k}", f"c{k + 1}") for k in range(70)]
+    up = {}
+    for r in graph.closure(spark.createDataFrame([*chain, ("x", "y"), ("y", "x"), ("z", None)], "name string, parent string")).collect():
+        up.setdefault(r.name, set()).add(r.ancestor)
+    assert len(up["c0"]) == 71 and up["x"] == up["y"] == {"x", "y"} and up["z"] == {"z"}
 
 
 def test_similar_leaves_out_what_has_no_direction(spark):
