@@ -94,28 +94,39 @@ def seed_rules(examples: list[tuple[int, list[str]]], n: int) -> dict[str, tuple
 class _Node:
     __slots__ = ("children", "item", "parent", "sums")
 
-    def __init__(self, item: str | None, parent: _Node | None, width: int):
-        self.item, self.parent, self.children, self.sums = item, parent, {}, [0.0] * width
+    def __init__(self, item: str | None, parent: _Node | None):
+        self.item, self.parent, self.children, self.sums = item, parent, {}, None
 
 
-def fp_growth(transactions: Iterable[tuple[list[str], list[float]]], min_support: float, max_words: int, last: set[str] | None = None) -> Iterator[tuple[tuple[str, ...], list[float]]]:
-    """Frequent word sets of two to ``max_words`` words with the sums of the transactions' vectors, whose first entry is the count.
-
-    The words of a transaction must be in one order for all. With ``last`` only
-    sets whose last word in that order is in it come out.
-    """
-    root, spots = _Node(None, None, 0), defaultdict(list)
+def _tree(transactions: Iterable[tuple[list[str], list[float]]]) -> dict[str, list[_Node]]:
+    """The nodes of the prefix tree of all transactions by item, each with the sums of what passes through it."""
+    root, made = _Node(None, None), []
     for items, sums in transactions:
         node = root
         for item in items:
             child = node.children.get(item)
             if child is None:
-                child = node.children[item] = _Node(item, node, len(sums))
-                spots[item].append(child)
-            for k, v in enumerate(sums):
-                child.sums[k] += v
+                child = node.children[item] = _Node(item, node)
+                made.append(child)
             node = child
-    yield from _grow(spots, (), min_support, max_words, last)
+        node.sums = list(sums) if node.sums is None else [x + y for x, y in zip(node.sums, sums, strict=True)]
+    spots: dict[str, list[_Node]] = defaultdict(list)
+    # Children come after their parents, so from the end on every node is whole when it is added to its parent.
+    for node in reversed(made):
+        up = node.parent
+        if up is not root:
+            up.sums = list(node.sums) if up.sums is None else [x + y for x, y in zip(up.sums, node.sums, strict=True)]
+        spots[node.item].append(node)
+    return spots
+
+
+def fp_growth(transactions: Iterable[tuple[list[str], list[float]]], min_support: float, max_words: int, last: set[str] | None = None) -> Iterator[tuple[tuple[str, ...], list[float]]]:
+    """Frequent word sets of two to ``max_words`` words with the sums of the transactions' vectors, whose first entry is the count.
+
+    The words of a transaction must be in one order for all. With ``last`` only
+    sets whose last word in that order is in it come out.
+    """
+    yield from _grow(_tree((items, sums) for items, sums in transactions if items), (), min_support, max_words, last)
 
 
 def _grow(spots: dict[str, list[_Node]], suffix: tuple[str, ...], min_support: float, max_words: int, last: set[str] | None):
@@ -125,35 +136,20 @@ def _grow(spots: dict[str, list[_Node]], suffix: tuple[str, ...], min_support: f
         base, counts = [], defaultdict(list)
         for node in nodes:
             path, up = [], node.parent
-            while up is not None and up.item is not None:
+            while up.item is not None:
                 path.append(up.item)
                 up = up.parent
             if path:
                 base.append((path[::-1], node.sums))
                 for w in path:
                     counts[w].append(node.sums)
-        frequent = {}
-        for w, parts in counts.items():
-            sums = [sum(c) for c in zip(*parts, strict=True)]
-            if sums[0] >= min_support:
-                frequent[w] = sums
+        frequent = {w: [sum(c) for c in zip(*parts, strict=True)] for w, parts in counts.items() if sum([p[0] for p in parts]) >= min_support}
         pattern = (item, *suffix)
         for w, sums in frequent.items():
             yield (w, *pattern), sums
-        if frequent and len(pattern) + 1 < max_words:
-            root, below = _Node(None, None, 0), defaultdict(list)
-            for path, sums in base:
-                node = root
-                for w in path:
-                    if w in frequent:
-                        child = node.children.get(w)
-                        if child is None:
-                            child = node.children[w] = _Node(w, node, len(sums))
-                            below[w].append(child)
-                        for k, v in enumerate(sums):
-                            child.sums[k] += v
-                        node = child
-            yield from _grow(below, pattern, min_support, max_words, None)
+        if len(frequent) > 1 and len(pattern) + 1 < max_words:
+            kept = (([w for w in path if w in frequent], sums) for path, sums in base)
+            yield from _grow(_tree((path, sums) for path, sums in kept if path), pattern, min_support, max_words, None)
 
 
 def _conclusion(sums: list[float], base: np.ndarray, support: float = SUPPORT, confidence: float = CONFIDENCE) -> tuple[int, float] | None:
@@ -284,8 +280,8 @@ def mine_rules(examples: DataFrame, cut: DataFrame) -> Rules:
         judged = set(counted.word)
         single |= {w: (k, _weight(SEED, usual[k])) for w, (k, _) in seeds.items() if w not in judged}
         concluded = {w: k for w, (k, _) in single.items()}
-    # Sets with a word that concludes by itself would be redundant: such words are not mined further.
-    open_ = counted[~counted.word.isin(list(single))].sort_values(["s0", "word"], ascending=[False, True])
+    # Sets with a word that concludes by itself would be redundant, and those with a word rarer than a set must be cannot be frequent: such words are not mined further.
+    open_ = counted[~counted.word.isin(list(single)) & (counted.s0 >= support_set)].sort_values(["s0", "word"], ascending=[False, True])
     ranked = open_.word.tolist()
     rank = {w: k for k, w in enumerate(ranked)}
 
