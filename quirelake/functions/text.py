@@ -109,10 +109,14 @@ def structured_table(c: Column) -> Column:
     return F.coalesce((F.size(lines) >= 2) & (one("|") | one("\t") | one(",")), F.lit(False))
 
 
+# What captions of tables and charts look like, and lines with bars or tabs.
+TABLE_MARKS = (r"table\s+[0-9]+[:.]", r"tabelle\s+[0-9]+[:.]", r"\btable\s+[ivx]+[:.]", r"^[^\S\n]*\|[^|\n]*\|[^|\n]*\|", r"\t[^\t\n]*\t")
+CHART_MARKS = (r"chart\s+[0-9]+[:.]", r"figure\s+[0-9]+[:.]", r"fig\.\s+[0-9]+[:.]", r"diagram\s+[0-9]+[:.]", r"graph\s+[0-9]+[:.]", r"abbildung\s+[0-9]+[:.]")
+
+
 def content_type(c: Column) -> Column:
     """``table``, ``chart`` or ``paragraph`` by what the text looks like."""
-    table = c.rlike(r"(?im)(table\s+[0-9]+[:.]|tabelle\s+[0-9]+[:.]|\btable\s+[ivx]+[:.]|^\s*\|.*\|.*\||.*\t.*\t.*)")
-    chart = c.rlike(r"(?i)((chart|figure|fig\.|diagram|graph|abbildung)\s+[0-9]+[:.])")
+    table, chart = c.rlike(f"(?im){'|'.join(TABLE_MARKS)}"), c.rlike(f"(?i){'|'.join(CHART_MARKS)}")
     return F.when(table, "table").when(chart, "chart").when(structured_table(c), "table").otherwise("paragraph")
 
 
@@ -155,6 +159,11 @@ def clean_header(c: Column) -> Column:
     return F.regexp_replace(strip(F.regexp_replace(c, f"{WS}+", " ")), r"[^\p{L}\p{N}_]", "_")
 
 
+def clean_group_id(c: Column) -> Column:
+    """A group id with ``_`` for whatever is no letter, digit, ``_`` or ``-``."""
+    return F.regexp_replace(c, r"[^\p{L}\p{N}_-]", "_")
+
+
 def clean_value(c: Column) -> Column:
     return strip(F.regexp_replace(c, f"{WS}+", " "))
 

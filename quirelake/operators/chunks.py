@@ -36,12 +36,16 @@ def assemble(packed: DataFrame, keys: tuple[str, ...] = ("document_id",), max_to
 
 
 def chunk_statistics(chunks: DataFrame, by: list[str], context: Column, visual: Column) -> DataFrame:
-    """Counts, token sums and zero-safe ratios of chunks with ``content`` and ``token_count``."""
+    """Counts, token sums and zero-safe ratios of chunks with ``content``, ``token_count`` and ``inherited_context``.
+
+    ``efficiency`` is the part of all tokens that is content and no inherited context.
+    """
     share = lambda a, b: F.round(F.coalesce(F.try_divide(a, b), F.lit(0.0)), 6)
     out = chunks.groupBy(*by).agg(
         F.count("*").alias("n_chunks"), F.round(F.sum("token_count"), 1).alias("tokens"), F.count_if(context).alias("with_context"), F.count_if(visual).alias("with_visuals"),
-        F.count_if(F.coalesce(fx.strip(F.col("content")), F.lit("")) == "").alias("empty_chunks"),
+        F.count_if(F.coalesce(fx.strip(F.col("content")), F.lit("")) == "").alias("empty_chunks"), (F.sum(fx.word_count(F.col("inherited_context")) * 13) / 10).alias("_context"),
     )
+    out = out.withColumn("efficiency", share(F.col("tokens"), F.col("tokens") + F.col("_context"))).drop("_context")
     return out.withColumns({"avg_tokens": share(F.col("tokens"), F.col("n_chunks")), "context_coverage": share(F.col("with_context"), F.col("n_chunks")), "visual_coverage": share(F.col("with_visuals"), F.col("n_chunks"))})
 
 
@@ -79,21 +83,30 @@ def sequential_groups(chunks: DataFrame, size: int = 6, into: str = "group_ordin
     return running(chunks, ["document_id"], "chunk_ordinal", order, F.lit(1), "_rank", "sum").withColumn(into, F.floor(F.col("_rank") / size).cast("int")).drop("_rank")
 
 
-def split_and_merge(groups: DataFrame, most: int = 8, least: int = 2) -> DataFrame:
-    """Groups ``(document_id, group_ordinal, chunk_count)`` split into parts of at most ``most`` chunks, then small neighbours merged in pairs.
+def merged_parts(groups: DataFrame, most: int = 8, least: int = 2) -> DataFrame:
+    """``(document_id, group_ordinal, part_no, new_ordinal)``: the groups that parts of ``groups`` (with ``chunk_count`` and ``group_type``) end up in.
 
-    Inside each run of consecutive small parts every two become one.
+    Groups are split into parts of at most ``most`` chunks; then, inside each
+    run of consecutive parts of one type that are smaller than ``least``, every
+    two become one.
     """
-    parts = groups.select("document_id", "group_ordinal", F.explode(F.sequence(F.lit(0), F.floor((F.col("chunk_count") - 1) / most).cast("int"))).alias("part_no"), "chunk_count")
-    parts = parts.withColumn("chunk_count", F.least(F.lit(most), F.col("chunk_count") - F.col("part_no") * most)).where("chunk_count > 0")
-    small = F.col("chunk_count") < least
+    last = F.floor((F.col("chunk_count") - 1) / most).cast("int")
+    parts = groups.where("chunk_count > 0").select("document_id", "group_ordinal", "group_type", F.explode(F.sequence(F.lit(0), last)).alias("part_no"), "chunk_count")
+    small = F.least(F.lit(most), F.col("chunk_count") - F.col("part_no") * most) < least
     w = Window.partitionBy("document_id").orderBy("group_ordinal", "part_no")
-    rows = parts.withColumn("_n", F.row_number().over(w)).withColumn("_small", small)
-    rows = rows.withColumn("_run", F.sum((~F.col("_small")).cast("int")).over(w))
-    inside = Window.partitionBy("document_id", "_run", "_small").orderBy("_n")
-    rows = rows.withColumn("_pair", F.when(F.col("_small"), F.floor((F.row_number().over(inside) - 1) / 2)).otherwise(-1))
-    merged = rows.groupBy("document_id", "_run", "_small", "_pair").agg(F.min("_n").alias("_n"), F.sum("chunk_count").alias("chunk_count"), F.count("*").alias("n_merged"))
-    return merged.select("document_id", (F.row_number().over(Window.partitionBy("document_id").orderBy("_n")) - 1).alias("new_ordinal"), "chunk_count", "n_merged")
+    kind = F.when(small, F.coalesce("group_type", F.lit("")))
+    # A part continues a run if it is small and of the type of the part before it, which is small too.
+    rows = parts.withColumn("_kind", kind).withColumn("_starts", (F.col("_kind").isNull() | ~F.col("_kind").eqNullSafe(F.lag("_kind").over(w))).cast("int")).withColumn("_run", F.sum("_starts").over(w))
+    at = F.row_number().over(Window.partitionBy("document_id", "_run").orderBy("group_ordinal", "part_no")) - 1
+    rows = rows.withColumn("_opens", (at % 2 == 0).cast("int"))
+    return rows.select("document_id", "group_ordinal", "part_no", (F.sum("_opens").over(w) - 1).cast("int").alias("new_ordinal"))
+
+
+def split_and_merge(groups: DataFrame, most: int = 8, least: int = 2) -> DataFrame:
+    """Groups ``(document_id, group_ordinal, group_type, chunk_count)`` split and merged: ``(document_id, new_ordinal, chunk_count, n_merged)``."""
+    parts = merged_parts(groups, most, least).join(groups, ["document_id", "group_ordinal"])
+    size = F.least(F.lit(most), F.col("chunk_count") - F.col("part_no") * most)
+    return parts.groupBy("document_id", "new_ordinal").agg(F.sum(size).alias("chunk_count"), F.count("*").alias("n_merged"))
 
 
 def positions(chunks: DataFrame, keys: tuple[str, ...] = ("document_id", "group_ordinal")) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quirelake.common import table
 from quirelake.functions import text as fx
+from quirelake.operators import chunking
 from quirelake.operators import chunks as ops
 from quirelake.operators import segments as seg
 from quirelake.plans.registry import Registry
@@ -60,7 +61,7 @@ def chunk_validate(spark: SparkSession, d: str) -> DataFrame:
 
 
 _STATS = f"""count(*) AS n_chunks, round(sum(token_count), 1) AS tokens, count(*) FILTER (inherited_context IS NOT NULL) AS with_context, count(*) FILTER (chunk_type IN ('visual_context','hybrid')) AS with_visuals,
-    count(*) FILTER (coalesce({strip("content")}, '') = '') AS empty_chunks"""
+    count(*) FILTER (coalesce({strip("content")}, '') = '') AS empty_chunks, CAST(sum({words("inherited_context")} * 13) AS DOUBLE) / 10 AS context_tokens"""
 _RATIOS = "round(coalesce(tokens / n_chunks, 0.0), 6) AS avg_tokens, round(coalesce(with_context / n_chunks, 0.0), 6) AS context_coverage, round(coalesce(with_visuals / n_chunks, 0.0), 6) AS visual_coverage"
 
 
@@ -69,7 +70,7 @@ def _statistics(spark: SparkSession, d: str, by: list[str]) -> DataFrame:
     return ops.chunk_statistics(rows, by, F.col("inherited_context").isNotNull(), F.coalesce(F.col("chunk_type").isin("visual_context", "hybrid"), F.lit(False)))
 
 
-@query(f"SELECT *, {_RATIOS} FROM (SELECT document_type, {_STATS} FROM chunks LEFT JOIN documents USING (document_id) GROUP BY document_type)")
+@query(f"SELECT * EXCLUDE (context_tokens), {_RATIOS}, round(coalesce(tokens / (tokens + context_tokens), 0.0), 6) AS efficiency FROM (SELECT document_type, {_STATS} FROM chunks LEFT JOIN documents USING (document_id) GROUP BY document_type)")
 def chunk_stats(spark: SparkSession, d: str) -> DataFrame:
     return _statistics(spark, d, ["document_type"])
 
@@ -134,19 +135,92 @@ def seq_groups(spark: SparkSession, d: str) -> DataFrame:
     return ops.sequential_groups(table(spark, d, "chunks")).select("chunk_row_id", "group_ordinal")
 
 
-@query(
-    """WITH g AS (SELECT document_id, group_ordinal, count(*) AS n FROM chunks GROUP BY ALL),
-    p AS (SELECT document_id, group_ordinal, k, least(3, n - k * 3) AS c FROM (SELECT *, unnest(range(0, CAST(floor((n - 1) / 3) AS BIGINT) + 1)) AS k FROM g)),
-    r AS (SELECT *, row_number() OVER w AS i, c < 2 AS small, sum(CASE WHEN c < 2 THEN 0 ELSE 1 END) OVER w AS run FROM p WINDOW w AS (PARTITION BY document_id ORDER BY group_ordinal, k)),
-    q AS (SELECT *, CASE WHEN small THEN floor((row_number() OVER (PARTITION BY document_id, run, small ORDER BY i) - 1) / 2) ELSE -1 END AS pair FROM r),
-    m AS (SELECT document_id, run, small, pair, min(i) AS i, CAST(sum(c) AS BIGINT) AS chunk_count, count(*) AS n_merged FROM q GROUP BY ALL)
-    SELECT document_id, CAST(row_number() OVER (PARTITION BY document_id ORDER BY i) - 1 AS INTEGER) AS new_ordinal, chunk_count, n_merged FROM m"""
-)
+def _merged_sql(groups: str, most: int, least: int) -> str:
+    """Parts of groups ``(document_id, group_ordinal, group_type, n)`` with the group they end up in, as ``parts``."""
+    return f"""{groups},
+    p AS (SELECT document_id, group_ordinal, group_type, k, least({most}, n - k * {most}) AS c FROM (SELECT *, unnest(range(0, CAST(floor((n - 1) / {most}) AS BIGINT) + 1)) AS k FROM g)),
+    r AS (SELECT *, CASE WHEN c < {least} THEN coalesce(group_type, '') END AS kind FROM p),
+    q AS (SELECT *, CASE WHEN kind IS NULL OR kind IS DISTINCT FROM lag(kind) OVER w THEN 1 ELSE 0 END AS starts FROM r WINDOW w AS (PARTITION BY document_id ORDER BY group_ordinal, k)),
+    u AS (SELECT *, sum(starts) OVER (PARTITION BY document_id ORDER BY group_ordinal, k) AS run FROM q),
+    v AS (SELECT *, (row_number() OVER (PARTITION BY document_id, run ORDER BY group_ordinal, k) - 1) % 2 = 0 AS opens FROM u),
+    parts AS (SELECT *, CAST(sum(CASE WHEN opens THEN 1 ELSE 0 END) OVER (PARTITION BY document_id ORDER BY group_ordinal, k) - 1 AS INTEGER) AS new_ordinal FROM v)"""
+
+
+@query(_merged_sql("WITH g AS (SELECT document_id, group_ordinal, min(chunk_type) AS group_type, count(*) AS n FROM chunks GROUP BY ALL)", 3, 2) + " SELECT document_id, new_ordinal, CAST(sum(c) AS BIGINT) AS chunk_count, count(*) AS n_merged FROM parts GROUP BY ALL")
 def group_split_merge(spark: SparkSession, d: str) -> DataFrame:
-    groups = table(spark, d, "chunks").groupBy("document_id", "group_ordinal").agg(F.count("*").alias("chunk_count"))
+    groups = table(spark, d, "chunks").groupBy("document_id", "group_ordinal").agg(F.min("chunk_type").alias("group_type"), F.count("*").alias("chunk_count"))
     return ops.split_and_merge(groups, 3, 2)
 
 
+def _typed(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "chunks").select("chunk_row_id", "document_id", "chunk_ordinal", "content").withColumn("sheet_name", F.lit("Sheet1"))
+    return chunking.dispatch_groups(rows, table(spark, d, "documents"))
+
+
+def _sections(expression: str, types: str) -> str:
+    """Section groups of the chunks of some document types."""
+    return f"""(WITH c AS (SELECT chunk_row_id, document_id, chunk_ordinal, document_type, {expression} AS section FROM typed WHERE document_type IN ({types})),
+    l AS (SELECT *, last_value(section IGNORE NULLS) OVER (PARTITION BY document_id ORDER BY chunk_ordinal, chunk_row_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS known,
+        row_number() OVER (PARTITION BY document_id ORDER BY chunk_ordinal, chunk_row_id) AS k FROM c),
+    o AS (SELECT *, CASE WHEN k = 1 OR (section IS NOT NULL AND section IS DISTINCT FROM known) THEN 1 ELSE 0 END AS opens FROM l)
+    SELECT chunk_row_id, document_id, chunk_ordinal, CASE document_type WHEN 'pdf' THEN 'section' ELSE 'slide_set' END AS group_type, CAST(sum(opens) OVER (PARTITION BY document_id ORDER BY chunk_ordinal, chunk_row_id) - 1 AS INTEGER) AS group_ordinal FROM o)"""
+
+
+_DISPATCH = f"""WITH typed AS (SELECT c.chunk_row_id, c.document_id, c.chunk_ordinal, c.content, CASE WHEN d.document_id IS NOT NULL THEN coalesce(d.document_type, 'unknown') END AS document_type FROM chunks c LEFT JOIN documents d ON d.document_id = c.document_id),
+  heads AS (SELECT *, nullif(length(regexp_extract(content, '(?m)^(#{{1,3}}) ', 1)), 0) AS lv FROM typed WHERE document_type = 'docx'),
+  least_ AS (SELECT *, min(lv) OVER (PARTITION BY document_id ORDER BY chunk_ordinal, chunk_row_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS least FROM heads),
+  dispatched AS (
+    SELECT * FROM {_sections(_SECTION, "'pdf'")} UNION ALL SELECT * FROM {_sections(_TOPIC, "'pptx'")}
+    UNION ALL SELECT chunk_row_id, document_id, chunk_ordinal, 'heading_hierarchy', CAST(sum(CASE WHEN lv <= coalesce(least, lv) THEN 1 ELSE 0 END) OVER (PARTITION BY document_id ORDER BY chunk_ordinal, chunk_row_id) AS INTEGER) FROM least_
+    UNION ALL SELECT chunk_row_id, document_id, chunk_ordinal, 'sheet_group', 0 FROM typed WHERE document_type = 'xlsx'
+    UNION ALL SELECT chunk_row_id, document_id, chunk_ordinal, 'page_range', CAST(floor((row_number() OVER (PARTITION BY document_id ORDER BY chunk_ordinal, chunk_row_id) - 1) / 6) AS INTEGER) FROM typed WHERE document_type NOT IN ('pdf', 'pptx', 'docx', 'xlsx')
+    UNION ALL SELECT chunk_row_id, document_id, chunk_ordinal, 'page_range', 0 FROM typed WHERE document_type IS NULL)"""
+
+
+@query(_DISPATCH + " SELECT chunk_row_id, group_type, group_ordinal FROM dispatched")
+def group_dispatch(spark: SparkSession, d: str) -> DataFrame:
+    return _typed(spark, d).select("chunk_row_id", "group_type", "group_ordinal")
+
+
+@query(
+    _merged_sql(_DISPATCH + ", ranked AS (SELECT *, row_number() OVER (PARTITION BY document_id, group_ordinal ORDER BY chunk_ordinal, chunk_row_id) - 1 AS rank FROM dispatched), g AS (SELECT document_id, group_ordinal, group_type, count(*) AS n FROM dispatched GROUP BY ALL)", 4, 2)
+    + r""", final AS (SELECT x.chunk_row_id, x.document_id, x.chunk_ordinal, x.group_type, new_ordinal AS group_ordinal FROM ranked x JOIN parts ON parts.document_id = x.document_id AND parts.group_ordinal = x.group_ordinal AND parts.k = floor(x.rank / 4)),
+    sized AS (SELECT *, row_number() OVER (PARTITION BY document_id, group_ordinal ORDER BY chunk_ordinal, chunk_row_id) - 1 AS place, count(*) OVER (PARTITION BY document_id, group_ordinal) AS n_in_group FROM final)
+    SELECT chunk_row_id, group_ordinal, place, n_in_group, regexp_replace(document_id || '_' || group_type || '_' || n_in_group || 'chunks', '[^\p{L}\p{N}_-]', '_', 'g') AS group_id FROM sized"""
+)
+def group_bounds(spark: SparkSession, d: str) -> DataFrame:
+    return chunking.bounded_groups(_typed(spark, d), 4, 2).select("chunk_row_id", "group_ordinal", "place", "n_in_group", "group_id")
+
+
+_MAKE = f"""
+WITH RECURSIVE f AS ({FIRST}), v AS (SELECT document_id, content_hash, arg_min(struct_pack(d := vlm_description, x := extracted_data), visual_id) AS v FROM visuals WHERE document_id IS NOT NULL AND content_hash IS NOT NULL GROUP BY ALL),
+n AS (SELECT segment_id, pos, v.v.d AS d, v.v.x AS x FROM (SELECT segment_id, document_id, unnest(visual_references) AS content_hash, generate_subscripts(visual_references, 1) AS pos FROM f) r JOIN v USING (document_id, content_hash)),
+notes AS (SELECT segment_id, CAST(sum({words("d")}) AS BIGINT) AS note_words, count(*) AS n_visuals,
+    string_agg(nullif(concat_ws(chr(10), CASE WHEN d <> '' THEN '[VISUAL: ' || d || ']' END, CASE WHEN x <> '' THEN '[DATA: ' || x || ']' END), ''), chr(10) ORDER BY pos) AS lines FROM n GROUP BY segment_id),
+s AS (SELECT f.*, {words("content")} + coalesce(note_words, 0) AS w, n_visuals AS nv, lines, row_number() OVER (PARTITION BY document_id ORDER BY segment_index) AS k FROM f LEFT JOIN notes USING (segment_id)),
+p AS (SELECT document_id, k, w * 13 AS used, 0 AS chunk_ordinal FROM s WHERE k = 1
+  UNION ALL SELECT s.document_id, s.k, CASE WHEN p.used + s.w * 13 > 2000 THEN s.w * 13 ELSE p.used + s.w * 13 END, CASE WHEN p.used + s.w * 13 > 2000 THEN p.chunk_ordinal + 1 ELSE p.chunk_ordinal END FROM p JOIN s ON s.document_id = p.document_id AND s.k = p.k + 1),
+made AS (SELECT document_id, chunk_ordinal, string_agg(coalesce(content, ''), chr(10) || chr(10) ORDER BY segment_index) AS body, string_agg(lines, chr(10) ORDER BY segment_index) AS lines, CAST(sum(coalesce(nv, 0)) AS BIGINT) AS n_visuals,
+    list('segment_' || segment_index ORDER BY segment_index) AS segment_references, bool_or(segment_type = 'table') AS t, bool_or(segment_type = 'text') AS x FROM s JOIN p USING (document_id, k) GROUP BY document_id, chunk_ordinal),
+full_ AS (SELECT *, body || coalesce(chr(10) || chr(10) || nullif(lines, ''), '') AS content FROM made)
+SELECT document_id || '__chunk_' || CASE WHEN chunk_ordinal < 1000 THEN lpad(CAST(chunk_ordinal AS VARCHAR), 3, '0') ELSE CAST(chunk_ordinal AS VARCHAR) END AS chunk_id, content, n_visuals, segment_references,
+  CASE WHEN t THEN 'table_data' WHEN n_visuals > 0 AND x THEN 'hybrid' WHEN n_visuals > 0 THEN 'visual_context' ELSE 'content' END AS chunk_type,
+  {words("content")} * 13 <= 2400 AND {words("content")} * 13 >= 200 AND {strip("content")} <> '' AS is_valid FROM full_
+"""
+
+
+@query(_MAKE)
+def chunk_make(spark: SparkSession, d: str) -> DataFrame:
+    made = chunking.make_chunks(_first(spark, d), table(spark, d, "visuals"), 200, 20)
+    return made.select("chunk_id", "content", "n_visuals", "segment_references", "chunk_type", "is_valid")
+
+
+@query()
+def chunk_pipeline(spark: SparkSession, d: str) -> DataFrame:
+    """All steps at once; each is compared with SQL in a query of its own, their composition with a loop over documents in the tests."""
+    return chunking.chunk_documents(table(spark, d, "documents"), _first(spark, d), table(spark, d, "visuals"), 200, 20)
+
+
 _PLACED = """placed AS (SELECT *, row_number() OVER (PARTITION BY document_id, group_ordinal ORDER BY chunk_ordinal, chunk_row_id) - 1 AS place, count(*) OVER (PARTITION BY document_id, group_ordinal) AS n_in_group FROM chunks)"""
 
 

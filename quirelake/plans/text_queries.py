@@ -271,6 +271,11 @@ def token_budget(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "chunks").select("chunk_row_id", fx.token_budget(2000, F.coalesce(F.floor("token_count"), F.lit(0))).alias("budget"))
 
 
+@query(r"SELECT chunk_row_id, regexp_replace(group_id, '[^\p{L}\p{N}_-]', '_', 'g') AS name FROM chunks WHERE group_id IS NOT NULL")
+def clean_group_ids(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "chunks").where("group_id IS NOT NULL").select("chunk_row_id", fx.clean_group_id(F.col("group_id")).alias("name"))
+
+
 @query(r"SELECT chunk_row_id, regexp_replace(regexp_replace(regexp_replace(group_id, '[ \t\r\n\f]+', ' ', 'g'), '^[ \t\r\n\f]+|[ \t\r\n\f]+\z', '', 'g'), '[^\p{L}\p{N}_]', '_', 'g') AS name FROM chunks WHERE group_id IS NOT NULL")
 def clean_names(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "chunks").where("group_id IS NOT NULL").select("chunk_row_id", fx.clean_header(F.col("group_id")).alias("name"))

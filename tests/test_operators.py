@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quirelake.functions import text as fx
-from quirelake.operators import chunks, graph, intervals, packing, segments, sparql, tables, vectors
+from quirelake.operators import chunking, chunks, graph, intervals, packing, segments, sparql, tables, vectors
 from quirelake.operators.running import running
 
 
@@ -150,3 +150,59 @@ def test_merges_take_all_results_of_a_hash(spark, tmp_path):
     best, combined = ({(r.content_hash, r.description, r.confidence) for r in catalog.queries()[q](spark, str(tmp_path)).collect()} for q in ("merge_best_all", "merge_combine_all"))
     assert best == {("h", "b", 0.9), ("k", "d", 0.0)}
     assert combined == {("h", "a\n\nAdditional details: b\n\nAdditional details: c", 0.9), ("k", "d", 0.0)}
+
+
+def test_chunking_whole_documents(spark):
+    kinds = {"a": "docx", "b": "pdf", "c": "xlsx", "d": "txt", "e": None, "f": "pptx"}
+    rows, n = [], 0
+    rng = random.Random(5)
+    for doc in kinds:
+        for k in range(40):
+            heading = rng.choice(["# Top", "## Sub", "1. Intro", "PLAIN", ""]) + "\n" if k % 3 == 0 else ""
+            rows.append((n, doc, k, k // 4, "table" if k == 7 else "text", heading + "word " * rng.randint(1, 60), [f"h{k}"] if k % 5 == 0 else None, '{"sheet_name": "S%d"}' % (k // 9 % 2) if doc == "c" else None))
+            n += 1
+    rows.append((n, "g", 0, None, "visual", None, None, "no json"))
+    s = spark.createDataFrame(rows, "segment_id int, document_id string, segment_index int, page_number int, segment_type string, content string, visual_references array<string>, metadata string")
+    v = spark.createDataFrame([(1, "a", "h5", "a chart of pumps", '{"n": 1}'), (2, "a", "h5", "again", None), (3, "b", "h10", "", None)], "visual_id int, document_id string, content_hash string, vlm_description string, extracted_data string")
+    d = spark.createDataFrame([(k, t) for k, t in kinds.items() if k != "e"] + [("e", None)], "document_id string, document_type string")
+    out = chunking.chunk_documents(d, s, v, 100, 5).collect()
+    by = {}
+    for r in out:
+        by.setdefault(r.document_id, []).append(r)
+    assert set(by) == {*kinds, "g"}
+    for doc, made in by.items():
+        made.sort(key=lambda r: r.chunk_ordinal)
+        mine = [r for r in rows if r[1] == doc]
+        notes = {k: 4 for k in range(40) if doc == "a" and k == 5}
+        assert brute_pack([(len((r[5] or "").split()) + notes.get(r[2], 0)) * 13 for r in mine], 1000) == [c.chunk_ordinal for c in made for _ in c.segment_references]
+        assert [c.chunk_id for c in made] == [f"{doc}__chunk_{k:03d}" for k in range(len(made))]
+        groups = {}
+        for c in sorted(made, key=lambda c: (c.group_ordinal, c.place)):
+            groups.setdefault(c.group_ordinal, []).append(c)
+        assert sorted(groups) == list(range(len(groups)))
+        for members in groups.values():
+            assert [c.place for c in members] == list(range(len(members))) and {c.n_in_group for c in members} == {len(members)} and len(members) <= 8
+            assert len({c.group_id for c in members}) == 1 and (len(members) == 1 or members[0].generates)
+        sizes = [len(groups[k]) for k in sorted(groups)]
+        assert all(not (a == b == 1) for a, b in zip(sizes, sizes[1:])) or max(sizes) <= 2
+    assert any("[VISUAL: a chart of pumps]\n[DATA: {\"n\": 1}]" in c.content and c.chunk_type == "table_data" or c.chunk_type == "hybrid" for c in by["a"])
+    assert {c.group_type for c in by["c"]} == {"sheet_group"} and {c.sheet_name for c in by["c"]} == {"S0", "S1"}
+    assert {c.group_type for c in by["e"]} == {"page_range"} and by["g"][0].is_fallback and not by["g"][0].is_valid
+    assert chunking.chunk_documents(d.limit(0), s.limit(0), v.limit(0)).count() == 0
+
+
+def test_small_groups_of_one_type_are_merged(spark):
+    rng = random.Random(8)
+    for _ in range(4):
+        groups = [("d", k, rng.choice("xy"), rng.choice([1, 1, 1, 2, 3, 7])) for k in range(rng.randint(1, 12))]
+        parts = [(k, t, min(3, n - p)) for _, k, t, n in groups for p in range(0, n, 3)]
+        want, k = [], 0
+        while k < len(parts):
+            if k + 1 < len(parts) and parts[k][2] < 2 and parts[k + 1][2] < 2 and parts[k][1] == parts[k + 1][1]:
+                want.append(2)
+                k += 2
+            else:
+                want.append(parts[k][2])
+                k += 1
+        df = spark.createDataFrame(groups, "document_id string, group_ordinal int, group_type string, chunk_count int")
+        assert [r.chunk_count for r in chunks.split_and_merge(df, 3, 2).orderBy("new_ordinal").collect()] == want
