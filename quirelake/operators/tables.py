@@ -39,6 +39,35 @@ def fixed_width(c: Column) -> Column:
     return F.coalesce((F.size(lines) >= 3) & F.forall(sizes, lambda x: F.abs(x * F.size(sizes) - total) * 5 < total), F.lit(False))
 
 
+def parse_fixed_width(c: Column) -> Column:
+    """``struct(headers, rows)`` of lines cut at white space, the first that is not blank being the header; null without any."""
+    lines = F.filter(F.split(fx.strip(c), "\n"), lambda x: fx.strip(x) != "")
+    rows = F.transform(lines, fx.words)
+    return F.when(F.size(rows) > 0, F.struct(F.try_element_at(rows, F.lit(1)).alias("headers"), F.slice(rows, F.lit(2), F.greatest(F.size(rows) - 1, F.lit(0))).alias("rows")))
+
+
+def structure(c: Column) -> Column:
+    """The structure of a table in text: delimited if it has a delimiter, else by fixed widths, else null."""
+    return F.coalesce(parse_delimited(c), F.when(fixed_width(c), parse_fixed_width(c)))
+
+
+def with_structure(segments: DataFrame) -> DataFrame:
+    """``segments`` retyped by what their content looks like, with ``is_table``, ``table_structure`` and ``triple_count``.
+
+    Only texts that are paragraphs or have no subtype are retyped; a structure
+    comes wherever a table is seen.
+    """
+    found = fx.content_type(F.col("content"))
+    rows = segments.withColumn("_found", found)
+    plain = (F.col("segment_type") == "text") & (F.coalesce("segment_subtype", F.lit("paragraph")) == "paragraph")
+    kind = F.when(F.col("_found") == "table", "table").when(F.col("_found") == "chart", "visual").otherwise("text")
+    subtype = F.when(F.col("_found") == "table", "data").otherwise(F.col("_found"))
+    shape = F.when(F.col("_found") == "table", structure(F.col("content")))
+    width = lambda r: F.least(F.size(r), F.size(F.col("table_structure.headers")))
+    rows = rows.withColumns({"segment_subtype": F.when(plain, subtype).otherwise(F.col("segment_subtype")), "segment_type": F.when(plain, kind).otherwise(F.col("segment_type")), "is_table": F.col("_found") == "table", "table_structure": shape})
+    return rows.withColumn("triple_count", F.when(F.col("table_structure").isNotNull(), F.aggregate("table_structure.rows", F.lit(0), lambda n, r: n + width(r)))).drop("_found")
+
+
 def table_triples(df: DataFrame, key: str, text_col: str) -> DataFrame:
     """``(key, subject, predicate, object)``: a triple for each cell with a header, subjects ``row_1``, ``row_2``, ..."""
     parsed = df.select(key, parse_delimited(F.col(text_col)).alias("_t")).where("_t IS NOT NULL")

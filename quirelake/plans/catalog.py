@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quirelake.common import table
 from quirelake.operators import shredding
-from quirelake.plans import chunk_queries, graph_queries, io_queries, report_queries, text_queries, visual_queries
+from quirelake.plans import chunk_queries, graph_queries, io_queries, page_queries, report_queries, text_queries, visual_queries
 from quirelake.plans.registry import Query, Registry
 
 NODE_COLUMNS = [c.split()[0] for c in shredding.NODE_SCHEMA.split(", ")]
@@ -61,4 +61,4 @@ def oracle_sql() -> dict[str, str]:
     return out
 
 
-MODULES = (text_queries, chunk_queries, graph_queries, visual_queries, report_queries, io_queries)
+MODULES = (text_queries, chunk_queries, graph_queries, visual_queries, report_queries, io_queries, page_queries)
