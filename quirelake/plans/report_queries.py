@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quirelake.common import table
 from quirelake.operators import reports as ops
 from quirelake.operators.packing import pack
-from quirelake.operators.segments import reindexed
+from quirelake.operators.segments import nearest_heading, reindexed
 from quirelake.plans.registry import Registry
 
 registry = Registry()
@@ -34,9 +34,93 @@ def client_metrics(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "parse_results").groupBy("model_version").agg(F.max_by("error_message", key).alias("last_error"), F.count("*").alias("n"))
 
 
-@query("SELECT element_type, count(*) AS n, round(avg(confidence), 6) AS mean, min(confidence) AS least, max(confidence) AS most FROM analysis_results GROUP BY element_type")
+@query("SELECT element_type, count(*) AS triple_count, round(coalesce(avg(confidence), 0.0), 6) AS average, coalesce(min(confidence), 0.0) AS least, coalesce(max(confidence), 0.0) AS most FROM analysis_results GROUP BY element_type")
 def confidence_stats(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "analysis_results").groupBy("element_type").agg(F.count("*").alias("n"), F.round(F.avg("confidence"), 6).alias("mean"), F.min("confidence").alias("least"), F.max("confidence").alias("most"))
+    return ops.extraction_confidence(table(spark, d, "analysis_results"), ["element_type"])
+
+
+@query(
+    """SELECT *, round(coalesce(successful_files * 100.0 / total_files, 0.0), 6) AS success_rate, round(coalesce(total_seconds / nullif(successful_files, 0), 0.0), 6) AS average_seconds, CASE WHEN successful_files > 1 THEN 30.0 * (successful_files - 1) ELSE 0.0 END AS seconds_saved
+    FROM (SELECT model_version, count(*) AS total_files, count(*) FILTER (success) AS successful_files, count(*) FILTER (NOT coalesce(success, false)) AS failed_files, round(sum(processing_time_seconds), 4) AS total_seconds FROM parse_results GROUP BY model_version)"""
+)
+def batch_stats(spark: SparkSession, d: str) -> DataFrame:
+    return ops.batch_statistics(table(spark, d, "parse_results"), ["model_version"], 30.0)
+
+
+@query(
+    """SELECT model_used, count(*) AS total_requests, count(*) FILTER (success) AS successful_requests, count(*) FILTER (NOT coalesce(success, false)) AS failed_requests, round(coalesce(sum(processing_time_seconds * 1000) FILTER (success), 0.0), 3) AS total_ms,
+    round(coalesce(avg(processing_time_seconds * 1000) FILTER (success), 0.0), 6) AS average_ms, arg_max(error_message, (created_at, analysis_id)) FILTER (NOT coalesce(success, false) AND error_message IS NOT NULL) AS last_error,
+    arg_max(created_at, (created_at, analysis_id)) FILTER (NOT coalesce(success, false) AND error_message IS NOT NULL) AS last_error_time FROM analysis_results GROUP BY model_used"""
+)
+def client_stats(spark: SparkSession, d: str) -> DataFrame:
+    return ops.client_statistics(table(spark, d, "analysis_results"), ["model_used"], "created_at", "analysis_id")
+
+
+@query(
+    """SELECT *, round(coalesce(successful_operations / total_operations, 0.0), 6) AS success_rate FROM (SELECT extraction_method, count(*) AS total_operations, count(*) FILTER (success) AS successful_operations, count(*) FILTER (NOT coalesce(success, false)) AS failed_operations,
+    round(coalesce(avg(processing_time_seconds) FILTER (success), 0.0), 6) AS average_seconds, round(coalesce(avg(coalesce(total_pages / nullif(processing_time_seconds, 0), 0.0)) FILTER (success), 0.0), 6) AS average_throughput FROM parse_results GROUP BY extraction_method)"""
+)
+def inference_stats(spark: SparkSession, d: str) -> DataFrame:
+    return ops.inference_summary(table(spark, d, "parse_results"), ["extraction_method"], F.col("total_pages"), F.col("processing_time_seconds"))
+
+
+@query(
+    """SELECT *, round(coalesce(total_seconds / nullif(total_elements, 0), 0.0), 6) AS average_seconds FROM (SELECT count(*) AS total_elements, count(*) FILTER (error_message IS NULL) AS successful, count(*) FILTER (error_message IS NOT NULL) AS failed, count(*) FILTER (NOT s) AS stage1, count(*) FILTER (s) AS stage2,
+    round(coalesce(avg(c) FILTER (error_message IS NULL), 0.0), 6) AS average_confidence, count(*) FILTER (c >= 0.8) AS high, count(*) FILTER (c >= 0.5 AND c < 0.8) AS medium, count(*) FILTER (c < 0.5) AS low, round(coalesce(sum(t), 0.0), 3) AS total_seconds,
+    round(coalesce(sum(t) FILTER (NOT s), 0.0), 3) AS stage1_seconds, round(coalesce(sum(t) FILTER (s), 0.0), 3) AS stage2_seconds FROM (SELECT error_message, coalesce(confidence, 0.0) AS c, coalesce(processing_time_seconds, 0.0) AS t, coalesce(model_used = 'pixtral', false) AS s FROM analysis_results))"""
+)
+def stage_stats(spark: SparkSession, d: str) -> DataFrame:
+    return ops.stage_statistics(table(spark, d, "analysis_results"), ("pixtral",))
+
+
+@query(
+    """WITH e AS (SELECT segment_type, segment_subtype, last_value(CASE WHEN segment_subtype IN ('heading_1','heading_2','heading_3','title','subtitle') THEN content END IGNORE NULLS) OVER (PARTITION BY document_id ORDER BY segment_index, segment_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS context FROM segments)
+    SELECT count(*) AS total_segments, count(*) FILTER (context <> '') AS enhanced_segments, count(*) FILTER (context <> '' AND segment_type = 'table') AS tables_with_context, count(*) FILTER (context <> '' AND segment_subtype = 'list') AS lists_with_context,
+    count(*) FILTER (context <> '' AND segment_type = 'visual') AS visuals_with_context FROM e"""
+)
+def context_stats(spark: SparkSession, d: str) -> DataFrame:
+    return ops.context_statistics(nearest_heading(table(spark, d, "segments")).withColumnRenamed("nearest_heading", "context"))
+
+
+@query(
+    """WITH o AS (SELECT *, row_number() OVER (PARTITION BY content_hash ORDER BY analysis_id) AS k FROM analysis_results), f AS (SELECT content_hash, confidence, description FROM o WHERE k = 1),
+    s AS (SELECT content_hash, arg_max(struct_pack(c := confidence, t := description), (coalesce(confidence, -1.0), description)) AS r FROM o WHERE k > 1 AND description IS NOT NULL GROUP BY content_hash)
+    SELECT content_hash, coalesce(f.confidence, 0.0) < 0.7 AND s.content_hash IS NOT NULL AS was_retried, CASE WHEN coalesce(f.confidence, 0.0) < 0.7 AND coalesce(r.c, 0.0) > coalesce(f.confidence, 0.0) THEN r.c ELSE f.confidence END AS confidence,
+      CASE WHEN coalesce(f.confidence, 0.0) < 0.7 AND coalesce(r.c, 0.0) > coalesce(f.confidence, 0.0) THEN r.t ELSE f.description END AS description FROM f LEFT JOIN s USING (content_hash)"""
+)
+def retried_results(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "analysis_results")
+    first = rows.groupBy("content_hash").agg(F.min_by(F.struct("analysis_id", "confidence", "description"), "analysis_id").alias("r")).select("content_hash", "r.*")
+    later = rows.where("description IS NOT NULL").join(first.select("analysis_id"), "analysis_id", "left_anti")
+    return ops.retried(first.drop("analysis_id"), later, "content_hash")
+
+
+_LAST = "SELECT document_id, arg_max(struct_pack(s := success, p := total_pages, m := extraction_method, v := model_version, e := error_message), (created_at, result_id)) AS r FROM parse_results WHERE document_id IS NOT NULL GROUP BY document_id"
+_STRING = "'\"' || replace(replace(replace(replace({}, '\\', '\\\\'), '\"', '\\\"'), chr(10), '\\n'), '/', '/') || '\"'"
+
+
+@query(
+    f"""WITH l AS ({_LAST}) SELECT CASE WHEN r.s THEN 'processed' ELSE 'error' END AS kind, document_id, '{{"document_id":' || {_STRING.format("document_id")} || CASE WHEN r.s THEN ',"status":"completed"' || coalesce(',"total_pages":' || r.p, '') || coalesce(',"extraction_method":' || {_STRING.format("r.m")}, '')
+      || coalesce(',"model_version":' || {_STRING.format("r.v")}, '') ELSE ',"status":"failed"' || coalesce(',"error_message":' || {_STRING.format("r.e")}, '') END || '}}' AS json FROM l"""
+)
+def run_json(spark: SparkSession, d: str) -> DataFrame:
+    return ops.run_records(table(spark, d, "parse_results"))
+
+
+@query(f"""WITH l AS ({_LAST}) SELECT '{{"total_documents":' || count(*) || ',"processed":' || count(*) FILTER (r.s) || ',"failed":' || count(*) FILTER (NOT coalesce(r.s, false)) || '}}' AS json FROM l""")
+def run_summary_json(spark: SparkSession, d: str) -> DataFrame:
+    return ops.run_summary(ops.run_records(table(spark, d, "parse_results")))
+
+
+@query(
+    f"""WITH h AS (SELECT *, last_value(CASE WHEN segment_subtype IN ('heading_1','heading_2','heading_3','title','subtitle') THEN content END IGNORE NULLS) OVER (PARTITION BY document_id ORDER BY segment_index, segment_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS c FROM segments),
+    k AS (SELECT content_hash, arg_min(struct_pack(i := visual_id, t := element_type), visual_id) AS v FROM visuals GROUP BY content_hash),
+    r AS (SELECT segment_id, '[' || string_agg('{{"visual_id":' || v.i || coalesce(',"element_type":' || {_STRING.format("v.t")}, '') || '}}', ',' ORDER BY pos) || ']' AS visuals FROM (SELECT segment_id, unnest(visual_references) AS content_hash, generate_subscripts(visual_references, 1) AS pos FROM segments) JOIN k USING (content_hash) GROUP BY segment_id)
+    SELECT segment_id, '{{"segment_id":' || segment_id || coalesce(',"document_id":' || {_STRING.format("document_id")}, '') || coalesce(',"segment_index":' || segment_index, '') || coalesce(',"segment_type":' || {_STRING.format("segment_type")}, '') || coalesce(',"segment_subtype":' || {_STRING.format("segment_subtype")}, '')
+      || coalesce(',"content_length":' || length(content), '') || coalesce(',"context":' || {_STRING.format("c")}, '') || coalesce(',"visuals":' || visuals, '') || '}}' AS json FROM h LEFT JOIN r USING (segment_id)"""
+)
+def debug_json(spark: SparkSession, d: str) -> DataFrame:
+    return ops.debug_records(nearest_heading(table(spark, d, "segments")), F.col("nearest_heading"), table(spark, d, "visuals"))
 
 
 @query(
