@@ -89,10 +89,58 @@ def n_triples(triples: DataFrame) -> DataFrame:
     return triples.select(F.concat(F.lit("<"), F.col("subject"), F.lit("> <"), F.col("predicate"), F.lit('> "'), escaped, F.lit('" .')).alias("line"))
 
 
+#: Triples of a subject in one block; a subject with more is written in several.
+BLOCK = 1000
+# The prefixes of Turtle files.
+PREFIXES = {"rdf": "http://www.w3.org/1999/02/22-rdf-syntax-ns#", "rdfs": "http://www.w3.org/2000/01/rdf-schema#", "xsd": "http://www.w3.org/2001/XMLSchema#"}
+
+
+def _blocks(triples: DataFrame, line: Column, before: Column, between: str, after: Column) -> DataFrame:
+    """``(subject, block)``: the lines of a subject's triples in order, in blocks of about ``BLOCK``."""
+    sizes = triples.groupBy("subject").agg(F.ceil(F.count("*") / BLOCK).alias("_parts"))
+    large = sizes.where("_parts > 1")
+    # Only subjects with more than a block are split, by the hash of their triples.
+    part = F.coalesce(F.pmod(F.xxhash64("predicate", "object"), F.col("_parts")), F.lit(0))
+    rows = triples.join(large, "subject", "left").select("subject", part.alias("_part"), F.struct("predicate", "object", line.alias("line")).alias("l"))
+    listed = F.array_join(F.transform(F.array_sort(F.collect_list("l")), lambda x: x["line"]), between)
+    return rows.groupBy("subject", "_part").agg(listed.alias("_b")).select("subject", F.concat(before, F.col("_b"), after).alias("block"))
+
+
+def turtle_prefixes() -> str:
+    """The head of a Turtle file."""
+    return "\n".join(f"@prefix {name}: <{iri}> ." for name, iri in PREFIXES.items())
+
+
 def turtle(triples: DataFrame) -> DataFrame:
-    """``(subject, block)``: one Turtle statement a subject, its predicates in order."""
-    pairs = F.transform(F.array_sort(F.collect_list(F.struct("predicate", "object"))), lambda x: F.concat(F.lit("    "), x["predicate"], F.lit(" "), x["object"]))
-    return triples.groupBy("subject").agg(F.concat(F.col("subject"), F.lit("\n"), F.array_join(pairs, " ;\n"), F.lit(" .")).alias("block"))
+    """``(subject, block)``: Turtle statements, the predicates of a subject in order."""
+    line = F.concat(F.lit("    "), F.col("predicate"), F.lit(" "), F.col("object"))
+    return _blocks(triples, line, F.concat(F.col("subject"), F.lit("\n")), " ;\n", F.lit(" ."))
+
+
+def _xml(c: Column) -> Column:
+    for sign, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        c = F.replace(c, F.lit(sign), F.lit(name))
+    return c
+
+
+def rdf_xml(triples: DataFrame) -> DataFrame:
+    """``(subject, block)``: a description element for each subject, its objects as literals."""
+    name = _xml(F.col("predicate"))
+    line = F.concat(F.lit("  <"), name, F.lit(">"), _xml(F.col("object")), F.lit("</"), name, F.lit(">"))
+    return _blocks(triples, line, F.concat(F.lit('<rdf:Description rdf:about="'), _xml(F.col("subject")), F.lit('">\n')), "\n", F.lit("\n</rdf:Description>"))
+
+
+def json_ld(triples: DataFrame) -> DataFrame:
+    """``(subject, block)``: an object for each subject with the values of each predicate in a list."""
+    values = triples.groupBy("subject", "predicate", F.pmod(F.xxhash64("object"), F.lit(64)).alias("_salt")).agg(F.array_sort(F.collect_list("object")).alias("v"))
+    sizes = values.groupBy("subject").agg(F.ceil(F.sum(F.size("v")) / BLOCK).alias("_parts"))
+    # A subject of one block has all values of a predicate together; a larger one has them by salt.
+    parts = values.join(sizes, "subject").withColumn("_part", F.when(F.col("_parts") > 1, F.col("_salt")).otherwise(F.lit(0)))
+    joined = parts.groupBy("subject", "_part", "predicate").agg(F.array_sort(F.flatten(F.collect_list("v"))).alias("v"))
+    text = lambda c: F.substring(F.to_json(F.array(c)), F.lit(2), F.length(F.to_json(F.array(c))) - 2)
+    pair = F.concat(text(F.col("predicate")), F.lit(":"), F.to_json("v"))
+    listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("predicate", pair.alias("p")))), lambda x: x["p"]), ",")
+    return joined.groupBy("subject", "_part").agg(listed.alias("_b")).select("subject", F.concat(F.lit('{"@id":'), text(F.col("subject")), F.lit(","), F.col("_b"), F.lit("}")).alias("block"))
 
 
 def bracketed(c: Column) -> tuple[Column, Column]:

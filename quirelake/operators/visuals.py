@@ -35,11 +35,14 @@ def text_quality(description: Column, ocr: Column) -> Column:
 
 
 def completeness(data: Column) -> Column:
-    """From 0 to 1, by number of keys, nesting and digits of extracted data (JSON); 0 for none."""
+    """From 0 to 1 how much extracted data (JSON) holds: by keys, nesting and digits in values; a list that is not empty has 0.5; 0 for none."""
+    is_list = F.coalesce(F.size(F.when(fx.strip(data).startswith("["), F.from_json(data, "array<string>"))) > 0, F.lit(False))
     keys = F.size(F.coalesce(F.json_object_keys(data), F.array().cast("array<string>")))
-    nested = data.rlike(r':\s*[\[{]')
-    tenths = F.least(keys, F.lit(5)) + F.when(nested, 3).otherwise(0) + F.when(data.rlike(r":[^:]*[0-9]"), 2).otherwise(0)
-    return F.when(keys > 0, F.least(tenths, F.lit(10)) / 10).otherwise(0.0)
+    # Without its strings, an object has a bracket after a colon exactly if one of its values is nested.
+    nested = F.regexp_replace(data, r'"(?:[^"\\]|\\.)*"', '""').rlike(r":\s*[\[{]")
+    digits = F.exists(F.coalesce(F.map_values(F.from_json(data, "map<string,string>")), F.array().cast("array<string>")), lambda v: F.coalesce(v.rlike("[0-9]"), F.lit(False)))
+    tenths = F.least(keys, F.lit(5)) + F.when(nested, 3).otherwise(0) + F.when(digits, 2).otherwise(0)
+    return F.when(is_list, 0.5).when(keys > 0, F.least(tenths, F.lit(10)) / 10).otherwise(0.0)
 
 
 def diagram_analysed(description: Column) -> Column:
@@ -83,10 +86,11 @@ def fallback_settings(reasons: Column) -> tuple[Column, Column, Column]:
 
 
 def consensus(results: DataFrame) -> DataFrame:
-    """For each content_hash: mean confidence, most common element type, model with the highest confidence, number of models; ties by value."""
+    """For each content_hash: mean confidence, most common element type, model with the highest confidence, number of models, summed seconds; ties by value."""
     counts = results.where("element_type IS NOT NULL").groupBy("content_hash", "element_type").agg(F.count("*").alias("n")).groupBy("content_hash").agg(F.min_by("element_type", F.struct(-F.col("n"), F.col("element_type"))).alias("element_type"))
     best = results.groupBy("content_hash").agg(
-        F.round(F.avg("confidence"), 6).alias("confidence"), F.min_by("model_used", F.struct(-F.coalesce("confidence", F.lit(-1.0)), F.col("model_used"))).alias("best_model"), F.countDistinct("model_used").alias("n_models")
+        F.round(F.avg("confidence"), 6).alias("confidence"), F.min_by("model_used", F.struct(-F.coalesce("confidence", F.lit(-1.0)), F.col("model_used"))).alias("best_model"), F.countDistinct("model_used").alias("n_models"),
+        F.round(F.coalesce(F.sum("processing_time_seconds"), F.lit(0.0)), 4).alias("total_seconds"),
     )
     return best.join(counts, "content_hash", "left")
 
@@ -159,6 +163,41 @@ def image_context(segments: DataFrame, visuals: DataFrame) -> DataFrame:
     return joined.select("visual_id", F.coalesce("on_page", "by_ref").alias("segment_id"))
 
 
+def boxes_of(text: Column) -> Column:
+    """The four numbers of a place written as ``<loc_a><loc_b><loc_c><loc_d>`` or as ``a>b>c>d>``; null for other texts."""
+    tagged, plain = r"<loc_(\d+)><loc_(\d+)><loc_(\d+)><loc_(\d+)>", r"(\d+)>(\d+)>(\d+)>(\d+)>"
+    numbers = lambda p: F.array(*(F.regexp_extract(text, p, g).try_cast("int") for g in range(1, 5)))
+    return F.when(text.rlike(tagged), numbers(tagged)).when(text.rlike(plain), numbers(plain))
+
+
+def by_reference(segments: DataFrame, key: Column, visuals: DataFrame, visual_key: Column) -> DataFrame:
+    """``(segment_id, refs)``: the hashes of the visuals of a document whose place, such as ``paragraph_3``, ``sheet_Costs`` or a slide number, is the segment's, by visual id.
+
+    Visuals are brought to one row a place first; segments and visuals without
+    place or document join nothing and are left out.
+    """
+    placed = visuals.withColumn("_k", visual_key.cast("string")).where("_k IS NOT NULL AND document_id IS NOT NULL AND content_hash IS NOT NULL")
+    listed = placed.groupBy("document_id", "_k").agg(F.transform(F.array_sort(F.collect_list(F.struct("visual_id", "content_hash"))), lambda x: x["content_hash"]).alias("refs"))
+    rows = segments.select("segment_id", "document_id", key.cast("string").alias("_k")).where("_k IS NOT NULL AND document_id IS NOT NULL")
+    return rows.join(listed, ["document_id", "_k"]).select("segment_id", "refs")
+
+
+def table_kind(page_kind: Column, element: Column, data: Column) -> Column:
+    """``motorization`` for tables on specification pages whose data speaks of engines; null for others."""
+    # Words by which data speaks of engines.
+    terms = ("motor", "modell", "leistung", "power")
+    return F.when((page_kind == "technical_specification") & (element == "table") & F.coalesce(fx.any_contains(F.lower(data), terms), F.lit(False)), "motorization")
+
+
+def chart_text(title: Column, kind: Column, series: Column, most: int = 10) -> Column:
+    """A chart in words: its title if it has one, its type, and the first ``most`` values of each series (``array<struct<title, values>>``)."""
+    line = lambda s, n: F.concat(F.lit("  "), F.coalesce(s["title"], F.concat(F.lit("Series "), (n + 1).cast("string"))), F.lit(": "), F.when(F.coalesce(F.size(s["values"]), F.lit(0)) > 0, F.array_join(F.slice(s["values"], 1, most), ", ")).otherwise("No data"))
+    lines = F.transform(series, line)
+    body = F.when(F.size(series) > 0, F.concat(F.array(F.lit("Data Series:")), lines)).otherwise(F.array().cast("array<string>"))
+    head = F.array(F.when(F.coalesce(title, F.lit("")) != "", F.concat(F.lit("Chart Title: "), title)), F.concat(F.lit("Chart Type: "), F.coalesce(kind, F.lit("Unknown"))))
+    return F.array_join(F.concat(F.array_compact(head), F.coalesce(body, F.array().cast("array<string>"))), "\n")
+
+
 def scaled_box(bbox: Column, width: float, height: float) -> Column:
     """A box of four numbers in 0 to 500 as x, y, width and height in page units; null for others."""
     x, y = width / 500, height / 500

@@ -53,6 +53,16 @@ def turtle_export(spark: SparkSession, d: str) -> DataFrame:
     return tables.turtle(triples(spark, d))
 
 
+@query(TRIPLES + """SELECT subject, '<rdf:Description rdf:about="' || subject || '">' || chr(10) || string_agg('  <' || predicate || '>' || replace(replace(object, '&', '&amp;'), '<', '&lt;') || '</' || predicate || '>', chr(10) ORDER BY predicate, object) || chr(10) || '</rdf:Description>' AS block FROM triples GROUP BY subject""")
+def rdf_export(spark: SparkSession, d: str) -> DataFrame:
+    return tables.rdf_xml(triples(spark, d))
+
+
+@query(TRIPLES + """SELECT subject, '{"@id":"' || subject || '",' || string_agg('"' || predicate || '":[' || v || ']', ',' ORDER BY predicate) || '}' AS block FROM (SELECT subject, predicate, string_agg('"' || object || '"', ',' ORDER BY object) AS v FROM triples GROUP BY ALL) GROUP BY subject""")
+def json_ld_export(spark: SparkSession, d: str) -> DataFrame:
+    return tables.json_ld(triples(spark, d))
+
+
 @query(TRIPLES + "SELECT *, round(n_triples / n_subjects, 6) AS triples_per_subject FROM (SELECT count(*) AS n_triples, count(DISTINCT subject) AS n_subjects, count(DISTINCT predicate) AS n_predicates, count(DISTINCT object) AS n_objects FROM triples)")
 def kg_stats(spark: SparkSession, d: str) -> DataFrame:
     return graph.statistics(triples(spark, d))
@@ -202,6 +212,12 @@ def semantic_topk(spark: SparkSession, d: str) -> DataFrame:
     return vectors.top_similar(table(spark, d, "embeddings"), QUERY, 10)
 
 
+@query(f"SELECT vec_id, label, {_SCORE} AS score FROM embeddings WHERE {_SCORE} >= 0.0 AND vec_id % 3 = 1 AND label IN (SELECT label FROM embeddings WHERE vec_id % 100 = 0) ORDER BY score DESC, vec_id LIMIT 10")
+def semantic_filtered(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "embeddings")
+    return vectors.top_similar(rows, QUERY, 10, condition=F.col("vec_id") % 3 == 1, among=rows.where("vec_id % 100 = 0").select("label"))
+
+
 @query(
     TRIPLES + f", v AS (SELECT vec_id, {_SCORE} AS score FROM embeddings WHERE {_SCORE} >= 0.0 ORDER BY score DESC, vec_id LIMIT 100), g AS (SELECT subject, count(*) AS n FROM triples WHERE predicate = 'basedIn' GROUP BY subject) SELECT vec_id, round(0.7 * score + 0.3 * coalesce(n, 0), 6) AS combined FROM v LEFT JOIN g ON g.subject = 'customer_' || vec_id"
 )

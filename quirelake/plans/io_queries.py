@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirelake.common import table
+from quirelake.functions import prompts
 from quirelake.functions.text import strip as stripped
 from quirelake.operators import reports
 from quirelake.operators.tables import bracketed
@@ -53,24 +54,72 @@ def json_ladder(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def json_ladder_all(spark: SparkSession, d: str) -> DataFrame:
-    """The JSON in every payload as it stands; null where none is found."""
-    return table(spark, d, "parse_results").where("payload IS NOT NULL").select("result_id", doctags.json_of(F.col("payload")).alias("json"))
+    """The JSON in every payload as it stands, and what is made of those that hold none; the tests compare the ladder with a loop over its rungs."""
+    rows = table(spark, d, "parse_results").where("payload IS NOT NULL")
+    return rows.select("result_id", doctags.json_of(F.col("payload")).alias("json"), doctags.json_or_default(F.col("payload")).alias("json_or_default"))
+
+
+def _fields(c: str) -> str:
+    return "[" + ", ".join(f"CASE WHEN len(regexp_extract_all({c}, '{p}', 1)) > 0 THEN struct_pack(key := '{k}', value := regexp_extract_all({c}, '{p}', 1)) END" for k, p in doctags.FIELDS) + "]"
+
+
+@query(f"SELECT visual_id, list_transform(list_filter({_fields('vlm_description')}, lambda x: x IS NOT NULL), lambda x: x.key || '=' || array_to_string(x.value, ';')) AS fields FROM visuals WHERE vlm_description <> '' AND len(list_filter({_fields('vlm_description')}, lambda x: x IS NOT NULL)) > 0")
+def response_fields(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "visuals").where("vlm_description <> ''").select("visual_id", doctags.structured_response(F.col("vlm_description")).alias("r")).where("r.format = 'text_extracted'")
+    return rows.select("visual_id", F.transform(F.map_entries("r.fields"), lambda x: F.concat(x["key"], F.lit("="), F.array_join(x["value"], ";"))).alias("fields"))
+
+
+_KIND = "CASE WHEN regexp_matches(lower(vlm_description), 'title|deckblatt') THEN 'title' WHEN regexp_matches(lower(vlm_description), 'content|inhalt') THEN 'table_of_contents' WHEN regexp_matches(lower(vlm_description), 'technical|technisch') THEN 'technical_specification' ELSE 'content' END"
+
+
+@query(f"SELECT visual_id, {_KIND} AS page_type, NULL AS main_topic, 0 AS n FROM visuals WHERE vlm_description IS NOT NULL UNION ALL SELECT visual_id, {_KIND}, element_type, 2 FROM visuals WHERE vlm_description IS NOT NULL AND element_type IS NOT NULL")
+def page_contexts(spark: SparkSession, d: str) -> DataFrame:
+    """Every description read as it stands, and as a response that has its page type, a topic and two points as JSON."""
+    rows = table(spark, d, "visuals").where("vlm_description IS NOT NULL")
+    written = F.to_json(F.struct(doctags.page_type(F.col("vlm_description")).alias("page_type"), F.col("element_type").alias("main_topic"), F.array(F.lit("a"), F.lit("b")).alias("key_information")))
+    both = rows.select("visual_id", F.col("vlm_description").alias("r")).unionByName(rows.where("element_type IS NOT NULL").select("visual_id", F.concat(F.lit("Here it is:\n```json\n"), written, F.lit("\n```")).alias("r")))
+    return both.select("visual_id", doctags.page_context(F.col("r")).alias("c")).select("visual_id", "c.page_type", "c.main_topic", F.size("c.key_information").alias("n"))
+
+
+_NOTE = "'[' || upper(element_type) || ']: ' || vlm_description || coalesce(' (Page ' || page_number || ')', '')"
 
 
 @query(
-    """WITH s AS (SELECT document_id, string_agg(content, chr(10) || chr(10) ORDER BY segment_index, segment_id) AS body FROM segments WHERE content IS NOT NULL GROUP BY document_id),
-    v AS (SELECT document_id, string_agg('[' || upper(element_type) || ']: ' || vlm_description || coalesce(' (Page ' || page_number || ')', ''), chr(10) ORDER BY visual_id) AS notes FROM visuals WHERE vlm_description <> '' AND element_type IS NOT NULL GROUP BY document_id)
-    SELECT document_id, concat_ws(chr(10) || chr(10), body, notes) AS content FROM s FULL JOIN v USING (document_id)"""
+    f"""SELECT document_id, 'text' AS section, segment_index // 1024 AS part_no, string_agg(CASE WHEN segment_type = 'metadata' AND segment_subtype IN ('sheet', 'slide') THEN '## ' || content ELSE content END, chr(10) || chr(10) ORDER BY segment_index, segment_id) AS content FROM segments WHERE content IS NOT NULL GROUP BY ALL
+    UNION ALL SELECT document_id, 'visuals', visual_id // 1024, string_agg({_NOTE}, chr(10) ORDER BY visual_id) FROM visuals WHERE vlm_description <> '' AND element_type IS NOT NULL GROUP BY ALL"""
 )
 def full_text(spark: SparkSession, d: str) -> DataFrame:
     return export.full_text(table(spark, d, "segments"), table(spark, d, "visuals"))
 
 
+@query(f"SELECT segment_id, content || chr(10) || chr(10) || string_agg({_NOTE}, chr(10) ORDER BY pos, visual_id) AS content FROM (SELECT segment_id, document_id, content, unnest(visual_references) AS content_hash, generate_subscripts(visual_references, 1) AS pos FROM segments WHERE content IS NOT NULL) s JOIN visuals v USING (document_id, content_hash) WHERE vlm_description <> '' AND element_type IS NOT NULL GROUP BY segment_id, content")
+def enhanced_content(spark: SparkSession, d: str) -> DataFrame:
+    return export.enhanced_content(table(spark, d, "segments"), table(spark, d, "visuals"))
+
+
 @query()
 def parsed_json(spark: SparkSession, d: str) -> DataFrame:
     return export.parsed_documents(table(spark, d, "documents"), table(spark, d, "segments"), table(spark, d, "visuals"))
 
 
+@query(f"SELECT chunk_row_id, CASE WHEN inherited_context <> '' THEN 'VORHERIGER KONTEXT:' || chr(10) || inherited_context || chr(10) || chr(10) ELSE '' END || 'AUFGABE:' || chr(10) || 'Summarise.' || chr(10) || chr(10) || 'TEXT:' || chr(10) || coalesce(content, '') AS prompt FROM chunks")
+def task_prompts(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "chunks").select("chunk_row_id", prompts.with_context("Summarise.", F.col("content"), F.col("inherited_context")).alias("prompt"))
+
+
+@query("SELECT chunk_row_id, 'T: ' || coalesce(content, '') || ' / ' || coalesce(inherited_context, '') || ' {other}' AS prompt FROM chunks")
+def template_prompts(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "chunks").select("chunk_row_id", prompts.from_template("T: {chunk_content} / {inherited_context} {other}", {"chunk_content": F.col("content"), "inherited_context": F.col("inherited_context")}).alias("prompt"))
+
+
+@query(
+    "SELECT visual_id, CASE element_type WHEN 'chart' THEN 'chart_data' WHEN 'formula' THEN 'ocr' WHEN 'table' THEN 'ocr' WHEN 'table_image' THEN 'ocr' WHEN 'diagram' THEN 'comprehensive' WHEN 'screenshot' THEN 'comprehensive' ELSE 'description' END AS focus, 5 AS n_instructions FROM visuals"
+)
+def adaptive_prompts(spark: SparkSession, d: str) -> DataFrame:
+    focus, lines = prompts.adaptive(F.col("element_type"))
+    return table(spark, d, "visuals").select("visual_id", focus.alias("focus"), F.size(lines).alias("n_instructions"))
+
+
 @query("SELECT segment_id, len(string_split(content, '|')) > 1 AS has_table FROM segments WHERE segment_type = 'table' AND content IS NOT NULL")
 def bracketed_tables(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "segments").where("segment_type = 'table' AND content IS NOT NULL")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quirelake.common import table
 from quirelake.operators import intervals
 from quirelake.operators import visuals as ops
+from quirelake.operators.pages import first_of_each
 from quirelake.plans.registry import Registry
 from quirelake.plans.text_queries import WS, words
 
@@ -30,7 +31,9 @@ b AS (SELECT *, {_GENERIC} * 2 + {_count(ops.VAGUE, "low")} AS g,
     least({_count(ops.SPECIFIC, "low")}, 3) + CASE WHEN {words("description")} BETWEEN 20 AND 200 THEN 3 WHEN {words("description")} >= 10 THEN 2 ELSE 0 END + CASE WHEN {_any(ops.STRUCTURE, "low")} THEN 2 ELSE 0 END + CASE WHEN length(ocr) > 10 THEN 2 ELSE 0 END AS q,
     coalesce(len(json_keys(CASE WHEN json_valid(extracted_data) THEN extracted_data END)), 0) AS keys FROM a),
 c AS (SELECT *, CASE WHEN none THEN 0.5 ELSE least(g + CASE WHEN length(ocr) > 20 AND g > 3 THEN 2 ELSE 0 END, 10) / 10 END AS h, CASE WHEN none THEN 0.0 ELSE least(q, 10) / 10 END AS t,
-    CASE WHEN keys > 0 THEN least(least(keys, 5) + CASE WHEN regexp_matches(extracted_data, ':\\s*[\\[{{]') THEN 3 ELSE 0 END + CASE WHEN regexp_matches(extracted_data, ':[^:]*[0-9]') THEN 2 ELSE 0 END, 10) / 10 ELSE 0.0 END AS e FROM b),
+    CASE WHEN json_valid(extracted_data) AND json_type(extracted_data) = 'ARRAY' AND json_array_length(extracted_data) > 0 THEN 0.5
+      WHEN keys > 0 THEN least(least(keys, 5) + CASE WHEN len(list_filter(json_keys(extracted_data), lambda k: json_type(json_extract(extracted_data, '$."' || k || '"')) IN ('OBJECT', 'ARRAY'))) > 0 THEN 3 ELSE 0 END
+        + CASE WHEN len(list_filter(json_keys(extracted_data), lambda k: regexp_matches(CAST(json_extract(extracted_data, '$."' || k || '"') AS VARCHAR), '[0-9]'))) > 0 THEN 2 ELSE 0 END, 10) / 10 ELSE 0.0 END AS e FROM b),
 j AS (SELECT *, round(CASE WHEN ok THEN coalesce(confidence, 0.0) * 0.4 + t * 0.3 + e * 0.2 + (1 - h) * 0.1 ELSE 0.0 END, 6) AS overall FROM c),
 r AS (SELECT *, CASE WHEN NOT ok THEN ['parsing_error'] ELSE list_filter([CASE WHEN overall < CASE WHEN critical THEN 0.95 WHEN is_diagram THEN 0.9 ELSE 0.85 END THEN 'low_confidence' END, CASE WHEN h > 0.5 THEN 'hallucination_detected' END,
     CASE WHEN e < 0.5 AND element_type IN ('table', 'diagram') THEN 'incomplete_data' END, CASE WHEN critical AND overall < 0.95 THEN 'critical_document' END,
@@ -56,7 +59,7 @@ def fallback_config(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """SELECT content_hash, round(avg(confidence), 6) AS confidence, arg_min(model_used, (-coalesce(confidence, -1.0), model_used)) AS best_model, count(DISTINCT model_used) AS n_models,
+    """SELECT content_hash, round(avg(confidence), 6) AS confidence, arg_min(model_used, (-coalesce(confidence, -1.0), model_used)) AS best_model, count(DISTINCT model_used) AS n_models, round(coalesce(sum(processing_time_seconds), 0.0), 4) AS total_seconds,
        (SELECT e FROM (SELECT element_type AS e, count(*) AS n FROM analysis_results x WHERE x.content_hash = a.content_hash AND element_type IS NOT NULL GROUP BY element_type) ORDER BY n DESC, e LIMIT 1) AS element_type FROM analysis_results a GROUP BY content_hash"""
 )
 def consensus(spark: SparkSession, d: str) -> DataFrame:
@@ -278,3 +281,57 @@ def debug_events(spark: SparkSession, d: str) -> DataFrame:
     refs = s.select("segment_id", "document_id", F.explode("visual_references").alias("content_hash")).join(table(spark, d, "visuals").select("document_id", "content_hash", "segment_reference"), ["document_id", "content_hash"])
     named = g.withColumn("segment_reference", F.concat(F.lit("segment_"), F.col("segment_index").cast("string"))).drop("segment_index")
     return by_index.unionByName(refs.join(named, ["document_id", "segment_reference"]).select("segment_id", "debug_id")).distinct()
+
+
+@query("SELECT segment_id, list(content_hash ORDER BY visual_id) AS refs FROM segments s JOIN visuals v ON v.document_id = s.document_id AND v.segment_reference = 'segment_' || s.segment_index WHERE content_hash IS NOT NULL GROUP BY segment_id")
+def refs_by_place(spark: SparkSession, d: str) -> DataFrame:
+    return ops.by_reference(table(spark, d, "segments"), F.concat(F.lit("segment_"), F.col("segment_index").cast("string")), table(spark, d, "visuals"), F.col("segment_reference"))
+
+
+@query("SELECT segment_id, list(content_hash ORDER BY visual_id) AS refs FROM segments s JOIN visuals v ON v.document_id = s.document_id AND v.page_number = s.page_number WHERE content_hash IS NOT NULL GROUP BY segment_id")
+def refs_by_slide(spark: SparkSession, d: str) -> DataFrame:
+    return ops.by_reference(table(spark, d, "segments"), F.col("page_number"), table(spark, d, "visuals"), F.col("page_number"))
+
+
+_TEN = "SELECT o_orderpriority, o_orderstatus, string_agg(CAST(o_orderkey AS VARCHAR), ', ' ORDER BY o_orderkey) AS v FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority, o_orderstatus ORDER BY o_orderkey) AS k FROM orders) WHERE k <= 10 GROUP BY ALL"
+
+
+@query(f"SELECT o_orderpriority, 'Chart Title: ' || o_orderpriority || chr(10) || 'Chart Type: BarChart' || chr(10) || 'Data Series:' || chr(10) || string_agg('  ' || o_orderstatus || ': ' || v, chr(10) ORDER BY o_orderstatus) AS chart FROM ({_TEN}) GROUP BY o_orderpriority")
+def chart_texts(spark: SparkSession, d: str) -> DataFrame:
+    """A chart for each priority, a series for each status; of a series only the values that are shown are brought together."""
+    first = first_of_each(table(spark, d, "orders"), ["o_orderpriority", "o_orderstatus"], [F.col("o_orderkey")], 10)
+    series = first.groupBy("o_orderpriority", F.col("o_orderstatus").alias("title")).agg(F.transform(F.array_sort(F.collect_list("o_orderkey")), lambda x: x.cast("string")).alias("values"))
+    charts = series.groupBy("o_orderpriority").agg(F.array_sort(F.collect_list(F.struct("title", "values"))).alias("series"))
+    return charts.select("o_orderpriority", ops.chart_text(F.col("o_orderpriority"), F.lit("BarChart"), F.col("series")).alias("chart"))
+
+
+@query("SELECT visual_id, CASE WHEN h = 0 THEN 'unknown_visual' WHEN w / h > 2.5 THEN 'chart' WHEN w / h BETWEEN 0.8 AND 1.2 THEN 'diagram' WHEN w > 300 AND h > 200 THEN 'chart' ELSE 'image' END AS kind FROM (SELECT visual_id, CAST(bbox[3] - bbox[1] AS DOUBLE) AS w, CAST(bbox[4] - bbox[2] AS DOUBLE) AS h FROM visuals WHERE len(bbox) = 4)")
+def aspect_types_text(spark: SparkSession, d: str) -> DataFrame:
+    b = F.col("bbox")
+    return table(spark, d, "visuals").where(F.size(b) == 4).select("visual_id", ops.aspect_type(b[2] - b[0], b[3] - b[1], "text").alias("kind"))
+
+
+@query("SELECT visual_id, list_transform(bbox, lambda x: CAST(x AS INTEGER)) AS tagged, list_transform(bbox, lambda x: CAST(x AS INTEGER)) AS plain FROM visuals WHERE len(bbox) = 4 AND list_min(bbox) >= 0")
+def boxes_in_text(spark: SparkSession, d: str) -> DataFrame:
+    """Every box written in both ways and read back."""
+    rows = table(spark, d, "visuals").where((F.size("bbox") == 4) & (F.array_min("bbox") >= 0))
+    tagged = F.array_join(F.transform("bbox", lambda x: F.concat(F.lit("<loc_"), x.cast("string"), F.lit(">"))), "")
+    plain = F.array_join(F.transform("bbox", lambda x: F.concat(x.cast("string"), F.lit(">"))), "")
+    return rows.select("visual_id", ops.boxes_of(tagged).alias("tagged"), ops.boxes_of(plain).alias("plain"))
+
+
+@query("SELECT visual_id, CASE WHEN element_type IN ('table', 'table_image') AND regexp_matches(lower(extracted_data), 'motor|modell|leistung|power') THEN 'motorization' END AS kind FROM visuals")
+def table_kinds(spark: SparkSession, d: str) -> DataFrame:
+    element = F.when(F.col("element_type") == "table_image", "table").otherwise(F.col("element_type"))
+    return table(spark, d, "visuals").select("visual_id", ops.table_kind(F.lit("technical_specification"), element, F.col("extracted_data")).alias("kind"))
+
+
+@query("SELECT visual_id FROM visuals WHERE element_type = 'chart' AND page_number = 2")
+def visuals_of_type(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "visuals").where("element_type = 'chart' AND page_number = 2").select("visual_id")
+
+
+@query("SELECT document_id, visual_id FROM visuals WHERE element_type IN ('chart', 'diagram') QUALIFY row_number() OVER (PARTITION BY document_id, element_type ORDER BY visual_id) <= 5")
+def compared_elements(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "visuals").where("element_type IN ('chart', 'diagram')")
+    return first_of_each(rows, ["document_id", "element_type"], [F.col("visual_id")], 5).select("document_id", "visual_id")

@@ -9,6 +9,7 @@ from quirelake.functions.text import strip
 
 #: Consecutive equal lines from which on an output is taken for a runaway repetition.
 REPEATS = 11
+# The grammar of placed tags and of visual tags.
 _PLACED = r"<(\w+)>(?:<loc_\d+>){4}([^<]+)</\1>"
 _VISUAL = r"<(picture|image|figure|chart)><loc_(\d+)><loc_(\d+)><loc_(\d+)><loc_(\d+)>(?:([^<]*)</\1>)?"
 
@@ -31,7 +32,7 @@ def parse_pages(pages: DataFrame, tags_col: str = "doctags") -> DataFrame:
     is longer than three characters. Null and empty pages give empty text and
     arrays.
     """
-    c = strip(F.coalesce(F.col(tags_col), F.lit("")))
+    c = strip(normalise(F.coalesce(F.col(tags_col), F.lit(""))))
     rows = pages.withColumn("_p", _pairs(c, _PLACED, 1, 2)).withColumn("_v", _pairs(c, _VISUAL, 1, 2, 3, 4, 5, 6))
     content = lambda x: strip(x["g2"])
     is_text = lambda x: (content(x) != "") & (x["g1"].isin("paragraph", "text", "section_header", "title", "caption") | ((x["g1"] == "page_header") & ~content(x).rlike("^[0-9]+$")))
@@ -101,25 +102,51 @@ def json_of(response: Column) -> Column:
     return F.try_element_at(F.filter(tried, lambda x: (x != "") & F.try_parse_json(x).isNotNull() & x.rlike(r"^\s*[\[{]")), F.lit(1))
 
 
+def json_or_default(response: Column) -> Column:
+    """The JSON of a response, or where it has none one that is made of its text; null for null and empty."""
+    made = F.to_json(F.struct(response.alias("description"), F.lit(0.7).alias("confidence"), F.lit("unknown_visual").alias("element_type")))
+    return F.coalesce(json_of(response), F.when(strip(response) != "", made))
+
+
+# The fields of responses in plain text and how they are written.
+FIELDS = (
+    ("model", r"(?i)(?:Model|Modell):\s*([^\n,]+)"), ("motor", r"(?i)(?:Motor|Engine):\s*([^\n,]+)"), ("power", r"(?i)(\d+)\s*(?:kW|PS|hp)"), ("torque", r"(?i)(\d+)\s*(?:Nm|lb-ft)"),
+    ("table_rows", r"(?i)(?:Row|Zeile)\s*\d+:\s*([^\n]+)"), ("columns", r"(?i)(?:Column|Spalte)s?:\s*([^\n]+)"),
+)
+
+
 def response_fields(response: Column) -> Column:
     """Named values in a response of plain text, as a map; null if there are none."""
-    # The fields and how they are written.
-    fields = (("model", r"(?i)(?:Model|Modell):\s*([^\n,]+)"), ("motor", r"(?i)(?:Motor|Engine):\s*([^\n,]+)"), ("power", r"(?i)(\d+)\s*(?:kW|PS|hp)"), ("torque", r"(?i)(\d+)\s*(?:Nm|lb-ft)"), ("columns", r"(?i)(?:Column|Spalte)s?:\s*([^\n]+)"))
-    pairs = F.filter(F.array(*(F.struct(F.lit(k).alias("key"), F.regexp_extract_all(response, F.lit(p), 1).alias("value")) for k, p in fields)), lambda x: F.size(x["value"]) > 0)
+    pairs = F.filter(F.array(*(F.struct(F.lit(k).alias("key"), F.regexp_extract_all(response, F.lit(p), 1).alias("value")) for k, p in FIELDS)), lambda x: F.size(x["value"]) > 0)
     return F.when(F.size(pairs) > 0, F.map_from_entries(pairs))
 
 
+def structured_response(response: Column) -> Column:
+    """``struct(type, format, json, fields)`` of a response: an object in it, else named values, else plain text; null for null and empty."""
+    found = F.when(strip(json_of(response)).startswith("{") & (F.size(F.json_object_keys(json_of(response))) > 0), json_of(response))
+    fields = F.when(found.isNull(), response_fields(response))
+    kind = F.when(found.isNotNull() | fields.isNotNull(), "structured").otherwise("text")
+    form = F.when(found.isNotNull(), "json").when(fields.isNotNull(), "text_extracted").otherwise("plain")
+    return F.when(F.coalesce(response, F.lit("")) != "", F.struct(kind.alias("type"), form.alias("format"), found.alias("json"), fields.alias("fields")))
+
+
 def page_type(response: Column) -> Column:
-    """What kind of page a response describes."""
+    """What kind of page a response in plain text describes."""
     low = F.lower(response)
     return F.when(low.rlike("title|deckblatt"), "title").when(low.rlike("content|inhalt"), "table_of_contents").when(low.rlike("technical|technisch"), "technical_specification").otherwise("content")
 
 
+def page_context(response: Column) -> Column:
+    """``struct(page_type, main_topic, key_information)`` of a response: by its JSON's keys, else by its words; null for null."""
+    found = F.when(strip(json_of(response)).startswith("{"), json_of(response))
+    value = lambda k: F.get_json_object(found, f"$.{k}")
+    kind = F.when(found.isNotNull(), F.coalesce(value("page_type"), F.lit("content"))).otherwise(page_type(response))
+    return F.when(response.isNotNull(), F.struct(kind.alias("page_type"), value("main_topic").alias("main_topic"), F.coalesce(F.from_json(value("key_information"), "array<string>"), F.array().cast("array<string>")).alias("key_information")))
+
+
 def extraction_triples(df: DataFrame, key: str, response_col: str, most: int = 50) -> DataFrame:
     """``(key, subject, predicate, object, confidence)`` of responses ``{"triples": [...]}``; confidence 0.8 where missing, at most ``most`` a response."""
     schema = "struct<triples:array<struct<subject:string,predicate:string,object:string,confidence:double,context:string>>>"
     parsed = F.from_json(json_of(F.col(response_col)), schema)["triples"]
     rows = df.select(key, F.posexplode(F.slice(parsed, 1, most)).alias("n", "t")).where("t.subject IS NOT NULL AND t.predicate IS NOT NULL AND t.object IS NOT NULL")
     return rows.select(key, "t.subject", "t.predicate", "t.object", F.coalesce("t.confidence", F.lit(0.8)).alias("confidence"))
-
-
