@@ -50,6 +50,27 @@ def running(df: DataFrame, keys: list[str], position: str, order: list[Column],
     return joined.withColumn(into, _combine(how, F.col("_run_before"), F.col("_run_inside"))).drop("_run_bucket", "_run_value", "_run_inside", "_run_before")
 
 
+def before(df: DataFrame, keys: list[str], position: str, order: list[Column], value: Column, into: str, n: int, bucket: int = BUCKET) -> DataFrame:
+    """``df`` with ``into``: an array of ``value`` in the up to ``n`` rows before each row of its group, the nearest last; values may be null.
+
+    A bucket holds a bounded number of positions, so the last rows of a bucket
+    are picked from all of its own. Every bucket has a row, so the ``n`` buckets
+    before one hold all the rows that its first ones look back to.
+    """
+    rows = df.withColumn("_lag_bucket", F.floor(F.coalesce(F.col(position), F.lit(-1)) / bucket)).withColumn("_lag_value", F.struct(value.alias("v")))
+    inside = Window.partitionBy(*keys, "_lag_bucket").orderBy(*order)
+    tail = F.transform(F.array_sort(F.collect_list(F.struct(*order_keys(order), "_lag_value"))), lambda x: x["_lag_value"])
+    tails = rows.groupBy(*keys, "_lag_bucket").agg(F.slice(F.reverse(tail), 1, n).alias("_lag_tail"))
+    w = Window.partitionBy(*keys).orderBy("_lag_bucket").rowsBetween(-n, -1)
+    carried = tails.select(*keys, "_lag_bucket", F.slice(F.flatten(F.reverse(F.collect_list("_lag_tail").over(w))), 1, n).alias("_lag_carried"))
+    same = reduce(lambda a, b: a & b, [F.col(f"r.{k}").eqNullSafe(F.col(f"c.{k}")) for k in [*keys, "_lag_bucket"]])
+    near = F.collect_list("_lag_value").over(inside.rowsBetween(-n, -1))
+    joined = rows.withColumn("_lag_near", near).alias("r").join(carried.alias("c"), same).select("r.*", "c._lag_carried")
+    missing = F.greatest(F.lit(0), F.lit(n) - F.size("_lag_near"))
+    both = F.concat(F.reverse(F.slice("_lag_carried", F.lit(1), missing)), F.col("_lag_near"))
+    return joined.withColumn(into, F.transform(both, lambda x: x["v"])).drop("_lag_bucket", "_lag_value", "_lag_near", "_lag_carried")
+
+
 def order_keys(order: list[Column]) -> list[Column]:
     """The plain columns of an ascending order, nulls first."""
     return [F.col(c) if isinstance(c, str) else c for c in order]

@@ -85,17 +85,22 @@ def chunk_corpus_stats(spark: SparkSession, d: str) -> DataFrame:
     return out.select("n_documents", "n_chunks", ratio("n_chunks", "n_documents").alias("chunks_per_document"), ratio("t", "n_documents").alias("tokens_per_document"), ratio("w", "n_chunks").alias("context_coverage"))
 
 
+_MARKER = f"(coalesce(segment_subtype IN ('heading_1','heading_2','heading_3','title'), false) OR regexp_matches({strip('content')}, '^[0-9]+\\.?[0-9]*\\.?[ \\t]+[A-Z]') OR ({upper(strip('content'))} AND length({strip('content')}) < 100))"
+
+
 @query(
-    """SELECT document_id, count(*) AS n_segments, bool_or(segment_type = 'table') AS has_tables, bool_or(segment_type = 'visual') AS has_images, max(page_number) AS total_pages,
-       list(segment_subtype ORDER BY segment_index, segment_id) FILTER (segment_subtype IN ('heading_1','heading_2','heading_3','title')) AS heading_levels FROM segments GROUP BY document_id"""
+    f"""WITH s AS (SELECT document_id, count(*) AS n_segments, bool_or(segment_type = 'table') AS has_tables, max(page_number) AS total_pages, count(*) FILTER (segment_subtype IN ('heading_1','heading_2','heading_3','title')) AS n_headings,
+       count(*) FILTER ({_MARKER}) AS n_section_markers FROM segments GROUP BY document_id), v AS (SELECT document_id, bool_or(element_type IN ('chart', 'graph')) AS has_charts FROM visuals GROUP BY document_id)
+    SELECT s.*, v.document_id IS NOT NULL AS has_images, coalesce(has_charts, false) AS has_charts FROM s LEFT JOIN v USING (document_id)"""
 )
 def structure_info(spark: SparkSession, d: str) -> DataFrame:
-    heads = F.array_sort(F.collect_list(F.when(F.col("segment_subtype").isin("heading_1", "heading_2", "heading_3", "title"), F.struct("segment_index", "segment_id", "segment_subtype"))))
-    levels = F.transform(heads, lambda x: x["segment_subtype"])
-    return table(spark, d, "segments").groupBy("document_id").agg(
-        F.count("*").alias("n_segments"), F.bool_or(F.col("segment_type") == "table").alias("has_tables"), F.bool_or(F.col("segment_type") == "visual").alias("has_images"), F.max("page_number").alias("total_pages"),
-        F.when(F.size(levels) > 0, levels).alias("heading_levels"),
-    )
+    return seg.structure(table(spark, d, "segments"), table(spark, d, "visuals"))
+
+
+@query(f"SELECT document_id, segment_id, segment_index, content, coalesce(segment_subtype IN ('heading_1','heading_2','heading_3','title'), false) AS is_heading FROM segments WHERE {_MARKER}")
+def structure_markers(spark: SparkSession, d: str) -> DataFrame:
+    """Headings and section markers as rows, since one document may hold many."""
+    return seg.markers(table(spark, d, "segments")).select("document_id", "segment_id", "segment_index", "content", "is_heading")
 
 
 _SECTION = rf"""list_filter(list_transform(string_split(content, chr(10))[1:3], lambda l: {strip("l")}), lambda l: regexp_matches(l, '^[0-9]+\.?[0-9]*\.?[ \t]+[A-Z]') OR ({upper("l")} AND length(l) < 100) OR regexp_matches(l, '^[IVX]+\.[ \t]+[A-Z]'))[1]"""

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirelake.common import table
 from quirelake.functions import prompts
 from quirelake.functions.text import strip as stripped
-from quirelake.operators import reports
+from quirelake.operators import extraction, reports
 from quirelake.operators.tables import bracketed
 from quirelake.plans.registry import Registry
 from quirelake.plans.text_queries import strip
@@ -138,3 +140,26 @@ def tag_repetitions(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT visual_id, CASE WHEN regexp_matches(l, 'title|deckblatt') THEN 'title' WHEN regexp_matches(l, 'content|inhalt') THEN 'table_of_contents' WHEN regexp_matches(l, 'technical|technisch') THEN 'technical_specification' ELSE 'content' END AS page_type FROM (SELECT visual_id, lower(vlm_description) AS l FROM visuals WHERE vlm_description IS NOT NULL)")
 def page_types(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "visuals").where("vlm_description IS NOT NULL").select("visual_id", doctags.page_type(F.col("vlm_description")).alias("page_type"))
+
+
+def _bar_triples(prompt: str) -> str:
+    """Stands for an outside model: the cells of the first row of a table in the text as triples, and an error where there is no table."""
+    lines = [line for line in prompt.rpartition("Text:\n")[2].splitlines() if " | " in line]
+    if len(lines) < 2:
+        raise ValueError("no table")
+    head, row = ([c.strip() for c in line.split("|")] for line in lines[:2])
+    triples = [{"subject": row[0], "predicate": p, "object": o} | ({"confidence": 0.9} if o.isdigit() else {}) for p, o in zip(head[1:], row[1:], strict=False)]
+    return f"Here they are:\n```json\n{json.dumps({'triples': triples})}\n```"
+
+
+@query("SELECT segment_id, position(' | ' IN content) > 0 AND len(list_filter(string_split(content, chr(10)), lambda l: contains(l, ' | '))) >= 2 AS success FROM segments WHERE content IS NOT NULL")
+def extract_texts(spark: SparkSession, d: str) -> DataFrame:
+    return extraction.extract_triples(table(spark, d, "segments").where("content IS NOT NULL"), "segment_id", "content", _bar_triples, attempts=1)[1].select("segment_id", "success")
+
+
+@query(
+    """WITH l AS (SELECT segment_id, list_filter(string_split(content, chr(10)), lambda x: contains(x, ' | ')) AS l, left(content, 200) AS source_chunk FROM segments WHERE content IS NOT NULL), c AS (SELECT segment_id, source_chunk, list_transform(string_split(l[1], '|'), lambda x: trim(x)) AS h, list_transform(string_split(l[2], '|'), lambda x: trim(x)) AS r FROM l WHERE len(l) >= 2),
+    k AS (SELECT *, unnest(range(2, least(len(h), len(r)) + 1)) AS k FROM c) SELECT segment_id, r[1] AS subject, h[k] AS predicate, r[k] AS object, CASE WHEN regexp_full_match(r[k], '[0-9]+') THEN 0.9 ELSE 0.8 END::DOUBLE AS confidence, source_chunk FROM k"""
+)
+def extract_batch(spark: SparkSession, d: str) -> DataFrame:
+    return extraction.extract_triples(table(spark, d, "segments").where("content IS NOT NULL"), "segment_id", "content", _bar_triples, attempts=1)[0]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirelake.common import table
@@ -10,6 +10,7 @@ from quirelake.operators import reports as ops
 from quirelake.operators.packing import pack
 from quirelake.operators.segments import nearest_heading, reindexed
 from quirelake.plans.registry import Registry
+from quirelake.streaming.ingest import windowed_counts
 
 registry = Registry()
 query = registry.add
@@ -171,20 +172,21 @@ def visual_dedup(spark: SparkSession, d: str) -> DataFrame:
 )
 def reindex_segments(spark: SparkSession, d: str) -> DataFrame:
     rank = F.when(F.col("segment_type") == "metadata", 0).when(F.col("segment_type") == "visual", 1).otherwise(2)
-    return reindexed(table(spark, d, "segments"), [F.asc_nulls_first("page_number"), rank, F.col("segment_index"), F.col("segment_id")]).select("segment_id", "segment_index")
+    rows = reindexed(table(spark, d, "segments").withColumn("_old", F.col("segment_index")), "page_number", [rank, F.col("_old"), F.col("segment_id")])
+    return rows.select("segment_id", F.col("segment_index").cast("int").alias("segment_index"))
 
 
 @query(
     """WITH v AS (SELECT visual_id, document_id, row_number() OVER (PARTITION BY document_id ORDER BY visual_id) - 1 AS n FROM visuals) SELECT visual_id, CAST(floor(n / 8) AS INTEGER) AS batch FROM v"""
 )
 def visual_batches(spark: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("document_id").orderBy("visual_id")
-    rows = table(spark, d, "visuals").select("visual_id", "document_id").withColumn("n", F.row_number().over(w)).withColumn("one", F.lit(1))
-    return pack(rows, ["document_id"], "n", "one", 8, "batch").select("visual_id", "batch")
+    rows = table(spark, d, "visuals").select("visual_id", "document_id").withColumn("one", F.lit(1))
+    return pack(rows, ["document_id"], "visual_id", "one", 8, "batch").select("visual_id", "batch")
 
 
 @query(
     """SELECT event_type, date_trunc('day', ts) AS day, count(*) AS n, round(sum(value), 4) AS value FROM events GROUP BY ALL"""
 )
 def event_windows(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "events").groupBy("event_type", F.date_trunc("day", "ts").alias("day")).agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("value"))
+    counted = windowed_counts(table(spark, d, "events"), "1 day")
+    return counted.select("event_type", F.col("start").alias("day"), "n", F.round("value", 4).alias("value"))

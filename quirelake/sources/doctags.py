@@ -91,6 +91,12 @@ def markdown_table(cells: DataFrame, key: str) -> DataFrame:
     return grid.select(key, F.array_join(F.concat(F.slice(lines, 1, 1), F.array(rule), F.slice(lines, F.lit(2), F.size(lines))), "\n").alias("markdown"))
 
 
+def _is_json(c: Column) -> Column:
+    """Whether a text is JSON as a whole. The reader stops after the first value, so the text is read inside an array and inside an object: what follows a value spoils one of them."""
+    one = F.size(F.from_json(F.concat(F.lit("["), c, F.lit("]")), "array<string>")) == 1
+    return F.coalesce(one & F.from_json(F.concat(F.lit('{"x":'), c, F.lit("}")), "struct<x:string>")["x"].isNotNull(), F.lit(False))
+
+
 def json_of(response: Column) -> Column:
     """The JSON that a model's response holds: itself, a fenced block, or the longest object in it that parses; null for none."""
     c = strip(response)
@@ -99,7 +105,7 @@ def json_of(response: Column) -> Column:
     # What models put before JSON.
     bare = F.regexp_replace(F.regexp_replace(c, r"^(Here's the JSON:|The JSON output is:|JSON:|Response:|Answer:)\s*", ""), r"```(?:json)?\s*", "")
     tried = F.concat(F.array(c, fenced), found, F.array(bare))
-    return F.try_element_at(F.filter(tried, lambda x: (x != "") & F.try_parse_json(x).isNotNull() & x.rlike(r"^\s*[\[{]")), F.lit(1))
+    return F.try_element_at(F.filter(tried, lambda x: (x != "") & x.rlike(r"^\s*[\[{]") & _is_json(x)), F.lit(1))
 
 
 def json_or_default(response: Column) -> Column:

@@ -44,6 +44,33 @@ def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     return _described(spark.read.format("binaryFile").load(found))
 
 
+def check_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``(path, error)`` of listed paths: null for a file that can be read, else what is wrong with it."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    rows = []
+    for text in paths:
+        path = hadoop.Path(text)
+        system = path.getFileSystem(conf)
+        if not system.exists(path):
+            error = "no such file"
+        elif not system.getFileStatus(path).isFile():
+            error = "not a file"
+        else:
+            try:
+                system.open(path).close()
+                error = None
+            except Exception as raised:
+                error = f"cannot be read: {type(raised).__name__}"
+        rows.append((text, error))
+    return spark.createDataFrame(rows, "path string, error string")
+
+
+def in_order(files: DataFrame) -> DataFrame:
+    """``files`` in the order of their paths, by a range partition rather than in one place."""
+    return files.orderBy("source_path")
+
+
 def _described(files: DataFrame) -> DataFrame:
     name = F.regexp_extract("path", r"([^/]+)$", 1)
     rows = files.where(~F.startswith(name, F.lit(".")) & (document_type(F.col("path")) != "unknown"))
