@@ -91,65 +91,80 @@ def seed_rules(examples: list[tuple[int, list[str]]], n: int) -> dict[str, tuple
     return {w: (int(c.argmax()), 1.0) for w, c in counts.items() if c.sum() >= 2 and c.max() >= 0.9 * c.sum()}
 
 
-class _Node:
-    __slots__ = ("children", "item", "parent", "sums")
-
-    def __init__(self, item: str | None, parent: _Node | None):
-        self.item, self.parent, self.children, self.sums = item, parent, {}, None
-
-
-def _tree(transactions: Iterable[tuple[list[str], list[float]]]) -> dict[str, list[_Node]]:
-    """The nodes of the prefix tree of all transactions by item, each with the sums of what passes through it."""
-    root, made = _Node(None, None), []
-    for items, sums in transactions:
-        node = root
-        for item in items:
-            child = node.children.get(item)
-            if child is None:
-                child = node.children[item] = _Node(item, node)
-                made.append(child)
-            node = child
-        node.sums = list(sums) if node.sums is None else [x + y for x, y in zip(node.sums, sums, strict=True)]
-    spots: dict[str, list[_Node]] = defaultdict(list)
-    # Children come after their parents, so from the end on every node is whole when it is added to its parent.
-    for node in reversed(made):
-        up = node.parent
-        if up is not root:
-            up.sums = list(node.sums) if up.sums is None else [x + y for x, y in zip(up.sums, node.sums, strict=True)]
-        spots[node.item].append(node)
-    return spots
-
-
-def fp_growth(transactions: Iterable[tuple[list[str], list[float]]], min_support: float, max_words: int, last: set[str] | None = None) -> Iterator[tuple[tuple[str, ...], list[float]]]:
+def fp_growth(transactions: Iterable[tuple[list, list[float]]], min_support: float, max_words: int, last: set | None = None) -> Iterator[tuple[tuple, list[float]]]:
     """Frequent word sets of two to ``max_words`` words with the sums of the transactions' vectors, whose first entry is the count.
 
-    The words of a transaction must be in one order for all. With ``last`` only
-    sets whose last word in that order is in it come out.
+    The words of a transaction must be sorted. With ``last`` only sets whose
+    last word is in it come out.
     """
-    yield from _grow(_tree((items, sums) for items, sums in transactions if items), (), min_support, max_words, last)
-
-
-def _grow(spots: dict[str, list[_Node]], suffix: tuple[str, ...], min_support: float, max_words: int, last: set[str] | None):
-    for item, nodes in spots.items():
-        if last is not None and not suffix and item not in last:
+    listed = [(items, sums) for items, sums in transactions if items]
+    words = sorted({w for items, _ in listed for w in items})
+    number = {w: k for k, w in enumerate(words)}
+    flat = np.array([number[w] for items, _ in listed for w in items], np.int64)
+    sums = np.array([s for _, s in listed], np.float64)
+    own = None if last is None else {number[w] for w in last if w in number}
+    for numbers, total in grow_patterns(flat, np.array([len(items) for items, _ in listed], np.int64), sums, min_support, max_words, own):
+        yield tuple(words[k] for k in numbers), total
+
+
+def grow_patterns(flat: np.ndarray, sizes: np.ndarray, sums: np.ndarray, min_support: float, max_words: int, last: set[int] | None, suffix: tuple[int, ...] = ()) -> Iterator[tuple[tuple[int, ...], list[float]]]:
+    """Pattern growth over transactions laid out one after another in ``flat``, ``sizes`` long, each with its row of ``sums``.
+
+    The conditional pattern base of an item is the part before it of every
+    transaction that has it. All its items are counted at once; the base, without
+    the infrequent ones, is grown further.
+    """
+    if not len(flat):
+        return
+    starts = np.cumsum(sizes) - sizes
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.argsort(flat, kind="stable")
+    items, first = np.unique(flat[order], return_index=True)
+    ends = [*first[1:].tolist(), len(order)]
+    for item, begin, end in zip(items.tolist(), first.tolist(), ends, strict=True):
+        if last is not None and item not in last:
+            continue
+        spots = order[begin:end]
+        rows = owner[spots]
+        lengths = spots - starts[rows]
+        total = int(lengths.sum())
+        if not total:
             continue
-        base, counts = [], defaultdict(list)
-        for node in nodes:
-            path, up = [], node.parent
-            while up.item is not None:
-                path.append(up.item)
-                up = up.parent
-            if path:
-                base.append((path[::-1], node.sums))
-                for w in path:
-                    counts[w].append(node.sums)
-        frequent = {w: [sum(c) for c in zip(*parts, strict=True)] for w, parts in counts.items() if sum([p[0] for p in parts]) >= min_support}
+        paths = flat[np.arange(total) + np.repeat(starts[rows] - (np.cumsum(lengths) - lengths), lengths)]
+        of = np.repeat(rows, lengths)
+        counts = np.bincount(paths, weights=sums[of, 0])
+        frequent = np.flatnonzero(counts >= min_support)
+        if not len(frequent):
+            continue
+        kept = counts[paths] >= min_support
+        paths, of, at = paths[kept], of[kept], np.repeat(np.arange(len(rows)), lengths)[kept]
+        places = np.searchsorted(frequent, paths)
+        added = np.stack([np.bincount(places, weights=sums[of, k], minlength=len(frequent)) for k in range(sums.shape[1])], axis=1)
         pattern = (item, *suffix)
-        for w, sums in frequent.items():
-            yield (w, *pattern), sums
+        for w, total_sums in zip(frequent.tolist(), added.tolist(), strict=True):
+            yield (w, *pattern), total_sums
         if len(frequent) > 1 and len(pattern) + 1 < max_words:
-            kept = (([w for w in path if w in frequent], sums) for path, sums in base)
-            yield from _grow(_tree((path, sums) for path, sums in kept if path), pattern, min_support, max_words, None)
+            lengths = np.bincount(at, minlength=len(rows))
+            yield from grow_patterns(paths, lengths, sums[rows], min_support, max_words, None, pattern)
+
+
+def _lists(column: pa.ListArray) -> Iterator[list[int]]:
+    """The lists of a column, cut from its flat values."""
+    flat, ends = column.flatten().to_numpy().tolist(), column.value_lengths().to_numpy().cumsum().tolist()
+    begin = 0
+    for end in ends:
+        yield flat[begin:end]
+        begin = end
+
+
+def _list_array(lists: list) -> pa.ListArray:
+    offsets = np.zeros(len(lists) + 1, np.int32)
+    np.cumsum([len(x) for x in lists], out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(list(chain.from_iterable(lists)), pa.int32()))
+
+
+def _batch(lists: list, sums: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([_list_array(lists), *(pa.array(c) for c in np.ascontiguousarray(sums.T))], names=["words", *(f"s{k}" for k in range(sums.shape[1]))])
 
 
 def _conclusion(sums: list[float], base: np.ndarray, support: float = SUPPORT, confidence: float = CONFIDENCE) -> tuple[int, float] | None:
@@ -219,17 +234,22 @@ def mine_rules(examples: DataFrame, cut: DataFrame) -> Rules:
 
     def labelled(pdf: pd.DataFrame, single: dict[str, int]) -> Iterator[tuple[list[list[str]], list[tuple[int, float]]]]:
         """Each labelled document's different sentences, and its subjects with their shares of all its sentences."""
+        known = single.keys()
         for listed in pdf.sentences:
             cut_up = [words.split() for words in listed]
-            hits: dict[int, int] = defaultdict(int)
+            hits: dict[int, int] = {}
             for words in cut_up:
-                votes: dict[int, int] = defaultdict(int)
-                for w in words:
-                    if w in single:
-                        votes[single[w]] += 1
-                for k, v in votes.items():
-                    if v >= 0.34 * max(votes.values()):
-                        hits[k] += 1
+                seen = [single[w] for w in words if w in known]
+                if seen:
+                    first = seen[0]
+                    if seen.count(first) == len(seen):
+                        hits[first] = hits.get(first, 0) + 1
+                        continue
+                    votes = Counter(seen)
+                    least = 0.34 * max(votes.values())
+                    for k, v in votes.items():
+                        if v >= least:
+                            hits[k] = hits.get(k, 0) + 1
             if hits:
                 yield [words for words in {tuple(w): w for w in cut_up}.values() if words], [(k, v / len(cut_up)) for k, v in sorted(hits.items())]
 
@@ -285,11 +305,11 @@ def mine_rules(examples: DataFrame, cut: DataFrame) -> Rules:
     ranked = open_.word.tolist()
     rank = {w: k for k, w in enumerate(ranked)}
 
-    def transact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def transact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The ranked words of every labelled sentence with its document's shares; equal ones are summed up before they leave the task."""
         held: dict[tuple[int, ...], list[float]] = {}
-        for pdf in batches:
-            for listed, shares in labelled(pdf, labels):
+        for batch in batches:
+            for listed, shares in labelled(batch.to_pandas(), labels):
                 for words in listed:
                     items = tuple(sorted([rank[w] for w in words if w in rank]))
                     if len(items) > 1:
@@ -300,36 +320,47 @@ def mine_rules(examples: DataFrame, cut: DataFrame) -> Rules:
                         for k, v in shares:
                             sums[k + 1] += v
                 if len(held) > HELD:
-                    yield pd.DataFrame(held.items(), columns=["words", "sums"])
+                    yield _batch(list(held), np.array(list(held.values())))
                     held.clear()
-        yield pd.DataFrame(held.items(), columns=["words", "sums"])
+        if held:
+            yield _batch(list(held), np.array(list(held.values())))
 
-    def condition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def condition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The group-dependent transactions of parallel frequent-pattern growth: for each group the longest prefix that ends in one of its words."""
-        for pdf in batches:
-            held: dict[tuple[int, tuple[int, ...]], list[float]] = {}
-            for words, *sums in pdf.itertuples(index=False):
-                items = tuple(words.tolist())
+        for batch in batches:
+            # Many transactions of a batch share a prefix, which leaves once with their sums.
+            slots: dict[tuple[int, ...], int] = {}
+            into, spots = [], []
+            for spot, items in enumerate(_lists(batch.column("words"))):
                 seen = set()
                 for at in range(len(items) - 1, 0, -1):
                     group = items[at] % GROUPS
                     if group not in seen:
                         seen.add(group)
-                        key = (group, items[: at + 1])
-                        there = held.get(key)
-                        held[key] = sums if there is None else [x + y for x, y in zip(there, sums, strict=True)]
-            yield pd.DataFrame([(*key, sums) for key, sums in held.items()], columns=["grp", "words", "sums"])
-
-    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        group = int(pdf.grp.iloc[0])
+                        # The last item of a prefix says the group.
+                        into.append(slots.setdefault(tuple(items[: at + 1]), len(slots)))
+                        spots.append(spot)
+            if not slots:
+                continue
+            sums = np.stack([np.bincount(into, weights=batch.column(c).to_numpy()[spots], minlength=len(slots)) for c in names], axis=1)
+            out = _batch(list(slots), sums)
+            yield pa.RecordBatch.from_arrays([pa.array([p[-1] % GROUPS for p in slots], pa.int32()), *out.columns], names=["grp", *out.schema.names])
+
+    def grow(group_rows: pa.Table) -> pa.Table:
+        group_rows = group_rows.combine_chunks()
+        group = group_rows.column("grp")[0].as_py()
         own = set(range(group, len(ranked), GROUPS))
-        pairs = ((w.tolist(), s.tolist()) for w, s in zip(pdf.words, pdf.sums, strict=True))
-        rows = [([ranked[k] for k in p], s) for p, s in fp_growth(pairs, support_set, MAX_WORDS, own) if _conclusion(s, usual, support_set, CONFIDENCE_SET) is not None]
-        return pd.DataFrame(rows, columns=["words", "sums"])
+        sums = np.stack([group_rows.column(c).to_numpy() for c in names], axis=1)
+        listed = group_rows.column("words").chunk(0)
+        grown = grow_patterns(listed.flatten().to_numpy().astype(np.int64), listed.value_lengths().to_numpy().astype(np.int64), sums, support_set, MAX_WORDS, own)
+        found = [([ranked[k] for k in p], s) for p, s in grown if _conclusion(s, usual, support_set, CONFIDENCE_SET) is not None]
+        return pa.table({"words": pa.array([w for w, _ in found], pa.list_(pa.string())), "sums": pa.array([s for _, s in found], pa.list_(pa.float64()))})
 
     # Most sentences are equal once their rare words are gone, so they are summed up before each becomes several transactions.
-    sentences_of = cut.mapInPandas(transact, "words array<int>, sums array<double>").groupBy("words").agg(*totals)
-    grown = sentences_of.mapInPandas(condition, "grp int, words array<int>, sums array<double>").groupBy("grp").applyInPandas(grow, "words array<string>, sums array<double>").toPandas()
+    names = [f"s{k}" for k in range(n + 1)]
+    sums_schema = ", ".join(f"{c} double" for c in names)
+    sentences_of = cut.select("sentences").mapInArrow(transact, f"words array<int>, {sums_schema}").groupBy("words").agg(*(F.sum(c).alias(c) for c in names))
+    grown = sentences_of.mapInArrow(condition, f"grp int, words array<int>, {sums_schema}").groupBy("grp").applyInArrow(grow, "words array<string>, sums array<double>").toPandas()
     several: dict[str, list[tuple[frozenset[str], int, float]]] = defaultdict(list)
     for words, sums in sorted(zip(grown.words, grown.sums, strict=True), key=lambda x: (len(x[0]), list(x[0]))):
         subject, confidence = _conclusion(list(sums), usual, support_set, CONFIDENCE_SET)
