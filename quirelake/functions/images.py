@@ -46,21 +46,25 @@ def read_png(data: bytes) -> np.ndarray | None:
     return out.reshape(height, width, channels)
 
 
+# Contrast, edge density and shape of diagrams, the step that makes an edge, the part of the most edges that makes a line, and lines of a table in both directions.
+CONTRAST, EDGES, WIDE, STEP, LINE, LINES = 50, (0.05, 0.3), 1.2, 30, 0.3, (3, 2)
+
+
 def judge_pixels(pixels: np.ndarray) -> str:
-    """``diagram`` by contrast, edges and shape, else ``table`` by lines, else ``image``."""
+    """``diagram`` by contrast, edges and shape, else ``table`` by lines, else ``image``, whether full of text or not."""
     gray = pixels[:, :, : 3 if pixels.shape[2] >= 3 else 1].mean(axis=2)
     height, width = gray.shape
     edges = np.zeros_like(gray)
     if height > 1 and width > 1:
-        edges[:-1, :-1] = (np.abs(np.diff(gray, axis=1))[:-1] + np.abs(np.diff(gray, axis=0))[:, :-1]) > 30
-    if sum(map(bool, (gray.std() > 50, 0.05 < edges.mean() < 0.3, width / height > 1.2))) >= 2:
+        edges[:-1, :-1] = (np.abs(np.diff(gray, axis=1))[:-1] + np.abs(np.diff(gray, axis=0))[:, :-1]) > STEP
+    if sum(map(bool, (gray.std() > CONTRAST, EDGES[0] < edges.mean() < EDGES[1], width / height > WIDE))) >= 2:
         return "diagram"
 
     def lines(axis: int) -> int:
         total = edges.sum(axis=axis)
-        return int((np.diff((total > total.max() * 0.3).astype(int)) > 0).sum())
+        return int((np.diff((total > total.max() * LINE).astype(int)) > 0).sum())
 
-    return "table" if lines(0) > 3 and lines(1) > 2 else "image"
+    return "table" if lines(0) > LINES[0] and lines(1) > LINES[1] else "image"
 
 
 def element_type(data: Column, context: Column) -> Column:

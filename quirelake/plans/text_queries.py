@@ -279,3 +279,8 @@ def clean_group_ids(spark: SparkSession, d: str) -> DataFrame:
 @query(r"SELECT chunk_row_id, regexp_replace(regexp_replace(regexp_replace(group_id, '[ \t\r\n\f]+', ' ', 'g'), '^[ \t\r\n\f]+|[ \t\r\n\f]+\z', '', 'g'), '[^\p{L}\p{N}_]', '_', 'g') AS name FROM chunks WHERE group_id IS NOT NULL")
 def clean_names(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "chunks").where("group_id IS NOT NULL").select("chunk_row_id", fx.clean_header(F.col("group_id")).alias("name"))
+
+
+@query("SELECT segment_id FROM segments WHERE segment_type = 'text' AND page_number = 2")
+def segments_of_type(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "segments").where("segment_type = 'text' AND page_number = 2").select("segment_id")

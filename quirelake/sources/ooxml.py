@@ -125,9 +125,14 @@ def _ordered(rows: DataFrame) -> DataFrame:
     return out.select("document_id", "segment_index", "page_number", "segment_type", "segment_subtype", "content")
 
 
-def _joined(rows: DataFrame, *keys: str) -> DataFrame:
-    """Cells as lines of their row, joined with bars, empty cells and rows left out."""
+def _joined(rows: DataFrame, *keys: str, skip_empty: bool = True) -> DataFrame:
+    """Cells as lines of their row, joined with bars, empty rows left out; empty cells too, or else kept up to the widest row of the table."""
     cells = rows.where("kind = 'cell' AND content <> ''").withColumn("content", F.when(F.startswith("content", F.lit("=")), F.concat(F.lit("[Formula: "), F.col("content"), F.lit("]"))).otherwise(F.col("content")))
+    if not skip_empty:
+        width = cells.groupBy(*keys).agg(F.min("col_no").alias("_from"), F.max("col_no").alias("_to"))
+        by_place = cells.groupBy(*keys, "row_no").agg(F.map_from_entries(F.collect_list(F.struct("col_no", "content"))).alias("_m"), F.count("*").alias("n_cells")).join(width, list(keys))
+        line = F.array_join(F.transform(F.sequence("_from", "_to"), lambda c: F.coalesce(F.try_element_at("_m", c), F.lit(""))), " | ")
+        return by_place.select(*keys, "row_no", line.alias("content"), "n_cells")
     return cells.groupBy(*keys, "row_no").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("col_no", "content"))), lambda x: x["content"]), " | ").alias("content"), F.count("*").alias("n_cells"))
 
 
@@ -153,14 +158,14 @@ def parse_docx(files: DataFrame) -> DataFrame:
     return _ordered(text.unionByName(tables))
 
 
-def parse_xlsx(files: DataFrame, rows_per_segment: int = 1) -> DataFrame:
+def parse_xlsx(files: DataFrame, rows_per_segment: int = 1, skip_empty: bool = True) -> DataFrame:
     """A segment for each sheet, then its rows in blocks; the header is the first of rows 1 to 9 with more than one value."""
     rows = unpack(files, "xlsx")
     sheets = rows.where("kind = 'sheet'").select(
         "document_id", F.col("part").alias("page_order"), F.lit(0).alias("rank"), F.lit(0).alias("place"), F.col("part").alias("page_number"), F.lit("metadata").alias("segment_type"), F.lit("sheet").alias("segment_subtype"),
         F.concat(F.lit("Sheet: "), F.col("content")).alias("content"),
     )
-    lines = _joined(rows, "document_id", "part")
+    lines = _joined(rows, "document_id", "part", skip_empty=skip_empty)
     heads = lines.where("row_no <= 9 AND n_cells > 1").groupBy("document_id", "part").agg(F.min("row_no").alias("head"))
     block = F.floor((F.col("row_no") - 1) / rows_per_segment).cast("int")
     cut = lines.join(heads, ["document_id", "part"], "left").groupBy("document_id", "part", block.alias("block")).agg(
