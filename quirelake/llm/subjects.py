@@ -11,12 +11,13 @@ document has the subjects that enough of its sentences deal with.
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
-from itertools import chain, groupby
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -53,7 +54,9 @@ _QUOTED = re.compile(r"[\"„“«][^\"“”»„«]{1,80}[\"“”»]")
 
 def words_of(sentence: str) -> list[str]:
     """The different words of a sentence in lower case, without what stands in quotation marks."""
-    return list(dict.fromkeys(_WORD.findall(_QUOTED.sub(" ", sentence).lower())))
+    if any(mark in sentence for mark in "\"„“«"):
+        sentence = _QUOTED.sub(" ", sentence)
+    return list(dict.fromkeys(_WORD.findall(sentence.lower())))
 
 
 @dataclass(frozen=True)
@@ -160,7 +163,7 @@ def _lists(column: pa.ListArray) -> Iterator[list[int]]:
 def _list_array(lists: list) -> pa.ListArray:
     offsets = np.zeros(len(lists) + 1, np.int32)
     np.cumsum([len(x) for x in lists], out=offsets[1:])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(list(chain.from_iterable(lists)), pa.int32()))
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(list(itertools.chain.from_iterable(lists)), pa.int32()))
 
 
 def _batch(lists: list, sums: np.ndarray) -> pa.RecordBatch:
@@ -236,52 +239,73 @@ def mine_rules(examples: DataFrame, cut: DataFrame) -> Rules:
         """Each labelled document's different sentences, and its subjects with their shares of all its sentences."""
         known = single.keys()
         for listed in pdf.sentences:
-            cut_up = [words.split() for words in listed]
             hits: dict[int, int] = {}
-            for words in cut_up:
+            different = []
+            # A sentence that a document repeats is judged once and counts each time.
+            for sentence, times in Counter(listed).items():
+                words = sentence.split()
+                if words:
+                    different.append(words)
                 seen = [single[w] for w in words if w in known]
                 if seen:
                     first = seen[0]
                     if seen.count(first) == len(seen):
-                        hits[first] = hits.get(first, 0) + 1
+                        hits[first] = hits.get(first, 0) + times
                         continue
                     votes = Counter(seen)
                     least = 0.34 * max(votes.values())
                     for k, v in votes.items():
                         if v >= least:
-                            hits[k] = hits.get(k, 0) + 1
+                            hits[k] = hits.get(k, 0) + times
             if hits:
-                yield [words for words in {tuple(w): w for w in cut_up}.values() if words], [(k, v / len(cut_up)) for k, v in sorted(hits.items())]
+                yield different, [(k, v / len(listed)) for k, v in sorted(hits.items())]
 
     def counter(single: dict[str, int]):
-        def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             """The number of sentences with each word and the sums of their documents' shares; for all sentences together the word is empty."""
-            held: dict[str, list[float]] = {}
-            for pdf in batches:
-                for listed, shares in labelled(pdf, single):
-                    counts = Counter(chain.from_iterable(listed))
-                    counts[""] = len(listed)
-                    for w, c in counts.items():
-                        sums = held.get(w)
-                        if sums is None:
-                            sums = held[w] = [0.0] * (n + 1)
-                        sums[0] += c
-                        for k, v in shares:
-                            sums[k + 1] += c * v
-                if len(held) > HELD:
-                    yield pd.DataFrame(held.items(), columns=["word", "sums"])
-                    held.clear()
-            yield pd.DataFrame(held.items(), columns=["word", "sums"])
+            numbers: dict[str, int] = defaultdict(itertools.count().__next__)
+            held = np.zeros((0, n + 1))
+
+            def summed() -> pa.RecordBatch:
+                return pa.RecordBatch.from_arrays([pa.array(list(numbers), pa.string()), *(pa.array(c) for c in np.ascontiguousarray(held.T))], names=["word", *names])
+
+            for batch in batches:
+                flat: list[int] = []
+                sizes, rows = [], []
+                for listed, shares in labelled(batch.to_pandas(), single):
+                    begin = len(flat)
+                    flat.extend(map(numbers.__getitem__, itertools.chain.from_iterable(listed)))
+                    flat.extend([numbers[""]] * len(listed))
+                    sizes.append(len(flat) - begin)
+                    row = [1.0] + [0.0] * n
+                    for k, v in shares:
+                        row[k + 1] = v
+                    rows.append(row)
+                if not flat:
+                    continue
+                ids, of = np.array(flat), np.repeat(np.arange(len(sizes)), sizes)
+                weights = np.array(rows)
+                added = np.stack([np.bincount(ids, weights=weights[of, k], minlength=len(numbers)) for k in range(n + 1)], axis=1)
+                added[: len(held)] += held
+                held = added
+                if len(numbers) > HELD:
+                    yield summed()
+                    numbers = defaultdict(itertools.count().__next__)
+                    held = np.zeros((0, n + 1))
+            if len(held):
+                yield summed()
 
         return count
 
-    totals = [F.sum(F.col("sums")[k]).alias(f"s{k}") for k in range(n + 1)]
+    names = [f"s{k}" for k in range(n + 1)]
+    sums_schema = ", ".join(f"{c} double" for c in names)
+    totals = [F.sum(c).alias(c) for c in names]
     concluded = {w: k for w, (k, _) in seeds.items()}
     single: dict[str, tuple[int, float]] = {}
     sure: dict[frozenset[str], float] = {}
     for confidence in (CONFIDENCE, CONFIDENCE_AGAIN):
         labels = concluded
-        counts = durable(cut.mapInPandas(counter(labels), "word string, sums array<double>").groupBy("word").agg(*totals))
+        counts = durable(cut.select("sentences").mapInArrow(counter(labels), f"word string, {sums_schema}").groupBy("word").agg(*totals))
         overall = counts.where("word = ''").toPandas()
         if overall.empty or not overall["s0"].iloc[0]:
             return replace(first, enough=_calibrate(first, taught))
@@ -311,7 +335,7 @@ def mine_rules(examples: DataFrame, cut: DataFrame) -> Rules:
         for batch in batches:
             for listed, shares in labelled(batch.to_pandas(), labels):
                 for words in listed:
-                    items = tuple(sorted([rank[w] for w in words if w in rank]))
+                    items = tuple(sorted([k for k in map(rank.get, words) if k is not None]))
                     if len(items) > 1:
                         sums = held.get(items)
                         if sums is None:
@@ -357,9 +381,7 @@ def mine_rules(examples: DataFrame, cut: DataFrame) -> Rules:
         return pa.table({"words": pa.array([w for w, _ in found], pa.list_(pa.string())), "sums": pa.array([s for _, s in found], pa.list_(pa.float64()))})
 
     # Most sentences are equal once their rare words are gone, so they are summed up before each becomes several transactions.
-    names = [f"s{k}" for k in range(n + 1)]
-    sums_schema = ", ".join(f"{c} double" for c in names)
-    sentences_of = cut.select("sentences").mapInArrow(transact, f"words array<int>, {sums_schema}").groupBy("words").agg(*(F.sum(c).alias(c) for c in names))
+    sentences_of = cut.select("sentences").mapInArrow(transact, f"words array<int>, {sums_schema}").groupBy("words").agg(*totals)
     grown = sentences_of.mapInArrow(condition, f"grp int, words array<int>, {sums_schema}").groupBy("grp").applyInArrow(grow, "words array<string>, sums array<double>").toPandas()
     several: dict[str, list[tuple[frozenset[str], int, float]]] = defaultdict(list)
     for words, sums in sorted(zip(grown.words, grown.sums, strict=True), key=lambda x: (len(x[0]), list(x[0]))):
