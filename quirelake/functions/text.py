@@ -182,8 +182,10 @@ def element_type(description: Column) -> Column:
     return out
 
 
-def document_kind(title: Column, headings: Column) -> Column:
-    """What kind of document it is, by its title and else by its first headings."""
+def document_kind(title: Column, headings: Column, declared: Column | None = None) -> Column:
+    """What kind of document it is: as declared where that is given and not empty, else by its title and else by its first headings."""
+    if declared is not None:
+        return F.when(F.coalesce(declared, F.lit("")) != "", declared).otherwise(document_kind(title, headings))
     low, heads = F.lower(F.coalesce(title, F.lit(""))), F.lower(F.coalesce(headings, F.lit("")))
     # Words of titles and headings.
     return (

@@ -226,6 +226,13 @@ def chunk_pipeline(spark: SparkSession, d: str) -> DataFrame:
     return chunking.chunk_documents(table(spark, d, "documents"), _first(spark, d), table(spark, d, "visuals"), 200, 20)
 
 
+@query()
+def chunk_groups(spark: SparkSession, d: str) -> DataFrame:
+    """The groups of all composed chunks."""
+    made = chunking.chunk_documents(table(spark, d, "documents"), _first(spark, d), table(spark, d, "visuals"), 200, 20, inherit=False)
+    return chunking.group_summaries(made)
+
+
 _PLACED = """placed AS (SELECT *, row_number() OVER (PARTITION BY document_id, group_ordinal ORDER BY chunk_ordinal, chunk_row_id) - 1 AS place, count(*) OVER (PARTITION BY document_id, group_ordinal) AS n_in_group FROM chunks)"""
 
 

@@ -68,3 +68,8 @@ def write_graph(triples: DataFrame, path: str, kind: str = "ntriples") -> None:
         (tables.rdf_xml if kind == "rdf" else tables.json_ld)(triples).select("block").write.mode("overwrite").text(path)
     else:
         triples.write.mode("overwrite").option("header", True).format(kind).save(path)
+
+
+def write_report(report: DataFrame, path: str) -> None:
+    """A report of few rows as one file of JSON lines."""
+    report.coalesce(1).write.mode("overwrite").json(path)

@@ -5,11 +5,13 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from quirelake.facade import Engine
 from quirelake.functions import prompts
 from quirelake.functions import text as fx
-from quirelake.operators import extraction, pages, reports, running, segments, tables, visuals
+from quirelake.operators import chunking, extraction, pages, reports, running, segments, tables, visuals
 from quirelake.sinks import export
-from quirelake.sources import config, doctags, files
+from quirelake.sources import config, doctags, files, ooxml
+from quirelake.streaming import ingest
 
 
 def column(spark, values, kind, make):
@@ -204,3 +206,36 @@ def test_content_type_of_lines_with_marks(spark):
     s = spark.createDataFrame([("text", "paragraph", "h | i\n1 | 2\n3 | 4"), ("text", "list", "h | i\n1 | 2"), ("text", None, "words"), ("visual", "chart", "Table 1: x")], "segment_type string, segment_subtype string, content string")
     got = [(r.segment_type, r.segment_subtype, r.triple_count) for r in tables.with_structure(s).collect()]
     assert got == [("table", "data", 4), ("text", "list", 2), ("text", "paragraph", None), ("visual", "chart", None)]
+
+
+def test_files_are_parsed_once(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for name, text in (("a.txt", "# A\n\nThe first text is long enough."), ("b.txt", "# A\n\nThe first text is long enough.")):
+        (tmp_path / "in" / name).write_text(text, encoding="utf-8")
+    scan = lambda: files.scan(spark, str(tmp_path / "in"))
+    first = ingest.parse_once(spark, scan(), str(tmp_path / "cache"))
+    assert first.count() == 4 and first.select("document_id").distinct().count() == 2
+    (tmp_path / "in" / "c.txt").write_text("# C\n\nAnother text that is long enough.", encoding="utf-8")
+    assert ingest.parse_once(spark, scan(), str(tmp_path / "cache")).count() == 6
+    assert spark.read.parquet(str(tmp_path / "cache" / "hashes")).count() == 2
+    seen = []
+    ingest.ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check"), after=lambda rows, n: seen.append((n, rows.count())))
+    assert sum(n for _, n in seen) == 3
+
+
+def test_summaries_vectors_and_kinds(spark, tmp_path):
+    made = spark.createDataFrame([("d", 0, "g", "section", 10, 1, 1, 2, "content"), ("d", 0, "g", "section", 5, 0, 2, 4, "table_data")], "document_id string, group_ordinal int, group_id string, group_type string, n_words int, n_visuals int, start_page int, end_page int, chunk_type string")
+    r = chunking.group_summaries(made).collect()[0]
+    assert (r.chunk_count, r.n_words, r.n_visuals, r.start_page, r.end_page, r.has_tables) == (2, 15, 1, 1, 4, True)
+    old = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "vec_id int, embedding array<float>")
+    new = spark.createDataFrame([(2, [1.0, 0.0]), (3, [0.6, 0.8])], "vec_id int, embedding array<float>")
+    assert [r.vec_id for r in Engine(spark, embeddings=old).add_vectors(new).search([1.0, 0.0], 5, 0.5).collect()] == [1, 2, 3]
+    assert column(spark, ["Given", "", None], "string", lambda c: fx.document_kind(F.lit("user manual"), F.lit(None).cast("string"), c)) == ["Given", "Manual", "Manual"]
+    export.write_report(spark.createDataFrame([(1, "a")], "n int, t string"), str(tmp_path / "r"))
+    assert spark.read.json(str(tmp_path / "r")).collect()[0].t == "a"
+
+
+def test_cells_left_empty(spark):
+    rows = spark.createDataFrame([("d", 1, 1, 1, "a", "cell"), ("d", 1, 1, 3, "=b", "cell"), ("d", 1, 2, 2, "c", "cell"), ("d", 1, 3, 1, "", "cell")], "document_id string, part int, row_no int, col_no int, content string, kind string")
+    lines = lambda **more: {r.row_no: r.content for r in ooxml._joined(rows, "document_id", "part", **more).collect()}
+    assert lines() == {1: "a | [Formula: =b]", 2: "c"} and lines(skip_empty=False) == {1: "a |  | [Formula: =b]", 2: " | c | "}
