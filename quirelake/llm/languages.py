@@ -183,9 +183,3 @@ def wrong_labels(records: DataFrame, codes: list[str], weights: Weights) -> Data
     parts = F.split("source_table", "\u0001")
     labelled = label_languages(tagged, codes, weights).where("n_sentences > 0")
     return labelled.where((F.col("n_parts") > 1) | (parts[1] != F.col("lang"))).select(parts[0].alias("source_table"), "row_id", "part_no", "lang")
-
-
-def language_counts(labelled: DataFrame) -> DataFrame:
-    """How many records and sentences each table has in each language: ``(source_table, lang, n_records, n_sentences, confidence)``."""
-    return labelled.groupBy("source_table", "lang").agg(F.countDistinct("row_id").alias("n_records"), F.sum("n_sentences").alias("n_sentences"), F.round(F.avg("confidence"), 6).alias("confidence"))
-
