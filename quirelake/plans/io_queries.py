@@ -99,7 +99,13 @@ def enhanced_content(spark: SparkSession, d: str) -> DataFrame:
     return export.enhanced_content(table(spark, d, "segments"), table(spark, d, "visuals"))
 
 
-@query()
+@query(
+    """WITH s AS (SELECT document_id, count(*) AS n FROM segments GROUP BY document_id), v AS (SELECT document_id, count(*) AS n FROM visuals GROUP BY document_id)
+    SELECT d.document_id, 'metadata' AS section, 0 AS part_no, to_json(struct_pack(document_id := d.document_id, source_path := source_path, document_type := document_type, summary := struct_pack(total_segments := coalesce(s.n, 0), total_visuals := coalesce(v.n, 0)))) AS json
+      FROM documents d LEFT JOIN s ON s.document_id = d.document_id LEFT JOIN v ON v.document_id = d.document_id
+    UNION ALL SELECT document_id, 'segments', segment_index // 1024, to_json(struct_pack(document_id := document_id, segments := list(struct_pack(segment_index := segment_index, segment_id := segment_id, page_number := page_number, segment_type := segment_type, segment_subtype := segment_subtype, content := content) ORDER BY segment_index, segment_id))) FROM segments GROUP BY document_id, segment_index // 1024
+    UNION ALL SELECT document_id, 'visual_elements', visual_id // 1024, to_json(struct_pack(document_id := document_id, visual_elements := list(struct_pack(visual_id := visual_id, content_hash := content_hash, element_type := element_type, page_number := page_number, vlm_description := vlm_description) ORDER BY visual_id))) FROM visuals GROUP BY document_id, visual_id // 1024"""
+)
 def parsed_json(spark: SparkSession, d: str) -> DataFrame:
     return export.parsed_documents(table(spark, d, "documents"), table(spark, d, "segments"), table(spark, d, "visuals"))
 

@@ -12,6 +12,11 @@ FORMATS = ("turtle", "ntriples", "rdf", "json-ld", "json", "csv")
 PART = 1024
 
 
+def _json(*columns: str | Column) -> Column:
+    """Columns as a JSON object, nulls included."""
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+
+
 def parsed_documents(documents: DataFrame, segments: DataFrame, visuals: DataFrame) -> DataFrame:
     """``(document_id, section, part_no, json)``: each document as JSON texts of bounded size.
 
@@ -24,8 +29,8 @@ def parsed_documents(documents: DataFrame, segments: DataFrame, visuals: DataFra
     sizes = segments.groupBy("document_id").agg(F.count("*").alias("total_segments")).join(visuals.groupBy("document_id").agg(F.count("*").alias("total_visuals")), "document_id", "full_outer")
     rows = documents.join(sizes, "document_id", "left")
     summary = F.struct(F.coalesce("total_segments", F.lit(0)).alias("total_segments"), F.coalesce("total_visuals", F.lit(0)).alias("total_visuals"))
-    head = rows.select("document_id", F.lit("metadata").alias("section"), F.lit(0).cast("bigint").alias("part_no"), F.to_json(F.struct("document_id", "source_path", "document_type", summary.alias("summary"))).alias("json"))
-    body = [df.select("document_id", F.lit(name).alias("section"), "part_no", F.to_json(F.struct("document_id", name)).alias("json")) for df, name in ((s, "segments"), (v, "visual_elements"))]
+    head = rows.select("document_id", F.lit("metadata").alias("section"), F.lit(0).cast("bigint").alias("part_no"), _json("document_id", "source_path", "document_type", summary.alias("summary")).alias("json"))
+    body = [df.select("document_id", F.lit(name).alias("section"), "part_no", _json("document_id", name).alias("json")) for df, name in ((s, "segments"), (v, "visual_elements"))]
     return head.unionByName(body[0]).unionByName(body[1])
 
 
