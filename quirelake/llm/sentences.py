@@ -7,7 +7,7 @@ import re
 _FENCE = re.compile(r"```.*?(?:```|\Z)", re.S)
 _PREFIX = re.compile(r"^(?:>+\s*|[-*+•]\s+|\(?\d{1,3}[.)]\s+)+")
 #: A full stop, exclamation or question mark with closing marks, before white space and what can begin a sentence.
-_END = re.compile(r"[.!?。！？]+[\"'”“»)\]]*\s+(?=[\"'„“«(\[¿¡]*[^\W_a-zß-öø-ÿ])")
+_END = re.compile(r"[.!?。！？][.!?。！？]*[\"'”“»)\]]*\s+(?=[\"'„“«(\[¿¡]*[^\W_a-zß-öø-ÿ])")
 _CLOSED = re.compile(r"[.!?。！？][\"'”“»)\]]*$")
 _OPEN_ABBREVIATION = re.compile(r"(?:^|[\s(„“\"«])(?:\w|bzw|ca|Nr|No|vgl|evtl|ggf|Abb|Tab|Fig|Dr|Mr|Mrs|Ms|Prof|St|art|Art|cf|pag|str|zob|ver|resp|approx)\.$")
 _WORDS = re.compile(r"[^\W\d_]{2,}")

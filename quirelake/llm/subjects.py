@@ -54,9 +54,16 @@ _QUOTED = re.compile(r"[\"„“«][^\"“”»„«]{1,80}[\"“”»]")
 
 def words_of(sentence: str) -> list[str]:
     """The different words of a sentence in lower case, without what stands in quotation marks."""
-    if any(mark in sentence for mark in "\"„“«"):
+    if '"' in sentence or "„" in sentence or "“" in sentence or "«" in sentence:
         sentence = _QUOTED.sub(" ", sentence)
-    return list(dict.fromkeys(_WORD.findall(sentence.lower())))
+    words: list[str] = []
+    # No word holds white space, and most tokens are words as they stand.
+    for token in sentence.lower().split():
+        if not token.isalpha():
+            words += _WORD.findall(token)
+        elif len(token) > 1:
+            words.append(token)
+    return list(dict.fromkeys(words))
 
 
 @dataclass(frozen=True)
@@ -71,12 +78,14 @@ class Rules:
     def evidence(self, words: list[str]) -> dict[int, float]:
         """The summed weight of the matching rules of each subject."""
         out: dict[int, float] = {}
-        for w in words:
-            if (hit := self.single.get(w)) is not None:
-                out[hit[0]] = out.get(hit[0], 0.0) + hit[1]
-            if (more := self.several.get(w)) is not None:
+        for subject, weight in filter(None, map(self.single.get, words)):
+            out[subject] = out.get(subject, 0.0) + weight
+        sets = list(filter(None, map(self.several.get, words)))
+        if sets:
+            there = set(words)
+            for more in sets:
                 for rest, subject, weight in more:
-                    if rest.issubset(words):
+                    if rest <= there:
                         out[subject] = out.get(subject, 0.0) + weight
         return out
 
@@ -151,15 +160,6 @@ def grow_patterns(flat: np.ndarray, sizes: np.ndarray, sums: np.ndarray, min_sup
             yield from grow_patterns(paths, lengths, sums[rows], min_support, max_words, None, pattern)
 
 
-def _lists(column: pa.ListArray) -> Iterator[list[int]]:
-    """The lists of a column, cut from its flat values."""
-    flat, ends = column.flatten().to_numpy().tolist(), column.value_lengths().to_numpy().cumsum().tolist()
-    begin = 0
-    for end in ends:
-        yield flat[begin:end]
-        begin = end
-
-
 def _list_array(lists: list) -> pa.ListArray:
     offsets = np.zeros(len(lists) + 1, np.int32)
     np.cumsum([len(x) for x in lists], out=offsets[1:])
@@ -237,7 +237,6 @@ def mine_rules(examples: DataFrame, cut: DataFrame) -> Rules:
 
     def labelled(pdf: pd.DataFrame, single: dict[str, int]) -> Iterator[tuple[list[list[str]], list[tuple[int, float]]]]:
         """Each labelled document's different sentences, and its subjects with their shares of all its sentences."""
-        known = single.keys()
         for listed in pdf.sentences:
             hits: dict[int, int] = {}
             different = []
@@ -246,7 +245,7 @@ def mine_rules(examples: DataFrame, cut: DataFrame) -> Rules:
                 words = sentence.split()
                 if words:
                     different.append(words)
-                seen = [single[w] for w in words if w in known]
+                seen = [k for k in map(single.get, words) if k is not None]
                 if seen:
                     first = seen[0]
                     if seen.count(first) == len(seen):
@@ -352,23 +351,30 @@ def mine_rules(examples: DataFrame, cut: DataFrame) -> Rules:
     def condition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The group-dependent transactions of parallel frequent-pattern growth: for each group the longest prefix that ends in one of its words."""
         for batch in batches:
-            # Many transactions of a batch share a prefix, which leaves once with their sums.
-            slots: dict[tuple[int, ...], int] = {}
-            into, spots = [], []
-            for spot, items in enumerate(_lists(batch.column("words"))):
+            # Many transactions of a batch share a prefix, which leaves once with their sums. Prefixes are cut from the bytes of all items.
+            column = batch.column("words")
+            flat = column.flatten().to_numpy().astype(np.int32)
+            packed, modulo = flat.tobytes(), (flat % GROUPS).tolist()
+            ends = column.value_lengths().to_numpy().cumsum().tolist()
+            slots: dict[bytes, int] = defaultdict(itertools.count().__next__)
+            into, spots, begin = [], [], 0
+            for spot, end in enumerate(ends):
                 seen = set()
-                for at in range(len(items) - 1, 0, -1):
-                    group = items[at] % GROUPS
-                    if group not in seen:
-                        seen.add(group)
-                        # The last item of a prefix says the group.
-                        into.append(slots.setdefault(tuple(items[: at + 1]), len(slots)))
+                for at in range(end - 1, begin, -1):
+                    if modulo[at] not in seen:
+                        seen.add(modulo[at])
+                        into.append(slots[packed[4 * begin : 4 * at + 4]])
                         spots.append(spot)
+                begin = end
             if not slots:
                 continue
             sums = np.stack([np.bincount(into, weights=batch.column(c).to_numpy()[spots], minlength=len(slots)) for c in names], axis=1)
-            out = _batch(list(slots), sums)
-            yield pa.RecordBatch.from_arrays([pa.array([p[-1] % GROUPS for p in slots], pa.int32()), *out.columns], names=["grp", *out.schema.names])
+            sizes = np.array([len(k) // 4 for k in slots])
+            items = np.frombuffer(b"".join(slots), np.int32)
+            # The last item of a prefix says the group.
+            groups = items[np.cumsum(sizes) - 1] % GROUPS
+            words = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(items))
+            yield pa.RecordBatch.from_arrays([pa.array(groups.astype(np.int32)), words, *(pa.array(c) for c in np.ascontiguousarray(sums.T))], names=["grp", "words", *names])
 
     def grow(group_rows: pa.Table) -> pa.Table:
         group_rows = group_rows.combine_chunks()
