@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirelake.common import durable
+from quirelake.common import durable, sent_if_small
 
 #: Least count inside texts, and greatest ratio of ends to it, for a text without final punctuation.
 INSIDE, END_RATIO = 2, 0.5
@@ -70,26 +70,28 @@ FROM (SELECT c, inside, ends, explode(transform(sequence(1, least(length(c), {lo
 JOIN (SELECT DISTINCT c AS stem FROM {finals} WHERE NOT closed) ON part = left(stem, {longest}) AND startswith(s.c, stem)
 """
 
+# What is looked up: the ends of open texts, their last two tokens, whole trigrams, and for each word the open ends it begins with.
+_OPENED = "SELECT DISTINCT a, b, c AS stem FROM {finals} WHERE NOT closed"
+_PAIRED = "SELECT DISTINCT b, stem FROM {opened}"
+_ASKED = """
+SELECT DISTINCT ask.a, ask.b, ask.c FROM (
+  SELECT explode(IF(closed, IF(b = '#', array(named_struct('a', a, 'b', b, 'c', c), named_struct('a', before, 'b', a, 'c', '#')), array(named_struct('a', a, 'b', b, 'c', c))),
+                    array(named_struct('a', before, 'b', a, 'c', b)))) AS ask
+  FROM {finals})
+WHERE ask.a IS NOT NULL
+"""
+_REACH = "SELECT c, collect_list(stem) AS stems FROM {begun} GROUP BY c"
+
 _FOUND = """
-WITH reach AS (SELECT c, collect_list(stem) AS stems FROM {begun} GROUP BY c),
-one AS (SELECT stem, sum(inside) AS inside, sum(IF(c = stem, ends, 0)) AS ends FROM {begun} GROUP BY stem),
-begun_grams AS (SELECT a, b, c, inside, ends, explode(stems) AS stem FROM {grams} JOIN reach USING (c)),
+WITH one AS (SELECT stem, sum(inside) AS inside, sum(IF(c = stem, ends, 0)) AS ends FROM {begun} GROUP BY stem),
+begun_grams AS (SELECT a, b, c, inside, ends, explode(stems) AS stem FROM {grams} JOIN {reach} USING (c)),
 two AS (
-  SELECT b, stem, sum(inside) AS inside, sum(IF(c = stem, ends, 0)) AS ends
-  FROM begun_grams x LEFT SEMI JOIN (SELECT DISTINCT b AS b_, c AS stem_ FROM {finals} WHERE NOT closed) ON b = b_ AND stem = stem_ GROUP BY b, stem
+  SELECT b, stem, sum(inside) AS inside, sum(IF(c = stem, ends, 0)) AS ends FROM begun_grams LEFT SEMI JOIN {paired} USING (b, stem) GROUP BY b, stem
 ),
 three AS (
-  SELECT a, b, stem, sum(inside) AS inside, sum(IF(c = stem, ends, 0)) AS ends
-  FROM begun_grams LEFT SEMI JOIN (SELECT DISTINCT a AS a_, b AS b_, c AS stem_ FROM {finals} WHERE NOT closed) ON a = a_ AND b = b_ AND stem = stem_ GROUP BY a, b, stem
-),
-asked AS (
-  SELECT DISTINCT ask.a, ask.b, ask.c FROM (
-    SELECT explode(IF(closed, IF(b = '#', array(named_struct('a', a, 'b', b, 'c', c), named_struct('a', before, 'b', a, 'c', '#')), array(named_struct('a', a, 'b', b, 'c', c))),
-                      array(named_struct('a', before, 'b', a, 'c', b)))) AS ask
-    FROM {finals})
-  WHERE ask.a IS NOT NULL
+  SELECT a, b, stem, sum(inside) AS inside, sum(IF(c = stem, ends, 0)) AS ends FROM begun_grams LEFT SEMI JOIN {opened} USING (a, b, stem) GROUP BY a, b, stem
 ),
-exact AS (SELECT g.* FROM {grams} g LEFT SEMI JOIN asked USING (a, b, c)),
+exact AS (SELECT g.* FROM {grams} g LEFT SEMI JOIN {asked} USING (a, b, c)),
 families AS (
   SELECT head, (count_if(closed) + {prior}) / (count(*) + {prior}) < {caption} AS is_caption
   FROM {finals} WHERE NOT marked GROUP BY head
@@ -134,11 +136,16 @@ def truncated_records(records: DataFrame) -> DataFrame:
     grams = durable(spark.sql(_GRAMS, tokens=tokens))
     finals = spark.sql(_FINALS, tokens=tokens)
     begun = durable(spark.sql(_BEGUN.replace("{longest}", str(LONGEST)), grams=grams, finals=finals))
+    # Looked up by broadcast where there are few, so that the trigrams are not moved for it.
+    opened = sent_if_small(spark.sql(_OPENED, finals=finals))
+    paired = sent_if_small(spark.sql(_PAIRED, opened=opened))
+    asked = sent_if_small(spark.sql(_ASKED, finals=finals))
+    reach = sent_if_small(spark.sql(_REACH, begun=begun))
     limits = {"inside": INSIDE, "ratio": END_RATIO, "inside_closed": INSIDE_CLOSED, "ratio_closed": END_RATIO_CLOSED, "caption": CAPTION, "prior": CAPTION_PRIOR}
     sql = _FOUND
     for name, value in limits.items():
         sql = sql.replace("{" + name + "}", str(value))
-    return spark.sql(sql, grams=grams, finals=finals, begun=begun)
+    return spark.sql(sql, grams=grams, finals=finals, begun=begun, reach=reach, opened=opened, paired=paired, asked=asked)
 
 
 def truncation_rates(records: DataFrame, origin: str = "model_used") -> DataFrame:
