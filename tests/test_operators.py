@@ -191,6 +191,19 @@ def test_chunking_whole_documents(spark):
     assert chunking.chunk_documents(d.limit(0), s.limit(0), v.limit(0)).count() == 0
 
 
+def test_plans_of_chunk_groups_stay_small(spark, monkeypatch):
+    s = spark.createDataFrame([(1, "a", 0, 1, "text", "# One\nword", ["h"], None)], "segment_id int, document_id string, segment_index int, page_number int, segment_type string, content string, visual_references array<string>, metadata string")
+    v = spark.createDataFrame([(1, "a", "h", "a chart", None)], "visual_id int, document_id string, content_hash string, vlm_description string, extracted_data string")
+    d = spark.createDataFrame([("a", "docx")], "document_id string, document_type string")
+    sizes, write = [], chunking.durable
+    leaves = lambda df: df._jdf.queryExecution().analyzed().collectLeaves().size()
+    monkeypatch.setattr(chunking, "durable", lambda df: (sizes.append(leaves(df)), write(df))[1])
+    groups = chunking.group_summaries(chunking.chunk_documents(d, s, v, 100, 1, inherit=False))
+    # Each reading of a table is a leaf; what is written begins anew.
+    assert max(*sizes, leaves(groups)) <= 20
+    assert [(r.group_type, r.chunk_count, r.n_visuals) for r in groups.collect()] == [("heading_hierarchy", 1, 1)]
+
+
 def test_small_groups_of_one_type_are_merged(spark):
     rng = random.Random(8)
     for _ in range(4):
