@@ -199,8 +199,11 @@ def test_plans_of_chunk_groups_stay_small(spark, monkeypatch):
     leaves = lambda df: df._jdf.queryExecution().analyzed().collectLeaves().size()
     monkeypatch.setattr(chunking, "durable", lambda df: (sizes.append(leaves(df)), write(df))[1])
     groups = chunking.group_summaries(chunking.chunk_documents(d, s, v, 100, 1, inherit=False))
+    full = chunking.chunk_documents(d, s, v, 100, 1)
     # Each reading of a table is a leaf; what is written begins anew.
     assert max(*sizes, leaves(groups)) <= 20
+    # Texts are joined once to groups that have their context already.
+    assert leaves(full) <= 5
     assert [(r.group_type, r.chunk_count, r.n_visuals) for r in groups.collect()] == [("heading_hierarchy", 1, 1)]
 
 
