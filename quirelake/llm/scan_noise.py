@@ -7,26 +7,33 @@ cheapest reading of the whole stream in words of the lexicon is decoded, in
 which a word may be divided with its hyphen, broken by a blank, run together
 with another or have misrecognised characters. Paragraph boundaries are chosen
 by dynamic programming over the lines. The lexicon is counted over the whole
-corpus; its frequent part, of bounded size, goes to every task, and spellings
-that this part leaves open are settled by a join with all of it.
+corpus; its frequent part, of bounded size, is held by every task, all other
+words are read from files beside it, so a reading does not depend on the bound.
+Spellings that no word settles are settled by a join with the whole lexicon.
 """
 
 from __future__ import annotations
 
+import atexit
 import math
 import re
+import shutil
+import sqlite3
+import tempfile
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quirelake.common import durable
 
-#: Most words of the lexicon that every task holds, the most frequent ones; all others are looked up by a join.
+#: Most words of the lexicon that every task holds, the most frequent ones; all others are read from a file.
 HELD_WORDS = 300_000
 #: Least pages, and least part of a document's pages, that begin with a running header.
 HEADER_PAGES, HEADER_SHARE = 2, 0.3
@@ -165,11 +172,42 @@ class Span(NamedTuple):
     marked: bool = False
 
 
+class Counts(dict[str, int]):
+    """Words with how often they stand: the held ones, and those in files that ``_filed`` wrote."""
+
+    def __init__(self, held: dict[str, int], files: list[str]):
+        super().__init__(held)
+        self.files = [sqlite3.connect(f"file:{path}?mode=ro&immutable=1", uri=True) for path in files]
+        #: What the files said lately, 0 for what they do not have.
+        self.lately: dict[str, int] = {}
+
+    def get(self, word: str, default: int | None = None) -> int | None:
+        n = super().get(word)
+        if n is not None or not self.files:
+            return default if n is None else n
+        n = self.lately.get(word)
+        if n is None:
+            found = (f.execute("SELECT n FROM words WHERE word = ?", (word,)).fetchone() for f in self.files)
+            if len(self.lately) > HELD_WORDS:
+                self.lately.clear()
+            n = self.lately[word] = next((row[0] for row in found if row), 0)
+        return n or default
+
+    def __contains__(self, word: object) -> bool:
+        return self.get(word) is not None
+
+    def __getitem__(self, word: str) -> int:
+        n = self.get(word)
+        if n is None:
+            raise KeyError(word)
+        return n
+
+
 class Decoder:
-    """Readings of token streams by the held part of the lexicon, and by what all of it settled before."""
+    """Readings of token streams by the words of the lexicon, and by what a join with all of it settled before."""
 
-    def __init__(self, counts: dict[str, int], repairs: bool = True):
-        self.counts, self.total = counts, max(1, sum(counts.values()))
+    def __init__(self, counts: dict[str, int], repairs: bool = True, total: int | None = None):
+        self.counts, self.total = counts, max(1, sum(counts.values()) if total is None else total)
         self.memory: dict[str, tuple[str | None, float]] = {}
         #: Whether broken and run-together words are asked for too, which are no noise of their own but matter to the text.
         self.repairs = repairs
@@ -487,18 +525,57 @@ def _most_frequent(words: DataFrame) -> pd.DataFrame:
     return sized.where(F.col("size") >= least).select("word", "n_clean", "n_scanned").toPandas().sort_values("word", ignore_index=True)
 
 
-def _scanned(rows: DataFrame, furniture: DataFrame, words: DataFrame, schema: str, shape, repairs: bool) -> DataFrame:
-    held = _most_frequent(words.where(~F.col("word").rlike("[0-9]") & F.expr("n_clean > 0 OR n_scanned >= 40")))
+def _filed(words: DataFrame) -> str | None:
+    """The name under which every task finds the file of ``words`` ``(word, n)``, written row by row; None where there are none."""
+    rows = words.toLocalIterator()
+    first = next(rows, None)
+    if first is None:
+        return None
+    folder, name = tempfile.mkdtemp(prefix="quirelake-words-"), f"words-{uuid.uuid4().hex}.sqlite"
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    with sqlite3.connect(f"{folder}/{name}") as db:
+        db.execute("PRAGMA journal_mode = OFF")
+        db.execute("CREATE TABLE words (word TEXT PRIMARY KEY, n INTEGER) WITHOUT ROWID")
+        db.execute("INSERT INTO words VALUES (?, ?)", tuple(first))
+        db.executemany("INSERT INTO words VALUES (?, ?)", map(tuple, rows))
+    db.close()
+    words.sparkSession.sparkContext.addFile(f"{folder}/{name}")
+    return name
+
+
+def _known(words: DataFrame) -> tuple[dict[str, int], list[str], int]:
+    """The words that stay as they are: those held, the files of all others, and how often all of them stand."""
+    usable = durable(words.where(~F.col("word").rlike("[0-9]") & F.expr("n_clean > 0 OR n_scanned >= 40")).select("word", "n_clean", "n_scanned"))
+    held = _most_frequent(usable)
+    n = (F.col("n_clean") + F.col("n_scanned")).alias("n")
     clean = held[held.n_clean > 0]
     counts = dict(zip(clean.word, (clean.n_clean + clean.n_scanned).tolist(), strict=True))
-    # Words of scanned texts only, such as publishers' names, are held unless they are another word misread.
-    decoder = Decoder(counts)
-    for word, n in zip(held.word, (held.n_clean + held.n_scanned).tolist(), strict=True):
-        if word not in counts and not _SYMBOL.search(word) and decoder.correct(word)[0] is None:
-            counts[word] = n
+    # Words of scanned texts only, such as publishers' names, are known unless they are a clean word misread.
+    scanned = held[held.n_clean == 0]
+    if len(held) == usable.count():
+        decoder = Decoder(counts)
+        own = {word: n for word, n in zip(scanned.word, scanned.n_scanned.tolist(), strict=True) if not _SYMBOL.search(word) and decoder.correct(word)[0] is None}
+        return counts | own, [], sum(counts.values()) + sum(own.values())
+    # Counts below the least power of two that is held; words of one size are held together or not at all.
+    rest = usable if held.empty else usable.where(F.floor(F.log2(F.col("n_clean") + F.col("n_scanned"))) < math.floor(math.log2(int((held.n_clean + held.n_scanned).min()))))
+    files = [name for name in [_filed(rest.where("n_clean > 0").select("word", n))] if name]
+    total = usable.where("n_clean > 0").agg(F.sum(n)).collect()[0][0] or 0
+
+    def unread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        decoder = Decoder(Counts(counts, [SparkFiles.get(name) for name in files]), total=total)
+        for pdf in batches:
+            yield pdf[[not _SYMBOL.search(word) and decoder.correct(word)[0] is None for word in pdf.word]]
+
+    own = durable(usable.where("n_clean = 0").select("word", n).mapInPandas(unread, "word string, n bigint"))
+    files += [name for name in [_filed(own)] if name]
+    return counts, files, total + (own.agg(F.sum("n")).collect()[0][0] or 0)
+
+
+def _scanned(rows: DataFrame, furniture: DataFrame, words: DataFrame, schema: str, shape, repairs: bool) -> DataFrame:
+    counts, files, total = _known(words)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        decoder = Decoder(counts, repairs)
+        decoder = Decoder(Counts(counts, [SparkFiles.get(name) for name in files]) if files else counts, repairs, total)
         for pdf in batches:
             rows = []
             for row in pdf.itertuples(index=False):

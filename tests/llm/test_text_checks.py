@@ -173,3 +173,20 @@ def test_truncation_of_long_and_common_tokens(spark):
     cut = [f"The valve of the pump is open. The {long}", "The valve of the pump is shut. The valve of the pu"]
     found = {r.row_id for r in truncation.truncated_records(frame(spark, whole + cut)).collect()}
     assert found == {60, 61}
+
+
+def test_words_that_are_not_held_count_alike(spark, monkeypatch):
+    # "bem" is a rare known word, though it may be "hem" misread; "filterpump" is divided in three.
+    clean = spark.createDataFrame([("The controller runs well. " * 40 + "The hem is new. " * 40 + "A bem is rare. The marl lies. The fi-lter-pump filterpump.",)], "body string")
+    texts = ["The bem is new.", "The filt-\ner-\npump runs.", "The c0ntroller and the mar1.", "Acmel " * 45]
+    scanned = spark.createDataFrame([("segments", n, t, "d1", 1) for n, t in enumerate(texts)], "source_table string, row_id bigint, body string, document_id string, page_number int")
+
+    def found():
+        noise = {(r.row_id, r.noise, r["item"]) for r in scan_noise.found_noise(scanned, clean).collect()}
+        return noise, {(r.row_id, r.paragraph_no, r.content) for r in scan_noise.repaired_paragraphs(scanned, clean).collect()}
+
+    whole = found()
+    assert (0, "misread", "hem") not in whole[0] and (1, "hyphenation", "filterpump") in whole[0]
+    for held in (0, 4):
+        monkeypatch.setattr(scan_noise, "HELD_WORDS", held)
+        assert found() == whole
