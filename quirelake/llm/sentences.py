@@ -8,9 +8,13 @@ _FENCE = re.compile(r"```.*?(?:```|\Z)", re.S)
 _PREFIX = re.compile(r"^(?:>+\s*|[-*+•]\s+|\(?\d{1,3}[.)]\s+)+")
 #: A full stop, exclamation or question mark with closing marks, before white space and what can begin a sentence.
 _END = re.compile(r"[.!?。！？][.!?。！？]*[\"'”“»)\]]*\s+(?=[\"'„“«(\[¿¡]*[^\W_a-zß-öø-ÿ])")
+_STOPS = ".!?。！？"
 _CLOSED = re.compile(r"[.!?。！？][\"'”“»)\]]*$")
-_OPEN_ABBREVIATION = re.compile(r"(?:^|[\s(„“\"«])(?:\w|bzw|ca|Nr|No|vgl|evtl|ggf|Abb|Tab|Fig|Dr|Mr|Mrs|Ms|Prof|St|art|Art|cf|pag|str|zob|ver|resp|approx)\.$")
-_WORDS = re.compile(r"[^\W\d_]{2,}")
+_ABBREVIATIONS = ("bzw", "ca", "Nr", "No", "vgl", "evtl", "ggf", "Abb", "Tab", "Fig", "Dr", "Mr", "Mrs", "Ms", "Prof", "St", "art", "Art", "cf", "pag", "str", "zob", "ver", "resp", "approx")
+_OPEN_ABBREVIATION = re.compile(rf"(?:^|[\s(„“\"«])(?:\w|{'|'.join(_ABBREVIATIONS)})\.$")
+_ABBREVIATED = tuple(f"{a}." for a in _ABBREVIATIONS)
+#: Two words; a word is tried from its beginning only.
+_WORDS = re.compile(r"(?<![^\W\d_])[^\W\d_]{2,}+.*?[^\W\d_]{2}", re.S)
 
 
 def _blocks(text: str) -> list[str]:
@@ -57,11 +61,12 @@ def running_sentences(text: str | None) -> list[str]:
         begin = 0
         for m in _END.finditer(block):
             sentence = block[begin : m.end()].rstrip()
-            if sentence[-1] == "." and _OPEN_ABBREVIATION.search(sentence[-12:]):
+            # The pattern is needed only after one letter or where an abbreviation may end.
+            if sentence[-1] == "." and (not sentence[-3:-2].isalnum() or sentence.endswith(_ABBREVIATED)) and _OPEN_ABBREVIATION.search(sentence[-12:]):
                 continue
             out.append(sentence)
             begin = m.end()
         rest = block[begin:].rstrip()
-        if rest and _CLOSED.search(rest):
+        if rest and (rest[-1] in _STOPS or _CLOSED.search(rest)):
             out.append(rest)
-    return [s for s in out if (first := _WORDS.search(s)) and _WORDS.search(s, first.end())]
+    return [s for s in out if _WORDS.search(s)]

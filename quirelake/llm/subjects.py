@@ -14,7 +14,7 @@ from __future__ import annotations
 import itertools
 import math
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
 from itertools import groupby
@@ -22,6 +22,7 @@ from itertools import groupby
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,8 +46,8 @@ MAX_WORDS, GROUPS = 3, 256
 SAMPLE_EXAMPLES = 20_000
 #: Part of the running sentences that must deal with a subject.
 SHARE = 0.25
-#: Sentences that a Python worker remembers, and transactions that a task sums up before it passes the sums on.
-MEMORY, HELD = 200_000, 100_000
+#: Words or transactions that a task sums up before it passes the sums on.
+HELD = 100_000
 
 _WORD = re.compile(r"[^\W\d_]{2,}(?:['’][^\W\d_]+)?")
 _QUOTED = re.compile(r"[\"„“«][^\"“”»„«]{1,80}[\"“”»]")
@@ -66,6 +67,80 @@ def words_of(sentence: str) -> list[str]:
     return list(dict.fromkeys(words))
 
 
+def words_joined(sentences: list[str]) -> pa.StringArray:
+    """The different words of each sentence as ``words_of`` finds them, joined by blanks; every different token is looked at once."""
+    lowered = [(_QUOTED.sub(" ", s) if '"' in s or "„" in s or "“" in s or "«" in s else s).lower() for s in sentences]
+    split = pc.split_pattern(pa.array(lowered, pa.string()), " ")
+    tokens = split.flatten().dictionary_encode()
+    numbers: dict[str, int] = defaultdict(itertools.count().__next__)
+    # No word holds a blank, so the words of a sentence are those of its tokens.
+    found = [[token] if len(token) > 1 and token.isalpha() else _WORD.findall(token) for token in tokens.dictionary.to_pylist()]
+    numbered = np.array([numbers[w] for words in found for w in words], np.int64)
+    sizes = np.array([len(words) for words in found], np.int64)
+    token = tokens.indices.to_numpy()
+    of = np.repeat(np.arange(len(sentences)), split.value_lengths().to_numpy())
+    spots, at = _spread((np.cumsum(sizes) - sizes)[token], sizes[token])
+    words, of = numbered[spots], of[at]
+    keys = of * max(1, len(numbers)) + words
+    ordered = np.sort(keys)
+    repeating = np.zeros(len(sentences), bool)
+    repeating[ordered[1:][ordered[1:] == ordered[:-1]] // max(1, len(numbers))] = True
+    new = ~repeating[of]
+    new[~new] = ~pd.Series(keys[~new]).duplicated().to_numpy()
+    lists = _lists(np.bincount(of[new], minlength=len(sentences)), pa.array(list(numbers), pa.string()).take(pa.array(words[new])))
+    return pc.binary_join(lists, " ")
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of runs that are ``sizes`` long from ``starts``, one run after another, and the number of the run of each."""
+    run = np.repeat(np.arange(len(sizes)), sizes)
+    return np.arange(len(run)) + (starts - (np.cumsum(sizes) - sizes))[run], run
+
+
+def _lists(sizes: np.ndarray, values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), values)
+
+
+class Numbered:
+    """The sentences of some documents as numbers, every different one once with its words."""
+
+    def __init__(self, sentences: pa.ListArray):
+        self.lengths = sentences.value_lengths().fill_null(0).to_numpy()
+        coded = sentences.flatten().dictionary_encode()
+        self.sentence, self.n = coded.indices.to_numpy().astype(np.int64), len(coded.dictionary)
+        self.document = np.repeat(np.arange(len(sentences)), self.lengths)
+        split = pc.split_pattern(coded.dictionary, " ")
+        words = split.flatten().dictionary_encode()
+        self.vocabulary: list[str] = words.dictionary.to_pylist()
+        self.word, self.of = words.indices.to_numpy().astype(np.int64), np.repeat(np.arange(self.n), split.value_lengths().to_numpy())
+        if "" in self.vocabulary:  # what splitting an empty sentence gives
+            kept = self.word != self.vocabulary.index("")
+            self.word, self.of = self.word[kept], self.of[kept]
+
+    def mapped(self, numbers: dict[str, int]) -> np.ndarray:
+        """The number of each word of the vocabulary, -1 for those without."""
+        return np.array([numbers.get(w, -1) for w in self.vocabulary], np.int64)
+
+    def said(self, by_sentence: np.ndarray) -> np.ndarray:
+        """For each document the sum of its sentences' rows; one that it repeats counts each time."""
+        return np.stack([np.bincount(self.document, weights=c[self.sentence], minlength=len(self.lengths)) for c in by_sentence.T.astype(float)], axis=1)
+
+    def labelled(self, single: dict[str, int], n: int) -> np.ndarray:
+        """For each different sentence the number of labelled documents it stands in, and the sums of their subjects' shares of all their sentences.
+
+        ``single`` says the subject of a word. A sentence that a document repeats
+        is judged once and counts each time for the shares.
+        """
+        label = self.mapped(single)[self.word]
+        known = label >= 0
+        votes = np.bincount(self.of[known] * n + label[known], minlength=self.n * n).reshape(self.n, n)
+        hits = self.said((votes > 0) & (votes >= 0.34 * votes.max(axis=1, keepdims=True)))
+        rows = np.concatenate([hits.any(axis=1, keepdims=True), hits / np.maximum(self.lengths, 1)[:, None]], axis=1)
+        there = rows[self.document, 0] > 0
+        document, sentence = np.divmod(np.unique(self.document[there] * max(1, self.n) + self.sentence[there]), max(1, self.n))
+        return np.stack([np.bincount(sentence, weights=c[document], minlength=self.n) for c in rows.T], axis=1)
+
+
 @dataclass(frozen=True)
 class Rules:
     """Rules by their words, and the calibration of their evidence."""
@@ -89,9 +164,44 @@ class Rules:
                         out[subject] = out.get(subject, 0.0) + weight
         return out
 
-    def subjects_of(self, words: list[str]) -> tuple[int, ...]:
-        """The subjects a sentence of these words deals with: those whose calibrated probability is at least a half."""
-        return tuple(k for k, e in self.evidence(words).items() if e >= self.enough)
+    def found(self, numbered: Numbered) -> np.ndarray:
+        """For each different sentence whether it deals with each subject: its calibrated probability is at least a half.
+
+        The weights are added in the order of ``evidence``.
+        """
+        n, at = len(self.subjects), {w: k for k, w in enumerate(numbered.vocabulary)}
+        subject = numbered.mapped({w: k for w, (k, _) in self.single.items()})[numbered.word]
+        weight = np.array([self.single.get(w, (0, 0.0))[1] for w in numbered.vocabulary])[numbered.word]
+        known = subject >= 0
+        needed = set(self.several).union(*(rest for more in self.several.values() for rest, _, _ in more))
+        order = np.flatnonzero(numbered.mapped(dict.fromkeys(needed, 0))[numbered.word] == 0)
+        order = order[np.argsort(numbered.word[order], kind="stable")]
+        ends = np.cumsum(np.bincount(numbered.word[order], minlength=len(at)))
+        places = [np.zeros(0, np.int64)]
+        added: list[tuple[int, float]] = []
+        for head, more in self.several.items():
+            if head not in at:
+                continue
+            spots = order[ends[at[head] - 1] if at[head] else 0 : ends[at[head]]]
+            for rest, k, w in more:
+                matching = spots
+                for other in rest:
+                    if other not in at:
+                        matching = matching[:0]
+                        break
+                    # Its sentences are in order, since places are; the last one stands for those behind it.
+                    there = numbered.of[order[ends[at[other] - 1] if at[other] else 0 : ends[at[other]]]]
+                    wanted = numbered.of[matching]
+                    matching = matching[there[np.minimum(np.searchsorted(there, wanted), len(there) - 1)] == wanted] if len(there) else matching[:0]
+                places.append(matching)
+                added.append((k, w))
+        sizes = [len(p) for p in places[1:]]
+        place = np.concatenate(places)
+        by_place = np.argsort(place, kind="stable")
+        place = place[by_place]
+        keys = np.concatenate([numbered.of[known] * n + subject[known], numbered.of[place] * n + np.repeat(np.array([k for k, _ in added], np.int64), sizes)[by_place]])
+        weights = np.concatenate([weight[known], np.repeat(np.array([w for _, w in added]), sizes)[by_place]])
+        return np.bincount(keys, weights=weights, minlength=numbered.n * n).reshape(numbered.n, n) >= self.enough
 
 
 def seed_rules(examples: list[tuple[int, list[str]]], n: int) -> dict[str, tuple[int, float]]:
@@ -130,12 +240,12 @@ def grow_patterns(flat: np.ndarray, sizes: np.ndarray, sums: np.ndarray, min_sup
         return
     starts = np.cumsum(sizes) - sizes
     owner = np.repeat(np.arange(len(sizes)), sizes)
-    order = np.argsort(flat, kind="stable")
+    columns = np.ascontiguousarray(sums.T)
+    spots = np.arange(len(flat)) if last is None else np.flatnonzero(np.isin(flat, list(last)))
+    order = spots[np.argsort(flat[spots], kind="stable")]
     items, first = np.unique(flat[order], return_index=True)
     ends = [*first[1:].tolist(), len(order)]
     for item, begin, end in zip(items.tolist(), first.tolist(), ends, strict=True):
-        if last is not None and item not in last:
-            continue
         spots = order[begin:end]
         rows = owner[spots]
         lengths = spots - starts[rows]
@@ -144,14 +254,14 @@ def grow_patterns(flat: np.ndarray, sizes: np.ndarray, sums: np.ndarray, min_sup
             continue
         paths = flat[np.arange(total) + np.repeat(starts[rows] - (np.cumsum(lengths) - lengths), lengths)]
         of = np.repeat(rows, lengths)
-        counts = np.bincount(paths, weights=sums[of, 0])
+        counts = np.bincount(paths, weights=columns[0][of])
         frequent = np.flatnonzero(counts >= min_support)
         if not len(frequent):
             continue
         kept = counts[paths] >= min_support
         paths, of, at = paths[kept], of[kept], np.repeat(np.arange(len(rows)), lengths)[kept]
         places = np.searchsorted(frequent, paths)
-        added = np.stack([np.bincount(places, weights=sums[of, k], minlength=len(frequent)) for k in range(sums.shape[1])], axis=1)
+        added = np.stack([np.bincount(places, weights=c[of], minlength=len(frequent)) for c in columns], axis=1)
         pattern = (item, *suffix)
         for w, total_sums in zip(frequent.tolist(), added.tolist(), strict=True):
             yield (w, *pattern), total_sums
@@ -160,14 +270,54 @@ def grow_patterns(flat: np.ndarray, sizes: np.ndarray, sums: np.ndarray, min_sup
             yield from grow_patterns(paths, lengths, sums[rows], min_support, max_words, None, pattern)
 
 
-def _list_array(lists: list) -> pa.ListArray:
-    offsets = np.zeros(len(lists) + 1, np.int32)
-    np.cumsum([len(x) for x in lists], out=offsets[1:])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(list(itertools.chain.from_iterable(lists)), pa.int32()))
+class _Held:
+    """Sums of rows by key."""
+
+    def __init__(self, width: int):
+        self.numbers: dict[str | bytes, int] = defaultdict(itertools.count().__next__)
+        self.sums = np.zeros((0, width))
+
+    def add(self, keys: list, rows: np.ndarray) -> None:
+        into = np.fromiter(map(self.numbers.__getitem__, keys), np.int64, len(keys))
+        added = np.stack([np.bincount(into, weights=c, minlength=len(self.numbers)) for c in rows.T], axis=1)
+        added[: len(self.sums)] += self.sums
+        self.sums = added
+
+
+def _transactions(held: _Held) -> pa.RecordBatch:
+    items = pa.array(np.frombuffer(b"".join(held.numbers), np.int32))
+    sizes = np.array([len(k) // 4 for k in held.numbers])
+    return pa.RecordBatch.from_arrays([_lists(sizes, items), *(pa.array(c) for c in np.ascontiguousarray(held.sums.T))], names=["words", *(f"s{k}" for k in range(held.sums.shape[1]))])
+
 
+def conditional(flat: np.ndarray, sizes: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """Of transactions laid out in ``flat``, for each group the longest prefix, of two items at least, that ends in one of its items; and the number of its transaction."""
+    ends = np.cumsum(sizes)
+    starts, of = ends - sizes, np.repeat(np.arange(len(sizes)), sizes)
+    # Of the places of a transaction in one group the last one stays.
+    last = np.full(len(sizes) * GROUPS, -1)
+    last[of * GROUPS + flat % GROUPS] = np.arange(len(flat))
+    at = last[last >= 0]
+    at = at[at > starts[of[at]]]
+    packed = flat.astype(np.int32).tobytes()
+    return [packed[a:b] for a, b in zip((4 * starts[of[at]]).tolist(), (4 * at + 4).tolist(), strict=True)], of[at]
 
-def _batch(lists: list, sums: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([_list_array(lists), *(pa.array(c) for c in np.ascontiguousarray(sums.T))], names=["words", *(f"s{k}" for k in range(sums.shape[1]))])
+
+def _bytes(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The bytes of ``values`` cut at ``ends``."""
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32)), pa.py_buffer(values.tobytes())])
+
+
+def _by_group(held: _Held) -> pa.RecordBatch:
+    """A row for each group with the items, sizes and sums of its transactions as bytes; the last item of a transaction says the group."""
+    sizes = np.array([len(k) // 4 for k in held.numbers], np.int32)
+    items = np.frombuffer(b"".join(held.numbers), np.int32)
+    groups = items[np.cumsum(sizes) - 1] % GROUPS
+    order = np.argsort(groups, kind="stable")
+    there, counts = np.unique(groups, return_counts=True)
+    spots, _ = _spread((np.cumsum(sizes) - sizes)[order], sizes[order])
+    ends = np.cumsum(counts)
+    return pa.RecordBatch.from_arrays([pa.array(there), _bytes(items[spots], 4 * np.cumsum(sizes[order])[ends - 1]), _bytes(sizes[order], 4 * ends), _bytes(held.sums[order], held.sums.itemsize * held.sums.shape[1] * ends)], names=["grp", "items", "sizes", "sums"])
 
 
 def _conclusion(sums: list[float], base: np.ndarray, support: float = SUPPORT, confidence: float = CONFIDENCE) -> tuple[int, float] | None:
@@ -213,8 +363,9 @@ def cut_sentences(documents: DataFrame, id_col: str = "doc_id", text_col: str =
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            listed = [[" ".join(words_of(s)) for s in running_sentences(text)] for text in batch.column("body").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("row_key"), pa.array(listed, pa.list_(pa.string()))], names=["row_key", "sentences"])
+            listed = [running_sentences(text) for text in batch.column("body").to_pylist()]
+            joined = words_joined(list(itertools.chain.from_iterable(listed)))
+            yield pa.RecordBatch.from_arrays([batch.column("row_key"), _lists(np.array([len(x) for x in listed]), joined)], names=["row_key", "sentences"])
 
     rows = documents.select(F.col(id_col).alias("row_key"), F.col(text_col).alias("body"))
     return durable(rows.mapInArrow(cut, f"row_key {kind}, sentences array<string>"))
@@ -235,64 +386,27 @@ def mine_rules(examples: DataFrame, cut: DataFrame) -> Rules:
     if not n:
         return first
 
-    def labelled(pdf: pd.DataFrame, single: dict[str, int]) -> Iterator[tuple[list[list[str]], list[tuple[int, float]]]]:
-        """Each labelled document's different sentences, and its subjects with their shares of all its sentences."""
-        for listed in pdf.sentences:
-            hits: dict[int, int] = {}
-            different = []
-            # A sentence that a document repeats is judged once and counts each time.
-            for sentence, times in Counter(listed).items():
-                words = sentence.split()
-                if words:
-                    different.append(words)
-                seen = [k for k in map(single.get, words) if k is not None]
-                if seen:
-                    first = seen[0]
-                    if seen.count(first) == len(seen):
-                        hits[first] = hits.get(first, 0) + times
-                        continue
-                    votes = Counter(seen)
-                    least = 0.34 * max(votes.values())
-                    for k, v in votes.items():
-                        if v >= least:
-                            hits[k] = hits.get(k, 0) + times
-            if hits:
-                yield different, [(k, v / len(listed)) for k, v in sorted(hits.items())]
-
     def counter(single: dict[str, int]):
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             """The number of sentences with each word and the sums of their documents' shares; for all sentences together the word is empty."""
-            numbers: dict[str, int] = defaultdict(itertools.count().__next__)
-            held = np.zeros((0, n + 1))
-
-            def summed() -> pa.RecordBatch:
-                return pa.RecordBatch.from_arrays([pa.array(list(numbers), pa.string()), *(pa.array(c) for c in np.ascontiguousarray(held.T))], names=["word", *names])
-
+            held = _Held(n + 1)
             for batch in batches:
-                flat: list[int] = []
-                sizes, rows = [], []
-                for listed, shares in labelled(batch.to_pandas(), single):
-                    begin = len(flat)
-                    flat.extend(map(numbers.__getitem__, itertools.chain.from_iterable(listed)))
-                    flat.extend([numbers[""]] * len(listed))
-                    sizes.append(len(flat) - begin)
-                    row = [1.0] + [0.0] * n
-                    for k, v in shares:
-                        row[k + 1] = v
-                    rows.append(row)
-                if not flat:
+                numbered = Numbered(batch.column("sentences"))
+                sums = numbered.labelled(single, n)
+                some = np.flatnonzero(np.bincount(numbered.word[sums[numbered.of, 0] > 0], minlength=len(numbered.vocabulary)))
+                if not len(some):
                     continue
-                ids, of = np.array(flat), np.repeat(np.arange(len(sizes)), sizes)
-                weights = np.array(rows)
-                added = np.stack([np.bincount(ids, weights=weights[of, k], minlength=len(numbers)) for k in range(n + 1)], axis=1)
-                added[: len(held)] += held
-                held = added
-                if len(numbers) > HELD:
-                    yield summed()
-                    numbers = defaultdict(itertools.count().__next__)
-                    held = np.zeros((0, n + 1))
-            if len(held):
-                yield summed()
+                by_word = np.stack([np.bincount(numbered.word, weights=c[numbered.of], minlength=len(numbered.vocabulary)) for c in sums.T], axis=1)
+                worded = np.bincount(numbered.of, minlength=numbered.n) > 0
+                held.add(["", *(numbered.vocabulary[k] for k in some.tolist())], np.concatenate([sums[worded].sum(axis=0)[None], by_word[some]]))
+                if len(held.numbers) > HELD:
+                    yield summed(held)
+                    held = _Held(n + 1)
+            if held.numbers:
+                yield summed(held)
+
+        def summed(held: _Held) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(held.numbers), pa.string()), *(pa.array(c) for c in np.ascontiguousarray(held.sums.T))], names=["word", *names])
 
         return count
 
@@ -330,65 +444,50 @@ def mine_rules(examples: DataFrame, cut: DataFrame) -> Rules:
 
     def transact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The ranked words of every labelled sentence with its document's shares; equal ones are summed up before they leave the task."""
-        held: dict[tuple[int, ...], list[float]] = {}
+        held = _Held(n + 1)
         for batch in batches:
-            for listed, shares in labelled(batch.to_pandas(), labels):
-                for words in listed:
-                    items = tuple(sorted([k for k in map(rank.get, words) if k is not None]))
-                    if len(items) > 1:
-                        sums = held.get(items)
-                        if sums is None:
-                            sums = held[items] = [0.0] * (n + 1)
-                        sums[0] += 1
-                        for k, v in shares:
-                            sums[k + 1] += v
-                if len(held) > HELD:
-                    yield _batch(list(held), np.array(list(held.values())))
-                    held.clear()
-        if held:
-            yield _batch(list(held), np.array(list(held.values())))
+            numbered = Numbered(batch.column("sentences"))
+            sums = numbered.labelled(labels, n)
+            ranks = numbered.mapped(rank)[numbered.word]
+            kept = (ranks >= 0) & (sums[numbered.of, 0] > 0)
+            of, items = np.divmod(np.sort(numbered.of[kept] * max(1, len(rank)) + ranks[kept]), max(1, len(rank)))
+            sizes = np.bincount(of, minlength=numbered.n)
+            packed, ends = items.astype(np.int32).tobytes(), 4 * np.cumsum(sizes)
+            several = sizes > 1
+            held.add([packed[a:b] for a, b in zip((ends - 4 * sizes)[several].tolist(), ends[several].tolist(), strict=True)], sums[several])
+            if len(held.numbers) > HELD:
+                yield _transactions(held)
+                held = _Held(n + 1)
+        if held.numbers:
+            yield _transactions(held)
 
     def condition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The group-dependent transactions of parallel frequent-pattern growth: for each group the longest prefix that ends in one of its words."""
+        """The group-dependent transactions of parallel frequent-pattern growth: for each group the longest prefix that ends in one of its words.
+
+        Many transactions share a prefix, which leaves once with their sums.
+        """
+        held = _Held(n + 1)
         for batch in batches:
-            # Many transactions of a batch share a prefix, which leaves once with their sums. Prefixes are cut from the bytes of all items.
             column = batch.column("words")
-            flat = column.flatten().to_numpy().astype(np.int32)
-            packed, modulo = flat.tobytes(), (flat % GROUPS).tolist()
-            ends = column.value_lengths().to_numpy().cumsum().tolist()
-            slots: dict[bytes, int] = defaultdict(itertools.count().__next__)
-            into, spots, begin = [], [], 0
-            for spot, end in enumerate(ends):
-                seen = set()
-                for at in range(end - 1, begin, -1):
-                    if modulo[at] not in seen:
-                        seen.add(modulo[at])
-                        into.append(slots[packed[4 * begin : 4 * at + 4]])
-                        spots.append(spot)
-                begin = end
-            if not slots:
-                continue
-            sums = np.stack([np.bincount(into, weights=batch.column(c).to_numpy()[spots], minlength=len(slots)) for c in names], axis=1)
-            sizes = np.array([len(k) // 4 for k in slots])
-            items = np.frombuffer(b"".join(slots), np.int32)
-            # The last item of a prefix says the group.
-            groups = items[np.cumsum(sizes) - 1] % GROUPS
-            words = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(items))
-            yield pa.RecordBatch.from_arrays([pa.array(groups.astype(np.int32)), words, *(pa.array(c) for c in np.ascontiguousarray(sums.T))], names=["grp", "words", *names])
+            prefixes, spots = conditional(column.flatten().to_numpy().astype(np.int64), column.value_lengths().to_numpy().astype(np.int64))
+            held.add(prefixes, np.stack([batch.column(c).to_numpy() for c in names], axis=1)[spots])
+            if len(held.numbers) > HELD:
+                yield _by_group(held)
+                held = _Held(n + 1)
+        if held.numbers:
+            yield _by_group(held)
 
     def grow(group_rows: pa.Table) -> pa.Table:
-        group_rows = group_rows.combine_chunks()
         group = group_rows.column("grp")[0].as_py()
         own = set(range(group, len(ranked), GROUPS))
-        sums = np.stack([group_rows.column(c).to_numpy() for c in names], axis=1)
-        listed = group_rows.column("words").chunk(0)
-        grown = grow_patterns(listed.flatten().to_numpy().astype(np.int64), listed.value_lengths().to_numpy().astype(np.int64), sums, support_set, MAX_WORDS, own)
+        items, sizes, sums = (np.frombuffer(b"".join(group_rows.column(c).to_pylist()), kind) for c, kind in (("items", np.int32), ("sizes", np.int32), ("sums", np.float64)))
+        grown = grow_patterns(items.astype(np.int64), sizes.astype(np.int64), sums.reshape(-1, n + 1), support_set, MAX_WORDS, own)
         found = [([ranked[k] for k in p], s) for p, s in grown if _conclusion(s, usual, support_set, CONFIDENCE_SET) is not None]
         return pa.table({"words": pa.array([w for w, _ in found], pa.list_(pa.string())), "sums": pa.array([s for _, s in found], pa.list_(pa.float64()))})
 
     # Most sentences are equal once their rare words are gone, so they are summed up before each becomes several transactions.
     sentences_of = cut.select("sentences").mapInArrow(transact, f"words array<int>, {sums_schema}").groupBy("words").agg(*totals)
-    grown = sentences_of.mapInArrow(condition, f"grp int, words array<int>, {sums_schema}").groupBy("grp").applyInArrow(grow, "words array<string>, sums array<double>").toPandas()
+    grown = sentences_of.mapInArrow(condition, "grp int, items binary, sizes binary, sums binary").groupBy("grp").applyInArrow(grow, "words array<string>, sums array<double>").toPandas()
     several: dict[str, list[tuple[frozenset[str], int, float]]] = defaultdict(list)
     for words, sums in sorted(zip(grown.words, grown.sums, strict=True), key=lambda x: (len(x[0]), list(x[0]))):
         subject, confidence = _conclusion(list(sums), usual, support_set, CONFIDENCE_SET)
@@ -410,27 +509,14 @@ def document_subjects(cut: DataFrame, rules: Rules, id_col: str = "doc_id") -> D
     kind = cut.schema["row_key"].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[int, ...]] = {}
-        for batch in batches:
-            spots, subjects, shares, sizes = [], [], [], []
-            for spot, sentences in enumerate(batch.column("sentences").to_pylist()):
-                counts: dict[int, int] = {}
-                for sentence in sentences:
-                    found = known.get(sentence)
-                    if found is None:
-                        if len(known) >= MEMORY:
-                            known.clear()
-                        found = known[sentence] = rules.subjects_of(sentence.split())
-                    for k in found:
-                        counts[k] = counts.get(k, 0) + 1
-                for k in sorted(counts):
-                    if counts[k] >= SHARE * len(sentences):
-                        spots.append(spot)
-                        subjects.append(rules.subjects[k])
-                        shares.append(counts[k] / len(sentences))
-                        sizes.append(len(sentences))
+        for batch in batches if rules.subjects else ():
+            numbered = Numbered(batch.column("sentences"))
+            counts = numbered.said(rules.found(numbered))
+            spots, subjects = np.nonzero((counts > 0) & (counts >= SHARE * numbered.lengths[:, None]))
             keys = batch.column("row_key").take(pa.array(spots, pa.int64()))
-            yield pa.RecordBatch.from_arrays([keys, pa.array(subjects, pa.string()), pa.array(shares, pa.float64()), pa.array(sizes, pa.int32())], names=[id_col, "subject", "share", "n_sentences"])
+            names = pa.array([rules.subjects[k] for k in subjects.tolist()], pa.string())
+            sizes = numbered.lengths[spots]
+            yield pa.RecordBatch.from_arrays([keys, names, pa.array(counts[spots, subjects] / sizes, pa.float64()), pa.array(sizes, pa.int32())], names=[id_col, "subject", "share", "n_sentences"])
 
     return cut.mapInArrow(score, f"`{id_col}` {kind}, subject string, share double, n_sentences int")
 

@@ -1,6 +1,9 @@
 import itertools
+import sys
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quirelake.common import table
@@ -124,3 +127,75 @@ def test_rules_come_from_all_documents(spark):
     texts[:84:6] = [f"The anvil stands in the hall. The zephyrite came today, number {k}." for k in range(14)]
     rules = subjects.mine_rules(examples, subjects.cut_sentences(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")))
     assert rules.single["zephyrite"][0] == rules.subjects.index("anvil")
+
+
+ODD_SENTENCES = ["The pump of the pump runs.", "", "12 / 14", 'He said "stop the pump" to us.', "L'eau, l’eau don't ΣΊΣΥΦΟΣ ΣΑΣ.", "İn x² ½ a_b c-d e\tf g　h.", "„So“ «ja» nein.", "The pump of the pump runs."]
+
+
+def test_every_token_is_looked_at_once():
+    assert subjects.words_joined(ODD_SENTENCES).to_pylist() == [" ".join(subjects.words_of(s)) for s in ODD_SENTENCES]
+    assert subjects.words_joined([]).to_pylist() == []
+    many = [f"The pump number {k % 7} runs in hall {k % 3} of the plant." for k in range(5000)]
+    rules = subjects.Rules(["a", "b"], {"pump": (0, 1.0)}, {"plant": [(frozenset({"hall"}), 1, 1.0)]})
+    calls = []
+    sys.setprofile(lambda _, event, what: calls.append(what) if event == "call" else None)
+    try:
+        numbered = subjects.Numbered(pa.array([subjects.words_joined(many).to_pylist()] * 2, pa.list_(pa.string())))
+        found, shares = rules.found(numbered), numbered.labelled({"pump": 0, "plant": 1}, 2)
+    finally:
+        sys.setprofile(None)
+    assert len(calls) < len(many) / 2
+    assert found.tolist() == [[True, True]] and shares.tolist() == [[2.0, 2.0, 2.0]]
+
+
+def test_numbered_sentences_equal_brute_force():
+    rng = np.random.default_rng(5)
+    words = [f"w{k}" for k in range(12)]
+    documents = [[" ".join(w for w in words if rng.random() < 0.3) for _ in range(rng.integers(0, 6))] for _ in range(60)] + [None, [], ["", "w1"], ["w1", "w1", "w2"]]
+    numbered = subjects.Numbered(pa.array(documents, pa.list_(pa.string())))
+    texts = {k: s for k, s in zip(numbered.sentence.tolist(), itertools.chain.from_iterable(d or [] for d in documents))}
+
+    single = {"w1": 0, "w2": 1, "w3": 2, "w4": 0, "w5": 1}
+    want: dict[str, np.ndarray] = {}
+    for d in documents:
+        hits = np.zeros(3)
+        for s in d or []:
+            votes = Counter(single[w] for w in s.split() if w in single)
+            for k, v in votes.items():
+                hits[k] += v >= 0.34 * max(votes.values())
+        for s in set(d or []) if hits.any() else ():
+            want[s] = want.get(s, 0) + np.array([1.0, *(hits / len(d))])
+    got = numbered.labelled(single, 3)
+    assert all(np.allclose(got[k], want.get(s, 0)) for k, s in texts.items())
+
+    weights = {w: (int(rng.integers(3)), float(rng.normal())) for w in words[:5]}
+    several = {w: [(frozenset(rng.choice(words[:k], min(k, int(rng.integers(1, 3))), replace=False).tolist()), int(rng.integers(3)), float(rng.normal())) for _ in range(4)] for k, w in enumerate(words) if k > 4}
+    rules = subjects.Rules(["a", "b", "c"], weights, several, 0.3)
+    found = rules.found(numbered)
+    for k, s in texts.items():
+        assert {j for j, e in rules.evidence(s.split()).items() if e >= rules.enough} == set(np.flatnonzero(found[k]).tolist())
+
+
+def test_prefixes_of_groups(monkeypatch):
+    monkeypatch.setattr(subjects, "GROUPS", 4)
+    rng = np.random.default_rng(6)
+    transactions = [sorted(rng.choice(20, rng.integers(1, 9), replace=False).tolist()) for _ in range(50)]
+    prefixes, spots = subjects.conditional(np.array(list(itertools.chain(*transactions))), np.array([len(t) for t in transactions]))
+    got = sorted((spot, np.frombuffer(p, np.int32).tolist()) for p, spot in zip(prefixes, spots.tolist()))
+    assert got == sorted((k, max((t[: at + 1] for at in range(1, len(t)) if t[at] % 4 == g), key=len)) for k, t in enumerate(transactions) for g in {x % 4 for x in t[1:]})
+    held = subjects._Held(2)
+    held.add(prefixes, np.arange(2.0 * len(prefixes)).reshape(-1, 2))
+    rows = subjects._by_group(held).to_pylist()
+    out = {}
+    for r in rows:
+        items, sums = np.frombuffer(r["items"], np.int32).tolist(), np.frombuffer(r["sums"], np.float64).reshape(-1, 2)
+        for size, s in zip(np.frombuffer(r["sizes"], np.int32).tolist(), sums.tolist()):
+            head, items = items[:size], items[size:]
+            assert head[-1] % 4 == r["grp"]
+            out[np.array(head, np.int32).tobytes()] = s
+        assert not items
+    assert {k: held.sums[v].tolist() for k, v in held.numbers.items()} == out
+
+
+def test_running_sentences_of_odd_ends():
+    assert sentences.running_sentences("Siehe Nr. Eins und z. B. Zwei. Ab 3. Das Ende approx. Zwei Worte (so ist es.) Ja. Und nun!»") == ["Siehe Nr. Eins und z. B. Zwei.", "Ab 3. Das Ende approx. Zwei Worte (so ist es.)", "Und nun!»"]
