@@ -1,7 +1,8 @@
 """Subject areas of every document by class-association rules.
 
 Rules say that a sentence with certain words deals with a subject. First rules
-come from labelled examples. They label the documents, and in all their sentences
+come from labelled examples. They label the documents, and what is found there
+labels them again, until no more words keep company with the known ones; in all sentences
 frequent word sets are mined with parallel frequent-pattern growth, each with
 the subjects of the documents it stands in. A rule is
 dropped as redundant if a part of its words concludes as surely. A sentence adds
@@ -34,6 +35,8 @@ from quirelake.llm.sentences import running_sentences
 SUPPORT, CONFIDENCE, LIFT = 10, 0.35, 3.5
 #: Least mean share in the second round, when documents are labelled by what the first one found; and least support and mean share of a set of words.
 CONFIDENCE_AGAIN, SUPPORT_SET, CONFIDENCE_SET = 0.45, 25, 0.55
+#: What words must have to be taken on trial, where the rest of their subject is too little known for such a share: this part of their sentences' labels of one subject, and this ratio of its share in the rest of their documents to the usual one there.
+PURE, LIFT_REST = 0.9, 2.3
 #: Sentences up to which the least numbers hold as they are; of more sentences they are the same part.
 SUPPORT_OF = 75_000
 #: The share of the second subject may be at most this part of the first one's, each relative to the usual.
@@ -125,20 +128,27 @@ class Numbered:
         """For each document the sum of its sentences' rows; one that it repeats counts each time."""
         return np.stack([np.bincount(self.document, weights=c[self.sentence], minlength=len(self.lengths)) for c in by_sentence.T.astype(float)], axis=1)
 
-    def labelled(self, single: dict[str, int], n: int) -> np.ndarray:
+    def labelled(self, single: dict[str, int], n: int, own: bool = False) -> np.ndarray:
         """For each different sentence the number of labelled documents it stands in, and the sums of their subjects' shares of all their sentences.
 
         ``single`` says the subject of a word. A sentence that a document repeats
-        is judged once and counts each time for the shares.
+        is judged once and counts each time for the shares. With ``own`` also, for
+        each subject the sentence has itself, the number of those documents, and
+        what it adds itself to the shares.
         """
         label = self.mapped(single)[self.word]
         known = label >= 0
         votes = np.bincount(self.of[known] * n + label[known], minlength=self.n * n).reshape(self.n, n)
-        hits = self.said((votes > 0) & (votes >= 0.34 * votes.max(axis=1, keepdims=True)))
+        dealt = (votes > 0) & (votes >= 0.34 * votes.max(axis=1, keepdims=True))
+        hits = self.said(dealt)
         rows = np.concatenate([hits.any(axis=1, keepdims=True), hits / np.maximum(self.lengths, 1)[:, None]], axis=1)
         there = rows[self.document, 0] > 0
         document, sentence = np.divmod(np.unique(self.document[there] * max(1, self.n) + self.sentence[there]), max(1, self.n))
-        return np.stack([np.bincount(sentence, weights=c[document], minlength=self.n) for c in rows.T], axis=1)
+        sums = np.stack([np.bincount(sentence, weights=c[document], minlength=self.n) for c in rows.T], axis=1)
+        if not own:
+            return sums
+        times = np.bincount(sentence, weights=1 / self.lengths[document], minlength=self.n)
+        return np.concatenate([sums, dealt * sums[:, :1], dealt * times[:, None]], axis=1)
 
 
 @dataclass(frozen=True)
@@ -331,6 +341,16 @@ def _conclusion(sums: list[float], base: np.ndarray, support: float = SUPPORT, c
     return top, float(shares[top])
 
 
+def _companion(sums: np.ndarray, overall: np.ndarray, support: float) -> int | None:
+    """The subject that a word is taken for on trial, by sums as of ``Numbered.labelled`` with ``own``: its labelled sentences are nearly all of it, and so is, more than usual, the rest of its documents."""
+    _, shares, own, added = np.split(sums, [1, 1 + len(sums) // 3, 1 + 2 * (len(sums) // 3)])
+    _, all_shares, _, all_added = np.split(overall, [1, 1 + len(sums) // 3, 1 + 2 * (len(sums) // 3)])
+    lift = np.maximum(shares - added, 0) / max(sums[0], 1) / np.maximum((all_shares - all_added) / overall[0], 1e-6)
+    top = int(lift.argmax())
+    second = float(np.sort(lift)[-2]) if len(lift) > 1 else 0.0
+    return top if own[top] >= support and own[top] >= PURE * own.sum() and lift[top] >= LIFT_REST and second <= RIVAL * lift[top] else None
+
+
 def _weight(confidence: float, base: float) -> float:
     c, b = min(max(confidence, 0.02), 0.98), min(max(base, 0.02), 0.98)
     return math.log(c / (1 - c)) - math.log(b / (1 - b))
@@ -386,13 +406,13 @@ def mine_rules(examples: DataFrame, cut: DataFrame) -> Rules:
     if not n:
         return first
 
-    def counter(single: dict[str, int]):
+    def counter(single: dict[str, int], columns: list[str]):
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             """The number of sentences with each word and the sums of their documents' shares; for all sentences together the word is empty."""
-            held = _Held(n + 1)
+            held = _Held(len(columns))
             for batch in batches:
                 numbered = Numbered(batch.column("sentences"))
-                sums = numbered.labelled(single, n)
+                sums = numbered.labelled(single, n, len(columns) > n + 1)
                 some = np.flatnonzero(np.bincount(numbered.word[sums[numbered.of, 0] > 0], minlength=len(numbered.vocabulary)))
                 if not len(some):
                     continue
@@ -401,12 +421,12 @@ def mine_rules(examples: DataFrame, cut: DataFrame) -> Rules:
                 held.add(["", *(numbered.vocabulary[k] for k in some.tolist())], np.concatenate([sums[worded].sum(axis=0)[None], by_word[some]]))
                 if len(held.numbers) > HELD:
                     yield summed(held)
-                    held = _Held(n + 1)
+                    held = _Held(len(columns))
             if held.numbers:
                 yield summed(held)
 
         def summed(held: _Held) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(held.numbers), pa.string()), *(pa.array(c) for c in np.ascontiguousarray(held.sums.T))], names=["word", *names])
+            return pa.RecordBatch.from_arrays([pa.array(list(held.numbers), pa.string()), *(pa.array(c) for c in np.ascontiguousarray(held.sums.T))], names=["word", *columns])
 
         return count
 
@@ -416,27 +436,39 @@ def mine_rules(examples: DataFrame, cut: DataFrame) -> Rules:
     concluded = {w: k for w, (k, _) in seeds.items()}
     single: dict[str, tuple[int, float]] = {}
     sure: dict[frozenset[str], float] = {}
-    for confidence in (CONFIDENCE, CONFIDENCE_AGAIN):
-        labels = concluded
-        counts = durable(cut.select("sentences").mapInArrow(counter(labels), f"word string, {sums_schema}").groupBy("word").agg(*totals))
+    trial: dict[str, int] = {}
+    tried: set[str] = set()
+    for confidence in itertools.chain([CONFIDENCE], itertools.repeat(CONFIDENCE_AGAIN)):
+        labels = concluded | trial
+        columns = names if confidence == CONFIDENCE else [f"s{k}" for k in range(3 * n + 1)]
+        counts = durable(cut.select("sentences").mapInArrow(counter(labels, columns), f"word string, {', '.join(f'{c} double' for c in columns)}").groupBy("word").agg(*(F.sum(c).alias(c) for c in columns)))
         overall = counts.where("word = ''").toPandas()
         if overall.empty or not overall["s0"].iloc[0]:
             return replace(first, enough=_calibrate(first, taught))
         overall = overall.drop(columns="word").iloc[0].to_numpy(float)
-        usual = np.maximum(overall[1:] / overall[0], 0.5 / (n + 1) / n)
+        usual = np.maximum(overall[1 : n + 1] / overall[0], 0.5 / (n + 1) / n)
         scale = max(1.0, overall[0] / SUPPORT_OF)
         support, support_set = SUPPORT * scale, SUPPORT_SET * scale
         # Words of at least some part of all sentences: a table of bounded size.
         counted = counts.where((F.col("word") != "") & (F.col("s0") >= support)).toPandas()
         single, sure = {}, {}
         for row in counted.itertuples(index=False):
-            if (found := _conclusion(list(row[1:]), usual, support, confidence)) is not None:
+            if (found := _conclusion(list(row[1 : n + 2]), usual, support, confidence)) is not None:
                 single[row[0]] = (found[0], _weight(found[1], usual[found[0]]))
                 sure[frozenset([row[0]])] = found[1]
         # Of words too rare to judge, the examples decide alone.
         judged = set(counted.word)
         single |= {w: (k, _weight(SEED, usual[k])) for w, (k, _) in seeds.items() if w not in judged}
         concluded = {w: k for w, (k, _) in single.items()}
+        if confidence == CONFIDENCE:
+            continue
+        # Where the examples know little of a subject in a language, its documents have small shares. What keeps company with its known words is tried once, and stays if its shares are then large enough.
+        asked = counted[~counted.word.isin([*single, *tried])]
+        found_out = ((row[0], _companion(np.array(row[1:], float), overall, support)) for row in asked.itertuples(index=False))
+        trial = {w: k for w, k in found_out if k is not None}
+        tried |= trial.keys()
+        if not trial:
+            break
     # Sets with a word that concludes by itself would be redundant, and those with a word rarer than a set must be cannot be frequent: such words are not mined further.
     open_ = counted[~counted.word.isin(list(single)) & (counted.s0 >= support_set)].sort_values(["s0", "word"], ascending=[False, True])
     ranked = open_.word.tolist()

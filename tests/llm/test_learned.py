@@ -129,6 +129,25 @@ def test_rules_come_from_all_documents(spark):
     assert rules.single["zephyrite"][0] == rules.subjects.index("anvil")
 
 
+def test_little_taught_language_is_learned(spark):
+    """A third of a subject's words in one language is known from others, so its documents have small shares; their company is learned and neutral words are not."""
+    rng = np.random.default_rng(5)
+    word = lambda kind, k, j: f"{kind}{chr(97 + k)}{chr(97 + j)}oru"
+    said = lambda a, b: f"{a.capitalize()} {b} here."
+    examples = [(f"s{k}", said(word("no", k, j), word("ve", k, (j + more) % 5))) for k in range(12) for j in range(5) for more in range(2)]
+    strange = [*(word("no", 0, j) for j in range(4)), *(word("mu", 0, j) for j in range(8))]
+    texts = []
+    for n in range(505):
+        k = n % 12
+        own = [said(word("no", k, rng.integers(5)), word("ve", k, rng.integers(5))) if n < 480 else said(strange[rng.integers(12)], word("qu", 0, rng.integers(5))) for _ in range(10)]
+        texts.append(" ".join([*own, said(word("ne", 9, rng.integers(3)), word("pe", 9, rng.integers(3)))]))
+    cut = subjects.cut_sentences(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"))
+    rules = subjects.mine_rules(spark.createDataFrame(examples, "subject string, text string"), cut)
+    learned = {*strange, *(word("qu", 0, j) for j in range(5))}
+    assert {w for w, (k, _) in rules.single.items() if w in learned and rules.subjects[k] == "s0"} == learned
+    assert not any(w[:2] in ("ne", "pe") for w in rules.single)
+
+
 ODD_SENTENCES = ["The pump of the pump runs.", "", "12 / 14", 'He said "stop the pump" to us.', "L'eau, l’eau don't ΣΊΣΥΦΟΣ ΣΑΣ.", "İn x² ½ a_b c-d e\tf g　h.", "„So“ «ja» nein.", "The pump of the pump runs."]
 
 
